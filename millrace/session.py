@@ -14,6 +14,7 @@ def local_session(cores: str = "*", name: str = "millrace", **conf: str) -> Spar
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", conf.pop("driver_memory", "8g"))

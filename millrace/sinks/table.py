@@ -29,6 +29,7 @@ class TableTarget:
     table: str = ""
     format: str = "parquet"
     catalog: bool = False
+    location: str | None = None  # folder of the database, if it is to be created
 
     @property
     def table_id(self) -> str:
@@ -67,8 +68,9 @@ def load_table(df: DataFrame, target: TableTarget | None, retries: int = 3) -> d
     valid, message = validate_target(target)
     if not valid:
         return {"success": False, "error": INVALID % message}
+    place = f" LOCATION '{target.location}'" if target.location else ""
     try:
-        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {target.database}")
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {target.database}{place}")
     except Exception as error:
         return {"success": False, "error": NO_DATASET % (f"{target.project}.{target.dataset}", error)}
     problem: Exception | None = None

@@ -34,14 +34,29 @@ def field_count(line: Column) -> Column:
     return comma_count(unquoted(line)) + 1
 
 
+def decoded_path(path: Column) -> Column:
+    """Spark reports paths percent-encoded; this gives the path a reader accepts."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
+
+
 def list_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv", recursive: bool = True) -> DataFrame:
-    """Rows (file_path, file_name, size_mb); contents are not read."""
+    """Rows (file_path, file_name, size_mb); contents are not read.
+
+    A scan skips empty files, so these come from the file listing that Spark holds anyway.
+    """
     files = _reader(spark, glob, recursive).format("binaryFile").load(path)
-    return files.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
+    sizes = files.select(
+        decoded_path(F.col("_metadata.file_path")).alias("file_path"),
         (F.col("_metadata.file_size") / 1048576).alias("size_mb"),
     )
+    listed = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string")
+    listed = listed.select(decoded_path(F.col("path")).alias("file_path"))
+    return listed.join(sizes, "file_path", "left").select(
+        "file_path",
+        F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
+        F.coalesce("size_mb", F.lit(0.0)).alias("size_mb"),
+    )
 
 
 def assess_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv", recursive: bool = True) -> DataFrame:
@@ -52,7 +67,7 @@ def assess_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv"
     lines, max_commas.
     """
     lines = _reader(spark, glob, recursive).text(path).select(
-        F.col("_metadata.file_path").alias("file_path"),
+        decoded_path(F.col("_metadata.file_path")).alias("file_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"),
         "value",

@@ -14,7 +14,7 @@ from millrace.functions.keys import first_digits
 from millrace.functions.values import nullify
 from millrace.operators.rows import is_summary_row
 from millrace.session import written
-from millrace.sources.assess import FAILED, LATIN1, assess_files, field_count
+from millrace.sources.assess import FAILED, LATIN1, assess_files, decoded_path, field_count
 from millrace.sources.staging import INFERRED, Header, Staged, first_seen
 
 _BLOCK = 1048576
@@ -66,9 +66,10 @@ def read_group(spark: SparkSession, group: FileGroup, columns: Sequence[str]) ->
     too_long = F.when(field_count(F.col("_bad")) > len(columns), F.col("_bad"))
     # Order within a file: block first, then the reader's row counter within the block.
     place = F.shiftleft(F.floor(F.col("_metadata.file_block_start") / _BLOCK).cast("bigint"), 33)
+    path = decoded_path(F.col("_metadata.file_path"))
     return rows.select(
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_name").alias("_name"),
+        path.alias("_path"),
+        F.element_at(F.split(path, "/"), -1).alias("_name"),
         (place + F.monotonically_increasing_id().bitwiseAND(F.lit(_COUNTER))).alias("_row"),
         *[nullify(F.col(c)).alias(c) for c in columns],
         too_long.alias("_bad"),
