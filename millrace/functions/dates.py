@@ -40,6 +40,8 @@ FORMATS: list[tuple[str, str]] = (
     _DATES
     + [(f"{d} {c}", f"{df} {cf}") for d, df in _DATES for c, cf in _CLOCK]
     + [(f"{d}T{c}", f"{df}'T'{cf}") for d, df in _YEAR_FIRST for c, cf in _CLOCK]
+    + [(f"{d}{s}{c}(Z|[+-][0-9]{{2}}:?[0-9]{{2}})", f"{df}{t}{cf}[XXX][XX]")
+       for d, df in _YEAR_FIRST[:1] for s, t in ((" ", " "), ("T", "'T'")) for c, cf in _CLOCK]
     + [("[0-9]{4}-[0-9]{1,2}", "yyyy-M")]
 )
 # Spellings that have no column-wide format; each value stands for itself.
@@ -56,7 +58,10 @@ def date_format(first: Column) -> Column:
 
 
 def _parse(c: Column, fmt: str) -> Column:
-    """Date-only formats never touch a time zone; the others use the session's."""
+    """Date-only formats never touch a time zone; texts with an offset give UTC."""
+    if "X" in fmt:
+        instant = F.try_to_timestamp(c, F.lit(fmt))
+        return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
     if "H" in fmt or "h" in fmt:
         return F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
     return F.try_to_date(c, fmt).cast("timestamp_ntz")

@@ -9,8 +9,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A table is broadcast only when its counted rows times its width stay below this.
-BROADCAST_CELLS = 1_000_000
+# A table is broadcast only when its measured size, as JSON text, stays below this.
+BROADCAST_BYTES = 64 * 1024 * 1024
 # Beyond that, each group's rows are spread over this many join keys.
 SALTS = 64
 
@@ -19,23 +19,25 @@ def same(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys
     return reduce(and_, [left[a].eqNullSafe(right[b]) for a, b in zip(left_keys, right_keys)])
 
 
+def text_bytes(table: DataFrame) -> int:
+    """Size of a small written table: the bytes of all its rows as JSON."""
+    row = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in table.columns])))
+    return table.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+
+
 def attach(
     rows: DataFrame,
     table: DataFrame,
     by: Sequence[str],
-    width: int | None = None,
     how: str = "inner",
-    broadcast_cells: int | None = None,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
-    """Join `table` (a written table, one row per `by`) to `rows`; null groups match.
-
-    `width` is the number of values in one table row, if it holds arrays.
-    """
-    limit = BROADCAST_CELLS if broadcast_cells is None else broadcast_cells
+    """Join `table` (a written table, one row per `by`) to `rows`; null groups match."""
+    limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     keys = [f"_attach_{b}" for b in by]
     values = [c for c in table.columns if c not in by]
     keyed = table.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], *values)
-    if keyed.count() * (width or len(keyed.columns)) <= limit:
+    if text_bytes(table) <= limit:
         joined = rows.join(F.broadcast(keyed), same(rows, keyed, by, keys), how)
         return joined.drop(*keys)
     salted = rows.withColumn("_salt", F.spark_partition_id() % SALTS)

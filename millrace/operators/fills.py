@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.operators.attach import attach
+from millrace.operators.attach import attach, same
 from millrace.session import written
 
 # Up to this many cells (rows of the largest group times columns) the built-in median,
@@ -72,14 +72,18 @@ def bracketed_medians(
     counts = _bracket_counts(df, columns, by, brackets)
     # About 2 * margin / accuracy of the rows lie inside; round up generously.
     counts = _narrow_until_ordered(counts, keys, max_group_rows * 8 // SKETCH_ACCURACY + 16)
-    medians = written(_read_medians(counts, keys), "medians")
-    missed = medians.filter("median IS NULL").select(*keys)
+    medians = written(_read_medians(counts, keys).filter("median IS NOT NULL"), "medians")
+    groups = brackets.select(*by, F.inline(F.array(*[
+        F.struct(F.lit(name).alias("column"), F.col(f"_n_{i}").alias("_n"))
+        for i, name in enumerate(columns)
+    ]))).filter("_n > 0").drop("_n")
+    missed = groups.join(medians, same(groups, medians, keys, keys), "left_anti")
     if missed.isEmpty():
         return medians
     full = _bracket_counts(df, columns, by, brackets, everything=True)
-    full = full.join(missed, keys, "left_semi")
+    full = full.join(missed, same(full, missed, keys, keys), "left_semi")
     full = _narrow_until_ordered(full, keys, max_group_rows)
-    return medians.filter("median IS NOT NULL").unionByName(_read_medians(full, keys))
+    return medians.unionByName(_read_medians(full, keys))
 
 
 def _narrow_until_ordered(counts: DataFrame, keys: Sequence[str], distinct: int) -> DataFrame:
@@ -122,7 +126,7 @@ def _bracket_counts(
     """Distinct values inside the bracket with their counts; all below it as one null value."""
     values = {f"_value_{i}": value for i, value in enumerate(columns.values())}
     rows = df.select(*by, *[value.alias(name) for name, value in values.items()])
-    rows = attach(rows, brackets, by, 3 * len(columns))
+    rows = attach(rows, brackets, by)
     cells = rows.select(*by, F.inline(F.array(*[
         F.struct(
             F.lit(name).alias("column"),
@@ -154,7 +158,7 @@ def _narrowed(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     cuts = counts.groupBy(*keys).agg(
         F.percentile_approx("value", shares, 10 * NARROW_CUTS).alias("_cuts")
     )
-    sliced = attach(counts, written(cuts, "cuts"), keys, NARROW_CUTS).withColumn(
+    sliced = attach(counts, written(cuts, "cuts"), keys).withColumn(
         "_slice", F.size(F.filter("_cuts", lambda x: x < F.col("value")))
     )
     totals = sliced.groupBy(*keys, "_slice", "_low_rank", "_high_rank").agg(

@@ -30,7 +30,7 @@ HOT_ROWS = 1_000_000
 HOT_SHARE = 1 / 500
 SPREAD = 128
 # Rows one joined row may be repeated into by a single task.
-REPEAT_ROWS = 1_000_000
+REPEAT_ROWS = 100_000
 
 NUMERIC_ORDER = ("tinyint", "smallint", "int", "bigint", "float", "double")
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import values as V
 from millrace.functions.dates import date_format, parse_dates
+from millrace.functions.keys import first_digits_of_number
 from millrace.functions.names import KEY, SOURCE
 from millrace.operators.attach import attach
 from millrace.operators.fills import exact_medians, exact_modes
@@ -99,7 +100,12 @@ def clean_staged(staged: Staged, options: CleanOptions = CleanOptions()) -> Batc
     kept = staged.data.filter(~F.col("_summary")).drop("_summary")
     fills = fill_values(kept, staged, usage)
     if fills is not None:
-        decisions = written(decisions.join(fills, ["_source", "stat"], "left"), "filled")
+        # Statistics exist for every file of a column; a file takes the one it needs.
+        filled = decisions.join(fills, ["_source", "stat"], "left").withColumns({
+            "number": F.when(F.col("fill") == "median", F.col("number")),
+            "text": F.when(F.col("fill") == "mode", F.col("text")),
+        })
+        decisions = written(filled, "filled")
     else:
         decisions = decisions.select(
             "*", F.lit(None).cast("double").alias("number"), F.lit(None).cast("string").alias("text"))
@@ -126,6 +132,8 @@ def clean_staged(staged: Staged, options: CleanOptions = CleanOptions()) -> Batc
 def decide(staged: Staged, options: CleanOptions) -> DataFrame:
     """One row per (file, column): what it is, what becomes of it, how gaps are filled."""
     by = ["_source", "_header"]
+    if not staged.columns:
+        raise ValueError("no readable file with a usable header")
     classes = staged.data.select(
         *by, "_row", "_key", "_summary",
         *[_class_of(c, staged).alias(c) for c in staged.columns],
@@ -152,15 +160,17 @@ def decide(staged: Staged, options: CleanOptions) -> DataFrame:
         "numeric": post(V.NUMBER),
         "whole": post(V.WHOLE),
     }
-    profile = long_aggregate(classes, by, staged.columns, counters | numbers) if staged.columns else None
-    layout = staged.layout()
-    if staged.files is not None:
-        cells = staged.files.join(F.broadcast(layout), "_header")
-        cells = cells.join(profile.drop("_header"), ["_source", "column"], "left")
+    profile = long_aggregate(classes, by, staged.columns, counters | numbers)
+    if staged.files is None:
+        # Every column is profiled in every file, so one of them lists the files.
+        first = written(profile, "profile")
+        files = first.filter(F.col("column") == staged.columns[0]).select(*by)
+        cells = staged.cells(files).join(
+            first.drop("_header"), ["_source", "column"], "left")
     else:
-        cells = profile.join(F.broadcast(layout), ["_header", "column"])
-    filled = cells.fillna(0, [*counters, *numbers]) if staged.files is not None else cells
-    return _judge(filled, options)
+        cells = staged.cells(staged.files).join(
+            profile.drop("_header"), ["_source", "column"], "left")
+    return _judge(cells.fillna(0, [*counters, *numbers]), options)
 
 
 def _class_of(c: str, staged: Staged) -> Column:
@@ -236,6 +246,7 @@ class Usage:
     boolean_mode: bool
     dates: bool
     always_kept: bool
+    numeric_url: bool
     max_rows: int
 
 
@@ -249,11 +260,13 @@ def column_usage(decisions: DataFrame) -> dict[str, Usage]:
         F.bool_or((c("fill") == "mode") & (c("kind") == "boolean")).alias("boolean_mode"),
         F.bool_or(c("change") == "datetime").alias("dates"),
         F.bool_and(c("fate") == "keep").alias("always_kept"),
+        F.bool_or(c("is_url") & (c("kind") == "double")).alias("numeric_url"),
         F.max("rows").alias("max_rows"),
     ).collect()
     return {
         r["column"]: Usage(sorted(r["outs"]), bool(r["median"]), bool(r["mode"]),
-                           bool(r["boolean_mode"]), bool(r["dates"]), r["always_kept"], r["max_rows"])
+                           bool(r["boolean_mode"]), bool(r["dates"]), r["always_kept"],
+                           r["numeric_url"], r["max_rows"])
         for r in rows
     }
 
@@ -328,7 +341,7 @@ def apply_decisions(
             F.map_from_entries(F.collect_list(F.struct(F.col("column"), entry))).alias("_all"))
         plans = plans.select("_source", F.struct(
             *[F.col("_all")[c].alias(c) for c in planned]).alias("_plan"))
-        rows = attach(kept, written(plans, "plans"), ["_source"], 6 * len(planned), how="left")
+        rows = attach(kept, written(plans, "plans"), ["_source"], how="left")
     cells = {
         staged.names[staged.columns.index(c)]: _cell(c, staged, usage[c], c in planned, formats.get(c))
         for c in live
@@ -336,12 +349,27 @@ def apply_decisions(
     names = [n for n in staged.names if n in cells or n == KEY]
     if KEY not in names:
         names.append(KEY)
-    cells[KEY] = F.col("_key")
+    rows, cells[KEY] = _with_numeric_urls(rows, decisions, staged, usage)
     out = rows.select("_source", *[cells[n].alias(n) for n in names])
     out = out.dropDuplicates()
     return out.select(*[F.col(f"`{n}`") for n in names if n != SOURCE], F.col("_source").alias(SOURCE))
 
 
+def _with_numeric_urls(
+    rows: DataFrame, decisions: DataFrame, staged: Staged, usage: dict[str, Usage]
+) -> tuple[DataFrame, Column]:
+    """The key, read from the number's own text where a file's URL column holds numbers only."""
+    key = F.col("_key")
+    columns = [c for c, u in usage.items() if u.numeric_url and staged.types[c] == "string"]
+    if not columns:
+        return rows, key
+    found = decisions.filter(F.col("is_url") & (F.col("kind") == "double")).select(
+        "_source", F.col("column").alias("_url"))
+    for c in columns:
+        key = F.when(F.col("_url") == c, first_digits_of_number(V.number(F.col(c)))).otherwise(key)
+    return attach(rows, written(found, "urls"), ["_source"], how="left"), key
+
+
 def _cell(c: str, staged: Staged, use: Usage, planned: bool, formats: Sequence[str | None] | None) -> Column:
     """The cleaned value of a column; with a plan, by the file's own decision."""
     plan = F.col("_plan")[c] if planned else None

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from millrace.session import written
+
 # Fixed values of an assessment.
 UTF8 = "utf-8"
 LATIN1 = "latin-1"
@@ -66,17 +68,17 @@ def assess_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv"
     issues_found, header (decoded header line), multi_line (some line ends inside quotes),
     lines, max_commas.
     """
-    lines = _reader(spark, glob, recursive).text(path).select(
-        decoded_path(F.col("_metadata.file_path")).alias("file_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-        "value",
-    )
-    found = assess_lines(lines)
+    found = written(assess_lines(_lines(_reader(spark, glob, recursive).text(path))), "found")
     files = list_files(spark, path, glob, recursive)
     table = files.join(found, "file_path", "left")
-    trial = trial_issues(lines, found)
-    table = table.join(trial, "file_path", "left")
+    # Only files with some line longer than the header are looked at again.
+    too_long = F.col("_max_fields") > field_count(F.col("header"))
+    suspects = [r[0] for r in found.filter(~F.col("multi_line") & too_long).select("file_path").collect()]
+    if suspects:
+        trial = trial_issues(_lines(spark.read.text(suspects)))
+        table = table.join(trial, "file_path", "left")
+    else:
+        table = table.withColumn("_trial", F.lit(None).cast("string"))
     issues = (
         F.when(F.coalesce(F.col("lines"), F.lit(0)) == 0, F.array(F.lit(UNDECODED)))
         .when(F.col("header").isNull(), F.array(F.lit(READ_ERROR + NO_COLUMNS)))
@@ -134,16 +136,22 @@ def assess_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def trial_issues(lines: DataFrame, found: DataFrame) -> DataFrame:
+def _lines(text: DataFrame) -> DataFrame:
+    return text.select(
+        decoded_path(F.col("_metadata.file_path")).alias("file_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_id"),
+        "value",
+    )
+
+
+def trial_issues(lines: DataFrame) -> DataFrame:
     """Rows (file_path, _trial): the first too long row among a file's first ten.
 
-    Only files with some line longer than the header are looked at, and of those only
-    the first block; the ranking keeps a few dozen lines per file before any shuffle.
+    Only the first block of each file is ranked, and the ranking keeps a few dozen lines
+    per file before any shuffle.
     """
-    suspects = found.filter(
-        ~F.col("multi_line") & (F.col("_max_fields") > field_count(F.col("header")))
-    ).select(F.col("file_path").alias("_path"))
-    heads = lines.filter("_block = 0").join(suspects, F.col("file_path") == F.col("_path"), "left_semi")
+    heads = lines.filter("_block = 0")
     first = heads.withColumn(
         "_line", F.row_number().over(W.partitionBy("file_path").orderBy("_id"))
     ).filter(F.col("_line") <= 4 * TRIAL_ROWS)

@@ -11,6 +11,7 @@ from millrace.functions.names import URL_WORDS, header_names
 from millrace.functions.values import NUMBER, WHOLE, BOOLEAN, MISSING, cell_class
 from millrace.operators.attach import attach
 from millrace.operators.profile import long_aggregate
+from millrace.session import written
 
 # Fewer common columns than this make files incompatible.
 MIN_COMMON = 3
@@ -104,8 +105,6 @@ def schema_samples(staged, rows: int = SAMPLE_ROWS) -> DataFrame:
     """
     everything: DataFrame = staged.extras["everything"]
     starts = everything.groupBy("_source").agg(F.min("_row").alias("_first"))
-    from millrace.session import written
-
     heads = attach(
         everything.select("_source", "_header", "_row", "_bad", *staged.columns),
         written(starts, "starts"), ["_source"],
@@ -134,8 +133,9 @@ def schema_samples(staged, rows: int = SAMPLE_ROWS) -> DataFrame:
         .when((F.col("boolean") == present) & (present == F.col("n")), "boolean")
         .otherwise("string")
     )
-    layout = staged.layout().select("_header", "column", "position", "original_column")
-    typed = found.withColumn("type", kind).join(layout, ["_header", "column"])
+    starts_by_file = everything.select("_source", "_header").distinct()
+    layout = staged.cells(starts_by_file).select("_source", "column", "position", "original_column")
+    typed = found.withColumn("type", kind).join(layout, ["_source", "column"])
     entry = F.struct("position", F.col("original_column").alias("name"), "type")
     per_file = typed.groupBy(F.col("_source").alias("source_file")).agg(
         F.array_sort(F.collect_list(entry)).alias("_columns"),

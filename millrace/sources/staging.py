@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from millrace.functions import names as N
 from millrace.functions.keys import with_key
 from millrace.functions.values import nullify
+from millrace.operators.attach import attach
 from millrace.operators.rows import is_summary_row
 from millrace.session import written
 
@@ -31,8 +32,8 @@ KEY_SOURCE = "key source"
 OVERWRITTEN = "overwritten"
 
 LAYOUT = (
-    "_header int, column string, position int, original_column string, "
-    "cleaned_column string, role string, reading string, is_date boolean"
+    "_header int, cells array<struct<column: string, position: int, original_column: string, "
+    "cleaned_column: string, role: string, reading: string, is_date: boolean, is_url: boolean>>"
 )
 
 
@@ -71,16 +72,23 @@ class Staged:
         return [f"c{i}" for i in range(len(self.names))]
 
     def layout(self) -> DataFrame:
-        """Rows as in LAYOUT: every column of every distinct header."""
+        """Rows as in LAYOUT: the columns of every distinct header."""
         ids = dict(zip(self.names, self.columns))
         rows = [
-            (h, ids[name], position, original, name, header.role(name),
-             self.readings[ids[name]], N.is_date_name(name))
-            for h, header in enumerate(self.headers)
-            for position, (original, name) in enumerate(zip(header.original, header.cleaned))
+            (number, [
+                (ids[name], position, original, name, header.role(name), self.readings[ids[name]],
+                 N.is_date_name(name), name == header.url)
+                for position, (original, name) in enumerate(zip(header.original, header.cleaned))
+            ])
+            for number, header in enumerate(self.headers)
         ]
         return self.data.sparkSession.createDataFrame(rows, LAYOUT)
 
+    def cells(self, files: DataFrame) -> DataFrame:
+        """Every column of every file of (_source, _header), with its place and role."""
+        return attach(files, self.layout(), ["_header"]).select(
+            "_source", "_header", F.inline("cells"))
+
 
 def first_seen(headers: Sequence[Header]) -> list[str]:
     return list(dict.fromkeys(name for header in headers for name in header.cleaned))
