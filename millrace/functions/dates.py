@@ -49,12 +49,12 @@ FREE_FORMATS = ["M/d/yy", "M/d/yyyy h:mm a", "M/d/yy h:mm a", "yyyy-M-d h:mm a",
                 "MMM yyyy", "MMMM yyyy"]
 
 
-def date_format(first: Column) -> Column:
-    """The format of a column, from its first value; null when there is none."""
-    chosen = F.lit(None).cast("string")
-    for pattern, fmt in reversed(FORMATS):
-        chosen = F.when(first.rlike(f"^{pattern}$"), fmt).otherwise(chosen)
-    return chosen
+def date_format(first: str) -> Column:
+    """The format of a column, from the column of its first value; null when there is none."""
+    cases = " ".join(
+        f"WHEN `{first}` RLIKE r'^{pattern}$' THEN \"{fmt}\"" for pattern, fmt in FORMATS
+    )
+    return F.expr(f"CASE {cases} END")
 
 
 def _parse(c: Column, fmt: str) -> Column:

@@ -65,11 +65,16 @@ MISSING, TEXT, BOOLEAN, NUMBER, WHOLE = range(5)
 
 
 def cell_class(c: Column) -> Column:
+    # Numbers start with a blank, a sign, a point, a digit or the I of infinity, and
+    # booleans have four or five letters; other texts never reach the patterns.
+    first = F.ascii(c)
+    numeric = (
+        F.when(integer(c).isNotNull(), WHOLE).when(number(c).isNotNull(), NUMBER).otherwise(TEXT)
+    )
     return (
         F.when(c.isNull(), MISSING)
-        .when(integer(c).isNotNull(), WHOLE)
-        .when(number(c).isNotNull(), NUMBER)
-        .when(boolean(c).isNotNull(), BOOLEAN)
+        .when((first <= 57) | first.isin(73, 105), numeric)
+        .when(F.length(c).between(4, 5) & boolean(c).isNotNull(), BOOLEAN)
         .otherwise(TEXT)
     )
 

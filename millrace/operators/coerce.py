@@ -56,6 +56,6 @@ def coerce_dates(df: DataFrame, order: Sequence[str], columns: Sequence[str] | N
     firsts = df.agg(*[
         F.min_by(F.col(c), F.when(F.col(c).isNotNull(), place)).alias(c) for c in names
     ])
-    formats = firsts.select(*[date_format(F.col(c)).alias(c) for c in names]).first()
+    formats = firsts.select(*[date_format(c).alias(c) for c in names]).first()
     parsed = {c: parse_dates(F.col(c), F.lit(formats[c]), [formats[c]]).alias(c) for c in names}
     return df.select(*[parsed.get(c, F.col(f"`{c}`")) for c in df.columns])

@@ -29,7 +29,7 @@ from millrace.functions.names import KEY, SOURCE
 from millrace.operators.attach import attach
 from millrace.operators.fills import exact_medians, exact_modes
 from millrace.operators.merge import aligned_type
-from millrace.operators.profile import is_sparse, long_aggregate
+from millrace.operators.profile import is_sparse
 from millrace.session import written
 from millrace.sources.csv_files import stage_csv
 from millrace.sources.staging import (
@@ -134,53 +134,51 @@ def decide(staged: Staged, options: CleanOptions) -> DataFrame:
     by = ["_source", "_header"]
     if not staged.columns:
         raise ValueError("no readable file with a usable header")
-    classes = staged.data.select(
-        *by, "_row", "_key", "_summary",
-        *[_class_of(c, staged).alias(c) for c in staged.columns],
-    )
-    kept = ~F.col("_summary")
-
-    def raw(level: int):
-        return lambda c: F.count_if(F.col(c) >= level)
-
-    def post(level: int):
-        return lambda c: F.count_if(kept & (F.col(c) >= level))
-
+    # Long form: the generated code stays small however many columns there are, and the
+    # counts per (file, column, class) combine before the shuffle.
+    cells = staged.data.select(*by, "_summary", "_row", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), *_value_and_class(c, staged)) for c in staged.columns
+    ])))
+    level = F.coalesce(F.col("known"), V.cell_class(F.col("value")))
+    counts = cells.groupBy(*by, "_summary", "column", level.alias("level")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_row").alias("first"))
+    kept, n = ~F.col("_summary"), F.col("n")
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+    level = F.col("level")
     counters = {
-        "raw_rows": lambda c: F.count(F.lit(1)),
-        "rows": lambda c: F.count_if(kept),
-        "first_row": lambda c: F.min(F.when(kept, F.col("_row"))),
-        "raw_present": raw(V.TEXT),
-        "present": post(V.TEXT),
-    }
-    numbers = {
-        "raw_boolean": lambda c: F.count_if(F.col(c) == V.BOOLEAN),
-        "raw_numeric": raw(V.NUMBER),
-        "raw_whole": raw(V.WHOLE),
-        "numeric": post(V.NUMBER),
-        "whole": post(V.WHOLE),
+        "raw_rows": F.sum(n),
+        "rows": total(kept),
+        "first_row": F.min(F.when(kept, F.col("first"))),
+        "raw_present": total(level >= V.TEXT),
+        "raw_boolean": total(level == V.BOOLEAN),
+        "raw_numeric": total(level >= V.NUMBER),
+        "raw_whole": total(level == V.WHOLE),
+        "present": total(kept & (level >= V.TEXT)),
+        "numeric": total(kept & (level >= V.NUMBER)),
+        "whole": total(kept & (level == V.WHOLE)),
     }
-    profile = long_aggregate(classes, by, staged.columns, counters | numbers)
-    if staged.files is None:
-        # Every column is profiled in every file, so one of them lists the files.
-        first = written(profile, "profile")
-        files = first.filter(F.col("column") == staged.columns[0]).select(*by)
-        cells = staged.cells(files).join(
-            first.drop("_header"), ["_source", "column"], "left")
+    profile = counts.groupBy(*by, "column").agg(*[m.alias(name) for name, m in counters.items()])
+    if staged.files is None:  # one header
+        layout = staged.layout().select("_header", F.inline("cells"))
+        cells = profile.join(F.broadcast(layout), ["_header", "column"])
     else:
         cells = staged.cells(staged.files).join(
             profile.drop("_header"), ["_source", "column"], "left")
-    return _judge(cells.fillna(0, [*counters, *numbers]), options)
+    return _judge(cells.fillna(0, list(counters)), options)
 
 
-def _class_of(c: str, staged: Staged) -> Column:
+def _value_and_class(c: str, staged: Staged) -> tuple[Column, Column]:
+    """A cell as text still to be classed, or, in a typed column, its class."""
     cell, reading = F.col(c), staged.readings[c]
     if reading in (INFERRED, TEXT):
-        return V.cell_class(cell)
-    kind = staged.types[c]
+        return cell.alias("value"), F.lit(None).cast("int").alias("known")
     level = V.TEXT if reading == OTHER else {
-        "boolean": V.BOOLEAN, "float": V.NUMBER, "double": V.NUMBER}.get(kind, V.WHOLE)
-    return F.when(cell.isNull(), V.MISSING).otherwise(level)
+        "boolean": V.BOOLEAN, "float": V.NUMBER, "double": V.NUMBER}.get(staged.types[c], V.WHOLE)
+    known = F.when(cell.isNull(), V.MISSING).otherwise(level)
+    return F.lit(None).cast("string").alias("value"), known.alias("known")
 
 
 def _judge(cells: DataFrame, options: CleanOptions) -> DataFrame:
@@ -311,10 +309,9 @@ def with_date_formats(
     heads = attach(kept.select("_source", "_row", *columns), firsts, ["_source", "_row"])
     cells = heads.select(F.col("_source"), F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("first")) for c in columns])))
-    first = F.coalesce("first", "text")
-    return decisions.join(cells, ["_source", "column"], "left").withColumn(
-        "format", F.when(F.col("change") == "datetime", date_format(first))
-    ).drop("first")
+    joined = decisions.join(cells, ["_source", "column"], "left").withColumn(
+        "first", F.when(F.col("change") == "datetime", F.coalesce("first", "text")))
+    return joined.withColumn("format", date_format("first")).drop("first")
 
 
 def apply_decisions(

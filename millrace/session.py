@@ -15,6 +15,7 @@ def local_session(cores: str = "*", name: str = "millrace", **conf: str) -> Spar
         .appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", conf.pop("driver_memory", "8g"))
@@ -24,6 +25,17 @@ def local_session(cores: str = "*", name: str = "millrace", **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> None:
+    """Set what wide projections need, unless the user set it.
+
+    HotSpot does not compile methods above 8000 bytes; beyond that, Spark's own smaller
+    methods are faster than one fused method.
+    """
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(limit) == "65535":
+        spark.conf.set(limit, "8000")
+
+
 _own_folders: dict[str, str] = {}
 
 

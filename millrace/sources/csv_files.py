@@ -13,7 +13,7 @@ from millrace.functions import names as N
 from millrace.functions.keys import first_digits
 from millrace.functions.values import nullify
 from millrace.operators.rows import is_summary_row
-from millrace.session import written
+from millrace.session import prepare, written
 from millrace.sources.assess import FAILED, LATIN1, assess_files, decoded_path, field_count
 from millrace.sources.staging import INFERRED, Header, Staged, first_seen
 
@@ -92,6 +92,7 @@ def stage_csv(
     """
     from millrace.sources.schema import choose_groups
 
+    prepare(spark)
     assessment = written(assess_files(spark, path, glob, recursive), "assessment")
     groups = file_groups(assessment)
     unique = assessment.groupBy("file_name").count().filter("count > 1").isEmpty()

@@ -18,7 +18,7 @@ from millrace.functions.keys import with_key
 from millrace.functions.values import nullify
 from millrace.operators.attach import attach
 from millrace.operators.rows import is_summary_row
-from millrace.session import written
+from millrace.session import prepare, written
 
 # How the type of a staged column is found.
 INFERRED = "inferred"  # text, typed by looking at every value
@@ -111,6 +111,7 @@ def stage_frame(
     text columns are typed by their values, as in a CSV file. Every text column is kept
     as it is unless `null_tokens` asks for missing tokens to be read as null.
     """
+    prepare(df.sparkSession)
     names = [c for c in df.columns if c not in (source, order)]
     header = Header.of(names, on_clash, url)
     columns = [f"c{i}" for i in range(len(names))]

@@ -105,7 +105,7 @@ def at(*parts):
 ])
 def test_dates_follow_the_first_value(spark, texts, parsed):
     first = spark.createDataFrame([(texts[0],)], "v string")
-    fmt = first.select(dates.date_format(F.col("v"))).first()[0]
+    fmt = first.select(dates.date_format("v")).first()[0]
     assert mapped(spark, texts, lambda c: dates.parse_dates(c, F.lit(fmt), [fmt])) == parsed
 
 
