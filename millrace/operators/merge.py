@@ -17,6 +17,7 @@ keys and the other side's rows for those few keys are copied to each.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -32,6 +33,11 @@ SPREAD = 128
 # Rows one joined row may be repeated into by a single task.
 REPEAT_ROWS = 100_000
 
+# A merge that would make more rows than this is refused before it starts.
+MAX_RESULT_ROWS = 10**14
+
+log = logging.getLogger(__name__)
+
 NUMERIC_ORDER = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
@@ -75,40 +81,65 @@ def merge_pair(
 
 @dataclass(frozen=True)
 class KeyCounts:
-    """What the join steps need to know: is any key repeated, and each step's hot keys."""
+    """What a merge needs to know of its keys before it starts."""
 
-    most_per_key: int
-    hot: list[list[HotKey]]
+    most_per_key: float
+    hot: list[list[HotKey]]  # per join step
+    result_rows: float
+    null_key_rows: float
 
 
-def count_keys(frames: Sequence[DataFrame], key: str = KEY, skew: Skew = Skew()) -> KeyCounts:
+def count_keys(
+    frames: Sequence[DataFrame],
+    how: str = "outer",
+    key: str = KEY,
+    skew: Skew = Skew(),
+    repeats: DataFrame | None = None,
+) -> KeyCounts:
     """Count every key in every frame, in one aggregation over the keys alone.
 
     Joining frame i to the frames before it meets, per key, the product of their counts
     on the left and its own count on the right. Hot keys are those above `hot_share` of
-    their side, so at most 2 / hot_share of them per step reach the driver.
+    their side, so at most 2 / hot_share of them per step reach the driver. `repeats`
+    holds one row (key, _times) per key for the last step, standing for `_times` rows.
     """
-    stacked = reduce(
-        DataFrame.union,
-        [f.select(F.col(key).alias("key"), F.lit(i).alias("file")) for i, f in enumerate(frames)],
-    )
-    per_key = stacked.groupBy("key").agg(
-        *[F.count_if(F.col("file") == i).cast("double").alias(f"n{i}") for i in range(len(frames))]
-    )
+    one = F.lit(1.0).alias("weight")
+    parts = [
+        f.select(F.col(key).alias("key"), F.lit(i).alias("file"), one) for i, f in enumerate(frames)
+    ]
+    steps = len(frames) + (repeats is not None)
+    if repeats is not None:
+        parts.append(repeats.select(
+            F.col(key).alias("key"), F.lit(steps - 1).alias("file"), F.col("_times").alias("weight")))
+    per_key = reduce(DataFrame.union, parts).groupBy("key").agg(*[
+        F.coalesce(F.sum(F.when(F.col("file") == i, F.col("weight"))), F.lit(0.0)).alias(f"n{i}")
+        for i in range(steps)
+    ])
+
+    def product(upto: int) -> Column:
+        return reduce(lambda a, b: a * b, [F.greatest(F.col(f"n{j}"), F.lit(1.0)) for j in range(upto)])
+
     sides = {}
-    for i in range(1, len(frames)):
-        product = reduce(lambda a, b: a * b, [F.greatest(F.col(f"n{j}"), F.lit(1.0)) for j in range(i)])
+    for i in range(1, steps):
         present = reduce(lambda a, b: a | b, [F.col(f"n{j}") > 0 for j in range(i)])
-        sides[f"left{i}"] = F.when(present, product).otherwise(0.0)
-        sides[f"right{i}"] = F.col(f"n{i}")
-    counts = per_key.select("key", "n0", *[c.alias(name) for name, c in sides.items()])
+        sides[f"left{i}"] = F.when(present, product(i)).otherwise(0.0)
+        pieces = repeats is not None and i == steps - 1
+        sides[f"right{i}"] = F.ceil(F.col(f"n{i}") / REPEAT_ROWS).cast("double") if pieces else F.col(f"n{i}")
+    if how == "outer":
+        result = product(steps)
+    else:
+        result = reduce(lambda a, b: a * b, [F.col(f"n{j}") for j in range(steps)])
+    counts = per_key.select("key", "n0", *[c.alias(name) for name, c in sides.items()], result.alias("rows"))
     names = ["n0", *sides]
     totals = counts.agg(
-        *[F.max(n).alias(f"max_{n}") for n in names], *[F.sum(n).alias(f"sum_{n}") for n in names]
+        *[F.max(n).alias(f"max_{n}") for n in names],
+        *[F.sum(n).alias(f"sum_{n}") for n in names],
+        F.sum("rows").alias("rows"),
+        F.sum(F.when(F.col("key").isNull(), F.col("rows"))).alias("null_rows"),
     ).first()
     least = {n: max(skew.hot_rows, skew.hot_share * (totals[f"sum_{n}"] or 0)) for n in names}
     hot: list[list[HotKey]] = []
-    for i in range(1, len(frames)):
+    for i in range(1, steps):
         left, right = f"left{i}", f"right{i}"
         found = []
         if any((totals[f"max_{n}"] or 0) >= least[n] for n in (left, right)):
@@ -118,8 +149,9 @@ def count_keys(frames: Sequence[DataFrame], key: str = KEY, skew: Skew = Skew())
                 for r in counts.filter(heavy).select("key", left, right).collect()
             ]
         hot.append(found)
-    own = ["n0", *[f"right{i}" for i in range(1, len(frames))]]
-    return KeyCounts(int(max(totals[f"max_{n}"] or 0 for n in own)), hot)
+    own = ["n0", *[f"right{i}" for i in range(1, steps)]]
+    return KeyCounts(
+        max(totals[f"max_{n}"] or 0 for n in own), hot, totals["rows"] or 0.0, totals["null_rows"] or 0.0)
 
 
 def _join(
@@ -177,6 +209,7 @@ def merge_frames(
     how: str = "outer",
     key: str = KEY,
     skew: Skew = Skew(),
+    null_keys: str = "match",
 ) -> DataFrame:
     """Fold frames in order: `outer` keeps all records, `inner` the matching ones."""
     if len(frames) == 1:
@@ -191,7 +224,7 @@ def merge_frames(
         counted = reduce(
             DataFrame.union, [f.withColumn("_file", F.lit(i)) for i, f in enumerate(others)]
         )
-    return fold([first, *owners], counted, len(others), how, key, skew)
+    return fold([first, *owners], counted, len(others), how, key, skew, null_keys)
 
 
 def fold(
@@ -201,44 +234,64 @@ def fold(
     how: str = "outer",
     key: str = KEY,
     skew: Skew = Skew(),
+    null_keys: str = "match",
 ) -> DataFrame:
     """Merge files that own columns, and rows (key, _file) of files that own none.
 
     Equal to folding all files one by one: a file without columns repeats each row as
-    often as it holds the row's key, and `outer` adds the keys not yet there.
+    often as it holds the row's key, and `outer` adds the keys not yet there. Null keys
+    match each other, unless `null_keys="keep"`: then they match nothing.
     """
-    steps = [*owners[1:]]
-    if counted is not None:
-        steps.append(_repeats(counted, counted_files, how, key))
-    if not steps:
+    if null_keys not in ("match", "keep"):
+        raise ValueError(f"unknown null key handling: {null_keys!r}")
+    if null_keys == "keep":
+        known = [f.filter(F.col(key).isNotNull()) for f in owners]
+        known_counted = None if counted is None else counted.filter(F.col(key).isNotNull())
+        merged = fold(known, known_counted, counted_files, how, key, skew)
+        if how == "inner":
+            return merged
+        unknown = [*owners, *([] if counted is None else [counted.select(key)])]
+        return reduce(
+            lambda a, b: a.unionByName(b.filter(F.col(key).isNull()), allowMissingColumns=True),
+            unknown, merged)
+    times = None if counted is None else _repeat_counts(counted, counted_files, how, key)
+    if len(owners) == 1 and times is None:
         return owners[0]
-    found = count_keys([owners[0], *steps], key, skew)
-    if counted is None and len(owners) > 2 and found.most_per_key <= 1:
+    found = count_keys(owners, how, key, skew, times)
+    if found.result_rows > MAX_RESULT_ROWS:
+        raise ValueError(
+            f"the merge would make {found.result_rows:.4g} rows, {found.null_key_rows:.4g} of them "
+            "from null keys, all of which match each other")
+    if found.null_key_rows > 1_000_000:
+        log.warning("null keys alone make %.4g rows of this merge", found.null_key_rows)
+    if times is None and len(owners) > 2 and found.most_per_key <= 1:
         return merge_unique(owners, how, key)
+    steps = [*owners[1:], *([] if times is None else [_repeat_pieces(times, key)])]
     merged = owners[0]
     for step, hot in zip(steps, found.hot):
         merged = _join(merged, step, how, key, hot, skew.spread)
-    if counted is not None:
+    if times is not None:
         copies = F.sequence(F.lit(1).cast("bigint"), F.coalesce("_repeat", F.lit(1).cast("bigint")))
         merged = merged.withColumn("_copy", F.explode(copies)).drop("_copy", "_repeat")
     return merged
 
 
-def _repeats(counted: DataFrame, files: int, how: str, key: str) -> DataFrame:
-    """Rows (key, _repeat) whose sum per key is the product of the key's counts by file.
-
-    Large products are cut to pieces, so that no one task writes all of a key's rows.
-    """
+def _repeat_counts(counted: DataFrame, files: int, how: str, key: str) -> DataFrame:
+    """Rows (key, _times): how often files without columns repeat a key's rows, multiplied."""
     per_file = counted.groupBy(key, "_file").agg(F.count(F.lit(1)).alias("_n"))
     times = per_file.groupBy(key).agg(
-        F.product("_n").cast("bigint").alias("_times"), F.count(F.lit(1)).alias("_files")
+        F.product("_n").alias("_times"), F.count(F.lit(1)).alias("_files")
     )
-    if how == "inner":
-        times = times.filter(F.col("_files") == files)
+    return (times.filter(F.col("_files") == files) if how == "inner" else times).drop("_files")
+
+
+def _repeat_pieces(times: DataFrame, key: str) -> DataFrame:
+    """Rows (key, _repeat) that sum to `_times`, cut so that no task writes one key alone."""
+    whole = times.withColumn("_times", F.col("_times").cast("bigint"))
     pieces = F.expr(f"sequence(0L, (_times - 1) div {REPEAT_ROWS})")
     left_over = F.col("_times") - F.col("_piece") * REPEAT_ROWS
     repeat = F.least(F.lit(REPEAT_ROWS).cast("bigint"), left_over)
-    return times.withColumn("_piece", F.explode(pieces)).select(key, repeat.alias("_repeat"))
+    return whole.withColumn("_piece", F.explode(pieces)).select(key, repeat.alias("_repeat"))
 
 
 def merge_unique(frames: Sequence[DataFrame], how: str = "outer", key: str = KEY) -> DataFrame:

@@ -28,7 +28,9 @@ class Master:
     merge_info: str
 
 
-def build_master(batch: Batch, merge: str = "outer", skew: Skew = Skew()) -> Master:
+def build_master(
+    batch: Batch, merge: str = "outer", skew: Skew = Skew(), null_keys: str = "match"
+) -> Master:
     """Merge a batch's files in name order: `outer`, `inner` or `concat`.
 
     Files without rows are left out. The cleaned rows of all files are one table already,
@@ -43,13 +45,15 @@ def build_master(batch: Batch, merge: str = "outer", skew: Skew = Skew()) -> Mas
     if n == 1 or merge == "concat":
         return Master(batch.data, master_report(batch.data), SINGLE if n == 1 else STACKED % n)
     try:
-        data = merge_batch(batch, merge, skew)
+        data = merge_batch(batch, merge, skew, null_keys)
     except Exception as error:  # reported, not raised: the batch itself is fine
         return Master(None, None, FAILED % error)
     return Master(data, master_report(data), (OUTER if merge == "outer" else INNER) % n)
 
 
-def merge_batch(batch: Batch, how: str, skew: Skew = Skew()) -> DataFrame:
+def merge_batch(
+    batch: Batch, how: str, skew: Skew = Skew(), null_keys: str = "match"
+) -> DataFrame:
     """The fold over all files, from the table of cleaned rows.
 
     Only the owner of each column is collected, one row per column.
@@ -76,4 +80,4 @@ def merge_batch(batch: Batch, how: str, skew: Skew = Skew()) -> DataFrame:
     counted = None
     if rest:
         counted = batch.data.filter(~source.isin(order)).select(KEY, source.alias("_file"))
-    return fold(frames, counted, rest, how, KEY, skew)
+    return fold(frames, counted, rest, how, KEY, skew, null_keys)

@@ -401,16 +401,19 @@ def merge_outer_hot_key(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-WITH m AS (SELECT coalesce(a.job_id, b.job_id) AS job_id, a.name, a.balance, a.source_file
-           FROM {C} a FULL JOIN (SELECT s_nationkey AS job_id FROM supplier) b {SAME_KEY})
-SELECT coalesce(a.job_id, b.job_id) AS job_id, a.name, a.balance, a.source_file
-FROM m a FULL JOIN (SELECT n_regionkey AS job_id FROM nation UNION ALL SELECT 1000000000) b {SAME_KEY}""")
+WITH m AS (SELECT CASE WHEN a.source_file IS NULL THEN b.job_id ELSE a.job_id END AS job_id,
+             a.name, a.balance, a.source_file
+           FROM {C} a FULL JOIN (SELECT s_suppkey * 40 AS job_id FROM supplier) b {SAME_KEY})
+SELECT CASE WHEN a.source_file IS NULL AND a.job_id IS NULL THEN b.job_id ELSE a.job_id END AS job_id,
+  a.name, a.balance, a.source_file
+FROM m a FULL JOIN (SELECT s_nationkey * 2 AS job_id FROM supplier) b {SAME_KEY}""")
 def merge_outer_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Files that bring no columns only repeat rows and add keys."""
-    supplier = messy(spark, folder, "supplier", {"job_id": "CAST(s_nationkey AS BIGINT)", "name": "s_name"})
-    nation = messy(spark, folder, "nation", {"job_id": "CAST(n_regionkey AS BIGINT)", "name": "n_name"})
-    extra = nation.limit(1).select(F.lit(1000000000).cast("bigint").alias("job_id"), "name")
-    return merge.merge_frames([*files(spark, folder, "customer"), supplier, nation.union(extra)], "outer")
+    others = [
+        messy(spark, folder, "supplier", {"job_id": f"CAST({key} AS BIGINT)", "name": "s_name"})
+        for key in ("s_suppkey * 40", "s_nationkey * 2")
+    ]
+    return merge.merge_frames([*files(spark, folder, "customer"), *others], "outer")
 
 
 CONCAT_ORDERS = {"job_id": "o_custkey", "amount": "o_totalprice", "code": "o_orderstatus", "source_file": "'orders.csv'"}
@@ -501,13 +504,14 @@ EXPORT = {
     "Rare": gap("o_orderkey % 25 <> 0", "o_orderpriority"),
     "Unnamed: 6": "o_orderpriority",
     "file": "concat(o_orderstatus, '.csv')",
-    "row": "o_orderkey * 2",
+    "row": "o_orderkey * 2 + copy",
 }
 EXPORT_SPARK = {c: e.format(text="STRING") for c, e in EXPORT.items()}
-EXPORT_SELECT = select("orders", {c: e.format(text="VARCHAR") for c, e in EXPORT.items()})
+EXPORT_SQL_COLUMNS = {c: e.format(text="VARCHAR") for c, e in EXPORT.items()}
+COPIES = "CASE WHEN o_orderkey % 50 = 3 THEN {two} ELSE {one} END"
+COPIED = f"(SELECT *, unnest({COPIES.format(two='[0, 1]', one='[0]')}) AS copy FROM orders)"
 EXPORT_SQL = f"""
-exported AS ({EXPORT_SELECT} UNION ALL
-  {EXPORT_SELECT.replace("o_orderkey * 2", "o_orderkey * 2 + 1")} WHERE o_orderkey % 50 = 3),
+exported AS ({select(COPIED, EXPORT_SQL_COLUMNS)}),
 raw AS (SELECT "Order Link" AS url, " Total  Price!" AS price, "Clerk/Note" AS note, "Ship Code" AS code,
   "Order Date" AS day, "Rare" AS rare, "Unnamed: 6" AS blank, file, "row" FROM exported),
 kept AS (SELECT * FROM raw WHERE {" + ".join(
@@ -532,10 +536,9 @@ cleaned AS (
 
 
 def exports(spark: SparkSession, folder: str) -> DataFrame:
-    once = messy(spark, folder, "orders", EXPORT_SPARK)
-    again = table(spark, folder, "orders").filter("o_orderkey % 50 = 3").selectExpr(
-        *[f"{e} AS `{c}`" for c, e in EXPORT_SPARK.items()]).withColumn("row", F.col("row") + 1)
-    return once.union(again)
+    copies = F.expr(f"explode({COPIES.format(two='array(0, 1)', one='array(0)')})")
+    copied = table(spark, folder, "orders").withColumn("copy", copies)
+    return copied.selectExpr(*[f"{e} AS `{c}`" for c, e in EXPORT_SPARK.items()])
 
 
 def cleaned_exports(spark: SparkSession, folder: str, **options: bool) -> Batch:
@@ -699,6 +702,25 @@ def csv_ragged_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c2").alias("o_orderpriority"))
 
 
+@query("SELECT DISTINCT 'Valid' AS status, '6 columns' AS \"columns\" FROM orders")
+def file_table(spark: SparkSession, folder: str) -> DataFrame:
+    path = as_csv(spark, table(spark, folder, "orders"), "orders-csv")
+    shown = reports.file_table(clean_files(spark, path).status)
+    return shown.select("status", "columns").distinct()
+
+
+@query("""
+SELECT DISTINCT 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS "columns",
+  'bigint,string,bigint,double,string' AS types, 5 AS row_count_sample FROM customer""")
+def schema_sample(spark: SparkSession, folder: str) -> DataFrame:
+    path = as_csv(spark, table(spark, folder, "customer"), "customer-csv")
+    samples = schema.schema_samples(stage_csv(spark, path))
+    types = F.transform("columns", lambda c: F.element_at("dtypes", c))
+    return samples.filter("error IS NULL").select(
+        F.array_join("columns", ",").alias("columns"), F.array_join(types, ",").alias("types"),
+        "row_count_sample").distinct()
+
+
 @query("""
 SELECT 2 AS files, 1 AS common_columns, false AS compatible,
   'Files have very few common columns (1)' AS issue FROM (SELECT count(*) FROM orders)""")

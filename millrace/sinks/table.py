@@ -46,10 +46,10 @@ def validate_target(target: TableTarget | None) -> tuple[bool, str]:
     A project of one character passes whatever it is.
     """
     if target is None:
-        return False, "BigQuery configuration is required"
+        return False, "A load target is required"
     for part in ("project", "dataset", "table"):
         if not getattr(target, part):
-            return False, f"BigQuery {part} is required"
+            return False, f"Target {part} is required"
     if len(target.project) > 1 and not re.fullmatch(PROJECT + r"\n?", target.project):
         return False, f"Invalid project ID format: {target.project}"
     if not re.fullmatch(NAME + r"\n?", target.dataset):

@@ -6,6 +6,8 @@ import pandas as pd
 import pytest
 from conftest import rows
 
+from pyspark.sql import functions as F
+
 from millrace.operators import merge
 
 LEFT = [(1, "l1", "left"), (None, "ln", "left"), (3, "l3", "left")]
@@ -114,3 +116,20 @@ def test_stack_aligns_types(spark):
     assert rows(out) == [(1, "x", None), (None, "2", 1.5)]
     assert merge.aligned_type(["int", "double"]) == "double"
     assert merge.aligned_type(["timestamp_ntz", "string"]) == "string"
+
+
+def test_null_keys_can_be_kept_apart(spark):
+    frames = pair(spark)
+    out = merge.merge_frames(frames, "outer", null_keys="keep")
+    assert text_sorted(rows(out)) == text_sorted([
+        (1, "l1", "left", 10), (None, "ln", "left", None), (3, "l3", "left", None), (4, None, None, 40),
+        (None, None, None, 20), (None, None, None, 30)])
+    assert rows(merge.merge_frames(frames, "inner", null_keys="keep")) == [(1, "l1", "left", 10)]
+
+
+def test_an_exploding_merge_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(merge, "MAX_RESULT_ROWS", 10)
+    many = spark.range(8).select(F.lit(None).cast("bigint").alias("job_id"), F.col("id").alias("x"))
+    with pytest.raises(ValueError, match="would make 64 rows, 64 of them from null keys"):
+        merge.merge_frames([many, many])
+    assert merge.merge_frames([many, many], null_keys="keep").count() == 16
