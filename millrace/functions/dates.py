@@ -50,11 +50,15 @@ FREE_FORMATS = ["M/d/yy", "M/d/yyyy h:mm a", "M/d/yy h:mm a", "yyyy-M-d h:mm a",
 
 
 def date_format(first: str) -> Column:
-    """The format of a column, from the column of its first value; null when there is none."""
+    """The format of a column, from the column of its first value.
+
+    Null when no format fits, or when the value is no date in it (February 30).
+    """
     cases = " ".join(
         f"WHEN `{first}` RLIKE r'^{pattern}$' THEN \"{fmt}\"" for pattern, fmt in FORMATS
     )
-    return F.expr(f"CASE {cases} END")
+    fmt = F.expr(f"CASE {cases} END")
+    return F.when(F.try_to_timestamp(F.col(first), fmt).isNotNull(), fmt)
 
 
 def _parse(c: Column, fmt: str) -> Column:

@@ -95,6 +95,8 @@ def clean_table(
 
 
 def clean_staged(staged: Staged, options: CleanOptions = CleanOptions()) -> Batch:
+    if not staged.columns:
+        return _nothing(staged)
     decisions = written(decide(staged, options), "decisions")
     usage = column_usage(decisions)
     kept = staged.data.filter(~F.col("_summary")).drop("_summary")
@@ -129,6 +131,18 @@ def clean_staged(staged: Staged, options: CleanOptions = CleanOptions()) -> Batc
     )
 
 
+def _nothing(staged: Staged) -> Batch:
+    """No file could be read: no rows, only the status of each file."""
+    spark = staged.data.sparkSession
+    data = spark.createDataFrame([], f"{KEY} bigint, {SOURCE} string")
+    decisions = spark.createDataFrame(
+        [], "_source string, _header int, raw_rows bigint, rows bigint, fate string, cleaned_column string")
+    empty = spark.createDataFrame(
+        [], "source_file string, position int, original_column string, missing_percent_before double, "
+        "cleaned_column string, action string, details string")
+    return Batch(data, empty, status(data, decisions, staged), decisions, staged.extras.get("rejects"))
+
+
 def decide(staged: Staged, options: CleanOptions) -> DataFrame:
     """One row per (file, column): what it is, what becomes of it, how gaps are filled."""
     by = ["_source", "_header"]

@@ -18,7 +18,7 @@ from millrace.functions.values import NULL_TOKENS, nullify
 from millrace.operators import coerce, fills, merge, profile, reports, rows
 from millrace.plans.clean import Batch, CleanOptions, clean_files, clean_table
 from millrace.plans.master import Master, build_master
-from millrace.session import shared_dir
+from millrace.session import run_dir
 from millrace.sinks.table import TableTarget, load_table
 from millrace.sources import schema
 from millrace.sources.assess import assess_files, assess_lines
@@ -636,7 +636,7 @@ def master_concat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def as_csv(spark: SparkSession, frame: DataFrame, label: str) -> str:

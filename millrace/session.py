@@ -55,8 +55,15 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_folders[context.applicationId]
 
 
+def run_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/millrace-{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """`df` as a table in the shared folder: lineage ends here, losing an executor is harmless."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    """`df` as a table in the shared folder: lineage ends here, losing an executor is harmless.
+
+    All tables of an application are in one folder, to be removed when its results are saved.
+    """
+    path = f"{run_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

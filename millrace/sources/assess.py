@@ -18,6 +18,7 @@ READ_ERROR = "Pandas read error: "
 TOO_MANY_FIELDS = "Error tokenizing data. C error: Expected %d fields in line %d, saw %d\n"
 TRIAL_ROWS = 10
 FAILED = "Failed to process file"
+SKIPPED = "Skipped for lack of columns most files have"
 
 # A complete quoted field, doubled quotes included.
 QUOTED_FIELD = r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|$)'

@@ -14,7 +14,8 @@ from millrace.functions.keys import first_digits
 from millrace.functions.values import nullify
 from millrace.operators.rows import is_summary_row
 from millrace.session import prepare, written
-from millrace.sources.assess import FAILED, LATIN1, assess_files, decoded_path, field_count
+from millrace.sources.assess import FAILED, LATIN1, SKIPPED, assess_files, decoded_path, field_count
+from millrace.sources.schema import choose_groups
 from millrace.sources.staging import INFERRED, Header, Staged, first_seen
 
 _BLOCK = 1048576
@@ -90,18 +91,17 @@ def stage_csv(
     The result's `extras` hold `assessment` and `rejects` (_source, _row, record).
     Files are known by name, or by path where two share a name.
     """
-    from millrace.sources.schema import choose_groups
-
     prepare(spark)
     assessment = written(assess_files(spark, path, glob, recursive), "assessment")
     groups = file_groups(assessment)
     unique = assessment.groupBy("file_name").count().filter("count > 1").isEmpty()
     by = "file_name" if unique else "file_path"
     assessment = assessment.withColumn("_source", F.col(by))
-    groups = choose_groups(assessment, groups, schema_handling)
+    chosen = choose_groups(groups, schema_handling)
 
     parsed: list[tuple[FileGroup, Header]] = []
-    errors: dict[str, str] = {}
+    errors = {g.header_line: SKIPPED for g in groups if g not in chosen}
+    groups = chosen
     for group in groups:
         try:
             original = N.header_names(group.header_line)

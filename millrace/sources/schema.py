@@ -69,7 +69,7 @@ def check_schema_compatibility(schemas: dict[str, Sequence[str]], spark) -> tupl
     return row["compatible"], list(row["issues"])
 
 
-def choose_groups(assessment: DataFrame, groups: list, handling: str) -> list:
+def choose_groups(groups: list, handling: str) -> list:
     """Apply `schema_handling`: auto keeps all, strict raises, skip drops odd files.
 
     `skip` leaves out files that lack a column most files have. Only distinct header

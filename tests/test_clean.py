@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-import pytest
 from conftest import column, rows
 
 from millrace import CleanOptions, clean_files, clean_table
@@ -182,9 +181,18 @@ def test_failures_are_per_file(spark, folder):
     assert suffixed.data.columns == ["a", "a_2", "job_id", "source_file"]
 
 
-def test_no_readable_file_raises(spark, folder):
-    with pytest.raises(ValueError, match="no readable file"):
-        clean_files(spark, folder({"empty.csv": ""}))
+def test_no_readable_file(spark, folder):
+    batch = clean_files(spark, folder({"empty.csv": ""}))
+    assert rows(batch.status.select("file_name", "success", "error")) == [
+        ("empty.csv", False, "Failed to process file")]
+    assert batch.data.count() == 0 and batch.report.count() == 0
+
+
+def test_skipped_files_say_so(spark, folder):
+    path = folder({"a.csv": "a,b,c\n1,2,3\n", "b.csv": "a,b,c\n1,2,3\n", "odd.csv": "x,y\n1,2\n"})
+    batch = clean_files(spark, path, schema_handling="skip")
+    assert rows(batch.status.filter("not success").select("file_name", "error")) == [
+        ("odd.csv", "Skipped for lack of columns most files have")]
 
 
 def test_typed_table(spark):

@@ -100,6 +100,7 @@ def at(*parts):
     (["2024-01-10T10:00:00Z", "2024-01-10T10:00:00+02:00"], [at(2024, 1, 10, 10), at(2024, 1, 10, 8)]),
     (["Jan 10, 2024", "JAN 5, 2024", "January 10, 2024"], [at(2024, 1, 10), at(2024, 1, 5), None]),
     (["10-Jan-2024", "1-feb-2024"], [at(2024, 1, 10), at(2024, 2, 1)]),
+    (["2024-02-30", "2024-01-10", "01/02/2024"], [None, at(2024, 1, 10), at(2024, 1, 2)]),
     (["bob", "2024-01-10", "01/02/2024", "Jan 5 2024"],
      [None, at(2024, 1, 10), at(2024, 1, 2), at(2024, 1, 5)]),
 ])
