@@ -150,9 +150,7 @@ def decide(staged: Staged, options: CleanOptions) -> DataFrame:
         raise ValueError("no readable file with a usable header")
     # Long form: the generated code stays small however many columns there are, and the
     # counts per (file, column, class) combine before the shuffle.
-    cells = staged.data.select(*by, "_summary", "_row", F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), *_value_and_class(c, staged)) for c in staged.columns
-    ])))
+    cells = staged.data.select(*by, "_summary", "_row", F.inline(_own_cells(staged)))
     level = F.coalesce(F.col("known"), V.cell_class(F.col("value")))
     counts = cells.groupBy(*by, "_summary", "column", level.alias("level")).agg(
         F.count(F.lit(1)).alias("n"), F.min("_row").alias("first"))
@@ -184,6 +182,22 @@ def decide(staged: Staged, options: CleanOptions) -> DataFrame:
     return _judge(cells.fillna(0, list(counters)), options)
 
 
+def _own_cells(staged: Staged) -> Column:
+    """The cells of a row's own header, as an array; columns of other headers are not in it."""
+
+    def cells(names: Sequence[str]) -> Column:
+        return F.array(*[
+            F.struct(F.lit(c).alias("column"), *_value_and_class(c, staged))
+            for c in (staged.columns[staged.names.index(n)] for n in names)
+        ])
+
+    by_header = [cells(h.cleaned) for h in staged.headers]
+    chosen = by_header[0]
+    for number, own in enumerate(by_header[1:], 1):
+        chosen = F.when(F.col("_header") == number, own).otherwise(chosen)
+    return chosen
+
+
 def _value_and_class(c: str, staged: Staged) -> tuple[Column, Column]:
     """A cell as text still to be classed, or, in a typed column, its class."""
     cell, reading = F.col(c), staged.readings[c]

@@ -33,17 +33,20 @@ class FileGroup:
 
 
 def file_groups(assessment: DataFrame) -> list[FileGroup]:
-    """Group readable files; like any file scan, this keeps the file list on the driver."""
-    rows = (
-        assessment.filter("header IS NOT NULL")
-        .select("header", "working_encoding", "multi_line", "file_path", "file_name")
-        .orderBy("file_name", "file_path")
-        .collect()
-    )
-    grouped: dict[tuple, list[str]] = {}
-    for r in rows:
-        grouped.setdefault((r[0], r[1], r[2]), []).append(r[3])
-    return [FileGroup(*key, tuple(paths)) for key, paths in grouped.items()]
+    """Group readable files. Headers are collected once each, paths as in any file scan."""
+    readable = assessment.filter("header IS NOT NULL")
+    kind = ["header", "working_encoding", "multi_line"]
+    found = readable.groupBy(*kind).agg(F.min(F.struct("file_name", "file_path")).alias("first"))
+    kinds = [(i, *r[:3]) for i, r in enumerate(found.orderBy("first").collect())]
+    if not kinds:
+        return []
+    numbered = assessment.sparkSession.createDataFrame(
+        kinds, "number int, header string, working_encoding string, multi_line boolean")
+    paths: list[list[str]] = [[] for _ in kinds]
+    members = readable.join(numbered, kind).select("number", "file_path")
+    for number, path in members.collect():
+        paths[number].append(path)
+    return [FileGroup(*k[1:], tuple(sorted(p))) for k, p in zip(kinds, paths)]
 
 
 def read_group(spark: SparkSession, group: FileGroup, columns: Sequence[str]) -> DataFrame:
