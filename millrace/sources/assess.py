@@ -30,7 +30,8 @@ def unquoted(line: Column) -> Column:
 
 
 def comma_count(line: Column) -> Column:
-    return F.length(line) - F.length(F.replace(line, F.lit(",")))
+    # In bytes: characters cannot be told in a line that is not valid UTF-8.
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(",")))
 
 
 def field_count(line: Column) -> Column:

@@ -6,20 +6,24 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import names as N
 from millrace.functions.keys import first_digits
 from millrace.functions.values import nullify
+from millrace.operators.attach import attach
 from millrace.operators.rows import is_summary_row
 from millrace.session import prepare, written
 from millrace.sources.assess import FAILED, LATIN1, SKIPPED, assess_files, decoded_path, field_count
+from millrace.sources.records import quoted_records, row_place
 from millrace.sources.schema import choose_groups
 from millrace.sources.staging import INFERRED, Header, Staged, first_seen
 
-_BLOCK = 1048576
-_COUNTER = (1 << 33) - 1
+
+# Files with line breaks in quotes are one task each up to this size, and read split by
+# split above it.
+WHOLE_FILE_MB = 256.0
 
 
 @dataclass(frozen=True)
@@ -29,19 +33,21 @@ class FileGroup:
     header_line: str
     encoding: str
     multi_line: bool
+    large: bool
     paths: tuple[str, ...]
 
 
 def file_groups(assessment: DataFrame) -> list[FileGroup]:
     """Group readable files. Headers are collected once each, paths as in any file scan."""
     readable = assessment.filter("header IS NOT NULL")
-    kind = ["header", "working_encoding", "multi_line"]
+    readable = readable.withColumn("large", F.col("multi_line") & (F.col("size_mb") > WHOLE_FILE_MB))
+    kind = ["header", "working_encoding", "multi_line", "large"]
     found = readable.groupBy(*kind).agg(F.min(F.struct("file_name", "file_path")).alias("first"))
-    kinds = [(i, *r[:3]) for i, r in enumerate(found.orderBy("first").collect())]
+    kinds = [(i, *r[:4]) for i, r in enumerate(found.orderBy("first").collect())]
     if not kinds:
         return []
     numbered = assessment.sparkSession.createDataFrame(
-        kinds, "number int, header string, working_encoding string, multi_line boolean")
+        kinds, "number int, header string, working_encoding string, multi_line boolean, large boolean")
     paths: list[list[str]] = [[] for _ in kinds]
     members = readable.join(numbered, kind).select("number", "file_path")
     for number, path in members.collect():
@@ -54,32 +60,58 @@ def read_group(spark: SparkSession, group: FileGroup, columns: Sequence[str]) ->
 
     Rows with too few fields are kept and padded with nulls.
     """
-    schema = ", ".join([*[f"{c} string" for c in columns], "_bad string"])
+    if not group.large:
+        return _scan(spark, group, group.paths, columns)
+    records, odd = quoted_records(spark, group.paths, group.encoding == LATIN1)
+    rows = _parsed(records, columns)
+    # A quote outside a quoted field: only a reader that sees the whole file can tell.
+    return rows.unionByName(_scan(spark, group, odd, columns)) if odd else rows
+
+
+def _options(group_encoding: str | None = None) -> dict[str, str]:
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    if group_encoding is not None:
+        options["encoding"] = "ISO-8859-1" if group_encoding == LATIN1 else "UTF-8"
+    return options
+
+
+def _schema(columns: Sequence[str]) -> str:
+    return ", ".join([*[f"{c} string" for c in columns], "_bad string"])
+
+
+def _cells(columns: Sequence[str]) -> list[Column]:
+    too_long = F.when(field_count(F.col("_bad")) > len(columns), F.col("_bad"))
+    return [*[nullify(F.col(c)).alias(c) for c in columns], too_long.alias("_bad")]
+
+
+def _scan(
+    spark: SparkSession, group: FileGroup, paths: Sequence[str], columns: Sequence[str]
+) -> DataFrame:
     rows = (
-        spark.read.schema(schema)
+        spark.read.schema(_schema(columns))
+        .options(**_options(group.encoding))
         .option("header", "true")
         .option("multiLine", str(group.multi_line).lower())
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "ISO-8859-1" if group.encoding == LATIN1 else "UTF-8")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_bad")
         .option("columnPruning", "false")
-        .csv(list(group.paths))
+        .csv(list(paths))
     )
-    too_long = F.when(field_count(F.col("_bad")) > len(columns), F.col("_bad"))
-    # Order within a file: block first, then the reader's row counter within the block.
-    place = F.shiftleft(F.floor(F.col("_metadata.file_block_start") / _BLOCK).cast("bigint"), 33)
-    path = decoded_path(F.col("_metadata.file_path"))
     return rows.select(
-        path.alias("_path"),
-        F.element_at(F.split(path, "/"), -1).alias("_name"),
-        (place + F.monotonically_increasing_id().bitwiseAND(F.lit(_COUNTER))).alias("_row"),
-        *[nullify(F.col(c)).alias(c) for c in columns],
-        too_long.alias("_bad"),
+        decoded_path(F.col("_metadata.file_path")).alias("_path"),
+        row_place().alias("_row"),
+        *_cells(columns),
     )
 
 
+def _parsed(records: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of records (_path, _row, record), the first of each file being its header."""
+    full = records.filter(F.trim("record") != "")
+    first = written(full.groupBy("_path").agg(F.min("_row").alias("_first")), "first")
+    body = attach(full, first, ["_path"]).filter(F.col("_row") > F.col("_first"))
+    cells = F.from_csv("record", _schema(columns), _options())
+    return body.select("_path", "_row", cells.alias("_cells")).select(
+        "_path", "_row", "_cells.*").select("_path", "_row", *_cells(columns))
+
+
 def stage_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -157,7 +189,7 @@ def _stage_group(
     else:
         key = first_digits(F.col(own[header.cleaned.index(header.url)]))
     return rows.select(
-        F.col("_name" if by == "file_name" else "_path").alias("_source"),
+        (F.element_at(F.split("_path", "/"), -1) if by == "file_name" else F.col("_path")).alias("_source"),
         F.lit(number).alias("_header"),
         "_row",
         "_bad",

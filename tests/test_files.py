@@ -3,7 +3,7 @@
 import pytest
 from conftest import column, rows
 
-from millrace.sources import schema
+from millrace.sources import csv_files, schema
 from millrace.sources.assess import assess_files
 from millrace.sources.csv_files import file_groups, stage_csv
 
@@ -50,6 +50,38 @@ def test_quotes_and_line_breaks(spark, folder):
     assert cells(staged, "a", "b") == [("x\ny", "1"), ('say "hi"', None), (None, "3"), ("p,q", "4")]
 
 
+@pytest.mark.parametrize("encoding", ["utf-8", "latin-1"])
+def test_large_quoted_files_are_read_by_split(spark, folder, monkeypatch, encoding):
+    texts = ["a", "b\nc", 'say "x"\nand "y"', "plain", "with, comma", "\n\n\n", "é\r\nè", ""]
+    data = [[str(i), texts[i * 7 % len(texts)], str(i * 2)] for i in range(3000)]
+
+    def line(row):
+        return ",".join('"' + v.replace('"', '""') + '"' if set(v) & set('",\n') else v for v in row)
+
+    files = {
+        "big.csv": "\n".join(["id,t,n", *map(line, data), '9,"x\ny",1,2', '8,"z\nz"']) + "\n",
+        "odd.csv": 'id,t,n\n1,5" pipe,2\n2,"x\ny",3\n',
+    }
+    path = folder({n: t.encode(encoding) for n, t in files.items()})
+    whole = stage_csv(spark, path)
+    monkeypatch.setattr(csv_files, "WHOLE_FILE_MB", 0.0)
+    before = {k: spark.conf.get(k) for k in (
+        "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k, v in zip(before, ("8192b", "1b")):
+        spark.conf.set(k, v)
+    try:
+        split = stage_csv(spark, path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    key = ["_source", "c0", "c1", "c2"]
+    got = rows(split.data.select(*key).orderBy("_source", "_row"))
+    assert got[:3000] == [("big.csv", i, t or None, n) for i, t, n in data]
+    assert got == rows(whole.data.select(*key).orderBy("_source", "_row"))
+    assert got[3000:] == [("big.csv", "8", "z\nz", None), ("odd.csv", "1", '5" pipe', "2"), ("odd.csv", "2", "x\ny", "3")]
+    assert column(split.extras["rejects"], "record") == ['9,"x\ny",1,2']
+
+
 def test_latin1_and_header_with_accents(spark, folder):
     staged = stage_csv(spark, folder({"l.csv": b"a,caf\xe9\n1,cr\xe8me\n"}))
     assert staged.headers[0].original == ("a", "café")
