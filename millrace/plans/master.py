@@ -38,33 +38,28 @@ def build_master(
     """
     if merge not in ("outer", "inner", "concat"):
         raise ValueError(f"unknown merge: {merge!r}")
-    files = batch.decisions.filter("rows > 0").groupBy("_source", "_header").agg(F.lit(1).alias("_one"))
-    n = files.count()
+    present = batch.decisions.filter("rows > 0")
+    n, first = present.agg(F.count_distinct("_source"), F.min("_source")).first()
     if n == 0:
         return Master(None, None, NOTHING)
     if n == 1 or merge == "concat":
         return Master(batch.data, master_report(batch.data), SINGLE if n == 1 else STACKED % n)
     try:
-        data = merge_batch(batch, merge, skew, null_keys)
+        data = merge_batch(batch, n, first, merge, skew, null_keys)
     except Exception as error:  # reported, not raised: the batch itself is fine
         return Master(None, None, FAILED % error)
     return Master(data, master_report(data), (OUTER if merge == "outer" else INNER) % n)
 
 
 def merge_batch(
-    batch: Batch, how: str, skew: Skew = Skew(), null_keys: str = "match"
+    batch: Batch, n: int, first: str, how: str, skew: Skew = Skew(), null_keys: str = "match"
 ) -> DataFrame:
-    """The fold over all files, from the table of cleaned rows.
+    """The fold over all `n` files with rows, from the table of cleaned rows.
 
     Only the owner of each column is collected, one row per column.
     """
-    columns = batch.decisions.filter("rows > 0 AND fate = 'keep'").select(
-        "_source", F.col("cleaned_column").alias("column"))
-    files = batch.decisions.filter("rows > 0").select("_source").distinct()
-    owners = {r["column"]: r["file"] for r in columns.groupBy("column").agg(
-        F.min("_source").alias("file")).collect()}
-    first = files.agg(F.min("_source")).first()[0]
-    owners[SOURCE] = first
+    columns = batch.decisions.filter("rows > 0 AND fate = 'keep'").groupBy("cleaned_column")
+    owners = dict(columns.agg(F.min("_source")).collect()) | {SOURCE: first}
     owned: dict[str, list[str]] = {first: []}
     for name in batch.data.columns:
         if name != KEY and name in owners and not name.endswith("_dup"):
@@ -76,7 +71,7 @@ def merge_batch(
     ]
     mine = [c for c in batch.data.columns if c == KEY or c in owned[first]]
     frames[0] = frames[0].select(*[F.col(f"`{c}`") for c in mine])
-    rest = files.filter(~F.col("_source").isin(order)).count()
+    rest = n - len(order)
     counted = None
     if rest:
         counted = batch.data.filter(~source.isin(order)).select(KEY, source.alias("_file"))

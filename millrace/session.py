@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -36,6 +37,30 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(limit, "8000")
 
 
+# What one shuffle partition should hold at most, uncompressed.
+PARTITION_MB = 128
+MAX_PARTITIONS = 100_000
+
+
+def size_shuffles(spark: SparkSession, megabytes: float) -> int:
+    """Let shuffles start with enough partitions for that much data, unless the user set it.
+
+    Adaptive execution merges them again where a shuffle turns out small, but never adds
+    any, so the start must fit the largest one.
+    """
+    start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = min(MAX_PARTITIONS, math.ceil(megabytes / PARTITION_MB))
+    now = spark.conf.get(start, None)
+    if now is not None and now != _own_sizes.get(spark.sparkContext.applicationId):
+        return int(now)
+    if needed > max(usual, int(now or 0)):
+        spark.conf.set(start, str(needed))
+        _own_sizes[spark.sparkContext.applicationId] = str(needed)
+    return max(usual, needed, int(now or 0))
+
+
+_own_sizes: dict[str, str] = {}
 _own_folders: dict[str, str] = {}
 
 
@@ -59,11 +84,22 @@ def run_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/millrace-{spark.sparkContext.applicationId}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """`df` as a table in the shared folder: lineage ends here, losing an executor is harmless.
+def write_table(df: DataFrame, label: str) -> str:
+    """Write `df` to the shared folder and return its path.
 
     All tables of an application are in one folder, to be removed when its results are saved.
     """
     path = f"{run_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """`df` as a table in the shared folder: lineage ends here, losing an executor is harmless."""
+    return df.sparkSession.read.schema(df.schema).parquet(write_table(df, label))
+
+
+def folder_mb(spark: SparkSession, path: str) -> float:
+    """Size of a folder's files, from their listing."""
+    files = spark.read.format("binaryFile").load(path).select("_metadata.file_size")
+    return (files.agg({"file_size": "sum"}).first()[0] or 0) / 1048576

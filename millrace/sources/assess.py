@@ -39,9 +39,20 @@ def field_count(line: Column) -> Column:
 
 
 def decoded_path(path: Column) -> Column:
-    """Spark reports paths percent-encoded; this gives the path a reader accepts."""
-    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(plain, "^file:/+", "file:/")
+    """Spark reports paths percent-encoded; this gives the path a reader accepts.
+
+    The same for every row of a file, so all but the test is left out where it can be.
+    """
+    plain = F.when(
+        path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    ).otherwise(path)
+    return F.when(
+        plain.startswith("file:///"), F.concat(F.lit("file:"), F.substring(plain, 8, 1 << 30))
+    ).otherwise(plain)
+
+
+def path_name(path: Column) -> Column:
+    return F.substring_index(path, "/", -1)
 
 
 def list_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv", recursive: bool = True) -> DataFrame:
@@ -58,7 +69,7 @@ def list_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv",
     listed = listed.select(decoded_path(F.col("path")).alias("file_path"))
     return listed.join(sizes, "file_path", "left").select(
         "file_path",
-        F.element_at(F.split("file_path", "/"), -1).alias("file_name"),
+        path_name(F.col("file_path")).alias("file_name"),
         F.coalesce("size_mb", F.lit(0.0)).alias("size_mb"),
     )
 
@@ -70,7 +81,8 @@ def assess_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv"
     issues_found, header (decoded header line), multi_line (some line ends inside quotes),
     lines, max_commas.
     """
-    found = written(assess_lines(_lines(_reader(spark, glob, recursive).text(path))), "found")
+    found = assess_lines(_lines(_reader(spark, glob, recursive).text(path)))
+    found = written(found.withColumn("file_path", decoded_path(F.col("file_path"))), "found")
     files = list_files(spark, path, glob, recursive)
     table = files.join(found, "file_path", "left")
     # Only files with some line longer than the header are looked at again.
@@ -78,6 +90,7 @@ def assess_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv"
     suspects = [r[0] for r in found.filter(~F.col("multi_line") & too_long).select("file_path").collect()]
     if suspects:
         trial = trial_issues(_lines(spark.read.text(suspects)))
+        trial = trial.withColumn("file_path", decoded_path(F.col("file_path")))
         table = table.join(trial, "file_path", "left")
     else:
         table = table.withColumn("_trial", F.lit(None).cast("string"))
@@ -140,7 +153,7 @@ def assess_lines(lines: DataFrame) -> DataFrame:
 
 def _lines(text: DataFrame) -> DataFrame:
     return text.select(
-        decoded_path(F.col("_metadata.file_path")).alias("file_path"),
+        F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_id"),
         "value",

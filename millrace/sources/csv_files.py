@@ -14,8 +14,8 @@ from millrace.functions.keys import first_digits
 from millrace.functions.values import nullify
 from millrace.operators.attach import attach
 from millrace.operators.rows import is_summary_row
-from millrace.session import prepare, written
-from millrace.sources.assess import FAILED, LATIN1, SKIPPED, assess_files, decoded_path, field_count
+from millrace.session import prepare, size_shuffles, written
+from millrace.sources.assess import FAILED, LATIN1, SKIPPED, assess_files, decoded_path, field_count, path_name
 from millrace.sources.records import quoted_records, row_place
 from millrace.sources.schema import choose_groups
 from millrace.sources.staging import INFERRED, Header, Staged, first_seen
@@ -128,6 +128,7 @@ def stage_csv(
     """
     prepare(spark)
     assessment = written(assess_files(spark, path, glob, recursive), "assessment")
+    size_shuffles(spark, assessment.agg(F.sum("size_mb")).first()[0] or 0)
     groups = file_groups(assessment)
     unique = assessment.groupBy("file_name").count().filter("count > 1").isEmpty()
     by = "file_name" if unique else "file_path"
@@ -189,7 +190,7 @@ def _stage_group(
     else:
         key = first_digits(F.col(own[header.cleaned.index(header.url)]))
     return rows.select(
-        (F.element_at(F.split("_path", "/"), -1) if by == "file_name" else F.col("_path")).alias("_source"),
+        (path_name(F.col("_path")) if by == "file_name" else F.col("_path")).alias("_source"),
         F.lit(number).alias("_header"),
         "_row",
         "_bad",

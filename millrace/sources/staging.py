@@ -18,7 +18,7 @@ from millrace.functions.keys import with_key
 from millrace.functions.values import nullify
 from millrace.operators.attach import attach
 from millrace.operators.rows import is_summary_row
-from millrace.session import prepare, written
+from millrace.session import folder_mb, prepare, size_shuffles, write_table
 
 # How the type of a staged column is found.
 INFERRED = "inferred"  # text, typed by looking at every value
@@ -141,5 +141,9 @@ def stage_frame(
     staged = with_key(staged, url_column).withColumnRenamed(N.KEY, "_key")
     staged = staged.withColumn("_summary", is_summary_row(columns))
     if write or not order:
-        staged = written(staged, "staged")
+        spark = df.sparkSession
+        path = write_table(staged, "staged")
+        staged = spark.read.schema(staged.schema).parquet(path)
+        # Columnar and compressed, so worth about four times its size in a shuffle.
+        size_shuffles(spark, 4 * folder_mb(spark, path))
     return Staged(staged, [header], list(header.cleaned), readings, types)

@@ -6,7 +6,9 @@ from conftest import rows
 
 from millrace import build_master, clean_files
 from millrace.operators import fills, merge, profile
+from millrace import session
 from millrace.queries import QUERIES
+from millrace.sources import assess
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -67,3 +69,19 @@ def test_jobs_do_not_grow_with_files_or_columns(spark, folder):
     # Twenty-four files, one of them owning all columns: two joins' worth of plan.
     assert plan(master.data).count("SortMergeJoin") <= 1
     assert len(rows(master.data.select("job_id").distinct())) == 6
+
+
+def test_shuffles_start_large_enough(spark):
+    conf = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert session.size_shuffles(spark, 10) == 8
+    assert session.size_shuffles(spark, 128 * 500) == 500
+    assert spark.conf.get(conf) == "500"
+    assert session.size_shuffles(spark, 10) == 500
+    spark.conf.set(conf, "64")  # the user's own choice stays
+    assert session.size_shuffles(spark, 128 * 5000) == 64
+    spark.conf.unset(conf)
+
+
+def test_only_a_few_lines_per_file_are_shuffled_for_the_trial(spark, folder):
+    text = spark.read.text(folder({"a.csv": "a,b\n" + "1,2,3\n" * 50}))
+    assert "WindowGroupLimit" in plan(assess.trial_issues(assess._lines(text)))
