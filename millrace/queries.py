@@ -455,14 +455,14 @@ ALERT_SQL = " UNION ALL ".join(
 
 def gappy(spark: SparkSession, folder: str) -> DataFrame:
     """An outer merge in which most keys are on one side only."""
-    customer = CUSTOMER_FILE | {"job_id": gap("c_custkey = 1", "c_custkey + 1000")}
+    customer = CUSTOMER_FILE | {"job_id": gap("c_custkey = 1", "c_custkey * 2")}
     return merge.merge_frames([messy(spark, folder, "customer", customer), *files(spark, folder, "orders")])
 
 
 @query(f"""
-WITH m AS (SELECT CASE WHEN a.source_file IS NULL THEN b.job_id ELSE a.job_id + 1000 END AS job_id,
+WITH m AS (SELECT CASE WHEN a.source_file IS NULL THEN b.job_id ELSE a.job_id * 2 END AS job_id,
   a.name, a.balance, a.source_file, b.order_id
-  FROM {C} a FULL JOIN {O} b ON a.job_id + 1000 IS NOT DISTINCT FROM b.job_id)
+  FROM {C} a FULL JOIN {O} b ON a.job_id * 2 IS NOT DISTINCT FROM b.job_id)
 SELECT "column", nulls FROM ({ALERT_SQL}) WHERE nulls * 10 > n""")
 def missing_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return profile.missing_alerts(gappy(spark, folder))
