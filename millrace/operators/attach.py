@@ -31,13 +31,17 @@ def attach(
     by: Sequence[str],
     how: str = "inner",
     broadcast_bytes: int | None = None,
+    size: int | None = None,
 ) -> DataFrame:
-    """Join `table` (a written table, one row per `by`) to `rows`; null groups match."""
+    """Join `table` (one row per `by`) to `rows`; null groups match.
+
+    The table's size is measured, unless the caller has counted its bytes.
+    """
     limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
     keys = [f"_attach_{b}" for b in by]
     values = [c for c in table.columns if c not in by]
     keyed = table.select(*[F.col(b).alias(k) for b, k in zip(by, keys)], *values)
-    if text_bytes(table) <= limit:
+    if (text_bytes(table) if size is None else size) <= limit:
         joined = rows.join(F.broadcast(keyed), same(rows, keyed, by, keys), how)
         return joined.drop(*keys)
     salted = rows.withColumn("_salt", F.spark_partition_id() % SALTS)

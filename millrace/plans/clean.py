@@ -33,7 +33,7 @@ from millrace.operators.profile import is_sparse
 from millrace.session import written
 from millrace.sources.csv_files import stage_csv
 from millrace.sources.staging import (
-    INFERRED, KEY_SOURCE, OTHER, OVERWRITTEN, TEXT, Staged, stage_frame,
+    INFERRED, KEY_SOURCE, LAYOUT, OTHER, OVERWRITTEN, TEXT, Staged, stage_frame,
 )
 
 # Fixed values of a cleaning report.
@@ -101,28 +101,13 @@ def clean_staged(staged: Staged, options: CleanOptions = CleanOptions()) -> Batc
     usage = column_usage(decisions)
     kept = staged.data.filter(~F.col("_summary")).drop("_summary")
     fills = fill_values(kept, staged, usage)
-    if fills is not None:
-        # Statistics exist for every file of a column; a file takes the one it needs.
-        filled = decisions.join(fills, ["_source", "stat"], "left").withColumns({
-            "number": F.when(F.col("fill") == "median", F.col("number")),
-            "text": F.when(F.col("fill") == "mode", F.col("text")),
-        })
-        decisions = written(filled, "filled")
-    else:
-        decisions = decisions.select(
-            "*", F.lit(None).cast("double").alias("number"), F.lit(None).cast("string").alias("text"))
-    formats: dict[str, list[str | None]] = {}
-    if any(u.dates for u in usage.values()):
-        decisions = written(with_date_formats(kept, decisions, staged, usage), "dated")
-        found = decisions.filter("change = 'datetime'").groupBy("column").agg(
-            F.collect_set("format").alias("known"), F.bool_or(F.col("format").isNull()).alias("free")
-        )
-        # At most as many as there are known formats, per column.
-        formats = {r["column"]: [*sorted(r["known"]), *([None] if r["free"] else [])]
-                   for r in found.collect()}
+    firsts = first_values(kept, decisions, staged, usage)
+    if fills is not None or firsts is not None:
+        decisions = written(completed(decisions, fills, firsts), "completed")
     else:
-        decisions = decisions.withColumn("format", F.lit(None).cast("string"))
-    data = apply_decisions(kept, decisions, staged, usage, formats)
+        decisions = completed(decisions, None, None)
+    facts = column_facts(decisions) if usage else {}
+    data = apply_decisions(kept, decisions, staged, usage, facts)
     if options.write_result:
         data = written(data, "cleaned")
     return Batch(
@@ -174,7 +159,8 @@ def decide(staged: Staged, options: CleanOptions) -> DataFrame:
     }
     profile = counts.groupBy(*by, "column").agg(*[m.alias(name) for name, m in counters.items()])
     if staged.files is None:  # one header
-        layout = staged.layout().select("_header", F.inline("cells"))
+        layout = staged.data.sparkSession.createDataFrame(staged.layout(), LAYOUT)
+        layout = layout.select("_header", F.inline("cells"))
         cells = profile.join(F.broadcast(layout), ["_header", "column"])
     else:
         cells = staged.cells(staged.files).join(
@@ -257,8 +243,11 @@ def _judge(cells: DataFrame, options: CleanOptions) -> DataFrame:
         .when(c("change") == "datetime", "timestamp_ntz")
         .otherwise("string")
     )
-    # Modes of booleans are taken over values, not spellings.
-    stat = F.when(c("kind") == "boolean", F.concat("column", F.lit("?"))).otherwise(c("column"))
+    # The fill value to look up; modes of booleans are taken over values, not spellings.
+    stat = F.when(
+        c("fill") == "mode",
+        F.when(c("kind") == "boolean", F.concat("column", F.lit("?"))).otherwise(c("column")),
+    ).when(c("fill") == "median", F.concat("column", F.lit("~")))
     return judged.withColumns({"out": F.when(stays, out), "stat": stat})
 
 
@@ -274,6 +263,7 @@ class Usage:
     always_kept: bool
     numeric_url: bool
     max_rows: int
+    source_bytes: int
 
 
 def column_usage(decisions: DataFrame) -> dict[str, Usage]:
@@ -288,11 +278,12 @@ def column_usage(decisions: DataFrame) -> dict[str, Usage]:
         F.bool_and(c("fate") == "keep").alias("always_kept"),
         F.bool_or(c("is_url") & (c("kind") == "double")).alias("numeric_url"),
         F.max("rows").alias("max_rows"),
+        F.sum(F.octet_length("_source") + 16).alias("source_bytes"),
     ).collect()
     return {
         r["column"]: Usage(sorted(r["outs"]), bool(r["median"]), bool(r["mode"]),
                            bool(r["boolean_mode"]), bool(r["dates"]), r["always_kept"],
-                           r["numeric_url"], r["max_rows"])
+                           r["numeric_url"], r["max_rows"], r["source_bytes"])
         for r in rows
     }
 
@@ -314,7 +305,7 @@ def fill_values(kept: DataFrame, staged: Staged, usage: dict[str, Usage]) -> Dat
     if medians:
         most = max(usage[c].max_rows for c in medians)
         parts.append(exact_medians(kept, medians, ["_source"], most).select(
-            "_source", F.col("column").alias("stat"), F.col("median").alias("number"),
+            "_source", F.concat("column", F.lit("~")).alias("stat"), F.col("median").alias("number"),
             F.lit(None).cast("string").alias("text")))
     if modes:
         parts.append(exact_modes(kept, modes, ["_source"]).select(
@@ -322,32 +313,70 @@ def fill_values(kept: DataFrame, staged: Staged, usage: dict[str, Usage]) -> Dat
             F.col("mode").alias("text")))
     if not parts:
         return None
-    both = reduce(DataFrame.unionByName, parts)
-    return both.groupBy("_source", "stat").agg(
-        F.max("number").alias("number"), F.max("text").alias("text"))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def with_date_formats(
+def first_values(
     kept: DataFrame, decisions: DataFrame, staged: Staged, usage: dict[str, Usage]
-) -> DataFrame:
-    """Add `format`: that of the column's first value once filled, null if it has none."""
+) -> DataFrame | None:
+    """Rows (_source, column, first): date columns' cells in the first row of each file."""
     columns = [c for c, u in usage.items() if u.dates and staged.types[c] == "string"]
-    firsts = decisions.groupBy("_source").agg(F.min("first_row").alias("_row"))
-    firsts = written(firsts.filter("_row IS NOT NULL").withColumn("_hit", F.lit(True)), "firsts")
-    heads = attach(kept.select("_source", "_row", *columns), firsts, ["_source", "_row"])
-    cells = heads.select(F.col("_source"), F.inline(F.array(*[
+    if not columns:
+        return None
+    firsts = decisions.filter("rows > 0").groupBy("_source").agg(F.min("first_row").alias("_row"))
+    size = sum(u.source_bytes for u in usage.values())
+    heads = attach(
+        kept.select("_source", "_row", *columns), firsts.withColumn("_hit", F.lit(True)),
+        ["_source", "_row"], size=size)
+    return heads.select("_source", F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("first")) for c in columns])))
-    joined = decisions.join(cells, ["_source", "column"], "left").withColumn(
+
+
+def completed(
+    decisions: DataFrame, fills: DataFrame | None, firsts: DataFrame | None
+) -> DataFrame:
+    """Add `number` and `text`, the fill value, and `format`, the date format once filled."""
+    nothing = F.lit(None).cast("string")
+    if fills is not None:
+        decisions = decisions.join(fills, ["_source", "stat"], "left")
+    else:
+        decisions = decisions.withColumns({"number": F.lit(None).cast("double"), "text": nothing})
+    if firsts is None:
+        return decisions.withColumn("format", nothing)
+    joined = decisions.join(firsts, ["_source", "column"], "left").withColumn(
         "first", F.when(F.col("change") == "datetime", F.coalesce("first", "text")))
     return joined.withColumn("format", date_format("first")).drop("first")
 
 
+@dataclass(frozen=True)
+class Facts:
+    """What a column's decisions hold: the formats in use, and the bytes to attach them."""
+
+    formats: list[str | None]
+    plan_bytes: int
+
+
+def column_facts(decisions: DataFrame) -> dict[str, Facts]:
+    """One collected row per column; formats are at most as many as there are known ones."""
+    dated = F.col("change") == "datetime"
+    entry = F.coalesce(F.octet_length("text"), F.lit(0)) + F.octet_length("_source") + 64
+    rows = decisions.filter("rows > 0").groupBy("column").agg(
+        F.collect_set(F.when(dated, F.col("format"))).alias("known"),
+        F.bool_or(dated & F.col("format").isNull()).alias("free"),
+        F.sum(entry.cast("bigint")).alias("plan_bytes"),
+    ).collect()
+    return {
+        r["column"]: Facts([*sorted(r["known"]), *([None] if r["free"] else [])], r["plan_bytes"])
+        for r in rows
+    }
+
+
 def apply_decisions(
     kept: DataFrame,
     decisions: DataFrame,
     staged: Staged,
     usage: dict[str, Usage],
-    formats: dict[str, list[str | None]],
+    facts: dict[str, Facts],
 ) -> DataFrame:
     """Fill, coerce, drop and name the columns, drop duplicate rows, tag the source."""
     live = [c for c in staged.columns if c in usage and usage[c].outs]
@@ -366,9 +395,10 @@ def apply_decisions(
             F.map_from_entries(F.collect_list(F.struct(F.col("column"), entry))).alias("_all"))
         plans = plans.select("_source", F.struct(
             *[F.col("_all")[c].alias(c) for c in planned]).alias("_plan"))
-        rows = attach(kept, written(plans, "plans"), ["_source"], how="left")
+        size = sum(facts[c].plan_bytes for c in planned)
+        rows = attach(kept, plans, ["_source"], how="left", size=size)
     cells = {
-        staged.names[staged.columns.index(c)]: _cell(c, staged, usage[c], c in planned, formats.get(c))
+        staged.names[staged.columns.index(c)]: _cell(c, staged, usage[c], c in planned, facts[c].formats)
         for c in live
     }
     names = [n for n in staged.names if n in cells or n == KEY]
@@ -392,7 +422,8 @@ def _with_numeric_urls(
         "_source", F.col("column").alias("_url"))
     for c in columns:
         key = F.when(F.col("_url") == c, first_digits_of_number(V.number(F.col(c)))).otherwise(key)
-    return attach(rows, written(found, "urls"), ["_source"], how="left"), key
+    size = sum(usage[c].source_bytes for c in columns)
+    return attach(rows, found, ["_source"], how="left", size=size), key
 
 
 def _cell(c: str, staged: Staged, use: Usage, planned: bool, formats: Sequence[str | None] | None) -> Column:

@@ -35,6 +35,7 @@ class FileGroup:
     multi_line: bool
     large: bool
     paths: tuple[str, ...]
+    megabytes: float = 0.0
 
 
 def file_groups(assessment: DataFrame) -> list[FileGroup]:
@@ -42,17 +43,22 @@ def file_groups(assessment: DataFrame) -> list[FileGroup]:
     readable = assessment.filter("header IS NOT NULL")
     readable = readable.withColumn("large", F.col("multi_line") & (F.col("size_mb") > WHOLE_FILE_MB))
     kind = ["header", "working_encoding", "multi_line", "large"]
-    found = readable.groupBy(*kind).agg(F.min(F.struct("file_name", "file_path")).alias("first"))
-    kinds = [(i, *r[:4]) for i, r in enumerate(found.orderBy("first").collect())]
-    if not kinds:
+    found = readable.groupBy(*kind).agg(
+        F.min(F.struct("file_name", "file_path")).alias("first"), F.sum("size_mb").alias("mb")
+    ).collect()
+    if not found:
         return []
+    found.sort(key=lambda r: r["first"])
+    kinds = [(i, *r[:4]) for i, r in enumerate(found)]
     numbered = assessment.sparkSession.createDataFrame(
         kinds, "number int, header string, working_encoding string, multi_line boolean, large boolean")
     paths: list[list[str]] = [[] for _ in kinds]
     members = readable.join(numbered, kind).select("number", "file_path")
     for number, path in members.collect():
         paths[number].append(path)
-    return [FileGroup(*k[1:], tuple(sorted(p))) for k, p in zip(kinds, paths)]
+    return [
+        FileGroup(*k[1:], tuple(sorted(p)), r["mb"]) for k, p, r in zip(kinds, paths, found)
+    ]
 
 
 def read_group(spark: SparkSession, group: FileGroup, columns: Sequence[str]) -> DataFrame:
@@ -128,10 +134,10 @@ def stage_csv(
     """
     prepare(spark)
     assessment = written(assess_files(spark, path, glob, recursive), "assessment")
-    size_shuffles(spark, assessment.agg(F.sum("size_mb")).first()[0] or 0)
     groups = file_groups(assessment)
-    unique = assessment.groupBy("file_name").count().filter("count > 1").isEmpty()
-    by = "file_name" if unique else "file_path"
+    size_shuffles(spark, sum(g.megabytes for g in groups))
+    names = [path.rsplit("/", 1)[-1] for g in groups for path in g.paths]
+    by = "file_name" if len(names) == len(set(names)) else "file_path"
     assessment = assessment.withColumn("_source", F.col(by))
     chosen = choose_groups(groups, schema_handling)
 

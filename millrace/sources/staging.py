@@ -71,10 +71,10 @@ class Staged:
     def columns(self) -> list[str]:
         return [f"c{i}" for i in range(len(self.names))]
 
-    def layout(self) -> DataFrame:
+    def layout(self) -> list[tuple]:
         """Rows as in LAYOUT: the columns of every distinct header."""
         ids = dict(zip(self.names, self.columns))
-        rows = [
+        return [
             (number, [
                 (ids[name], position, original, name, header.role(name), self.readings[ids[name]],
                  N.is_date_name(name), name == header.url)
@@ -82,11 +82,13 @@ class Staged:
             ])
             for number, header in enumerate(self.headers)
         ]
-        return self.data.sparkSession.createDataFrame(rows, LAYOUT)
 
     def cells(self, files: DataFrame) -> DataFrame:
         """Every column of every file of (_source, _header), with its place and role."""
-        return attach(files, self.layout(), ["_header"]).select(
+        layout = self.layout()
+        table = self.data.sparkSession.createDataFrame(layout, LAYOUT)
+        size = sum(len(str(cell)) for _, header in layout for cell in header)
+        return attach(files, table, ["_header"], size=size).select(
             "_source", "_header", F.inline("cells"))
 
 
