@@ -34,8 +34,13 @@ FINITE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 INFINITE = r"^\s*[+-]?(?i:inf|infinity)\s*$"
 
 
-def nullify(c: Column) -> Column:
-    return F.when(~c.isin(*NULL_TOKENS), c)
+_TOKENS_SQL = ", ".join(f"'{token}'" for token in NULL_TOKENS)
+
+
+def nullify(name: str) -> Column:
+    """The text column of that name, null where it holds a token."""
+    cell = f"`{name.replace('`', '``')}`"
+    return F.expr(f"CASE WHEN {cell} NOT IN ({_TOKENS_SQL}) THEN {cell} END")
 
 
 def number(c: Column) -> Column:

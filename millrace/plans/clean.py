@@ -171,10 +171,12 @@ def decide(staged: Staged, options: CleanOptions) -> DataFrame:
 def _own_cells(staged: Staged) -> Column:
     """The cells of a row's own header, as an array; columns of other headers are not in it."""
 
+    place = dict(zip(staged.names, staged.columns))
+
     def cells(names: Sequence[str]) -> Column:
         return F.array(*[
             F.struct(F.lit(c).alias("column"), *_value_and_class(c, staged))
-            for c in (staged.columns[staged.names.index(n)] for n in names)
+            for c in (place[n] for n in names)
         ])
 
     by_header = [cells(h.cleaned) for h in staged.headers]
@@ -397,8 +399,10 @@ def apply_decisions(
             *[F.col("_all")[c].alias(c) for c in planned]).alias("_plan"))
         size = sum(facts[c].plan_bytes for c in planned)
         rows = attach(kept, plans, ["_source"], how="left", size=size)
+    named = dict(zip(staged.columns, staged.names))
+    chosen = set(planned)
     cells = {
-        staged.names[staged.columns.index(c)]: _cell(c, staged, usage[c], c in planned, facts[c].formats)
+        named[c]: _cell(c, staged, usage[c], c in chosen, facts[c].formats)
         for c in live
     }
     names = [n for n in staged.names if n in cells or n == KEY]

@@ -141,7 +141,7 @@ TOKENS = {
 SELECT c_custkey, CASE WHEN v IN ({", ".join(f"'{t}'" for t in NULL_TOKENS)}) THEN NULL ELSE v END AS v
 FROM ({select("customer", TOKENS)})""")
 def null_tokens(spark: SparkSession, folder: str) -> DataFrame:
-    return messy(spark, folder, "customer", TOKENS).select("c_custkey", nullify(F.col("v")).alias("v"))
+    return messy(spark, folder, "customer", TOKENS).select("c_custkey", nullify("v").alias("v"))
 
 
 # --- summary rows -------------------------------------------------------------------------

@@ -87,7 +87,7 @@ def _schema(columns: Sequence[str]) -> str:
 
 def _cells(columns: Sequence[str]) -> list[Column]:
     too_long = F.when(field_count(F.col("_bad")) > len(columns), F.col("_bad"))
-    return [*[nullify(F.col(c)).alias(c) for c in columns], too_long.alias("_bad")]
+    return [*[nullify(c).alias(c) for c in columns], too_long.alias("_bad")]
 
 
 def _scan(
@@ -151,7 +151,8 @@ def stage_csv(
         except ValueError as error:
             errors[group.header_line] = str(error)
     headers = list(dict.fromkeys(h for _, h in parsed))
-    lines = [(g.header_line, headers.index(h), None) for g, h in parsed]
+    numbers = {h: i for i, h in enumerate(headers)}
+    lines = [(g.header_line, numbers[h], None) for g, h in parsed]
     lines += [(line, None, message) for line, message in errors.items()]
     kinds = spark.createDataFrame(list(dict.fromkeys(lines)), "header string, _header int, _error string")
     # One row per distinct header line.
@@ -163,7 +164,7 @@ def stage_csv(
     names = first_seen(headers)
     columns = [f"c{i}" for i in range(len(names))]
     parts = [
-        _stage_group(spark, group, header, headers.index(header), names, by) for group, header in parsed
+        _stage_group(spark, group, header, numbers[header], names, by) for group, header in parsed
     ]
     if not parts:
         schema = ", ".join(
@@ -172,7 +173,7 @@ def stage_csv(
         )
         everything = spark.createDataFrame([], schema)
     else:
-        everything = written(reduce(DataFrame.unionByName, parts), "staged")
+        everything = written(reduce(DataFrame.union, parts), "staged")
     data = everything.filter("_bad IS NULL").drop("_bad")
     rejects = everything.filter("_bad IS NOT NULL").select("_source", "_row", F.col("_bad").alias("record"))
     return Staged(
@@ -189,19 +190,25 @@ def stage_csv(
 def _stage_group(
     spark: SparkSession, group: FileGroup, header: Header, number: int, names: list[str], by: str
 ) -> DataFrame:
-    own = [f"c{names.index(name)}" for name in header.cleaned]
+    place = {name: i for i, name in enumerate(names)}
+    own = [f"c{place[name]}" for name in header.cleaned]
     rows = read_group(spark, group, own)
     if header.url is None:
         key = F.lit(None).cast("bigint")
     else:
         key = first_digits(F.col(own[header.cleaned.index(header.url)]))
-    return rows.select(
+    tagged = rows.select(
         (path_name(F.col("_path")) if by == "file_name" else F.col("_path")).alias("_source"),
         F.lit(number).alias("_header"),
         "_row",
         "_bad",
         key.alias("_key"),
         is_summary_row(own).alias("_summary"),
-        *[F.col(c) if c in own else F.lit(None).cast("string").alias(c)
-          for c in (f"c{i}" for i in range(len(names)))],
+        *own,
     )
+    # As texts, for there are as many as headers times columns.
+    mine = set(own)
+    padded = [
+        c if c in mine else f"CAST(NULL AS STRING) AS {c}" for c in (f"c{i}" for i in range(len(names)))
+    ]
+    return tagged.selectExpr("_source", "_header", "_row", "_bad", "_key", "_summary", *padded)

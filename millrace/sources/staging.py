@@ -125,7 +125,7 @@ def stage_frame(
         cell, kind = F.col(f"`{n}`"), kinds[n]
         if kind == "string":
             readings[c] = INFERRED if infer else TEXT
-            cells.append((nullify(cell) if null_tokens or infer else cell).alias(c))
+            cells.append((nullify(n) if null_tokens or infer else cell).alias(c))
         elif kind in ("float", "double"):
             readings[c] = TYPED
             cells.append(F.when(~F.isnan(cell), cell).alias(c))
