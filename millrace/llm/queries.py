@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from millrace.llm import arrow_files
+from millrace.llm.mixing import mix
+from millrace.llm.packing import pack, pieces
 from millrace.llm.simhash import simhash_components
+from millrace.llm.substrings import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +34,90 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = simhash_components(docs, "doc_id", "text", words=4, max_bits=4, keep=["doc_id"])
     return found.select("doc_id", F.lower(F.lpad(F.hex("_sim_print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, tokenized and cut at 2048 tokens, packed into sequences of 2048."""
+    cut = pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0, keep=["doc_id"])
+    return pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), capacity=2048)
+
+
+@query
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of passages of 35 words that occur elsewhere too."""
+    found = substring_dedup(table(spark, sf_dir, "documents"), "doc_id", "text", window=35, keep=["doc_id"])
+    return found.select("doc_id", F.col("_sub_words").alias("n_words"), F.col("_sub_removed").alias("n_removed"), F.sha2("_sub_kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op4_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT r, unnest(range(1, greatest(len(w) - 33, 1))) AS i, w FROM d WHERE len(w) >= 35
+), h AS (
+  SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS h FROM s
+), twice AS (
+  SELECT h FROM h GROUP BY h HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT r, i + unnest(range(35)) AS p FROM h WHERE h IN (SELECT h FROM twice)
+), kept AS (
+  SELECT k.r, string_agg(k.x, ' ' ORDER BY k.p) AS t, count(*) AS n
+  FROM (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d) k
+  LEFT JOIN gone g ON g.r = k.r AND g.p = k.p WHERE g.r IS NULL GROUP BY k.r
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(kept.n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.r = d.r
+"""
+
+
+@query
+def op5_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids written as Arrow files of 2048-token sequences, and read back from them."""
+    docs, folder = table(spark, sf_dir, "documents"), arrow_files.new_folder(spark)
+    manifest = arrow_files.write_arrow(docs, public_tokenizers.path("byte_bpe_50k.json"), folder, length=2048, end_id=0)
+    found = arrow_files.read_documents(manifest, folder, docs.schema["doc_id"].dataType)
+    return found.select(F.col("id").alias("doc_id"), "start", F.col("tokens").alias("n_tokens"), "ids_crc32")
+
+
+@query
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents with weights 1, 2, 3 along the sources and a stop at 3 times a source."""
+    taken = mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), cap=3.0, keep=["doc_id"])
+    return taken.select(
+        "doc_id", F.col("_mix_size").alias("size"), F.col("_mix_source_size").alias("source_size"),
+        F.col("_mix_target").alias("target"), (F.col("_mix_size") * F.col("_mix_times")).cast("bigint").alias("taken"),
+    )
+
+
+ORACLES["op7_source_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source
+), w AS (
+  SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM s
+), k AS (
+  SELECT *, row_number() OVER (ORDER BY 3.0::DOUBLE * source_size / weight, source NULLS LAST) AS k FROM w
+), c AS (
+  SELECT *, sum(source_size) OVER ()::DOUBLE AS total,
+    coalesce(sum(3 * source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS stopped,
+    sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS rest FROM k
+), lvl AS (
+  SELECT (total - stopped) / rest AS lvl FROM c WHERE (total - stopped) / rest * weight <= 3.0::DOUBLE * source_size ORDER BY k LIMIT 1
+), t AS (
+  SELECT source, source_size, least(3.0::DOUBLE * source_size, lvl * weight) AS target FROM k, lvl
+), b AS (
+  SELECT *, least(3, floor(target / greatest(source_size, 1))) AS whole FROM t
+), h AS (
+  SELECT d.doc_id, d.size, b.source_size, b.target, b.whole, b.target - b.whole * b.source_size AS part, b.source,
+    substr(md5('mix/' || coalesce(d.doc_id::VARCHAR, '') || '/' || d.size::VARCHAR), 1, 15) AS h
+  FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
+), m AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY h) AS upto, sum(size) OVER (PARTITION BY source, h) AS own FROM h
+)
+SELECT doc_id, size, source_size, target,
+  (size * (whole + CASE WHEN part > 0 AND 2 * upto - own < 2 * part THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM m
+"""
