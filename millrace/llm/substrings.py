@@ -133,7 +133,7 @@ def _windows(docs: DataFrame, picked: DataFrame, window: int) -> DataFrame:
         picked.groupBy("_sub_id", "_sub_hash").agg(F.collect_set(F.struct("anchor", "whole", "start", "windows")).alias("runs")),
         "substring_contested",
     )
-    texts = join_keyed(docs.select("_sub_id", "_sub_hash", "_sub_text"), per_text, ["_sub_id", "_sub_hash"], "inner")
+    texts = join_keyed(docs.select("_sub_id", "_sub_hash", "_sub_text"), per_text, ["_sub_id", "_sub_hash"], "inner", limit=0)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +207,7 @@ def substring_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", win
         F.xxhash64(body).alias("_sub_hash"), body.alias("_sub_text"),
     )
     hits = repeats(rows.select("_sub_id", "_sub_hash", "_sub_text"), window)
-    joined = join_keyed(rows, hits, ["_sub_id", "_sub_hash"], "left").drop("_sub_id", "_sub_hash")
+    joined = join_keyed(rows, hits, ["_sub_id", "_sub_hash"], "left", limit=0).drop("_sub_id", "_sub_hash")
     fields = [f for f in joined.schema.fields if f.name in kept]
     schema = StructType([*fields, StructField("_sub_kept", StringType())]).add("_sub_words", "long").add("_sub_removed", "long")
 
