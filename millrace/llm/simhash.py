@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm.graph import components, forest
+from millrace.llm.joins import join_keyed
 from millrace.llm.words import utf8
 from millrace.operators.attach import attach
 from millrace.session import written
@@ -244,31 +245,38 @@ def links(prints: DataFrame, max_bits: int = 4, column: str = "_sim_print") -> D
     return dealt.mapInArrow(joined, "a bigint, b bigint")
 
 
+def _classes(printed: DataFrame, id: str, max_bits: int) -> DataFrame:
+    """(_sim_print, _sim_root, component_id), written, for every fingerprint of the written rows."""
+    prints = written(printed.groupBy("_sim_print").agg(F.min(F.col(f"`{id}`")).alias("_sim_least")), "simhash_distinct")
+    roots = components(links(prints, max_bits)).select(F.col("node").alias("_sim_print"), F.col("root").alias("_sim_root"))
+    placed = prints.join(roots, "_sim_print", "left").withColumn("_sim_root", F.coalesce("_sim_root", "_sim_print"))
+    placed = written(placed, "simhash_placed")
+    names = written(placed.groupBy("_sim_root").agg(F.min("_sim_least").alias("component_id")), "simhash_names")
+    return written(placed.drop("_sim_least").join(names, "_sim_root"), "simhash_placed")
+
+
 def simhash_components(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 4, max_bits: int = 4, keep: list[str] | None = None) -> DataFrame:
     """`docs` (or only its columns `keep`, the id among them), `_sim_print`, `_sim_root`, `component_id`.
 
     `_sim_root` names the component by its smallest fingerprint; `component_id` is the
     smallest id of the component's rows. An earlier column `component_id` is replaced.
     """
-    printed = with_fingerprints(docs, text, words, docs.columns if keep is None else keep)
-    printed = written(printed.drop("component_id"), "simhash_prints")
-    prints = written(printed.groupBy("_sim_print").agg(F.min(F.col(f"`{id}`")).alias("_sim_least")), "simhash_distinct")
-    roots = components(links(prints, max_bits)).select(F.col("node").alias("_sim_print"), F.col("root").alias("_sim_root"))
-    placed = prints.join(roots, "_sim_print", "left").withColumn("_sim_root", F.coalesce("_sim_root", "_sim_print"))
-    placed = written(placed, "simhash_placed")
-    names = written(placed.groupBy("_sim_root").agg(F.min("_sim_least").alias("component_id")), "simhash_names")
-    placed = written(placed.drop("_sim_least").join(names, "_sim_root"), "simhash_placed")
-    return printed.join(placed, "_sim_print")
+    kept = [c for c in (docs.columns if keep is None else keep) if c != "component_id"]
+    printed = written(with_fingerprints(docs, text, words, kept), "simhash_prints")
+    return printed.join(_classes(printed, id, max_bits), "_sim_print")
 
 
 def simhash_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", words: int = 4, max_bits: int = 4) -> DataFrame:
     """One row of each component of near-duplicates: that of the smallest id; `docs`' columns.
 
-    Ties (rows repeating the smallest id) go to the smallest hash of the whole row.
+    Null ids come last. Rows that repeat the smallest id: the smallest hash of the whole row
+    stays. The choice is made on narrow rows; texts are only joined to it.
     """
-    found = simhash_components(docs, id, text, words, max_bits)
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if c in found.columns])
-    ranked = found.withColumn("_sim_rank", F.struct(F.col(f"`{id}`").isNull(), F.col(f"`{id}`"), whole))
-    first = written(ranked.groupBy("_sim_root").agg(F.min("_sim_rank").alias("_sim_first")), "simhash_first")
-    kept = ranked.join(first, "_sim_root").where("_sim_rank = _sim_first OR (_sim_rank IS NULL)")
-    return kept.dropDuplicates(["_sim_root"]).select(*[F.col(f"`{c}`") for c in docs.columns if c in found.columns])
+    printed = with_fingerprints(docs, text, words).withColumn("_sim_row", F.monotonically_increasing_id())
+    printed = written(printed, "simhash_prints")
+    key = F.col(f"`{id}`")
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    narrow = printed.select("_sim_print", F.struct(key.isNull().alias("n"), key.alias("i"), whole.alias("h"), F.col("_sim_row").alias("r")).alias("rank"))
+    ranked = narrow.join(_classes(printed, id, max_bits), "_sim_print").groupBy("_sim_root").agg(F.min("rank").alias("first"))
+    first = written(ranked.select(F.col("first.r").alias("_sim_row")), "simhash_first")
+    return join_keyed(printed, first, ["_sim_row"], "inner").select(*[F.col(f"`{c}`") for c in docs.columns])
