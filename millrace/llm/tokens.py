@@ -1,20 +1,31 @@
-"""Token ids of texts, many documents at a time, with the tokenizers library (inside tasks)."""
+"""Token ids of texts, many documents at a time, with the tokenizers library (inside tasks).
+
+Pre-tokenizers never join what is before a single blank with what is after it, so a text is
+encoded piece by piece, and the ids of a piece are remembered: each word is tokenized once per
+worker, as long as it is remembered. Blanks next to other white space or at the ends of a
+text stay inside their piece.
+"""
 
 from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
-#: Texts are encoded in runs of about so many characters; longer ones are cut.
-RUN_CHARS = 1 << 18
+#: Texts longer than twice this are cut, at blanks between letters, into parts of about so many characters.
+RUN_CHARS = 1 << 20
+#: Pieces that a worker remembers at most (some 170 bytes each); then it starts anew.
+REMEMBERED = 1_500_000
 
-# Pre-tokenizers split texts at white space, so no token or rule spans a single blank between
-# two plain letters.
 _CUT = re.compile("[A-Za-z](?= [A-Za-z])")
+_SPACE = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in map(chr, range(0x3001)) if c.isspace()) + "]"
+_ODD = f" {_SPACE}|{_SPACE} |^ | $"
+_OTHER_SPACE = re.compile(r"[^\S ]+")
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
 @lru_cache(maxsize=4)
@@ -32,6 +43,89 @@ def id_type(path: str) -> np.dtype:
     return np.dtype("<u2" if tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4")
 
 
+class Encoder:
+    """Encodes pieces that follow a blank; `remembered` has the ids of those that it knows."""
+
+    def __init__(self, path: str):
+        self.tokenizer = tokenizer(path)
+        self.remembered: dict[str, bytes] = {}
+        names = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(names.values()) + 1, dtype=np.int64)
+        for name, id in names.items():
+            self.sizes[id] = len(name.removesuffix("</w>"))  # one letter for each byte
+
+    def each(self, strings: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _after_blank(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, from encoding all of them as one text.
+
+        Tokens stand for bytes, so sums of their sizes show where a piece ends; where they
+        do not (a normalizer changed it), each piece is encoded alone.
+        """
+        whole = " " + " ".join(pieces)
+        ids = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.cumsum(self.sizes[ids])
+        size = int(ends[-1]) if len(ids) else 0
+        if size == len(whole.encode()):
+            parts = pieces
+        else:
+            parts = _OTHER_SPACE.sub("", unicodedata.normalize("NFC", whole)).lower().split(" ")[1:]
+        bounds = np.cumsum([len(p.encode()) for p in parts]) + (np.arange(1, len(parts) + 1) if parts is pieces else 0)
+        if len(parts) != len(pieces):
+            return self.each([" " + p for p in pieces])
+        at = np.searchsorted(ends, bounds)
+        if len(ids) and bounds[-1] == size and (ends[np.minimum(at, len(ids) - 1)] == bounds).all() and (np.diff(bounds, prepend=0) > 0).all():
+            raw, cuts = ids.tobytes(), (4 * (at + 1)).tolist()
+            return [raw[i:j] for i, j in zip([0, *cuts], cuts)]
+        return self.each([" " + p for p in pieces])
+
+    def after_blank(self, distinct: list[str]) -> list[bytes]:
+        known = self.remembered
+        out = list(map(known.get, distinct))
+        missing = [p for p, x in zip(distinct, out) if x is None]
+        if not missing:
+            return out
+        if len(known) + len(missing) > REMEMBERED:
+            known.clear()
+        new = self._after_blank(missing)
+        known.update(zip(missing, new))
+        fresh = iter(new)
+        return [next(fresh) if x is None else x for x in out]
+
+    def run(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts: cut at blanks, each distinct piece looked up once, and put together again."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        column = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(column, pattern=" ")
+        if odd.any():
+            cut = cut.to_pylist()
+            for i in np.flatnonzero(odd):
+                cut[i] = _BETWEEN.split(texts[i])
+            cut = pa.array(cut, pa.large_list(pa.large_string()))
+        first = cut.offsets.to_numpy()
+        encoded = cut.flatten().dictionary_encode()
+        distinct, which = encoded.dictionary.to_pylist(), encoded.indices.to_numpy().copy()
+        heads = [distinct[i] for i in which[first[:-1]]]
+        which[first[:-1]] = np.arange(len(distinct), len(distinct) + len(heads))
+        known = [*self.after_blank(distinct), *self.each(heads)]
+        sizes = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        ids, start = np.frombuffer(b"".join(known), dtype="<u4"), np.cumsum(sizes) - sizes
+        n = sizes[which]
+        upto = np.r_[0, np.cumsum(n)]
+        flat = ids[np.repeat(start[which] - upto[:-1], n) + np.arange(upto[-1])]
+        return np.split(flat, upto[first[1:-1]])
+
+
+@lru_cache(maxsize=4)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
+
+
 def _parts(text: str) -> list[str]:
     parts, at = [], 0
     while len(text) - at > 2 * RUN_CHARS:
@@ -44,19 +138,16 @@ def _parts(text: str) -> list[str]:
 
 
 def encoded(texts: list[str], path: str) -> Iterator[np.ndarray]:
-    """The ids of each text in order, without special tokens; a long text is encoded in parts."""
-    encode = tokenizer(path).encode_batch_fast
+    """The ids of each text in order, without special tokens."""
+    encode = encoder(path)
     at = 0
     while at < len(texts):
-        if len(texts[at]) > 2 * RUN_CHARS:
-            ids = [np.array(encode([p], add_special_tokens=False)[0].ids, dtype=np.uint32) for p in _parts(texts[at])]
-            yield np.concatenate(ids)
-            at += 1
-            continue
         end, size = at, 0
         while end < len(texts) and (end == at or size + len(texts[end]) <= RUN_CHARS):
             size += len(texts[end])
             end += 1
-        for one in encode(texts[at:end], add_special_tokens=False):
-            yield np.array(one.ids, dtype=np.uint32)
+        if size > 2 * RUN_CHARS:
+            yield np.concatenate([encode.run([part])[0] for part in _parts(texts[at])])
+        else:
+            yield from encode.run(texts[at:end])
         at = end
