@@ -17,6 +17,10 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+#: Bytes that part words of letters and digits: all other ASCII characters.
+MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
 def _odd_powers(base: int, count: int) -> np.ndarray:
     powers = np.full(count, base, dtype=np.uint64)
     powers[0] = 1
@@ -65,31 +69,29 @@ _BYTES = Sums(0x9E3779B97F4A7C15)
 _BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
-def _spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _spans(data: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     solid = np.zeros(len(data) + 2, dtype=np.int8)
-    solid[1:-1] = ~_SPACE[data]
+    solid[1:-1] = ~between[data]
     steps = np.diff(solid)
     return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """The 64-bit hash of every word of one text, in order."""
-    return next(hashed([text]))[1][0]
-
-
-def _hash_block(block: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _hash_block(block: bytes, between: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(block, dtype=np.uint8)
-    start, end = _spans(data)
+    start, end = _spans(data, between)
     sums = _BYTES.running(_BYTE_CODES[data])
     return start, _BYTES.of(sums, start, end)
 
 
-def hashed(texts: list[bytes]) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """(index of the first text, word hashes per text) for runs of texts of some SLICE_BYTES."""
+def hashed(texts: list[bytes], between: np.ndarray = _SPACE) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(index of the first text, word hashes per text) for runs of texts of some SLICE_BYTES.
+
+    `between`: which bytes part words; the line feed is one of them.
+    """
     at = 0
     while at < len(texts):
         if len(texts[at]) > SLICE_BYTES:
-            yield at, [_long(texts[at])]
+            yield at, [_long(texts[at], between)]
             at += 1
             continue
         size, end = 0, at
@@ -97,20 +99,20 @@ def hashed(texts: list[bytes]) -> Iterator[tuple[int, list[np.ndarray]]]:
             size += len(texts[end]) + 1
             end += 1
         run = texts[at:end]
-        start, hashes = _hash_block(b"\n".join(run))
+        start, hashes = _hash_block(b"\n".join(run), between)
         ends = np.cumsum([len(t) + 1 for t in run])
         cuts = np.searchsorted(start, ends[:-1])
         yield at, np.split(hashes, cuts)
         at = end
 
 
-def _long(text: bytes) -> np.ndarray:
+def _long(text: bytes, between: np.ndarray) -> np.ndarray:
     parts, at = [], 0
     while at < len(text):
         end = min(len(text), at + SLICE_BYTES)
-        while end < len(text) and not _SPACE[text[end]]:
+        while end < len(text) and not between[text[end]]:
             end += 1
-        parts.append(_hash_block(text[at:end])[1])
+        parts.append(_hash_block(text[at:end], between)[1])
         at = end
     return np.concatenate(parts)
 
