@@ -1 +1,13 @@
 """Operators of a training-data pipeline: text and embedding tables, at corpus scale."""
+
+from pathlib import Path
+
+
+def importable(spark):
+    """Let Python workers on this machine import the package from wherever the driver did.
+
+    On a cluster the package is installed or sent along (`--py-files`), as any other.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+    return spark

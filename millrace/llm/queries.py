@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from millrace.llm import arrow_files
+from millrace.llm import arrow_files, importable
+from millrace.llm.covertree import top_products
+from millrace.llm.html import extract
 from millrace.llm.mixing import mix
 from millrace.llm.packing import pack, pieces
+from millrace.llm.quality import quality_scores
 from millrace.llm.simhash import simhash_components
 from millrace.llm.substrings import substring_dedup
+from millrace.llm.toxicity import toxicity_scores
+from millrace.llm.vectors import vector_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,7 +30,7 @@ def query(function):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query
@@ -121,3 +126,74 @@ SELECT doc_id, size, source_size, target,
   (size * (whole + CASE WHEN part > 0 AND 2 * upto - own < 2 * part THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM m
 """
+
+
+@query
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract(table(spark, sf_dir, "pages"), "html", "url", keep=["page_id", "url"])
+
+
+@query
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all embeddings of equal label with a cosine of 0.93 or more, and their components."""
+    found = vector_components(table(spark, sf_dir, "embeddings"), threshold=0.93, keep=["vec_id"])
+    return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
+ORACLES["op3_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND list_sum(list_transform(embedding, x -> abs(x))) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), n AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+), reach AS (
+  SELECT a AS id, a AS root FROM n
+  UNION
+  SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.id
+), c AS (
+  SELECT id, min(root) AS root FROM reach GROUP BY id
+)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(c.root, e.vec_id) AS component_id,
+  coalesce(c.root, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN n ON n.a = e.vec_id LEFT JOIN c ON c.id = e.vec_id
+"""
+
+
+@query
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest inner products of floor(256 x) for every 50th vector, against all others."""
+    rows = table(spark, sf_dir, "embeddings")
+    return top_products(rows, rows.where("vec_id % 50 = 0"), k=5, scale=256.0)
+
+
+ORACLES["op9_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from the labels of three quarters of the ids."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity_scores(docs, labels, divisor=4, held=2, keep=["doc_id"])
+
+
+@query
+def op8_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from the labels of four fifths of the ids."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_scores(docs, labels, divisor=5, held=0, keep=["doc_id"])
