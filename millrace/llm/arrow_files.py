@@ -4,8 +4,8 @@ The documents' ids, each with its end id, are one stream in ascending order of t
 id, cut into shards by ranges of ids. A shard is two Arrow IPC files in a folder:
 
 * `<shard>-sequences.arrow`: record batches of `ids`, fixed_size_list<uint16 or uint32>[length],
-  and `mask`, fixed_size_list<uint8>[length]: 1 for a token, 0 for the padding of the shard's
-  last sequence. Every sequence has the same number of bytes, so sequence i of a memory-mapped
+  and `mask`, fixed_size_list<bool>[length]: true for a token, false for the padding of the
+  shard's last sequence, a bit each. Every sequence has the same number of bytes, so sequence i of a memory-mapped
   file is a slice of a batch's buffer, without a copy (`open_sequences`).
 * `<shard>-documents.arrow`: `id`, `start` (its first token in the shard), `tokens`.
 
@@ -51,7 +51,7 @@ class _Shard:
         self.name = uuid.uuid4().hex
         self.length, self.kind = length, kind
         self.sequences_schema = pa.schema([
-            ("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.uint8(), length)),
+            ("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length)),
         ])
         self.documents_schema = pa.schema([("id", id_kind), ("start", pa.int64()), ("tokens", pa.int64())])
         self.streams = [system.open_output_stream(f"{path}/{self.name}-{x}.arrow") for x in ("sequences", "documents")]
@@ -80,7 +80,7 @@ class _Shard:
             part = flat[at : min(at + step, whole)]
             valid = len(part)
             part = np.concatenate([part, np.zeros(-valid % self.length, self.kind)])
-            mask = (np.arange(len(part)) < valid).astype(np.uint8)
+            mask = np.arange(len(part)) < valid
             arrays = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (part, mask)]
             self.sequences.write_batch(pa.record_batch(arrays, schema=self.sequences_schema))
             self.count += len(part) // self.length
@@ -106,9 +106,9 @@ def write_arrow(docs: DataFrame, tokenizer: str, folder: str, length: int = 2048
         shard = None
         for batch in batches:
             shard = shard or _Shard(folder, length, id_type(tokenizer), batch.column(0).type)
-            for low in range(0, batch.num_rows, 512):
-                texts = [t or "" for t in batch.column(1).slice(low, 512).to_pylist()]
-                shard.add(batch.column(0).slice(low, 512), [np.concatenate([ids, end]) for ids in encoded(texts, tokenizer)])
+            for low in range(0, batch.num_rows, 2048):
+                texts = encoded(batch.column(1).slice(low, 2048), tokenizer)
+                shard.add(batch.column(0).slice(low, 2048), [np.concatenate([ids, end]) for ids in texts])
         if shard:
             row = [TaskContext.get().partitionId(), *shard.close()]
             yield pa.RecordBatch.from_pylist([dict(zip(("shard", "file", "documents", "tokens", "sequences"), row))])
@@ -128,8 +128,8 @@ def _tokens(folder: str, file: str) -> Iterator[np.ndarray]:
     reader = open_sequences(folder, file)
     for at in range(reader.num_record_batches):
         batch = reader.get_batch(at)
-        ids, mask = (batch.column(i).flatten().to_numpy() for i in (0, 1))
-        yield ids if mask[-1] else ids[: np.count_nonzero(mask)]
+        ids, mask = batch.column(0).flatten().to_numpy(), batch.column(1).flatten()
+        yield ids[: mask.true_count]
 
 
 def read_documents(manifest: DataFrame, folder: str, id_kind) -> DataFrame:

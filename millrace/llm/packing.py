@@ -55,10 +55,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("_pack_text")
-            for low in range(0, batch.num_rows, 512):
+            for low in range(0, batch.num_rows, 2048):
                 rows, piece, start, length, ids = [], [], [], [], []
-                run = [t or "" for t in texts.slice(low, 512).to_pylist()]
-                for row, tokens in enumerate(encoded(run, tokenizer), low):
+                for row, tokens in enumerate(encoded(texts.slice(low, 2048), tokenizer), low):
                     tokens = np.concatenate([tokens, end]).astype("<u4")
                     for number, at in enumerate(range(0, len(tokens), capacity)):
                         part = tokens[at : at + capacity]

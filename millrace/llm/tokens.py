@@ -3,11 +3,13 @@
 Pre-tokenizers never join what is before a single blank with what is after it, so a text is
 encoded piece by piece, and the ids of a piece are remembered: each word is tokenized once per
 worker, as long as it is remembered. Blanks next to other white space or at the ends of a
-text stay inside their piece.
+text stay inside their piece. Plain words, of Latin letters and perhaps a full stop or comma,
+need no normalizer and no pre-tokenizer but a split at blanks, which is faster.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
@@ -15,15 +17,19 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Texts longer than twice this are cut, at blanks between letters, into parts of about so many characters.
-RUN_CHARS = 1 << 20
+#: Texts are encoded in runs of about so many bytes; those longer than twice this are cut at blanks between letters.
+RUN_BYTES = 1 << 22
 #: Pieces that a worker remembers at most (some 170 bytes each); then it starts anew.
 REMEMBERED = 1_500_000
 
 _CUT = re.compile("[A-Za-z](?= [A-Za-z])")
 _SPACE = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in map(chr, range(0x3001)) if c.isspace()) + "]"
 _ODD = f" {_SPACE}|{_SPACE} |^ | $"
+# Letters that are one letter in lower case too, so that a word stays a word.
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+[.,]?").fullmatch
 _OTHER_SPACE = re.compile(r"[^\S ]+")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
@@ -43,12 +49,28 @@ def id_type(path: str) -> np.dtype:
     return np.dtype("<u2" if tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4")
 
 
+def _plain_tokenizer(whole):
+    """The same model for texts whose words are parted by blanks, in the letters that stand for bytes."""
+    from tokenizers import Tokenizer
+
+    kind = json.loads(whole.to_str())
+    kind["normalizer"], kind["added_tokens"] = None, []
+    kind["pre_tokenizer"] = {"type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False}
+    return Tokenizer.from_str(json.dumps(kind))
+
+
 class Encoder:
     """Encodes pieces that follow a blank; `remembered` has the ids of those that it knows."""
 
     def __init__(self, path: str):
         self.tokenizer = tokenizer(path)
         self.remembered: dict[str, bytes] = {}
+        self.plain = _plain_tokenizer(self.tokenizer)
+        self.lowers = json.loads(self.tokenizer.to_str())["normalizer"] is not None
+        # Byte-level vocabularies have a letter for each byte: that of a printable one is its own.
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in own]
+        self.letters = {b: 256 + i for i, b in enumerate(others)}
         names = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(names.values()) + 1, dtype=np.int64)
         for name, id in names.items():
@@ -58,28 +80,48 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _after_blank(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each piece, from encoding all of them as one text.
-
-        Tokens stand for bytes, so sums of their sizes show where a piece ends; where they
-        do not (a normalizer changed it), each piece is encoded alone.
-        """
+    def _cut(self, ids: list[int], sizes: list[int]) -> list[bytes] | None:
+        """Ids of pieces encoded as one text: tokens stand for bytes, and each piece for `sizes` bytes."""
+        ids = np.array(ids, dtype="<u4")
+        ends, bounds = np.cumsum(self.sizes[ids]), np.cumsum(sizes)
+        at = np.minimum(np.searchsorted(ends, bounds), len(ids) - 1)
+        if not len(ids) or ends[-1] != bounds[-1] or (ends[at] != bounds).any() or min(sizes) < 1:
+            return None
+        raw, cuts = ids.tobytes(), (4 * (at + 1)).tolist()
+        return [raw[i:j] for i, j in zip([0, *cuts], cuts)]
+
+    def _plain_pieces(self, pieces: list[str]) -> list[bytes]:
+        text = " ".join(pieces)
+        text = text.lower() if self.lowers else text
+        sizes = [len(p.encode()) + (not self.lowers) for p in text.split(" ")]
+        # In the letters of the vocabulary; the blank before a word is its first letter, if there is one.
+        letters = text.encode().decode("latin-1").translate({k: v for k, v in self.letters.items() if k != 32})
+        letters = letters.replace(".", " .").replace(",", " ,").split(" ")
+        blank = chr(self.letters[32])
+        if not self.lowers:
+            letters = [x if x in (".", ",") else blank + x for x in letters]
+        found = self.plain.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids
+        return self._cut(found, sizes) or self.each([" " + p for p in pieces])
+
+    def _other_pieces(self, pieces: list[str]) -> list[bytes]:
         whole = " " + " ".join(pieces)
-        ids = np.array(self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids, dtype="<u4")
-        ends = np.cumsum(self.sizes[ids])
-        size = int(ends[-1]) if len(ids) else 0
-        if size == len(whole.encode()):
-            parts = pieces
-        else:
+        if self.lowers:
             parts = _OTHER_SPACE.sub("", unicodedata.normalize("NFC", whole)).lower().split(" ")[1:]
-        bounds = np.cumsum([len(p.encode()) for p in parts]) + (np.arange(1, len(parts) + 1) if parts is pieces else 0)
-        if len(parts) != len(pieces):
-            return self.each([" " + p for p in pieces])
-        at = np.searchsorted(ends, bounds)
-        if len(ids) and bounds[-1] == size and (ends[np.minimum(at, len(ids) - 1)] == bounds).all() and (np.diff(bounds, prepend=0) > 0).all():
-            raw, cuts = ids.tobytes(), (4 * (at + 1)).tolist()
-            return [raw[i:j] for i, j in zip([0, *cuts], cuts)]
-        return self.each([" " + p for p in pieces])
+            sizes = [len(p.encode()) for p in parts]
+        else:
+            sizes = [len(p.encode()) + 1 for p in pieces]
+        found = self.tokenizer.encode_batch_fast([whole], add_special_tokens=False)[0].ids
+        cut = self._cut(found, sizes) if len(sizes) == len(pieces) else None
+        return cut or self.each([" " + p for p in pieces])
+
+    def _after_blank(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, from encoding many of them as one text."""
+        plain = list(map(_PLAIN, pieces))
+        chosen = [p for p, x in zip(pieces, plain) if x]
+        others = [p for p, x in zip(pieces, plain) if not x]
+        found = iter(self._plain_pieces(chosen) if chosen else ())
+        rest = iter(self._other_pieces(others) if others else ())
+        return [next(found) if x else next(rest) for x in plain]
 
     def after_blank(self, distinct: list[str]) -> list[bytes]:
         known = self.remembered
@@ -94,20 +136,16 @@ class Encoder:
         fresh = iter(new)
         return [next(fresh) if x is None else x for x in out]
 
-    def run(self, texts: list[str]) -> list[np.ndarray]:
+    def run(self, column: pa.Array) -> list[np.ndarray]:
         """Ids of texts: cut at blanks, each distinct piece looked up once, and put together again."""
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        column = pa.array(texts, pa.large_string())
         odd = pc.match_substring_regex(column, _ODD).to_numpy(zero_copy_only=False)
         cut = pc.split_pattern(column, pattern=" ")
         if odd.any():
             cut = cut.to_pylist()
             for i in np.flatnonzero(odd):
-                cut[i] = _BETWEEN.split(texts[i])
+                cut[i] = _BETWEEN.split(column[int(i)].as_py())
             cut = pa.array(cut, pa.large_list(pa.large_string()))
-        first = cut.offsets.to_numpy()
+        first = cut.offsets.to_numpy() - cut.offsets[0].as_py()
         encoded = cut.flatten().dictionary_encode()
         distinct, which = encoded.dictionary.to_pylist(), encoded.indices.to_numpy().copy()
         heads = [distinct[i] for i in which[first[:-1]]]
@@ -128,8 +166,8 @@ def encoder(path: str) -> Encoder:
 
 def _parts(text: str) -> list[str]:
     parts, at = [], 0
-    while len(text) - at > 2 * RUN_CHARS:
-        found = _CUT.search(text, at + RUN_CHARS)
+    while len(text) - at > 2 * RUN_BYTES:
+        found = _CUT.search(text, at + RUN_BYTES)
         if not found:
             break
         parts.append(text[at : found.end()])
@@ -137,17 +175,16 @@ def _parts(text: str) -> list[str]:
     return [*parts, text[at:]]
 
 
-def encoded(texts: list[str], path: str) -> Iterator[np.ndarray]:
-    """The ids of each text in order, without special tokens."""
-    encode = encoder(path)
+def encoded(column: pa.Array, path: str) -> Iterator[np.ndarray]:
+    """The ids of each text in order, without special tokens; null is the empty text."""
+    run = encoder(path).run
+    column = column.cast(pa.large_string()).fill_null("")
+    sizes = pc.binary_length(column).to_numpy()
     at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) <= RUN_CHARS):
-            size += len(texts[end])
-            end += 1
-        if size > 2 * RUN_CHARS:
-            yield np.concatenate([encode.run([part])[0] for part in _parts(texts[at])])
+    while at < len(sizes):
+        end = at + max(1, int(np.searchsorted(np.cumsum(sizes[at : at + (1 << 16)]), RUN_BYTES, side="right")))
+        if sizes[at] > 2 * RUN_BYTES:
+            yield np.concatenate([run(pa.array([part], pa.large_string()))[0] for part in _parts(column[at].as_py())])
         else:
-            yield from encode.run(texts[at:end])
+            yield from run(column.slice(at, end - at))
         at = end

@@ -287,7 +287,7 @@ def test_arrow_files_round_trip(spark, docs, tmp_path):
         batch = reader.get_batch(0)
         view = batch.column(0).flatten().to_numpy(zero_copy_only=True).reshape(-1, 64)
         assert pa.total_allocated_bytes() == before and view.shape == (batch.num_rows, 64)
-        assert sum(int(np.count_nonzero(reader.get_batch(i).column(1).flatten())) for i in range(reader.num_record_batches)) == r.tokens
+        assert sum(reader.get_batch(i).column(1).flatten().true_count for i in range(reader.num_record_batches)) == r.tokens
 
 
 def test_arrow_files_of_nothing(spark, tmp_path):
@@ -303,9 +303,26 @@ def test_long_texts_are_encoded_in_parts_alike(monkeypatch):
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         path = public_tokenizers.path(name)
         want = tokens.tokenizer(path).encode(text, add_special_tokens=False).ids
-        monkeypatch.setattr(tokens, "RUN_CHARS", 300)
+        monkeypatch.setattr(tokens, "RUN_BYTES", 300)
         assert len(tokens._parts(text)) > 10
-        assert next(tokens.encoded([text], path)).tolist() == want
+        assert next(tokens.encoded(pa.array([text]), path)).tolist() == want
+        monkeypatch.undo()
+
+
+def test_pieces_are_encoded_like_whole_texts(monkeypatch):
+    from millrace.llm import tokens
+
+    odd = ["", " ", "a", " a", "a ", "a  b", "a\n b", "a \nb", "é\u00a0ü", "a \u2003b", "a\u2003b c", "don't 's x", "<|endoftext|> a", "  lead"]
+    odd += ["x\x1c y", "İ İa Σ ΑΣ ſ ŉ", "e \u0301x", "Été, ÉTÉ. a.b a,, .a , .", "ﬁn ǅ ß.", None, "word. Word, WORD"]
+    rng = np.random.default_rng(0)
+    odd += ["".join(rng.choice(list("ab é'.,1 \n\t\u0301ΣİS s<|>日"), 60)) for _ in range(400)]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = public_tokenizers.path(name)
+        want = [tokens.tokenizer(path).encode(t or "", add_special_tokens=False).ids for t in odd]
+        assert [ids.tolist() for ids in tokens.encoded(pa.array(odd), path)] == want
+        monkeypatch.setattr(tokens, "RUN_BYTES", 50)
+        monkeypatch.setattr(tokens, "REMEMBERED", 100)
+        assert [ids.tolist() for ids in tokens.encoded(pa.array(odd[::-1]).slice(2), path)] == want[::-1][2:]
         monkeypatch.undo()
 
 
