@@ -49,6 +49,8 @@ RARE = 3
 WINDOWS = (1, 2, 4, 8, 32)
 SAMPLE_ROWS = 20_000
 SHARD_ROWS = 1 << 22
+#: Rows of an Arrow batch that a task works on at once.
+SLICE_ROWS = 512
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,6 +58,12 @@ def _texts(column) -> list[bytes]:
     return [t.decode().lower().encode() for t in utf8(column)]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def _pairs(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Each word and the one before it; 0 is before the first of a text."""
     now = np.concatenate(words)
@@ -74,7 +82,7 @@ def counts(rows: DataFrame) -> DataFrame:
     """(before, word, toxic, ordinary): how often each pair of words is in texts of either label."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts, label = _texts(batch.column(1)), batch.column(0).to_numpy()
             for at, words in hashed(texts, MARKS):
                 before, now = _pairs(words)
@@ -173,22 +181,28 @@ def _summary(ratio: np.ndarray, lengths: list[int]) -> np.ndarray:
     return out
 
 
-def with_summaries(rows: DataFrame, kept: list[str], parts: list, other: float) -> DataFrame:
+def with_summaries(rows: DataFrame, kept: list[str], parts: list, other: float, scores=None) -> DataFrame:
     """`kept` columns and `_toxic_summary`, the numbers that the score is made of (as doubles, in binary).
 
-    One step per shard of the model; between steps a text's ratios so far travel with it.
+    With `scores`, a function of these numbers, `score` and `predicted` instead. One step per
+    shard of the model; between steps a text's ratios so far travel with it.
     """
     for number, shard in enumerate(parts):
         first, last = number == 0, number == len(parts) - 1
-        names = [*kept, *([] if last else ["_toxic_text", "_toxic_ratio"])]
-        fields = [f for f in rows.schema.fields if f.name in names and f.name != "_toxic_ratio"]
+        names = [*kept, *([] if last else ["_toxic_text"])]
+        fields = [f for f in rows.schema.fields if f.name in names]
         schema = StructType(list(fields))
-        schema = schema.add("_toxic_summary", "binary") if last else schema.add("_toxic_ratio", "binary")
+        if not last:
+            schema = schema.add("_toxic_ratio", "binary")
+        elif scores is None:
+            schema = schema.add("_toxic_summary", "binary")
+        else:
+            schema = schema.add("score", "double").add("predicted", "integer")
 
         def step(batches: Iterator[pa.RecordBatch], shard=shard, first=first, last=last, fields=fields, schema=schema) -> Iterator[pa.RecordBatch]:
             singles, pairs = shard.value
-            for batch in batches:
-                out: list[bytes] = []
+            for batch in _slices(batches):
+                out = []
                 so_far = None if first else batch.column("_toxic_ratio").to_pylist()
                 for at, words in hashed(_texts(batch.column("_toxic_text")), MARKS):
                     before, now = _pairs(words)
@@ -199,12 +213,13 @@ def with_summaries(rows: DataFrame, kept: list[str], parts: list, other: float)
                     _look_up(*singles, now, ratio)
                     _look_up(*pairs, _pair_key(before, now), ratio)
                     lengths = list(map(len, words))
-                    if last:
-                        out.extend(row.tobytes() for row in _summary(ratio, lengths))
-                    else:
-                        out.extend(x.tobytes() for x in np.split(ratio, np.cumsum(lengths)[:-1]))
-                columns = [batch.column(f.name) for f in fields]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=schema.names)
+                    out.extend(_summary(ratio, lengths) if last else (x.tobytes() for x in np.split(ratio, np.cumsum(lengths)[:-1])))
+                if last and scores is not None:
+                    score = scores(np.stack(out))
+                    made = [pa.array(score), pa.array((score >= PREDICTED).astype(np.int32))]
+                else:
+                    made = [pa.array([x.tobytes() for x in out] if last else out, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*[batch.column(f.name) for f in fields], *made], names=schema.names)
 
         rows = rows.mapInArrow(step, schema)
     return rows
@@ -239,15 +254,4 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     names = [*kept, "held_out"]
     if weights is None:
         return chosen.drop("_toxic_text").withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0))
-    summed = with_summaries(chosen, names, parts, other)
-    schema = StructType([f for f in chosen.schema.fields if f.name != "_toxic_text"]).add("score", "double").add("predicted", "integer")
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.frombuffer(b"".join(batch.column("_toxic_summary").to_pylist())).reshape(batch.num_rows, len(mean))
-            score = sigmoid(((x - mean) / scale) @ weights[:-1] + weights[-1])
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in names], pa.array(score), pa.array((score >= PREDICTED).astype(np.int32))], names=schema.names
-            )
-
-    return summed.mapInArrow(scored, schema)
+    return with_summaries(chosen, names, parts, other, lambda x: sigmoid(((x - mean) / scale) @ weights[:-1] + weights[-1]))
