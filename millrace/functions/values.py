@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Cell texts read as missing. Exact, case-sensitive, untrimmed.
@@ -43,6 +43,12 @@ def nullify(name: str) -> Column:
     return F.expr(f"CASE WHEN {cell} NOT IN ({_TOKENS_SQL}) THEN {cell} END")
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The column of that name, null where it is not a number."""
+    cell = F.col(f"`{name}`")
+    return F.when(~F.isnan(cell), cell) if df.schema[name].dataType.typeName() in ("float", "double") else cell
+
+
 def number(c: Column) -> Column:
     """Text to double; null where the text is not a plain decimal number."""
     value = c.try_cast("double")

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from millrace.functions.values import present
 from millrace.operators.attach import attach, same
 from millrace.session import written
 
@@ -205,12 +206,14 @@ def fill_missing(
 ) -> DataFrame:
     """Fill nulls of `medians` (to double) and `modes` (texts) with their group's statistic.
 
-    The statistics are one row per group, at most, so they are attached by `by`.
+    NaN is missing too. The statistics are one row per group, at most, so they are attached
+    by `by`.
     """
+    value = {c: present(df, c).cast("double") for c in medians}
     stats = []
     if medians:
         stats.append(
-            exact_medians(df, {c: F.col(c).cast("double") for c in medians}, by)
+            exact_medians(df, value, by)
             .select(*by, "column", F.col("median").alias("number"), F.lit(None).cast("string").alias("text"))
         )
     if modes:
@@ -231,7 +234,7 @@ def fill_missing(
         found = wide.first().asDict()
         joined = df.select("*", *[F.lit(v).alias(c) for c, v in found.items()])
     filled = {
-        **{c: F.coalesce(F.col(c).cast("double"), F.col(f"_fill_{c}")) for c in medians},
+        **{c: F.coalesce(value[c], F.col(f"_fill_{c}")) for c in medians},
         **{c: F.coalesce(F.col(c), F.col(f"_fill_{c}")) for c in modes},
     }
     return joined.select(*[filled.get(c, F.col(c)).alias(c) for c in df.columns])

@@ -10,9 +10,10 @@ make it cheap for many files:
   columns.
 * If no file repeats a key, the whole outer or inner fold is one aggregation by key.
 
-A key may hold a third of a file. Keys above `HOT_SHARE` of a side are found by counting
-(at most 1 / HOT_SHARE per side), the heavy side's rows are spread over several join
-keys and the other side's rows for those few keys are copied to each.
+A key may hold a third of a file, on both sides. A key is hot if a task that had it alone
+would write more than `Skew.task_rows` rows. Its rows are dealt to a grid of join keys: the
+left rows to rows of the grid, the right rows to its columns, each copied along its own, so
+that no cell makes more than that many. Hot keys stay in a table, however many there are.
 """
 
 from __future__ import annotations
@@ -26,16 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.names import DUPLICATE_SUFFIX, KEY
+from millrace.operators.attach import attach
+from millrace.session import written
 
-HOT_ROWS = 1_000_000
-HOT_SHARE = 1 / 500
-SPREAD = 128
+# Rows that one key may make in one task of a join.
+TASK_ROWS = 1_000_000
 # Rows one joined row may be repeated into by a single task.
 REPEAT_ROWS = 100_000
 
-# A merge that would make more rows than this is refused before it starts.
-MAX_RESULT_ROWS = 10**14
-
 log = logging.getLogger(__name__)
 
 NUMERIC_ORDER = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -43,18 +42,9 @@ NUMERIC_ORDER = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 @dataclass(frozen=True)
 class Skew:
-    """When a key counts as hot, and over how many join keys its rows are spread."""
-
-    hot_rows: int = HOT_ROWS
-    hot_share: float = HOT_SHARE
-    spread: int = SPREAD
+    """Rows that one key may make in one task; beyond that its rows are dealt to several."""
 
-
-@dataclass(frozen=True)
-class HotKey:
-    key: object
-    left_heavy: bool
-    on_both: bool
+    task_rows: int = TASK_ROWS
 
 
 def own_columns(schemas: Sequence[Sequence[str]], key: str = KEY) -> list[list[str]]:
@@ -84,7 +74,7 @@ class KeyCounts:
     """What a merge needs to know of its keys before it starts."""
 
     most_per_key: float
-    hot: list[list[HotKey]]  # per join step
+    hot: list[DataFrame | None]  # per join step: key, _rows and _columns of its grid, _both
     result_rows: float
     null_key_rows: float
 
@@ -99,9 +89,9 @@ def count_keys(
     """Count every key in every frame, in one aggregation over the keys alone.
 
     Joining frame i to the frames before it meets, per key, the product of their counts
-    on the left and its own count on the right. Hot keys are those above `hot_share` of
-    their side, so at most 2 / hot_share of them per step reach the driver. `repeats`
-    holds one row (key, _times) per key for the last step, standing for `_times` rows.
+    on the left and its own count on the right; a key is hot if that makes more than
+    `skew.task_rows` rows. `repeats` holds one row (key, _times) per key for the last step,
+    standing for `_times` rows.
     """
     one = F.lit(1.0).alias("weight")
     parts = [
@@ -129,56 +119,66 @@ def count_keys(
         result = product(steps)
     else:
         result = reduce(lambda a, b: a * b, [F.col(f"n{j}") for j in range(steps)])
-    counts = per_key.select("key", "n0", *[c.alias(name) for name, c in sides.items()], result.alias("rows"))
-    names = ["n0", *sides]
+    made = {}
+    for i in range(1, steps):
+        met = F.greatest(F.col(f"left{i}"), F.lit(1.0)) * F.greatest(F.col(f"n{i}"), F.lit(1.0))
+        alone = (F.col(f"left{i}") == 0) | (F.col(f"n{i}") == 0)
+        made[f"made{i}"] = F.when(alone & F.lit(how == "inner"), 0.0).otherwise(met)
+    counts = per_key.select("key", *[f"n{i}" for i in range(steps)], *[c.alias(name) for name, c in sides.items()], result.alias("rows"))
+    counts = counts.select("*", *[c.alias(name) for name, c in made.items()])
+    names = ["n0", *sides, *made]
     totals = counts.agg(
         *[F.max(n).alias(f"max_{n}") for n in names],
-        *[F.sum(n).alias(f"sum_{n}") for n in names],
         F.sum("rows").alias("rows"),
         F.sum(F.when(F.col("key").isNull(), F.col("rows"))).alias("null_rows"),
     ).first()
-    least = {n: max(skew.hot_rows, skew.hot_share * (totals[f"sum_{n}"] or 0)) for n in names}
-    hot: list[list[HotKey]] = []
-    for i in range(1, steps):
-        left, right = f"left{i}", f"right{i}"
-        found = []
-        if any((totals[f"max_{n}"] or 0) >= least[n] for n in (left, right)):
-            heavy = (F.col(left) >= least[left]) | (F.col(right) >= least[right])
-            found = [
-                HotKey(r["key"], r[left] >= r[right], min(r[left], r[right]) > 0)
-                for r in counts.filter(heavy).select("key", left, right).collect()
-            ]
-        hot.append(found)
+    hot = [
+        written(_grids(counts, f"left{i}", f"right{i}", f"made{i}", key, skew.task_rows), "hot_keys")
+        if (totals[f"max_made{i}"] or 0) > skew.task_rows else None
+        for i in range(1, steps)
+    ]
     own = ["n0", *[f"right{i}" for i in range(1, steps)]]
     return KeyCounts(
         max(totals[f"max_{n}"] or 0 for n in own), hot, totals["rows"] or 0.0, totals["null_rows"] or 0.0)
 
 
-def _join(
-    left: DataFrame, right: DataFrame, how: str, key: str, hot: Sequence[HotKey], spread: int
-) -> DataFrame:
-    how = {"outer": "full_outer", "inner": "inner"}[how]
-    if not hot:
-        return _plain_join(left, right, how, key, [])
-    kind = left.schema[key].dataType.simpleString()
-    table = left.sparkSession.createDataFrame(
-        [(h.key, h.left_heavy, h.on_both) for h in hot],
-        f"_hot_key {kind}, _left_heavy boolean, _both boolean",
+def _grids(counts: DataFrame, left: str, right: str, made: str, key: str, task_rows: int) -> DataFrame:
+    """(key, _rows, _columns, _both) of the hot keys: the grid its left and right rows are dealt to.
+
+    As square as the sides allow, since left rows are copied to all columns and right rows
+    to all rows of the grid.
+    """
+    l, r = (F.greatest(F.col(c), F.lit(1.0)) for c in (left, right))
+    tables = counts.filter(F.col(made) > task_rows).withColumn("cells", F.ceil(F.col(made) / task_rows).cast("double"))
+    square = F.least(r, F.greatest(F.lit(1.0), F.ceil(F.sqrt(F.col("cells") * r / l)).cast("double")))
+    tables = tables.withColumn("_rows", F.least(l, F.ceil(F.col("cells") / square).cast("double")))
+    tables = tables.withColumn("_columns", F.least(r, F.ceil(F.col("cells") / F.col("_rows")).cast("double")))
+    return tables.select(
+        F.col("key").alias(key), F.col("_rows").cast("int"), F.col("_columns").cast("int"),
+        ((F.col(left) > 0) & (F.col(right) > 0)).alias("_both"),
     )
 
-    def salted(side: DataFrame, heavy: Column) -> DataFrame:
-        marked = side.join(F.broadcast(table), side[key].eqNullSafe(table["_hot_key"]), "left")
-        place = F.xxhash64(*[side[c] for c in side.columns]) + F.spark_partition_id()
-        marked = marked.withColumn("_own", F.pmod(place, F.lit(spread)).cast("int"))
-        salts = (
-            F.when(F.col("_both").isNull(), F.array(F.lit(0)))
-            .when(heavy | ~F.col("_both"), F.array("_own"))
-            .otherwise(F.sequence(F.lit(0), F.lit(spread - 1)))
-        )
-        return marked.withColumn("_salt", F.explode(salts)).drop("_hot_key", "_left_heavy", "_own")
 
-    left = salted(left, F.col("_left_heavy")).withColumnRenamed("_both", "_left_both")
-    right = salted(right, ~F.col("_left_heavy")).withColumnRenamed("_both", "_right_both")
+def _join(left: DataFrame, right: DataFrame, how: str, key: str, hot: DataFrame | None) -> DataFrame:
+    how = {"outer": "full_outer", "inner": "inner"}[how]
+    if hot is None:
+        return _plain_join(left, right, how, key, [])
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        place = F.xxhash64(*[side[f"`{c}`"] for c in side.columns]) + F.spark_partition_id()
+        marked = attach(side.withColumn("_place", place), hot, [key], "left")
+        mine = F.pmod(F.col("_place"), F.col(own)).cast("int")
+        along = F.sequence(F.lit(0), F.col(other) - 1)
+        if own == "_rows":
+            cells = F.transform(along, lambda j: mine * F.col("_columns") + j)
+        else:
+            cells = F.transform(along, lambda i: i * F.col("_columns") + mine)
+        # A key of one side meets nothing, so its rows are dealt without copies.
+        cells = F.when(F.col("_both").isNull(), F.array(F.lit(0))).when(F.col("_both"), cells).otherwise(F.array(mine))
+        return marked.withColumn("_salt", F.explode(cells)).drop("_place", "_rows", "_columns")
+
+    left = dealt(left, "_rows", "_columns").withColumnRenamed("_both", "_left_both")
+    right = dealt(right, "_columns", "_rows").withColumnRenamed("_both", "_right_both")
     return _plain_join(left, right, how, key, ["_salt"])
 
 
@@ -210,6 +210,7 @@ def merge_frames(
     key: str = KEY,
     skew: Skew = Skew(),
     null_keys: str = "match",
+    max_result_rows: int | None = None,
 ) -> DataFrame:
     """Fold frames in order: `outer` keeps all records, `inner` the matching ones."""
     if len(frames) == 1:
@@ -224,7 +225,7 @@ def merge_frames(
         counted = reduce(
             DataFrame.union, [f.withColumn("_file", F.lit(i)) for i, f in enumerate(others)]
         )
-    return fold([first, *owners], counted, len(others), how, key, skew, null_keys)
+    return fold([first, *owners], counted, len(others), how, key, skew, null_keys, max_result_rows)
 
 
 def fold(
@@ -235,19 +236,21 @@ def fold(
     key: str = KEY,
     skew: Skew = Skew(),
     null_keys: str = "match",
+    max_result_rows: int | None = None,
 ) -> DataFrame:
     """Merge files that own columns, and rows (key, _file) of files that own none.
 
     Equal to folding all files one by one: a file without columns repeats each row as
     often as it holds the row's key, and `outer` adds the keys not yet there. Null keys
-    match each other, unless `null_keys="keep"`: then they match nothing.
+    match each other, unless `null_keys="keep"`: then they match nothing. A merge that would
+    make more than `max_result_rows` rows, if given, is refused before it starts.
     """
     if null_keys not in ("match", "keep"):
         raise ValueError(f"unknown null key handling: {null_keys!r}")
     if null_keys == "keep":
         known = [f.filter(F.col(key).isNotNull()) for f in owners]
         known_counted = None if counted is None else counted.filter(F.col(key).isNotNull())
-        merged = fold(known, known_counted, counted_files, how, key, skew)
+        merged = fold(known, known_counted, counted_files, how, key, skew, max_result_rows=max_result_rows)
         if how == "inner":
             return merged
         unknown = [*owners, *([] if counted is None else [counted.select(key)])]
@@ -258,7 +261,7 @@ def fold(
     if len(owners) == 1 and times is None:
         return owners[0]
     found = count_keys(owners, how, key, skew, times)
-    if found.result_rows > MAX_RESULT_ROWS:
+    if max_result_rows is not None and found.result_rows > max_result_rows:
         raise ValueError(
             f"the merge would make {found.result_rows:.4g} rows, {found.null_key_rows:.4g} of them "
             "from null keys, all of which match each other")
@@ -269,7 +272,7 @@ def fold(
     steps = [*owners[1:], *([] if times is None else [_repeat_pieces(times, key)])]
     merged = owners[0]
     for step, hot in zip(steps, found.hot):
-        merged = _join(merged, step, how, key, hot, skew.spread)
+        merged = _join(merged, step, how, key, hot)
     if times is not None:
         copies = F.sequence(F.lit(1).cast("bigint"), F.coalesce("_repeat", F.lit(1).cast("bigint")))
         merged = merged.withColumn("_copy", F.explode(copies)).drop("_copy", "_repeat")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.names import KEY
-from millrace.functions.values import percent
+from millrace.functions.values import percent, present
 
 # Columns whose counters share one aggregation. Wider tables are profiled as a union of
 # narrow aggregations, each reading its own columns only.
@@ -40,12 +40,12 @@ def long_aggregate(
 
 
 def column_nulls(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows (by..., column, rows, nulls)."""
+    """Rows (by..., column, rows, nulls); NaN is missing too."""
     return long_aggregate(
         df, by, columns,
         {
             "rows": lambda c: F.count(F.lit(1)),
-            "nulls": lambda c: F.count_if(F.col(f"`{c}`").isNull()),
+            "nulls": lambda c: F.count_if(present(df, c).isNull()),
         },
     )
 
@@ -93,6 +93,6 @@ def key_stats(df: DataFrame, key: str = KEY, by: Sequence[str] = ()) -> DataFram
     """Rows, non-null keys and distinct keys."""
     return df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count(key).alias("keys"),
-        F.count_distinct(F.col(key)).alias("distinct_keys"),
+        F.count(present(df, key)).alias("keys"),
+        F.count_distinct(present(df, key)).alias("distinct_keys"),
     )

@@ -19,7 +19,11 @@ def is_summary_row(columns: Sequence[str], words: Sequence[str] = SUMMARY_WORDS)
     """True where the row's joined, lower-cased text holds at least two of the words."""
     if not columns:
         return F.lit(False)
-    text = F.lower(F.concat_ws(" ", *[F.col(f"`{c}`").cast("string") for c in columns]))
+    return is_summary_text(F.concat_ws(" ", *[F.col(f"`{c}`").cast("string") for c in columns]), words)
+
+
+def is_summary_text(text: Column, words: Sequence[str] = SUMMARY_WORDS) -> Column:
+    text = F.lower(text)
     return reduce(add, [F.contains(text, F.lit(w)).cast("int") for w in words]) >= SUMMARY_MIN_WORDS
 
 

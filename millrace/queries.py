@@ -286,6 +286,45 @@ def datetime_coercion(spark: SparkSession, folder: str) -> DataFrame:
     return coerce.coerce_dates(messy(spark, folder, "orders", DATES_SPARK), ["o_orderkey"])
 
 
+SPELLINGS = {
+    "date_us": ("M/d/yyyy h:mm:ss a", "t"),
+    "date_us_tight": ("MM/dd/yyyy hh:mma", "date_trunc('minute', t)"),
+    "date_short": ("dd-MMM-yy", "d"),
+    "date_short_clock": ("M/d/yy h:mm a", "date_trunc('minute', t)"),
+    "date_week": ("EEEE, MMMM d, yyyy", "d"),
+    "date_week_short": ("EEE, d MMM yyyy HH:mm:ss", "t"),
+    "date_nano": ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS'789Z'", "t"),
+    "date_words": ("MMMM d yyyy h:mm:ss a", "t"),
+    "date_tight": ("yyyyMMdd HH:mm", "date_trunc('minute', t)"),
+}
+
+
+@query(f"""
+SELECT o_orderkey, {', '.join(f"CASE WHEN o_orderkey % 14 <> 13 THEN CAST({e} AS TIMESTAMP) END AS {c}" for c, (_, e) in SPELLINGS.items())}
+FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d,
+  CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_seconds(o_orderkey % 86400) AS t FROM orders)""")
+def datetime_spellings(spark: SparkSession, folder: str) -> DataFrame:
+    """One column per spelling of a date that exports use; every 14th cell is in another one."""
+    time = "CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP_NTZ) + make_dt_interval(0, 0, 0, o_orderkey % 86400)"
+    cells = {c: f'CASE WHEN o_orderkey % 14 = 13 THEN \'week 3\' ELSE date_format({time}, "{f}") END' for c, (f, _) in SPELLINGS.items()}
+    return coerce.coerce_dates(messy(spark, folder, "orders", {"o_orderkey": "o_orderkey", **cells}), ["o_orderkey"])
+
+
+NAN = "CASE WHEN l_linenumber % 5 = 0 THEN CAST('NaN' AS DOUBLE) WHEN l_linenumber % 7 = 0 THEN NULL ELSE l_discount END"
+
+
+@query(f"""
+WITH t AS (SELECT l_orderkey, l_linenumber, CASE WHEN isnan(d) THEN NULL ELSE d END AS d
+           FROM (SELECT l_orderkey, l_linenumber, {NAN} AS d FROM lineitem))
+SELECT l_orderkey, l_linenumber, coalesce(d, (SELECT median(d) FROM t)) AS d,
+  (SELECT count(*) FROM t WHERE d IS NULL) AS nulls FROM t""")
+def nan_is_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """NaN counts as missing, has no part in the median, and is filled with it."""
+    lines = messy(spark, folder, "lineitem", {"l_orderkey": "l_orderkey", "l_linenumber": "l_linenumber", "d": NAN})
+    missing = profile.null_profile(lines, ["d"]).first()["nulls"]
+    return fills.fill_missing(lines, medians=["d"]).withColumn("nulls", F.lit(missing))
+
+
 # --- duplicates -------------------------------------------------------------------------------
 
 
@@ -396,8 +435,40 @@ FROM {C} a FULL JOIN ({select("orders", HOT_ORDERS)}) b {SAME_KEY}""")
 def merge_outer_hot_key(spark: SparkSession, folder: str) -> DataFrame:
     """A third of all orders share one key, whose rows are spread over many join keys."""
     orders = messy(spark, folder, "orders", HOT_ORDERS)
-    skew = merge.Skew(hot_rows=200, hot_share=1 / 500, spread=16)
-    return merge.merge_frames([*files(spark, folder, "customer"), orders], "outer", skew=skew)
+    return merge.merge_frames([*files(spark, folder, "customer"), orders], "outer", skew=merge.Skew(task_rows=200))
+
+
+BOTH_HEAVY = [
+    CUSTOMER_FILE | {"job_id": "CASE WHEN c_custkey % 20 = 0 THEN {key} ELSE c_custkey END"},
+    ORDERS_FILE | {"job_id": "CASE WHEN o_orderkey % 50 = 0 THEN {key} ELSE o_custkey END"},
+]
+
+
+def both_heavy(key: str) -> list[dict[str, str]]:
+    return [{c: e.format(key=key) if c == "job_id" else e for c, e in f.items()} for f in BOTH_HEAVY]
+
+
+def heavy_sql(key: str) -> str:
+    left, right = (select(n, f) for n, f in zip(("customer", "orders"), both_heavy(key)))
+    return f"""SELECT CASE WHEN a.source_file IS NULL THEN b.job_id ELSE a.job_id END AS job_id,
+  a.name, a.balance, a.source_file, b.order_id FROM ({left}) a FULL JOIN ({right}) b {SAME_KEY}"""
+
+
+def heavy_merge(spark: SparkSession, folder: str, key: str) -> DataFrame:
+    frames = [messy(spark, folder, n, f) for n, f in zip(("customer", "orders"), both_heavy(key))]
+    return merge.merge_frames(frames, "outer", skew=merge.Skew(task_rows=500))
+
+
+@query(heavy_sql("7"))
+def merge_outer_hot_both(spark: SparkSession, folder: str) -> DataFrame:
+    """One key is heavy on both sides: its rows are dealt to a grid of join keys."""
+    return heavy_merge(spark, folder, "7")
+
+
+@query(heavy_sql("NULL"))
+def merge_outer_null_heavy(spark: SparkSession, folder: str) -> DataFrame:
+    """Null keys are many on both sides, and all of them match."""
+    return heavy_merge(spark, folder, "NULL")
 
 
 @query(f"""
@@ -702,11 +773,98 @@ def csv_ragged_rows(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c2").alias("o_orderpriority"))
 
 
-@query("SELECT DISTINCT 'Valid' AS status, '6 columns' AS \"columns\" FROM orders")
+BREAKS = {
+    "doc_id": "doc_id", "text": "CASE WHEN doc_id % 3 = 0 THEN replace(text, '{n}', '{rn}') WHEN doc_id % 7 = 0 "
+    "THEN concat('\"', text, '\"\"{n}{r}') ELSE text END", "lang": "lang",
+}
+
+
+def breaks(n: str, r: str) -> dict[str, str]:
+    return {c: e.format(n=n, r=r, rn=r + n) for c, e in BREAKS.items()}
+
+
+@query(select("documents", breaks("\n", "\r")))
+def csv_quoted_breaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with line breaks and quotes, under a header with one, in a file with CRLF line ends."""
+    documents = messy(spark, folder, "documents", breaks("\\n", "\\r"))
+    field = lambda c: F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))
+    line = F.concat_ws(",", field("doc_id"), field("text"), field("lang"))
+    path = scratch(spark, "breaks")
+    header = spark.createDataFrame([('"doc\r\nid",text,lang', -1)], "line string, place bigint")
+    whole = header.unionAll(documents.select(line.alias("line"), F.col("doc_id").cast("bigint").alias("place")))
+    one = whole.repartition(1).sortWithinPartitions("place").select("line")
+    one.write.option("lineSep", "\r\n").text(path)
+    staged = stage_csv(spark, path, glob="*.txt")
+    return staged.data.select(F.col("c0").cast("bigint").alias("doc_id"), F.col("c1").alias("text"), F.col("c2").alias("lang"))
+
+
+def several_files(spark: SparkSession, folder: str) -> str:
+    """Three tables as files in one folder: two headers, one in latin-1 with rows too long, one that ends inside quotes."""
+    path = scratch(spark, "several")
+    c = table(spark, folder, "customer").orderBy("c_custkey")
+    o = table(spark, folder, "orders").orderBy("o_orderkey")
+    s = table(spark, folder, "supplier").orderBy("s_suppkey")
+    lines = {
+        "customer": ("key,name,link", c.select(F.format_string("%d,%s,https://x/%d", "c_custkey", "c_name", "c_custkey").alias("line"))),
+        "orders": ("key,place,link", o.select(F.concat(
+            F.format_string("%d,caf\u00e9 %s,https://x/%d", "o_orderkey", "o_orderstatus", "o_orderkey"),
+            F.when(F.col("o_orderkey") % 10 == 5, ",more").otherwise("")).alias("line"))),
+        "supplier": ("key,name,link", s.select(F.concat(
+            F.format_string("%d,", "s_suppkey"), F.when(F.col("s_suppkey") == 1, '"').otherwise(""),
+            F.format_string("%s,https://x/%d", "s_name", "s_suppkey")).alias("line"))),
+    }
+    for name, (header, frame) in lines.items():
+        encoding = "ISO-8859-1" if name == "orders" else "UTF-8"
+        writer = frame.withColumnRenamed("line", header).coalesce(1).write.option("header", "true").option("encoding", encoding)
+        writer.option("quote", "\u0000").option("sep", "\u0001").csv(f"{path}/{name}")
+    return path
+
+
+@query("""
+SELECT 'customer' AS file, CAST(c_custkey AS BIGINT) AS key, c_name AS name, CAST(NULL AS VARCHAR) AS place, CAST(c_custkey AS BIGINT) AS job_id FROM customer
+UNION ALL
+SELECT 'orders', o_orderkey, NULL, 'café ' || o_orderstatus, o_orderkey FROM orders WHERE o_orderkey % 10 <> 5""")
+def files_of_two_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of all readable files, each under its own header and in its own encoding."""
+    staged = stage_csv(spark, several_files(spark, folder))
+    at = dict(zip(staged.names, staged.columns))
+    kind = staged.cells(staged.files).filter("column = '" + at["place"] + "'").select("_source", F.lit("orders").alias("_file"))
+    return staged.data.join(F.broadcast(kind), "_source", "left").select(
+        F.coalesce("_file", F.lit("customer")).alias("file"), F.col(at["key"]).cast("bigint").alias("key"),
+        F.col(at["name"]).alias("name"), F.col(at["place"]).alias("place"), F.col("_key").alias("job_id"))
+
+
+@query("""
+SELECT 'customer' AS file, 'utf-8' AS working_encoding, true AS success, (SELECT count(*) FROM customer) AS raw_rows, 0 AS rejected_rows
+UNION ALL SELECT 'orders', 'latin-1', true, (SELECT count(*) FROM orders WHERE o_orderkey % 10 <> 5), (SELECT count(*) FROM orders WHERE o_orderkey % 10 = 5)
+UNION ALL SELECT 'supplier', 'utf-8', false, NULL, 0 FROM (SELECT count(*) FROM supplier)""")
+def files_of_two_headers_status(spark: SparkSession, folder: str) -> DataFrame:
+    """One file is in another encoding and has rows too long; one cannot be read."""
+    status = clean_files(spark, several_files(spark, folder)).status
+    return status.select(
+        F.element_at(F.split("file_path", "/"), -2).alias("file"), "working_encoding", "success", "raw_rows", "rejected_rows")
+
+
+@query("""
+SELECT CAST(c_custkey AS BIGINT) AS key, CAST(c_custkey AS BIGINT) AS job_id FROM customer""")
+def files_without_odd_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """`schema_handling="skip"` leaves out files that lack a column most files have."""
+    path = several_files(spark, folder)
+    again = table(spark, folder, "customer").select("c_custkey", "c_name", F.lit("x").alias("c_link"))
+    again.limit(0).toDF("key", "name", "link").coalesce(1).write.option("header", "true").csv(f"{path}/empty")
+    staged = stage_csv(spark, path, schema_handling="skip")
+    return staged.data.select(F.col("c0").cast("bigint").alias("key"), F.col("_key").alias("job_id"))
+
+
+@query("""SELECT status, "columns", count(*) AS files FROM (
+  SELECT 'Valid' AS status, '3 columns' AS "columns" FROM customer WHERE c_custkey = (SELECT min(c_custkey) FROM customer)
+  UNION ALL SELECT CASE WHEN (SELECT count(*) FROM (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 10) WHERE o_orderkey % 10 = 5) > 0
+    THEN '1 issues' ELSE 'Valid' END, '3 columns'
+  UNION ALL SELECT 'Error: Failed to process file', 'N/A') GROUP BY ALL""")
 def file_table(spark: SparkSession, folder: str) -> DataFrame:
-    path = as_csv(spark, table(spark, folder, "orders"), "orders-csv")
-    shown = reports.file_table(clean_files(spark, path).status)
-    return shown.select("status", "columns").distinct()
+    """One row per file: readable, with a long row among the first ten, not readable."""
+    shown = reports.file_table(clean_files(spark, several_files(spark, folder)).status)
+    return shown.groupBy("status", "columns").agg(F.count(F.lit(1)).alias("files"))
 
 
 @query("""

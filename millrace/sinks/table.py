@@ -37,7 +37,16 @@ class TableTarget:
 
     @property
     def database(self) -> str:
-        return f"`{self.project}`.`{self.dataset}`" if self.catalog else f"`{self.dataset}`"
+        return ".".join(quoted(n) for n in ((self.project, self.dataset) if self.catalog else (self.dataset,)))
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text(value: str) -> str:
+    """A SQL text literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def validate_target(target: TableTarget | None) -> tuple[bool, str]:
@@ -50,11 +59,11 @@ def validate_target(target: TableTarget | None) -> tuple[bool, str]:
     for part in ("project", "dataset", "table"):
         if not getattr(target, part):
             return False, f"Target {part} is required"
-    if len(target.project) > 1 and not re.fullmatch(PROJECT + r"\n?", target.project):
+    if len(target.project) > 1 and not re.fullmatch(PROJECT, target.project):
         return False, f"Invalid project ID format: {target.project}"
-    if not re.fullmatch(NAME + r"\n?", target.dataset):
+    if not re.fullmatch(NAME, target.dataset):
         return False, f"Invalid dataset ID format: {target.dataset}"
-    if not re.fullmatch(NAME + r"\n?", target.table):
+    if not re.fullmatch(NAME, target.table):
         return False, f"Invalid table ID format: {target.table}"
     return True, VALID
 
@@ -68,7 +77,7 @@ def load_table(df: DataFrame, target: TableTarget | None, retries: int = 3) -> d
     valid, message = validate_target(target)
     if not valid:
         return {"success": False, "error": INVALID % message}
-    place = f" LOCATION '{target.location}'" if target.location else ""
+    place = f" LOCATION {text(target.location)}" if target.location else ""
     try:
         df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {target.database}{place}")
     except Exception as error:
@@ -79,7 +88,7 @@ def load_table(df: DataFrame, target: TableTarget | None, retries: int = 3) -> d
         try:
             counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
             counted.write.format(target.format).mode("overwrite").saveAsTable(
-                f"{target.database}.`{target.table}`")
+                f"{target.database}.{quoted(target.table)}")
         except Exception as error:
             problem = error
             continue

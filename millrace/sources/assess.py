@@ -1,4 +1,8 @@
-"""File assessment: encoding, header line, quoting and shape of every file, in one text scan."""
+"""File assessment: encoding, header, quoting and shape of every file, in one text scan.
+
+Files with line breaks inside quotes, or with lone carriage returns, are put together from
+their lines once more; their header is their first record.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from millrace.operators.attach import attach
 from millrace.session import written
+from millrace.sources.records import Records, opens, row_place, without_end
 
 # Fixed values of an assessment.
 UTF8 = "utf-8"
@@ -15,6 +21,7 @@ DELIMITER = ","
 UNDECODED = "Failed to decode file."
 NO_COLUMNS = "No columns to parse from file"
 READ_ERROR = "Pandas read error: "
+UNCLOSED = "Error tokenizing data. C error: EOF inside string"
 TOO_MANY_FIELDS = "Error tokenizing data. C error: Expected %d fields in line %d, saw %d\n"
 TRIAL_ROWS = 10
 FAILED = "Failed to process file"
@@ -78,25 +85,55 @@ def assess_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv"
     """One row per file.
 
     Columns: file_path, file_name, size_mb, working_encoding, likely_delimiter,
-    issues_found, header (decoded header line), multi_line (some line ends inside quotes),
-    lines, max_commas.
+    issues_found, header (decoded header record), multi_line (some line ends inside quotes,
+    or holds a carriage return), lines, max_commas.
     """
-    found = assess_lines(_lines(_reader(spark, glob, recursive).text(path)))
-    found = written(found.withColumn("file_path", decoded_path(F.col("file_path"))), "found")
+    return assess(spark, path, glob, recursive)[0].drop("header_row")
+
+
+def scan_lines(spark: SparkSession, path: str | list[str], glob: str = "*.csv", recursive: bool = True) -> DataFrame:
+    """(_path, _block, _place, value): physical lines, ended by line feeds, of all files."""
+    text = _reader(spark, glob, recursive).option("lineSep", "\n").text(path)
+    return text.select(
+        decoded_path(F.col("_metadata.file_path")).alias("_path"), F.col("_metadata.file_block_start").alias("_block"),
+        row_place().alias("_place"), "value",
+    )
+
+
+def assess(
+    spark: SparkSession, path: str | list[str], glob: str = "*.csv", recursive: bool = True
+) -> tuple[DataFrame, Records | None]:
+    """The assessment, with `header_row` (the header's place), and the records of multi-line files."""
+    lines = scan_lines(spark, path, glob, recursive)
+    named = lines.select(F.col("_path").alias("file_path"), "_block", F.col("_place").alias("_id"), "value")
+    found = written(assess_lines(named), "found")
     files = list_files(spark, path, glob, recursive)
     table = files.join(found, "file_path", "left")
     # Only files with some line longer than the header are looked at again.
     too_long = F.col("_max_fields") > field_count(F.col("header"))
-    suspects = [r[0] for r in found.filter(~F.col("multi_line") & too_long).select("file_path").collect()]
-    if suspects:
-        trial = trial_issues(_lines(spark.read.text(suspects)))
-        trial = trial.withColumn("file_path", decoded_path(F.col("file_path")))
-        table = table.join(trial, "file_path", "left")
-    else:
+    suspects = written(found.filter(~F.col("multi_line") & too_long).select("file_path"), "suspects")
+    if suspects.isEmpty():
         table = table.withColumn("_trial", F.lit(None).cast("string"))
+    else:
+        table = table.join(trial_issues(attach(named, suspects, ["file_path"])), "file_path", "left")
+    several = written(found.filter("multi_line").select(F.col("file_path").alias("_path"), "working_encoding"), "several")
+    records = None
+    if several.isEmpty():
+        table = table.withColumn("_open", F.lit(False))
+    else:
+        text = decoded(F.col("value"), F.col("working_encoding"))
+        records = Records(attach(lines, several, ["_path"]).withColumn("value", text).drop("working_encoding"))
+        first = records.rows(first_only=True).select(
+            F.col("_path").alias("file_path"), F.col("_row").alias("_first_row"), F.col("record").alias("_first_record"))
+        opened = records.unclosed().select(F.col("_path").alias("file_path"), F.lit(True).alias("_open"))
+        table = table.join(first, "file_path", "left").join(opened, "file_path", "left")
+        table = table.withColumn("header", F.when(F.col("multi_line"), F.col("_first_record")).otherwise(F.col("header")))
+        table = table.withColumn("header_row", F.when(F.col("multi_line"), F.col("_first_row")).otherwise(F.col("header_row")))
+    opened = F.coalesce(F.col("_open"), F.lit(False))
     issues = (
         F.when(F.coalesce(F.col("lines"), F.lit(0)) == 0, F.array(F.lit(UNDECODED)))
         .when(F.col("header").isNull(), F.array(F.lit(READ_ERROR + NO_COLUMNS)))
+        .when(opened, F.array(F.lit(READ_ERROR + UNCLOSED)))
         .when(F.col("_trial").isNotNull(), F.array("_trial"))
         .otherwise(F.array().cast("array<string>"))
     )
@@ -107,11 +144,17 @@ def assess_files(spark: SparkSession, path: str | list[str], glob: str = "*.csv"
         F.coalesce("working_encoding", F.lit(UTF8)).alias("working_encoding"),
         F.lit(DELIMITER).alias("likely_delimiter"),
         issues.alias("issues_found"),
-        "header",
+        F.when(~opened, F.col("header")).alias("header"),
         F.coalesce("multi_line", F.lit(False)).alias("multi_line"),
         F.coalesce("lines", F.lit(0)).alias("lines"),
         F.coalesce("max_commas", F.lit(0)).alias("max_commas"),
-    )
+        "header_row",
+    ), records
+
+
+def decoded(text: Column, encoding: Column) -> Column:
+    """Text as read, which is its bytes, in the file's encoding."""
+    return F.when(encoding == LATIN1, F.decode(text.cast("binary"), "ISO-8859-1")).otherwise(text)
 
 
 def assess_lines(lines: DataFrame) -> DataFrame:
@@ -119,20 +162,21 @@ def assess_lines(lines: DataFrame) -> DataFrame:
 
     All state is of fixed size per file: counters, at most four line flags, one line.
     """
-    value = F.col("value")
-    valid, open_quote = F.is_valid_utf8(value), unquoted(value).contains('"')
+    value = without_end(F.col("value"))
+    valid, open_quote = F.is_valid_utf8(value), opens(value) | value.contains("\r")
     flag = (
         F.when(~valid & open_quote, "bytes+quotes").when(~valid, "bytes").when(open_quote, "quotes")
     )
     place = F.when(F.trim(value) != "", F.struct("_block", "_id"))
-    found = lines.select("file_path", "value", flag.alias("_flag"), place.alias("_place")).groupBy(
+    found = lines.select("file_path", value.alias("value"), flag.alias("_flag"), place.alias("_place")).groupBy(
         "file_path"
     ).agg(
         F.collect_set("_flag").alias("_flags"),
         F.min_by("value", "_place").alias("_header"),
+        F.min("_place").alias("_first"),
         F.count(F.lit(1)).alias("lines"),
-        F.max(comma_count(value)).alias("max_commas"),
-        F.max(field_count(value)).alias("_max_fields"),
+        F.max(comma_count(F.col("value"))).alias("max_commas"),
+        F.max(field_count(F.col("value"))).alias("_max_fields"),
     )
     flags = F.col("_flags")
     invalid = F.array_contains(flags, "bytes") | F.array_contains(flags, "bytes+quotes")
@@ -148,15 +192,7 @@ def assess_lines(lines: DataFrame) -> DataFrame:
         "lines",
         "max_commas",
         "_max_fields",
-    )
-
-
-def _lines(text: DataFrame) -> DataFrame:
-    return text.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
-        "value",
+        F.col("_first._id").alias("header_row"),
     )
 
 
@@ -170,9 +206,8 @@ def trial_issues(lines: DataFrame) -> DataFrame:
     first = heads.withColumn(
         "_line", F.row_number().over(W.partitionBy("file_path").orderBy("_id"))
     ).filter(F.col("_line") <= 4 * TRIAL_ROWS)
-    first = first.filter(F.trim("value") != "").select(
-        "file_path", "_line", field_count(F.col("value")).alias("_fields")
-    )
+    value = without_end(F.col("value"))
+    first = first.filter(F.trim(value) != "").select("file_path", "_line", field_count(value).alias("_fields"))
     in_order = W.partitionBy("file_path").orderBy("_line")
     ranked = first.withColumn("_nth", F.row_number().over(in_order))
     # The header and the first row may set the width; later rows may not exceed it.

@@ -1,121 +1,46 @@
-"""CSV scans: all files of one header, encoding and quoting style are one read."""
+"""CSV scans: the lines of all files are one scan, whatever their headers and encodings.
+
+The scan takes the folder, not a list of files. What differs between files (header,
+encoding, place of the header) comes from the assessment by a join, and what differs between
+headers (places of the columns) by another, so the plan has one branch and grows with the
+number of different columns only.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import names as N
 from millrace.functions.keys import first_digits
 from millrace.functions.values import nullify
 from millrace.operators.attach import attach
-from millrace.operators.rows import is_summary_row
+from millrace.operators.rows import is_summary_text
 from millrace.session import prepare, size_shuffles, written
-from millrace.sources.assess import FAILED, LATIN1, SKIPPED, assess_files, decoded_path, field_count, path_name
-from millrace.sources.records import quoted_records, row_place
+from millrace.sources.assess import FAILED, LATIN1, SKIPPED, assess, decoded, field_count, scan_lines
+from millrace.sources.records import Records, without_end
 from millrace.sources.schema import choose_groups
 from millrace.sources.staging import INFERRED, Header, Staged, first_seen
 
-
-# Files with line breaks in quotes are one task each up to this size, and read split by
-# split above it.
-WHOLE_FILE_MB = 256.0
+ALL_LONG = "All rows have more fields than the header"
 
 
 @dataclass(frozen=True)
-class FileGroup:
-    """Files read as one: same header line, encoding and need for multi-line records."""
+class HeaderLine:
+    """A distinct header record, and how many files have it."""
 
     header_line: str
-    encoding: str
-    multi_line: bool
-    large: bool
-    paths: tuple[str, ...]
-    megabytes: float = 0.0
+    files: int
 
 
-def file_groups(assessment: DataFrame) -> list[FileGroup]:
-    """Group readable files. Headers are collected once each, paths as in any file scan."""
-    readable = assessment.filter("header IS NOT NULL")
-    readable = readable.withColumn("large", F.col("multi_line") & (F.col("size_mb") > WHOLE_FILE_MB))
-    kind = ["header", "working_encoding", "multi_line", "large"]
-    found = readable.groupBy(*kind).agg(
-        F.min(F.struct("file_name", "file_path")).alias("first"), F.sum("size_mb").alias("mb")
+def header_lines(assessment: DataFrame) -> list[HeaderLine]:
+    """Distinct headers in the order of their first file; one row each reaches the driver."""
+    found = assessment.filter("header IS NOT NULL").groupBy("header").agg(
+        F.min(F.struct("file_name", "file_path")).alias("first"), F.count(F.lit(1)).alias("files")
     ).collect()
-    if not found:
-        return []
-    found.sort(key=lambda r: r["first"])
-    kinds = [(i, *r[:4]) for i, r in enumerate(found)]
-    numbered = assessment.sparkSession.createDataFrame(
-        kinds, "number int, header string, working_encoding string, multi_line boolean, large boolean")
-    paths: list[list[str]] = [[] for _ in kinds]
-    members = readable.join(numbered, kind).select("number", "file_path")
-    for number, path in members.collect():
-        paths[number].append(path)
-    return [
-        FileGroup(*k[1:], tuple(sorted(p)), r["mb"]) for k, p, r in zip(kinds, paths, found)
-    ]
-
-
-def read_group(spark: SparkSession, group: FileGroup, columns: Sequence[str]) -> DataFrame:
-    """All cells as text. `_bad` holds a row with too many fields, which is to be skipped.
-
-    Rows with too few fields are kept and padded with nulls.
-    """
-    if not group.large:
-        return _scan(spark, group, group.paths, columns)
-    records, odd = quoted_records(spark, group.paths, group.encoding == LATIN1)
-    rows = _parsed(records, columns)
-    # A quote outside a quoted field: only a reader that sees the whole file can tell.
-    return rows.unionByName(_scan(spark, group, odd, columns)) if odd else rows
-
-
-def _options(group_encoding: str | None = None) -> dict[str, str]:
-    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    if group_encoding is not None:
-        options["encoding"] = "ISO-8859-1" if group_encoding == LATIN1 else "UTF-8"
-    return options
-
-
-def _schema(columns: Sequence[str]) -> str:
-    return ", ".join([*[f"{c} string" for c in columns], "_bad string"])
-
-
-def _cells(columns: Sequence[str]) -> list[Column]:
-    too_long = F.when(field_count(F.col("_bad")) > len(columns), F.col("_bad"))
-    return [*[nullify(c).alias(c) for c in columns], too_long.alias("_bad")]
-
-
-def _scan(
-    spark: SparkSession, group: FileGroup, paths: Sequence[str], columns: Sequence[str]
-) -> DataFrame:
-    rows = (
-        spark.read.schema(_schema(columns))
-        .options(**_options(group.encoding))
-        .option("header", "true")
-        .option("multiLine", str(group.multi_line).lower())
-        .option("columnPruning", "false")
-        .csv(list(paths))
-    )
-    return rows.select(
-        decoded_path(F.col("_metadata.file_path")).alias("_path"),
-        row_place().alias("_row"),
-        *_cells(columns),
-    )
-
-
-def _parsed(records: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows of records (_path, _row, record), the first of each file being its header."""
-    full = records.filter(F.trim("record") != "")
-    first = written(full.groupBy("_path").agg(F.min("_row").alias("_first")), "first")
-    body = attach(full, first, ["_path"]).filter(F.col("_row") > F.col("_first"))
-    cells = F.from_csv("record", _schema(columns), _options())
-    return body.select("_path", "_row", cells.alias("_cells")).select(
-        "_path", "_row", "_cells.*").select("_path", "_row", *_cells(columns))
+    return [HeaderLine(r["header"], r["files"]) for r in sorted(found, key=lambda r: r["first"])]
 
 
 def stage_csv(
@@ -133,28 +58,30 @@ def stage_csv(
     Files are known by name, or by path where two share a name.
     """
     prepare(spark)
-    assessment = written(assess_files(spark, path, glob, recursive), "assessment")
-    groups = file_groups(assessment)
-    size_shuffles(spark, sum(g.megabytes for g in groups))
-    names = [path.rsplit("/", 1)[-1] for g in groups for path in g.paths]
-    by = "file_name" if len(names) == len(set(names)) else "file_path"
+    assessment, records = assess(spark, path, glob, recursive)
+    assessment = written(assessment, "assessment")
+    lines = header_lines(assessment)
+    readable = assessment.filter("header IS NOT NULL")
+    total = readable.agg(
+        F.sum("size_mb"), F.count_distinct("file_name") == F.count(F.lit(1)), F.bool_or(F.col("working_encoding") == LATIN1)
+    ).first()
+    size_shuffles(spark, total[0] or 0.0)
+    by = "file_name" if total[1] else "file_path"
     assessment = assessment.withColumn("_source", F.col(by))
-    chosen = choose_groups(groups, schema_handling)
+    chosen = choose_groups(lines, schema_handling)
 
-    parsed: list[tuple[FileGroup, Header]] = []
-    errors = {g.header_line: SKIPPED for g in groups if g not in chosen}
-    groups = chosen
-    for group in groups:
+    parsed: list[tuple[HeaderLine, Header]] = []
+    errors = {line.header_line: SKIPPED for line in lines if line not in chosen}
+    for line in chosen:
         try:
-            original = N.header_names(group.header_line)
-            parsed.append((group, Header.of(original, on_clash, url)))
+            parsed.append((line, Header.of(N.header_names(line.header_line), on_clash, url)))
         except ValueError as error:
-            errors[group.header_line] = str(error)
+            errors[line.header_line] = str(error)
     headers = list(dict.fromkeys(h for _, h in parsed))
     numbers = {h: i for i, h in enumerate(headers)}
-    lines = [(g.header_line, numbers[h], None) for g, h in parsed]
-    lines += [(line, None, message) for line, message in errors.items()]
-    kinds = spark.createDataFrame(list(dict.fromkeys(lines)), "header string, _header int, _error string")
+    kinds = [(line.header_line, numbers[h], None) for line, h in parsed]
+    kinds += [(line, None, message) for line, message in errors.items()]
+    kinds = spark.createDataFrame(kinds, "header string, _header int, _error string")
     # One row per distinct header line.
     files = assessment.join(kinds, "header", "left").withColumn(
         "error",
@@ -163,17 +90,18 @@ def stage_csv(
 
     names = first_seen(headers)
     columns = [f"c{i}" for i in range(len(names))]
-    parts = [
-        _stage_group(spark, group, header, numbers[header], names, by) for group, header in parsed
-    ]
-    if not parts:
-        schema = ", ".join(
-            ["_source string", "_header int", "_row bigint", "_bad string", "_key bigint",
-             "_summary boolean"]
-        )
-        everything = spark.createDataFrame([], schema)
+    if not headers:
+        everything = spark.createDataFrame(
+            [], "_source string, _header int, _row bigint, _bad string, _key bigint, _summary boolean")
     else:
-        everything = written(reduce(DataFrame.union, parts), "staged")
+        table = files.filter("_header IS NOT NULL").select(
+            F.col("file_path").alias("_path"), "_source", "_header", "header_row", "multi_line", "working_encoding")
+        rows = _records(scan_lines(spark, path, glob, recursive), records, written(table, "files"), bool(total[2]))
+        everything = written(_staged(rows, headers, names), "staged")
+        # A file all of whose rows are too long was not read.
+        kept = everything.groupBy("_source").agg(F.bool_and(F.col("_bad").isNotNull()).alias("_all_long"))
+        files = files.join(written(kept.filter("_all_long"), "all_long"), "_source", "left").withColumn(
+            "error", F.coalesce("error", F.when(F.col("_all_long"), F.lit(ALL_LONG)))).drop("_all_long")
     data = everything.filter("_bad IS NULL").drop("_bad")
     rejects = everything.filter("_bad IS NOT NULL").select("_source", "_row", F.col("_bad").alias("record"))
     return Staged(
@@ -187,28 +115,59 @@ def stage_csv(
     )
 
 
-def _stage_group(
-    spark: SparkSession, group: FileGroup, header: Header, number: int, names: list[str], by: str
-) -> DataFrame:
+def _records(lines: DataFrame, records: Records | None, files: DataFrame, latin1: bool) -> DataFrame:
+    """(_source, _header, _row, record) of all files after their headers, decoded, without blank ones."""
+
+    columns = ["_source", "_header", "_row", "record"]
+    plain = lines.select("_path", F.col("_place").alias("_row"), without_end(F.col("value")).alias("record"))
+    single = files if records is None else written(files.filter("NOT multi_line"), "single")
+    rows = attach(plain, single, ["_path"]).filter("_row > header_row")
+    if latin1:
+        rows = rows.withColumn("record", decoded(F.col("record"), F.col("working_encoding")))
+    rows = rows.select(*columns)
+    if records is not None:
+        joined = attach(records.rows(), written(files.filter("multi_line"), "several"), ["_path"])
+        rows = rows.unionAll(joined.filter("_row > header_row").select(*columns))
+    return rows.filter(F.trim("record") != "")
+
+
+def _staged(rows: DataFrame, headers: list[Header], names: list[str]) -> DataFrame:
+    """Rows parsed and laid out as columns c0, c1, ... of all headers.
+
+    `_bad` holds a row with too many fields, which is to be skipped. Rows with too few are
+    kept and padded with nulls.
+    """
+    widest = max(len(h.original) for h in headers)
+    schema = ", ".join([*[f"k{i} string" for i in range(widest)], "_corrupt string"])
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     place = {name: i for i, name in enumerate(names)}
-    own = [f"c{place[name]}" for name in header.cleaned]
-    rows = read_group(spark, group, own)
-    if header.url is None:
-        key = F.lit(None).cast("bigint")
-    else:
-        key = first_digits(F.col(own[header.cleaned.index(header.url)]))
-    tagged = rows.select(
-        (path_name(F.col("_path")) if by == "file_name" else F.col("_path")).alias("_source"),
-        F.lit(number).alias("_header"),
-        "_row",
-        "_bad",
-        key.alias("_key"),
-        is_summary_row(own).alias("_summary"),
-        *own,
+    cells = rows.select("*", F.from_csv("record", schema, options).alias("_cells")).select(
+        "_source", "_header", "_row", "record", "_cells.*")
+    fixed = ["_source", "_header", "_row"]
+    if len(headers) == 1:
+        header = headers[0]
+        own = [nullify(f"k{i}") for i in range(widest)]
+        at = {name: i for i, name in enumerate(header.cleaned)}
+        url = None if header.url is None else own[at[header.url]]
+        return cells.select(
+            *fixed, F.when(field_count(F.col("record")) > widest, F.col("record")).alias("_bad"),
+            (F.lit(None).cast("bigint") if url is None else first_digits(url)).alias("_key"),
+            is_summary_text(F.concat_ws(" ", *own)).alias("_summary"),
+            *[own[at[name]].alias(f"c{i}") for i, name in enumerate(names)],
+        )
+    layout = []
+    for number, header in enumerate(headers):
+        places: list[int | None] = [None] * len(names)
+        for i, name in enumerate(header.cleaned):
+            places[place[name]] = i
+        layout.append((number, len(header.original), None if header.url is None else header.cleaned.index(header.url), places))
+    table = rows.sparkSession.createDataFrame(layout, "_header int, _width int, _url int, _places array<int>")
+    # One row per header: as many numbers as headers times columns.
+    laid = attach(cells, table, ["_header"], size=8 * len(headers) * (len(names) + 3))
+    laid = laid.withColumn("_own", F.array(*[nullify(f"k{i}") for i in range(widest)]))
+    return laid.select(
+        *fixed, F.when(field_count(F.col("record")) > F.col("_width"), F.col("record")).alias("_bad"),
+        first_digits(F.get("_own", F.col("_url"))).alias("_key"),
+        is_summary_text(F.array_join(F.slice("_own", F.lit(1), F.col("_width")), " ")).alias("_summary"),
+        *[F.get("_own", F.get("_places", F.lit(i))).alias(f"c{i}") for i in range(len(names))],
     )
-    # As texts, for there are as many as headers times columns.
-    mine = set(own)
-    padded = [
-        c if c in mine else f"CAST(NULL AS STRING) AS {c}" for c in (f"c{i}" for i in range(len(names)))
-    ]
-    return tagged.selectExpr("_source", "_header", "_row", "_bad", "_key", "_summary", *padded)

@@ -80,7 +80,7 @@ def choose_groups(groups: list, handling: str) -> list:
     weights: dict[tuple, int] = {}
     for g in groups:
         names = tuple(header_names(g.header_line))
-        weights[names] = weights.get(names, 0) + len(g.paths)
+        weights[names] = weights.get(names, 0) + g.files
     files = sum(weights.values())
     if handling == "strict":
         common = set.intersection(*[set(names) for names in weights])

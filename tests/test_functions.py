@@ -103,6 +103,18 @@ def at(*parts):
     (["2024-02-30", "2024-01-10", "01/02/2024"], [None, at(2024, 1, 10), at(2024, 1, 2)]),
     (["bob", "2024-01-10", "01/02/2024", "Jan 5 2024"],
      [None, at(2024, 1, 10), at(2024, 1, 2), at(2024, 1, 5)]),
+    (["1/15/2024 10:30:00 AM", "1/5/2024 1:05:09 PM", "1/5/2024 13:05:09", "1/5/2024"],
+     [at(2024, 1, 15, 10, 30), at(2024, 1, 5, 13, 5, 9), None, None]),
+    (["15-Jan-24", "1-Feb-24", "1/2/24 3:04 pm", "Jan 2024", "31-Dec-99", "x"],
+     [at(2024, 1, 15), at(2024, 2, 1), at(2024, 1, 2, 15, 4), at(2024, 1, 1), at(1999, 12, 31), None]),
+    (["Monday, January 15, 2024", "Tuesday, May 7, 2024", "January 15, 2024", "Mon, January 15, 2024"],
+     [at(2024, 1, 15), at(2024, 5, 7), None, None]),
+    (["May 15, 2024", "January 3, 2024"], [at(2024, 5, 15), at(2024, 1, 3)]),
+    (["Mon, 15 Jan 2024 08:00", "Tue, 16 Jan 2024 09:30"], [at(2024, 1, 15, 8), at(2024, 1, 16, 9, 30)]),
+    (["2024-01-15T10:30:00.123456789Z", "2024-01-16T10:30:00Z", "2024-01-16T10:30:00.5Z"],
+     [at(2024, 1, 15, 10, 30, 0, 123456), None, at(2024, 1, 16, 10, 30, 0, 500000)]),
+    (["20240115", "20240230", "2024-01-15"], [at(2024, 1, 15), None, None]),
+    (["JAN 15, 2024", "January 16, 2024", "2024-01-17"], [at(2024, 1, 15), at(2024, 1, 16), at(2024, 1, 17)]),
 ])
 def test_dates_follow_the_first_value(spark, texts, parsed):
     first = spark.createDataFrame([(texts[0],)], "v string")

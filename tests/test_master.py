@@ -82,6 +82,28 @@ def test_load_overwrites_schema_and_counts(spark, tmp_path):
     assert rows(spark.table("millrace_load.t")) == [("x",)]
 
 
+def test_load_to_a_folder_with_quotes(spark, tmp_path):
+    target = TableTarget("p", "millrace_quoted", "t", location=str(tmp_path / "it's \\ here"))
+    assert load_table(spark.createDataFrame([(1,)], "a int"), target)["success"]
+    assert (tmp_path / "it's \\ here" / "t").exists()
+
+
+def test_a_load_is_tried_again(spark, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    real, calls = DataFrameWriter.saveAsTable, []
+
+    def failing(self, name, *more, **options):
+        calls.append(name)
+        if len(calls) < 3:
+            raise RuntimeError("lost")
+        return real(self, name, *more, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", failing)
+    target = TableTarget("p", "millrace_again", "t", location=str(tmp_path / "db"))
+    assert load_table(spark.createDataFrame([(1,)], "a int"), target)["success"] and len(calls) == 3
+
+
 def test_load_failures(spark, tmp_path):
     frame = spark.createDataFrame([(1,)], "a int")
     refused = load_table(frame, TableTarget(project="test"))
@@ -97,6 +119,7 @@ def test_load_failures(spark, tmp_path):
     ("my-project", "", "my_table", False, "dataset"), ("my-project", "my_dataset", "", False, "table"),
     ("my-project", "123invalid", "my_table", False, "dataset"), ("-", "d", "t", True, "valid"),
     ("a-", "d", "t", False, "project"), ("p", "d", "t-1", False, "table"),
+    ("p", "d\n", "t", False, "dataset"), ("pp\n", "d", "t", False, "project"),
 ])
 def test_target_validation(project, dataset, table, valid, word):
     outcome, message = validate_target(TableTarget(project, dataset, table))

@@ -75,7 +75,7 @@ def pandas_fold(frames, how):
 @pytest.mark.parametrize("repeat", [True, False])
 @pytest.mark.parametrize("hot", [True, False])
 def test_fold_equals_file_by_file(spark, how, repeat, hot):
-    skew = merge.Skew(hot_rows=2, hot_share=0.0, spread=3) if hot else merge.Skew()
+    skew = merge.Skew(task_rows=2) if hot else merge.Skew()
     for seed in range(2):
         both = random_files(spark, seed, repeat)
         columns, want = pandas_fold([p for p, _ in both], how)
@@ -100,12 +100,31 @@ def test_large_repeats_are_cut_to_pieces(spark, monkeypatch):
     assert text_sorted(rows(out)) == text_sorted([(1, "a")] * 5 + [(2, "b")] + [(3, None)] * 3)
 
 
-def test_hot_keys_are_found_with_a_bound(spark):
-    hot = spark.createDataFrame([(7, i) for i in range(50)] + [(i, i) for i in range(50)], "job_id bigint, v int")
-    other = spark.createDataFrame([(7, 1), (8, 1)], "job_id bigint, w int")
-    found = merge.count_keys([other, hot], skew=merge.Skew(hot_rows=10))
-    assert found.most_per_key == 51
-    assert found.hot == [[merge.HotKey(7, False, True)]]
+def test_no_cell_of_a_hot_key_is_above_the_budget(spark):
+    sides = {1: (900, 1), 2: (1, 700), 3: (300, 200), 4: (40, 4000), 5: (500, 0), 6: (0, 450), 7: (3, 4), None: (60, 60)}
+    left = spark.createDataFrame([(k, i) for k, (n, _) in sides.items() for i in range(n)], "job_id bigint, v int")
+    right = spark.createDataFrame([(k, i) for k, (_, n) in sides.items() for i in range(n)], "job_id bigint, w int")
+    found = merge.count_keys([left, right], skew=merge.Skew(task_rows=100))
+    assert found.most_per_key == 4000
+    grids = {r.job_id: r for r in found.hot[0].collect()}
+    assert set(grids) == {1, 2, 3, 4, 5, 6, None}
+    for key, grid in grids.items():
+        n, m = sides[key]
+        assert -(-n // grid._rows) * -(-m // grid._columns) <= 4 * 100
+        assert grid._rows <= max(n, 1) and grid._columns <= max(m, 1) and grid._both == (n > 0 and m > 0)
+    for how in ("outer", "inner"):
+        got = merge.merge_frames([left, right], how, skew=merge.Skew(task_rows=100)).groupBy("job_id").count().collect()
+        want = {k: (n * m if n and m else (n + m) * (how == "outer")) for k, (n, m) in sides.items()}
+        assert {r[0]: r[1] for r in got} == {k: n for k, n in want.items() if n}
+
+
+def test_hot_keys_are_counted_against_rows_made(spark):
+    many = spark.range(3000).select(F.lit(7).alias("job_id"), F.col("id").alias("v"))
+    other = spark.range(3000).select(F.lit(7).alias("job_id"), F.col("id").alias("w"))
+    found = merge.count_keys([many, other])
+    grid = found.hot[0].first()
+    assert grid._rows * grid._columns >= 9 and grid._both
+    assert merge.count_keys([many, other.limit(10)]).hot == [None]
 
 
 def test_stack_aligns_types(spark):
@@ -127,9 +146,9 @@ def test_null_keys_can_be_kept_apart(spark):
     assert rows(merge.merge_frames(frames, "inner", null_keys="keep")) == [(1, "l1", "left", 10)]
 
 
-def test_an_exploding_merge_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(merge, "MAX_RESULT_ROWS", 10)
+def test_an_exploding_merge_is_refused_if_asked_to(spark):
     many = spark.range(8).select(F.lit(None).cast("bigint").alias("job_id"), F.col("id").alias("x"))
     with pytest.raises(ValueError, match="would make 64 rows, 64 of them from null keys"):
-        merge.merge_frames([many, many])
-    assert merge.merge_frames([many, many], null_keys="keep").count() == 16
+        merge.merge_frames([many, many], max_result_rows=10)
+    assert merge.merge_frames([many, many]).count() == 64
+    assert merge.merge_frames([many, many], null_keys="keep", max_result_rows=16).count() == 16

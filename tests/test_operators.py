@@ -133,3 +133,11 @@ def test_text_named_like_a_date_becomes_null_dates(spark):
     out = coerce.coerce_dates(frame, ["i"])
     assert out.dtypes[1] == ("updated_by", "timestamp_ntz")
     assert column(out, "updated_by") == [None, None]
+
+
+def test_nan_is_missing_in_every_operator(spark):
+    frame = spark.createDataFrame([(1, 1.0), (2, 3.0), (3, float("nan")), (4, None)], "i int, v double")
+    assert rows(profile.null_profile(frame, ["v"])) == [("v", 2, 50.0)]
+    assert rows(fills.fill_missing(frame, medians=["v"]), "i") == [(1, 1.0), (2, 3.0), (3, 2.0), (4, 2.0)]
+    assert rows(profile.missing_alerts(frame)) == [("v", 2)]
+    assert profile.drop_sparse_columns(frame, 40).columns == ["i"]
