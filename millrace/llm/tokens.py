@@ -147,7 +147,7 @@ class Encoder:
             cut = pa.array(cut, pa.large_list(pa.large_string()))
         first = cut.offsets.to_numpy() - cut.offsets[0].as_py()
         encoded = cut.flatten().dictionary_encode()
-        distinct, which = encoded.dictionary.to_pylist(), encoded.indices.to_numpy().copy()
+        distinct, which = encoded.dictionary.to_numpy(zero_copy_only=False).tolist(), encoded.indices.to_numpy().copy()
         heads = [distinct[i] for i in which[first[:-1]]]
         which[first[:-1]] = np.arange(len(distinct), len(distinct) + len(heads))
         known = [*self.after_blank(distinct), *self.each(heads)]
