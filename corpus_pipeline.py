@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import importable
+from millrace.llm import prepared
 from millrace.llm.mixing import mixed
 from millrace.llm.packing import pack_documents
 from millrace.llm.simhash import simhash_dedup
@@ -26,17 +26,19 @@ WINDOW, CAPACITY, WEIGHTS = 35, 2048, (1, 2, 3)
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted to be toxic."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = prepared(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity_scores(docs, labels).where("predicted = 0").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHashes of 4-word shingles within 4 bits."""
+    prepared(spark)
     return simhash_dedup(docs, words=4, max_bits=4)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated passages; texts that hold none stay as they are."""
+    prepared(spark)
     found = substring_dedup(docs, window=WINDOW)
     cut = F.col("_sub_removed") > 0
     text = F.when(cut, F.col("_sub_kept")).otherwise(F.col("text"))
@@ -51,6 +53,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents, their ids, and their places in sequences."""
+    prepared(spark)
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY, keep=["doc_id", "lang", "source"])
 
 
@@ -67,7 +70,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = importable(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -313,15 +313,18 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", keep: list[s
     """
     kept = [c for c in (pages.columns if keep is None else keep) if c not in ("text", "n_chars")]
     host = F.lower(F.regexp_extract(F.col(f"`{url}`"), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    rows = pages.select(*[F.col(f"`{c}`") for c in kept], host.alias("_html_host"), F.col(f"`{html}`").alias("_html"))
-    found = join_keyed(rows, templates(rows), ["_html_host"], "left").drop("_html_host")
+    page = F.col(f"`{html}`").alias("_html")
+    own = html if html in kept else "_html"  # carried once
+    rows = pages.select(*[F.col(f"`{c}`") for c in kept], host.alias("_html_host"), *([] if own == html else [page]))
+    recurring = templates(pages.select(host.alias("_html_host"), page))
+    found = join_keyed(rows, recurring, ["_html_host"], "left").drop("_html_host")
     schema = StructType([f for f in found.schema.fields if f.name in kept]).add("text", "string").add("n_chars", "long")
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             column = batch.column("_html_template")
-            for row, page in enumerate(utf8(batch.column("_html"))):
+            for row, page in enumerate(utf8(batch.column(own))):
                 out.append(main_text(page.decode(), set(column[row].as_py() or ())))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in kept], pa.array(out, pa.string()), pa.array(list(map(len, out)), pa.int64())], names=schema.names

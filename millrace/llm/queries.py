@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from millrace.llm import arrow_files, importable
+from millrace.llm import arrow_files, prepared
 from millrace.llm.covertree import top_products
 from millrace.llm.html import extract
 from millrace.llm.mixing import mix
@@ -30,7 +30,7 @@ def query(function):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query

@@ -74,15 +74,17 @@ def fingerprint(text: bytes, words: int) -> int:
 def with_fingerprints(docs: DataFrame, text: str = "text", words: int = 4, keep: list[str] | None = None) -> DataFrame:
     """`docs` (or only its columns `keep`) and `_sim_print`, the fingerprint as a signed bigint."""
     kept = docs.columns if keep is None else keep
-    chosen = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("_sim_text"))
+    body = text if text in kept else "_sim_text"
+    chosen = docs.select(*[F.col(f"`{c}`") for c in kept], *([] if body == text else [F.col(f"`{text}`").alias(body)]))
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(t, words) for t in utf8(batch.column(batch.num_columns - 1))]
+            values = [fingerprint(t, words) for t in utf8(batch.column(body))]
             out = pa.array(np.array(values, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], out], names=[*kept, "_sim_print"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], out], names=[*kept, "_sim_print"])
 
-    return chosen.mapInArrow(prints, StructType([*chosen.drop("_sim_text").schema.fields, StructField("_sim_print", LongType())]))
+    fields = [f for f in chosen.schema.fields if f.name != "_sim_text"]
+    return chosen.mapInArrow(prints, StructType([*fields, StructField("_sim_print", LongType())]))
 
 
 def _blocks(count: int) -> list[tuple[int, int]]:

@@ -202,11 +202,10 @@ def substring_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", win
         raise ValueError("a window has one word at least")
     kept = docs.columns if keep is None else keep
     body = F.col(f"`{text}`")
-    rows = docs.select(
-        *[F.col(f"`{c}`") for c in kept], F.col(f"`{id}`").alias("_sub_id"),
-        F.xxhash64(body).alias("_sub_hash"), body.alias("_sub_text"),
-    )
-    hits = repeats(rows.select("_sub_id", "_sub_hash", "_sub_text"), window)
+    known = [F.col(f"`{id}`").alias("_sub_id"), F.xxhash64(body).alias("_sub_hash")]
+    own = text if text in kept else "_sub_text"  # carried once
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], *known, *([] if own == text else [body.alias(own)]))
+    hits = repeats(docs.select(*known, body.alias("_sub_text")), window)
     joined = join_keyed(rows, hits, ["_sub_id", "_sub_hash"], "left", limit=0).drop("_sub_id", "_sub_hash")
     fields = [f for f in joined.schema.fields if f.name in kept]
     schema = StructType([*fields, StructField("_sub_kept", StringType())]).add("_sub_words", "long").add("_sub_removed", "long")
@@ -214,7 +213,7 @@ def substring_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", win
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, words, gone = [], [], []
-            for body, hits in zip(utf8(batch.column("_sub_text")), batch.column("_sub_hits").to_pylist()):
+            for body, hits in zip(utf8(batch.column(own)), batch.column("_sub_hits").to_pylist()):
                 parts = body.split()
                 out = removed_words(len(parts), [(h["start"], h["hit"]) for h in hits], window) if hits else None
                 stay = parts if out is None else [parts[i] for i in np.flatnonzero(~out)]

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 #: Texts are encoded in runs of about so many bytes; those longer than twice this are cut at blanks between letters.
 RUN_BYTES = 1 << 22
 #: Pieces that a worker remembers at most (some 170 bytes each); then it starts anew.
-REMEMBERED = 1_500_000
+REMEMBERED = 600_000
 
 _CUT = re.compile("[A-Za-z](?= [A-Za-z])")
 _SPACE = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in map(chr, range(0x3001)) if c.isspace()) + "]"

@@ -181,7 +181,7 @@ def _summary(ratio: np.ndarray, lengths: list[int]) -> np.ndarray:
     return out
 
 
-def with_summaries(rows: DataFrame, kept: list[str], parts: list, other: float, scores=None) -> DataFrame:
+def with_summaries(rows: DataFrame, kept: list[str], parts: list, other: float, scores=None, text: str = "_toxic_text") -> DataFrame:
     """`kept` columns and `_toxic_summary`, the numbers that the score is made of (as doubles, in binary).
 
     With `scores`, a function of these numbers, `score` and `predicted` instead. One step per
@@ -189,7 +189,7 @@ def with_summaries(rows: DataFrame, kept: list[str], parts: list, other: float,
     """
     for number, shard in enumerate(parts):
         first, last = number == 0, number == len(parts) - 1
-        names = [*kept, *([] if last else ["_toxic_text"])]
+        names = [*kept, *([] if last else [text])]
         fields = [f for f in rows.schema.fields if f.name in names]
         schema = StructType(list(fields))
         if not last:
@@ -204,7 +204,7 @@ def with_summaries(rows: DataFrame, kept: list[str], parts: list, other: float,
             for batch in _slices(batches):
                 out = []
                 so_far = None if first else batch.column("_toxic_ratio").to_pylist()
-                for at, words in hashed(_texts(batch.column("_toxic_text")), MARKS):
+                for at, words in hashed(_texts(batch.column(text)), MARKS):
                     before, now = _pairs(words)
                     if first:
                         ratio = np.full(len(now), other, dtype=np.float32)
@@ -250,8 +250,9 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
             x = np.stack([np.frombuffer(b) for b in found.column("_toxic_summary").to_pylist()])
             mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
             weights = logistic(np.c_[(x - mean) / scale, np.ones(len(x))], y, ridge=0.1)
-    chosen = docs.select(*[F.col(f"`{c}`") for c in kept], (remainder(F.col(f"`{id}`"), divisor) == held).alias("held_out"), body)
+    chosen = docs.select(*[F.col(f"`{c}`") for c in kept], (remainder(F.col(f"`{id}`"), divisor) == held).alias("held_out"), *([] if text in kept else [body]))
     names = [*kept, "held_out"]
     if weights is None:
         return chosen.drop("_toxic_text").withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0))
-    return with_summaries(chosen, names, parts, other, lambda x: sigmoid(((x - mean) / scale) @ weights[:-1] + weights[-1]))
+    own = text if text in kept else "_toxic_text"
+    return with_summaries(chosen, names, parts, other, lambda x: sigmoid(((x - mean) / scale) @ weights[:-1] + weights[-1]), own)
