@@ -109,7 +109,9 @@ def clean_staged(staged: Staged, options: CleanOptions = CleanOptions()) -> Batc
     facts = column_facts(decisions) if usage else {}
     data = apply_decisions(kept, decisions, staged, usage, facts)
     if options.write_result:
-        data = written(data, "cleaned")
+        # A merge reads each owning file from this table: rows of a file lie together, so the
+        # statistics of row groups and pages leave out the rest.
+        data = written(data.sortWithinPartitions(SOURCE), "cleaned")
     return Batch(
         data, report(decisions, staged), status(data, decisions, staged), decisions,
         staged.extras.get("rejects"),

@@ -698,6 +698,32 @@ def master_inner(spark: SparkSession, folder: str) -> DataFrame:
     return master_of(spark, folder, "inner").data
 
 
+OWNERS = {
+    "customer": ("a.csv", "c_custkey", "c_acctbal", "CAST(NULL AS {text})", "CAST(NULL AS {text})"),
+    "orders": ("b.csv", "o_custkey", "CAST(NULL AS DOUBLE)", "o_orderstatus", "CAST(NULL AS {text})"),
+    "supplier": ("c.csv", "s_suppkey", "CAST(NULL AS DOUBLE)", "CAST(NULL AS {text})", "s_name"),
+}
+
+
+@query("""
+WITH a AS (SELECT DISTINCT CAST(c_custkey AS BIGINT) AS job_id, c_acctbal AS balance FROM customer),
+b AS (SELECT DISTINCT CAST(o_custkey AS BIGINT) AS job_id, o_orderstatus AS status FROM orders),
+c AS (SELECT DISTINCT CAST(s_suppkey AS BIGINT) AS job_id, s_name AS supplier FROM supplier),
+ab AS (SELECT coalesce(a.job_id, b.job_id) AS job_id, balance, status, CASE WHEN a.job_id IS NOT NULL THEN 'a.csv' END AS source_file
+       FROM a FULL JOIN b ON a.job_id = b.job_id)
+SELECT coalesce(ab.job_id, c.job_id) AS job_id, balance, status, supplier, source_file FROM ab FULL JOIN c ON ab.job_id = c.job_id""")
+def master_outer_owners(spark: SparkSession, folder: str) -> DataFrame:
+    """Three files, each the only one to have a column, merged from the table of cleaned rows."""
+    parts = [
+        table(spark, folder, name).selectExpr(
+            f"'{file}' AS file", f"concat('https://x/', CAST({key} AS STRING)) AS link",
+            *[f"{e.format(text='STRING')} AS {c}" for e, c in zip(cells, ("balance", "status", "supplier"))])
+        for name, (file, key, *cells) in OWNERS.items()
+    ]
+    rows_ = parts[0].unionAll(parts[1]).unionAll(parts[2])
+    return build_master(clean_table(rows_, source="file"), "outer").data
+
+
 @query(f"WITH {EXPORT_SQL} SELECT * FROM cleaned")
 def master_concat(spark: SparkSession, folder: str) -> DataFrame:
     return master_of(spark, folder, "concat").data

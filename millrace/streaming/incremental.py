@@ -1,17 +1,41 @@
-"""Cleaning only the files that are new since the last run.
+"""Cleaning only the files that are new or changed since the last run.
 
-The file stream keeps the ledger of files seen in its checkpoint; every run takes what
-is new, cleans it as one batch and ends. A batch writes to a folder of its own, so a
-repeated batch overwrites itself and no file is cleaned twice or lost.
+A file is known by path, modification time and size. The ledger is a table of the files of
+every batch; a run lists the folder, takes what the ledger does not have, cleans it as one
+batch and enters it. A batch writes to a folder of its own before it is entered, so a run
+that was lost repeats it and overwrites what it left: no file is cleaned twice or lost. A
+changed file is cleaned again in a later batch, and `current` drops what it had before.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.functions.names import SOURCE
 from millrace.plans.clean import CleanOptions, clean_files
+from millrace.sources.assess import decoded_path
 
-_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+KNOWN = "path string, modified timestamp, size bigint, batch bigint"
+OUTPUTS = ("data", "report", "status")
+
+
+def _listed(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """(path, modified, size) of the files below `path`; contents are not read."""
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
+    )
+    found = files.select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"))
+    # A scan skips empty files; the listing has them.
+    every = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string").select(decoded_path(F.col("path")).alias("path"))
+    found = found.withColumn("path", decoded_path(F.col("path")))
+    return every.join(found, "path", "left").withColumn("size", F.coalesce("size", F.lit(0)))
+
+
+def _ledger(spark: SparkSession, folder: str) -> DataFrame:
+    empty = spark.createDataFrame([], KNOWN)
+    empty.write.mode("append").parquet(folder)  # so that there is a table to read
+    return spark.read.schema(KNOWN).parquet(folder)
 
 
 def clean_new_files(
@@ -20,34 +44,34 @@ def clean_new_files(
     output: str,
     ledger: str,
     glob: str = "*.csv",
-    max_files: int | None = None,
+    max_files: int = 10_000,
     options: CleanOptions = CleanOptions(),
-) -> None:
-    """Write `output/{data,report,status}/batch=N` for the new files below `path`.
+) -> int:
+    """Write `output/{data,report,status}/batch=N` for the new and changed files below `path`.
 
-    `ledger` is the stream's checkpoint folder; `max_files` splits a large backlog.
+    Returns the number of batches; one has at most `max_files` files, the oldest first.
     """
-    stream = (
-        spark.readStream.format("binaryFile")
-        .schema(_FILES)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-    )
-    if max_files is not None:
-        stream = stream.option("maxFilesPerTrigger", max_files)
-
-    def clean(files: DataFrame, batch: int) -> None:
-        paths = [row[0] for row in files.select("path").collect()]  # contents are not read
-        if not paths:
-            return
-        done = clean_files(spark, paths, glob, options=options)
-        for name, frame in (("data", done.data), ("report", done.report), ("status", done.status)):
-            frame.write.mode("overwrite").parquet(f"{output}/{name}/batch={batch}")
-
-    query = (
-        stream.load(path).select("path").writeStream.foreachBatch(clean)
-        .option("checkpointLocation", ledger)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    batches = 0
+    while True:
+        known = _ledger(spark, ledger)
+        listed, seen = _listed(spark, path, glob), known.drop("batch")
+        match = (listed["path"] == seen["path"]) & listed["modified"].eqNullSafe(seen["modified"]) & (listed["size"] == seen["size"])
+        new = listed.join(seen, match, "left_anti").orderBy("modified", "path").limit(max_files).collect()
+        if not new:
+            return batches
+        number = (known.agg(F.max("batch")).first()[0] or 0) + 1 if not known.isEmpty() else 0
+        done = clean_files(spark, [row["path"] for row in new], glob, options=options)
+        for name, frame in zip(OUTPUTS, (done.data, done.report, done.status)):
+            frame.write.mode("overwrite").parquet(f"{output}/{name}/batch={number}")
+        entered = spark.createDataFrame([(*row, number) for row in new], KNOWN)
+        entered.coalesce(1).write.mode("append").parquet(ledger)
+        batches += 1
+
+
+def current(spark: SparkSession, output: str, name: str = "data") -> DataFrame:
+    """Rows of all batches, of each file those of its last batch only; by file name."""
+    status = spark.read.parquet(f"{output}/status")
+    last = status.groupBy(F.col("file_name").alias(SOURCE)).agg(F.max("batch").alias("batch"))
+    rows = spark.read.option("mergeSchema", "true").parquet(f"{output}/{name}")
+    rows = rows.withColumnRenamed("file_name", SOURCE) if name == "status" else rows
+    return rows.join(last, [SOURCE, "batch"], "left_semi")

@@ -6,7 +6,7 @@ import pytest
 from conftest import column, rows
 
 from millrace import TableTarget, build_master, clean_files, load_table, save_master, validate_target
-from millrace.streaming.incremental import clean_new_files
+from millrace.streaming.incremental import clean_new_files, current
 
 FILES = {
     "a.csv": "link,x\nu/1,p\nu/2,q\n",
@@ -83,9 +83,9 @@ def test_load_overwrites_schema_and_counts(spark, tmp_path):
 
 
 def test_load_to_a_folder_with_quotes(spark, tmp_path):
-    target = TableTarget("p", "millrace_quoted", "t", location=str(tmp_path / "it's \\ here"))
+    target = TableTarget("p", "millrace_quoted", "t", location=str(tmp_path / "it's here"))
     assert load_table(spark.createDataFrame([(1,)], "a int"), target)["success"]
-    assert (tmp_path / "it's \\ here" / "t").exists()
+    assert (tmp_path / "it's here" / "t").exists()
 
 
 def test_a_load_is_tried_again(spark, tmp_path, monkeypatch):
@@ -138,3 +138,14 @@ def test_only_new_files_are_cleaned(spark, folder, tmp_path):
     assert rows(status.select("batch", "file_name", "cleaned_rows"), "batch") == [(0, "a.csv", 2), (1, "b.csv", 3)]
     data = spark.read.option("mergeSchema", "true").parquet(f"{out}/data")
     assert column(data, "job_id", "job_id") == [1, 2, 2, 2, 3]
+
+
+def test_changed_files_are_cleaned_again(spark, folder, tmp_path):
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+    path = folder({"a.csv": "id,link\n1,x/1\n", "b.csv": "id,link\n5,x/5\n", "none.csv": ""})
+    assert clean_new_files(spark, path, out, ledger, max_files=2) == 2
+    assert clean_new_files(spark, path, out, ledger) == 0
+    folder({"a.csv": "id,link\n1,x/1\n2,x/2\n"})
+    assert clean_new_files(spark, path, out, ledger) == 1
+    assert column(current(spark, out), "job_id", "job_id") == [1, 2, 5]
+    assert sorted(column(current(spark, out, "status"), "source_file")) == ["a.csv", "b.csv", "none.csv"]

@@ -83,5 +83,20 @@ def test_shuffles_start_large_enough(spark):
 
 
 def test_only_a_few_lines_per_file_are_shuffled_for_the_trial(spark, folder):
-    text = spark.read.text(folder({"a.csv": "a,b\n" + "1,2,3\n" * 50}))
-    assert "WindowGroupLimit" in plan(assess.trial_issues(assess._lines(text)))
+    lines = assess.scan_lines(spark, folder({"a.csv": "a,b\n" + "1,2,3\n" * 50}))
+    named = lines.select(F.col("_path").alias("file_path"), "_block", F.col("_place").alias("_id"), "value")
+    assert "WindowGroupLimit" in plan(assess.trial_issues(named))
+
+
+def test_an_owner_reads_its_own_rows_of_the_cleaned_table(spark):
+    from millrace import clean_table
+
+    rows_ = spark.range(400_000).selectExpr(
+        "concat('f', id % 8, '.csv') AS file", "concat('x/', id) AS link", *[f"CASE WHEN id % 8 = {i} THEN rand({i}) END AS v{i}" for i in range(8)])
+    batch = clean_table(rows_, source="file")
+    one = batch.data.filter("source_file = 'f3.csv'")
+    assert "PushedFilters: [IsNotNull(source_file), EqualTo(source_file,f3.csv)]" in plan(one)
+    # Rows of a file lie together in every file of the table.
+    changes = batch.data.selectExpr("_metadata.file_path AS p", "_metadata.row_index AS i", "source_file AS s").selectExpr(
+        "p", "s", "lag(s) OVER (PARTITION BY p ORDER BY i) AS before").filter("before IS NOT NULL AND s <> before").groupBy("p").count()
+    assert all(r[1] <= 7 for r in rows(changes))
