@@ -39,11 +39,18 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
-def logistic(features: np.ndarray, label: np.ndarray, ridge: float = 1.0, steps: int = 25) -> np.ndarray:
-    """Weights of a logistic model, by Newton steps over chunks of rows."""
+def logistic(features: np.ndarray, label: np.ndarray, ridge: float = 1.0, steps: int = 25, constant: bool = False) -> np.ndarray:
+    """Weights of a logistic model, by Newton steps over chunks of rows.
+
+    If the last feature is the `constant` one, its weight is left free: with few rows the
+    model then tends to the share of label 1.
+    """
     weights = np.zeros(features.shape[1])
+    penalty = np.full(len(weights), float(ridge))
+    if constant:
+        penalty[-1] = 1e-6
     for _ in range(steps):
-        gradient, hessian = -ridge * weights, ridge * np.eye(len(weights))
+        gradient, hessian = -penalty * weights, np.diag(penalty)
         for at in range(0, len(features), 1 << 14):
             x, y = features[at : at + (1 << 14)].astype(np.float64), label[at : at + (1 << 14)]
             p = sigmoid(x @ weights)

@@ -48,6 +48,8 @@ EXPRESSION = 4
 RARE = 3
 WINDOWS = (1, 2, 4, 8, 32)
 SAMPLE_ROWS = 20_000
+#: What the weights of the score are held back by, in rows: a few labels prove little.
+RIDGE = 2.0
 SHARD_ROWS = 1 << 22
 #: Rows of an Arrow batch that a task works on at once.
 SLICE_ROWS = 512
@@ -249,7 +251,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
         if len(np.unique(y)) == 2:
             x = np.stack([np.frombuffer(b) for b in found.column("_toxic_summary").to_pylist()])
             mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-            weights = logistic(np.c_[(x - mean) / scale, np.ones(len(x))], y, ridge=0.1)
+            weights = logistic(np.c_[(x - mean) / scale, np.ones(len(x))], y, ridge=RIDGE, constant=True)
     chosen = docs.select(*[F.col(f"`{c}`") for c in kept], (remainder(F.col(f"`{id}`"), divisor) == held).alias("held_out"), *([] if text in kept else [body]))
     names = [*kept, "held_out"]
     if weights is None:
