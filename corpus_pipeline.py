@@ -52,9 +52,9 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents, their ids, and their places in sequences."""
+    """The pieces of the documents, their ids (16 bits each), and their places in sequences."""
     prepared(spark)
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY, keep=["doc_id", "lang", "source"])
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY, keep=["doc_id", "lang", "source"], id_bits=16)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

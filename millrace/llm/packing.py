@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace.llm.tokens import encoded
+from millrace.llm.tokens import encoded, id_type
 from millrace.session import written
 
 #: Rows of a chunk, of all lengths together, and the least number of chunks.
@@ -40,11 +40,15 @@ CHUNK_ROWS = 1 << 20
 LEAST_CHUNKS = 64
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """`docs`' columns, or only `keep`, with `piece`, `start`, `length` and `ids` (unsigned 32-bit, little-endian).
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, text: str = "text", keep: list[str] | None = None, id_bits: int = 32) -> DataFrame:
+    """`docs`' columns, or only `keep`, with `piece`, `start`, `length` and `ids` (unsigned, little-endian).
 
-    Columns of `docs` with one of those names are replaced.
+    `id_bits` of 16 halves the ids, for vocabularies that fit. Columns of `docs` with one of
+    those names are replaced.
     """
+    if id_bits not in (16, 32) or id_bits == 16 and id_type(tokenizer).itemsize > 2:
+        raise ValueError(f"ids of this vocabulary have no {id_bits} bits")
+    kind = f"<u{id_bits // 8}"
     own = ("piece", "start", "length", "ids")
     kept = [c for c in (docs.columns if keep is None else keep) if c not in own]
     chosen = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("_pack_text"))
@@ -58,7 +62,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
             for low in range(0, batch.num_rows, 2048):
                 rows, piece, start, length, ids = [], [], [], [], []
                 for row, tokens in enumerate(encoded(texts.slice(low, 2048), tokenizer), low):
-                    tokens = np.concatenate([tokens, end]).astype("<u4")
+                    tokens = np.concatenate([tokens, end]).astype(kind)
                     for number, at in enumerate(range(0, len(tokens), capacity)):
                         part = tokens[at : at + capacity]
                         rows.append(row), piece.append(number), start.append(at), length.append(len(part)), ids.append(part.tobytes())
@@ -190,6 +194,6 @@ def pack(items: DataFrame, capacity: int = 2048, length: str = "length") -> Data
     return numbered.mapInArrow(placed, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, text: str = "text", keep: list[str] | None = None, id_bits: int = 32) -> DataFrame:
     """The pieces of `docs`, with their ids, each with its `sequence_id` and `offset`."""
-    return pack(pieces(docs, tokenizer, capacity, end_id, text, keep), capacity)
+    return pack(pieces(docs, tokenizer, capacity, end_id, text, keep, id_bits), capacity)
