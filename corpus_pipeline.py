@@ -22,6 +22,8 @@ from millrace.session import written
 
 #: Words of a repeated passage, tokens of a sequence, and the weights along the sources.
 WINDOW, CAPACITY, WEIGHTS = 35, 2048, (1, 2, 3)
+#: Pieces that a worker remembers: fewer than alone, since workers serve the other stages too.
+REMEMBERED = 600_000
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +56,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents, their ids (16 bits each), and their places in sequences."""
     prepared(spark)
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY, keep=["doc_id", "lang", "source"], id_bits=16)
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), CAPACITY, keep=["doc_id", "lang", "source"], id_bits=16, remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -40,10 +40,11 @@ CHUNK_ROWS = 1 << 20
 LEAST_CHUNKS = 64
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, text: str = "text", keep: list[str] | None = None, id_bits: int = 32) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, text: str = "text", keep: list[str] | None = None, id_bits: int = 32, remembered: int | None = None) -> DataFrame:
     """`docs`' columns, or only `keep`, with `piece`, `start`, `length` and `ids` (unsigned, little-endian).
 
-    `id_bits` of 16 halves the ids, for vocabularies that fit. Columns of `docs` with one of
+    `id_bits` of 16 halves the ids, for vocabularies that fit. `remembered`: pieces of text
+    that a worker remembers the ids of, for tasks that have less memory. Columns of `docs` with one of
     those names are replaced.
     """
     if id_bits not in (16, 32) or id_bits == 16 and id_type(tokenizer).itemsize > 2:
@@ -61,7 +62,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int =
             texts = batch.column("_pack_text")
             for low in range(0, batch.num_rows, 2048):
                 rows, piece, start, length, ids = [], [], [], [], []
-                for row, tokens in enumerate(encoded(texts.slice(low, 2048), tokenizer), low):
+                for row, tokens in enumerate(encoded(texts.slice(low, 2048), tokenizer, remembered), low):
                     tokens = np.concatenate([tokens, end]).astype(kind)
                     for number, at in enumerate(range(0, len(tokens), capacity)):
                         part = tokens[at : at + capacity]
@@ -194,6 +195,6 @@ def pack(items: DataFrame, capacity: int = 2048, length: str = "length") -> Data
     return numbered.mapInArrow(placed, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, text: str = "text", keep: list[str] | None = None, id_bits: int = 32) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0, text: str = "text", keep: list[str] | None = None, id_bits: int = 32, remembered: int | None = None) -> DataFrame:
     """The pieces of `docs`, with their ids, each with its `sequence_id` and `offset`."""
-    return pack(pieces(docs, tokenizer, capacity, end_id, text, keep, id_bits), capacity)
+    return pack(pieces(docs, tokenizer, capacity, end_id, text, keep, id_bits, remembered), capacity)

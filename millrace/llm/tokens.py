@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 #: Texts are encoded in runs of about so many bytes; those longer than twice this are cut at blanks between letters.
 RUN_BYTES = 1 << 22
 #: Pieces that a worker remembers at most (some 170 bytes each); then it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 1_500_000
 
 _CUT = re.compile("[A-Za-z](?= [A-Za-z])")
 _SPACE = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in map(chr, range(0x3001)) if c.isspace()) + "]"
@@ -62,8 +62,8 @@ def _plain_tokenizer(whole):
 class Encoder:
     """Encodes pieces that follow a blank; `remembered` has the ids of those that it knows."""
 
-    def __init__(self, path: str):
-        self.tokenizer = tokenizer(path)
+    def __init__(self, path: str, most: int):
+        self.tokenizer, self.most = tokenizer(path), most
         self.remembered: dict[str, bytes] = {}
         self.plain = _plain_tokenizer(self.tokenizer)
         self.lowers = json.loads(self.tokenizer.to_str())["normalizer"] is not None
@@ -129,7 +129,7 @@ class Encoder:
         missing = [p for p, x in zip(distinct, out) if x is None]
         if not missing:
             return out
-        if len(known) + len(missing) > REMEMBERED:
+        if len(known) + len(missing) > self.most:
             known.clear()
         new = self._after_blank(missing)
         known.update(zip(missing, new))
@@ -160,8 +160,8 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, most: int) -> Encoder:
+    return Encoder(path, most)
 
 
 def _parts(text: str) -> list[str]:
@@ -175,9 +175,9 @@ def _parts(text: str) -> list[str]:
     return [*parts, text[at:]]
 
 
-def encoded(column: pa.Array, path: str) -> Iterator[np.ndarray]:
+def encoded(column: pa.Array, path: str, remembered: int | None = None) -> Iterator[np.ndarray]:
     """The ids of each text in order, without special tokens; null is the empty text."""
-    run = encoder(path).run
+    run = encoder(path, REMEMBERED if remembered is None else remembered).run
     column = column.cast(pa.large_string()).fill_null("")
     sizes = pc.binary_length(column).to_numpy()
     at = 0
