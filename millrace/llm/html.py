@@ -5,11 +5,14 @@ headers, footers, sidebars, forms, scripts, styles) or by what their class, id o
 (adverts, notices, comments, ...) are left out, and so is all outside the article, if the page
 has one. What is left can still be the site's: every element's subtree is hashed, the
 hashes are counted over the pages of a host in Spark, and subtrees that recur across many
-of its pages are deleted. Outside an article that means a tenth of the host's pages, at
-least TEMPLATE_PAGES; inside an article, where copies of a document recur too, over half of
-them.
-
-Counts are partial sums before the shuffle, so a hot host is no hot task. A host's
+of its pages are deleted. Pages of which the same is left are copies and count as one, so
+only what recurs around differing content is a template. Outside an article that means a
+tenth of the host's differing pages, at least TEMPLATE_PAGES of them (of fewer than three
+times as many, a third); inside an article half of them, at least INSIDE_PAGES. A host of
+fewer than TEMPLATE_PAGES differing pages has no templates.
+
+Copies are grouped by (host, digest) before subtrees are counted, and both counts are partial
+sums before the shuffle, so neither a hot host nor a group of copies is a hot task. A host's
 recurring subtrees are few, since each needs its share of the host's pages; they are joined
 to the pages from a written table.
 
@@ -31,15 +34,15 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from millrace.llm.joins import join_keyed
 from millrace.llm.words import utf8
 from millrace.session import written
 
-#: A subtree recurs if it is on so many pages of its host at least,
+#: A subtree recurs if it is on so many pages of its host at least (on a host of few differing pages, copies count),
 TEMPLATE_PAGES = 5
-#: and on this share of them: outside an article, and inside one.
+#: and on this share of its differing pages: outside an article, and inside one.
 OUTSIDE_SHARE, INSIDE_SHARE, INSIDE_PAGES = 0.1, 0.5, 20
 
 # Elements of HTML by their role here.
@@ -249,15 +252,22 @@ def _hashed(element: Element, inside: bool, out: list[tuple[int, Element, bool]]
     return value
 
 
-def _trees(page: str) -> tuple[list[Element], list[tuple[int, Element, bool]]]:
+def _trees(page: str) -> tuple[list[Element], list[tuple[int, Element, bool]], bool, bytes]:
+    """What structure leaves of a page, its subtrees, whether it is of articles, and a digest of it all."""
+    import xxhash
+
     root = parse(page)
     articles = _articles(root)
     found: list[tuple[int, Element, bool]] = []
+    digest = xxhash.xxh3_128()
     for top in articles or [root]:
         for part in top.parts:
             if isinstance(part, Element):
-                _hashed(part, bool(articles), found)
-    return articles or [root], found
+                digest.update(b"\x02" + _hashed(part, bool(articles), found))
+            else:
+                digest.update(b"\x01" + part.encode("utf-8", "surrogatepass"))
+        digest.update(b"\x03")
+    return articles or [root], found, bool(articles), digest.digest()
 
 
 def subtrees(page: str) -> set[tuple[int, bool]]:
@@ -267,7 +277,7 @@ def subtrees(page: str) -> set[tuple[int, bool]]:
 
 def main_text(page: str, template: set[int]) -> str:
     """The blocks of the article, or of the page if it has none, without the template's subtrees."""
-    tops, found = _trees(page)
+    tops, found, _, _ = _trees(page)
     gone = {id(element) for value, element, _ in found if value in template} if template else set()
     blocks: list[str] = []
 
@@ -286,23 +296,26 @@ def main_text(page: str, template: set[int]) -> str:
 def templates(pages: DataFrame) -> DataFrame:
     """(_html_host, _html_template): per host the hashes of subtrees that recur across its pages."""
     fields = pages.select("_html_host").schema.fields
-    schema = StructType(fields).add("hash", "long").add("inside", "boolean")
+    schema = StructType(fields).add("inside", "boolean").add("digest", "binary").add("hashes", ArrayType(LongType()))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, hashes, inside = [], [], []
-            for row, page in enumerate(utf8(batch.column(1))):
-                for value, within in subtrees(page.decode()):
-                    rows.append(row), hashes.append(value), inside.append(within)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(hashes, pa.int64()), pa.array(inside, pa.bool_())], names=schema.names
-            )
-
-    counted = pages.select("_html_host", "_html").mapInArrow(found, schema).groupBy("_html_host", "hash", "inside").count()
-    counted = written(counted.where(F.col("count") >= TEMPLATE_PAGES), "html_subtrees")
-    hosts = written(pages.groupBy("_html_host").agg(F.count("*").alias("pages")), "html_hosts")
-    least = F.when(F.col("inside"), F.greatest(F.lit(INSIDE_PAGES), F.lit(INSIDE_SHARE) * F.col("pages"))).otherwise(OUTSIDE_SHARE * F.col("pages"))
-    recurring = join_keyed(counted, hosts, ["_html_host"], "inner").where(F.col("count") >= least)
+            inside, digests, hashes = [], [], []
+            for page in utf8(batch.column(1)):
+                _, subtrees_, within, digest = _trees(page.decode())
+                inside.append(within), digests.append(digest), hashes.append(sorted({value for value, _, _ in subtrees_}))
+            columns = [batch.column(0), pa.array(inside, pa.bool_()), pa.array(digests, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    differing = pages.select("_html_host", "_html").mapInArrow(found, schema).groupBy("_html_host", "inside", "digest")
+    differing = written(differing.agg(F.count("*").alias("copies"), F.first("hashes").alias("hashes")), "html_pages")
+    hosts = written(differing.groupBy("_html_host").agg(F.count("*").alias("pages")), "html_hosts")
+    counted = differing.select("_html_host", "inside", "copies", F.explode("hashes").alias("hash"))
+    counted = counted.groupBy("_html_host", "hash", "inside").agg(F.count("*").alias("around"), F.sum("copies").alias("rows"))
+    counted = written(counted.where((F.col("around") > 1) & (F.col("rows") >= TEMPLATE_PAGES)), "html_subtrees")
+    few = F.least(F.lit(TEMPLATE_PAGES), F.col("pages") / 3)
+    least = F.when(F.col("inside"), F.greatest(F.lit(INSIDE_PAGES), INSIDE_SHARE * F.col("pages"))).otherwise(F.greatest(few, OUTSIDE_SHARE * F.col("pages")))
+    recurring = join_keyed(counted, hosts.where(F.col("pages") >= TEMPLATE_PAGES), ["_html_host"], "inner").where(F.col("around") >= least)
     return written(recurring.groupBy("_html_host").agg(F.collect_set("hash").alias("_html_template")), "html_templates")
 
 

@@ -49,6 +49,19 @@ def test_templates_of_a_host_go(spark):
     assert extract(frame.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("article", [True, False])
+def test_copies_of_a_page_are_no_template(spark, article):
+    def page(i, body):
+        body = f"<article>{body}</article>" if article else f"<div>{body}</div>"
+        return i, f"https://a.com/{i}", f"<body><nav>{i}</nav>{'' if article else '<div><p>Call us</p></div>'}{body}</body>", 0
+
+    copies = [page(i, "<h1>T</h1><p>same</p><p>copy</p>") for i in range(30)]
+    own = [page(i, f"<p>page {i}</p>{'<p>copy</p>' if i == 35 else ''}") for i in range(30, 40)]
+    frame = spark.createDataFrame(copies + own, "page_id int, url string, html string, n_chars int")
+    got = {r.page_id: r.text for r in extract(frame).collect()}
+    assert got == {i: "T\n\nsame\n\ncopy" if i < 30 else f"page {i}" + ("\n\ncopy" if i == 35 else "") for i in range(40)}
+
+
 def test_subtrees_are_counted_like_a_plain_count(spark):
     pages = [(i, "http://h/x", f"<div><p>{i % 3}</p><p>x</p></div><div><p>{i % 2}</p></div>") for i in range(40)]
     frame = spark.createDataFrame(pages, "i int, _html_host string, _html string").select("_html_host", "_html")
