@@ -4,7 +4,8 @@ A file is known by path, modification time and size. The ledger is a table of th
 every batch; a run lists the folder, takes what the ledger does not have, cleans it as one
 batch and enters it. A batch writes to a folder of its own before it is entered, so a run
 that was lost repeats it and overwrites what it left: no file is cleaned twice or lost. A
-changed file is cleaned again in a later batch, and `current` drops what it had before.
+changed file is cleaned again in a later batch, and `current` drops what it had before. Files
+are told apart by their paths: those of equal names in several folders are files of their own.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.names import SOURCE
 from millrace.plans.clean import CleanOptions, clean_files
-from millrace.sources.assess import decoded_path
+from millrace.sources.assess import decoded_path, path_name
 
 KNOWN = "path string, modified timestamp, size bigint, batch bigint"
 OUTPUTS = ("data", "report", "status")
@@ -69,9 +70,18 @@ def clean_new_files(
 
 
 def current(spark: SparkSession, output: str, name: str = "data") -> DataFrame:
-    """Rows of all batches, of each file those of its last batch only; by file name."""
+    """Rows of all batches, of each file those of its last batch only.
+
+    A file goes by its name, as in its batch, or by its path if another has the same name.
+    """
     status = spark.read.parquet(f"{output}/status")
-    last = status.groupBy(F.col("file_name").alias(SOURCE)).agg(F.max("batch").alias("batch"))
+    last = status.groupBy(F.col("file_path").alias("_path")).agg(F.max_by(F.struct("batch", "file_name"), "batch").alias("_last"))
+    last = last.select("_path", path_name(F.col("_path")).alias("_name"), F.col("_last.batch").alias("_batch"), F.col("_last.file_name").alias("_file"))
+    shared = last.groupBy(F.col("_name").alias("_shared")).count().where("count > 1").drop("count")
+    last = last.join(shared, last["_name"] == shared["_shared"], "left")
+    last = last.select("_batch", "_file", F.when(F.col("_shared").isNull(), F.col("_name")).otherwise(F.col("_path")).alias("_called"))
     rows = spark.read.option("mergeSchema", "true").parquet(f"{output}/{name}")
     rows = rows.withColumnRenamed("file_name", SOURCE) if name == "status" else rows
-    return rows.join(last, [SOURCE, "batch"], "left_semi")
+    names = rows.columns
+    found = rows.join(last, (rows[SOURCE] == last["_file"]) & (rows["batch"] == last["_batch"]))
+    return found.withColumn(SOURCE, F.col("_called")).select(*[F.col(f"`{c}`") for c in names])

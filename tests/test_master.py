@@ -149,3 +149,22 @@ def test_changed_files_are_cleaned_again(spark, folder, tmp_path):
     assert clean_new_files(spark, path, out, ledger) == 1
     assert column(current(spark, out), "job_id", "job_id") == [1, 2, 5]
     assert sorted(column(current(spark, out, "status"), "source_file")) == ["a.csv", "b.csv", "none.csv"]
+
+
+def test_files_of_equal_names_in_two_folders_are_kept(spark, folder, tmp_path):
+    out, ledger = str(tmp_path / "out"), str(tmp_path / "ledger")
+    path = folder({})
+    folder({"part-0.csv": "id,link\n1,x/1\n", "only.csv": "id,link\n9,x/9\n"}, "in/day=1")
+    assert clean_new_files(spark, path, out, ledger) == 1
+    folder({"part-0.csv": "id,link\n2,x/2\n"}, "in/day=2")
+    assert clean_new_files(spark, path, out, ledger) == 1
+    found = rows(current(spark, out).select("job_id", "source_file"), "job_id")
+    assert [(k, s.rsplit("/in/")[-1]) for k, s in found] == [(1, "day=1/part-0.csv"), (2, "day=2/part-0.csv"), (9, "only.csv")]
+    assert {s for _, s in found} == set(column(current(spark, out, "status"), "source_file")) == set(column(current(spark, out, "report"), "source_file"))
+    # Both change in one batch, where the names clash; then one of them alone.
+    folder({"part-0.csv": "id,link\n1,x/1\n3,x/3\n"}, "in/day=1")
+    folder({"part-0.csv": "id,link\n2,x/2\n4,x/4\n"}, "in/day=2")
+    assert clean_new_files(spark, path, out, ledger) == 1
+    folder({"part-0.csv": "id,link\n5,x/5\n"}, "in/day=2")
+    assert clean_new_files(spark, path, out, ledger) == 1
+    assert column(current(spark, out), "job_id", "job_id") == [1, 3, 5, 9]
