@@ -79,7 +79,7 @@ NAMED_UNLESS = frozenset("header banner notice notices notification alert discus
 CONTENT = frozenset("article post entry content story text title body main".split())
 NAMED_ARTICLE = frozenset("comment comments reply ad ads advert promo promoted sponsored related teaser".split())
 LAYOUT = ("has-", "has_", "with-", "no-", "is-", "layout-")
-#: Elements deeper than this are read as part of the one around them.
+#: What elements deeper than this hold is read as part of the one around them; what is dropped is dropped at any depth.
 DEPTH = 256
 
 _TOKEN = re.compile(
@@ -120,7 +120,9 @@ def parse(page: str) -> Element:
     """The page's elements that hold blocks, each block's text decoded and trimmed."""
     root = Element("", False)
     open_: list[Element] = [root]
+    tags = Counter()  # of open elements
     text: list[str] = []
+    deep: dict[tuple[str, bool], Element] = {}  # one element for all alike, of the last parts they share
 
     def flush() -> None:
         if text:
@@ -132,9 +134,10 @@ def parse(page: str) -> Element:
     def close(depth: int) -> None:
         if any(e.tag in BLOCK for e in open_[depth:]):
             flush()
+        tags.subtract(e.tag for e in open_[depth:])
         del open_[depth:]
 
-    at, deeper = 0, Counter()
+    at = 0
     while at < len(page):
         start = page.find("<", at)
         if start < 0:
@@ -161,12 +164,9 @@ def parse(page: str) -> Element:
             continue
         tracked = tag in BLOCK or tag in DROPPED
         if closing:
-            if deeper[tag]:
-                deeper[tag] -= 1
+            if tag == "p" and not tags["p"]:
                 flush()
-            elif tag == "p" and not any(e.tag == "p" for e in open_):
-                flush()
-            elif tracked:
+            elif tracked and tags[tag]:
                 for depth in range(len(open_) - 1, 0, -1):
                     if open_[depth].tag == tag:
                         close(depth)
@@ -186,27 +186,33 @@ def parse(page: str) -> Element:
             if tag == "hr":
                 flush()
             continue
-        if len(open_) > DEPTH:
-            deeper[tag] += tracked
-            flush()
-            continue
         if tag in BLOCK:
             flush()
             if open_[-1].tag == "p":
                 close(len(open_) - 1)
             for other in CLOSES.get(tag, ()):
+                if not tags[other]:
+                    continue
                 for depth in range(len(open_) - 1, 0, -1):
                     if open_[depth].tag == other:
                         close(depth)
                         break
                     if open_[depth].tag in SCOPES:
                         break
-        inside = any(e.tag in ARTICLE for e in open_)
+        inside = any(tags[t] for t in ARTICLE)
         header = tag == "header" and not inside
-        element = Element(tag if tracked else f"~{tag}", open_[-1].dropped or tag in DROPPED or named or header)
-        if not element.dropped:
-            open_[-1].parts.append(element)
+        around, own = open_[-1], tag if tracked else f"~{tag}"
+        dropped = around.dropped or tag in DROPPED or named or header
+        if len(open_) > DEPTH:
+            element = deep.get((own, dropped))
+            if element is None or element.parts is not around.parts:
+                element = deep[own, dropped] = Element(own, dropped, around.parts)
+        else:
+            element = Element(own, dropped)
+            if not dropped:
+                around.parts.append(element)
         open_.append(element)
+        tags[own] += 1
     flush()
     return root
 

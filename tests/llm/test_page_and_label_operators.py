@@ -36,6 +36,13 @@ def test_main_text(page, text):
     assert main_text(page, set()) == text
 
 
+@pytest.mark.parametrize("tag, levels", [("div", 255), ("div", 300), ("section", 3000)])
+def test_what_is_dropped_is_dropped_at_any_depth(tag, levels):
+    inner = "<p>a <span class=ad>no <span>n</span> no</span> b</p><nav><div>no</div><p>no</nav><div class='ad'><div>no</div>no</div><form>no</form><ul><li class=ad>no<li>c</ul>"
+    for end in ("", f"</{tag}>" * levels):
+        assert main_text(f"<{tag}>" * levels + inner + end + "<p>d<aside>no</aside>", set()) == "a b\n\nc\n\nd"
+
+
 def test_templates_of_a_host_go(spark):
     box = "<div><p>Call us now</p></div>"
     own = [(i, f"https://a.com/{i}", f"<body>{box}<div><p>page {i}</p></div></body>") for i in range(12)]
