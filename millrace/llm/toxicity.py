@@ -15,8 +15,10 @@ where both classes agree.
 
 A text's log-likelihoods are compared per word, over the whole text and over its best windows
 of WINDOWS words: insults are few words of a long text. A logistic model of these
-length-normalised differences, fitted on the driver from at most `sample` labelled rows of
-each label of a part that the counts have not seen, makes the score.
+length-normalised differences makes the score. It is fitted on the driver from at most
+`sample` labelled rows of each label of a third of the training part, whose differences are by
+a model of the other two thirds: the third's own counts are subtracted. All documents are then
+scored by the model of all labelled rows.
 
 The model is one table of (hash, log ratio), written and read in shards of SHARD_ROWS rows.
 Each shard is sent to all tasks, one shard per step, so no broadcast grows with the corpus.
@@ -81,27 +83,40 @@ def _pair_key(before: np.ndarray, now: np.ndarray) -> np.ndarray:
 
 
 def counts(rows: DataFrame) -> DataFrame:
-    """(before, word, toxic, ordinary): how often each pair of words is in texts of either label."""
+    """(before, word, toxic, ordinary, toxic_apart, ordinary_apart): how often each pair of words is in texts of either label.
+
+    The last two are of the rows with `_apart` only, if there is such a column.
+    """
+    schema = "before bigint, word bigint, toxic int, ordinary int, toxic_apart int, ordinary_apart int"
+    names = [field.split()[0] for field in schema.split(", ")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            texts, label = _texts(batch.column(1)), batch.column(0).to_numpy()
+            texts, label = _texts(batch.column(2)), batch.column(0).to_numpy()
+            part = batch.column(1).to_numpy(zero_copy_only=False)
             for at, words in hashed(texts, MARKS):
                 before, now = _pairs(words)
                 if not len(now):
                     continue
-                toxic = np.repeat(label[at : at + len(words)], list(map(len, words)))
+                lengths = list(map(len, words))
+                toxic = np.repeat(label[at : at + len(words)], lengths)
+                apart = np.repeat(part[at : at + len(words)], lengths)
                 order = np.lexsort((before, now))
-                before, now, toxic = before[order], now[order], toxic[order].astype(np.int64)
+                before, now, toxic, apart = before[order], now[order], toxic[order].astype(np.int64), apart[order].astype(np.int64)
                 new = np.flatnonzero(np.r_[True, (now[1:] != now[:-1]) | (before[1:] != before[:-1])])
-                t = np.add.reduceat(toxic, new)
-                n = np.diff(np.r_[new, len(now)])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(before[new].view(np.int64)), pa.array(now[new].view(np.int64)), pa.array(t.astype(np.int32)), pa.array((n - t).astype(np.int32)),
-                ], names=["before", "word", "toxic", "ordinary"])
+                n, t, m, u = (np.add.reduceat(x, new) for x in (np.ones_like(toxic), toxic, apart, toxic * apart))
+                found = [before[new].view(np.int64), now[new].view(np.int64), *(x.astype(np.int32) for x in (t, n - t, u, m - u))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=names)
+
+    apart = F.col("_apart") if "_apart" in rows.columns else F.lit(False).alias("_apart")
+    found = rows.select("_label", apart, "_toxic_text").mapInArrow(count, schema)
+    return found.groupBy("before", "word").agg(*[F.sum(c).alias(c) for c in names[2:]])
 
-    found = rows.select("_label", "_toxic_text").mapInArrow(count, "before bigint, word bigint, toxic int, ordinary int")
-    return found.groupBy("before", "word").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+
+def without_apart(pairs: DataFrame) -> DataFrame:
+    """The counts of the rows without `_apart`."""
+    left = [(F.col(c) - F.col(f"{c}_apart")).alias(c) for c in ("toxic", "ordinary")]
+    return pairs.select("before", "word", *left).where("toxic + ordinary > 0")
 
 
 def _discounted(count, total: float, rest: float, base):
@@ -109,8 +124,12 @@ def _discounted(count, total: float, rest: float, base):
 
 
 def model(rows: DataFrame) -> tuple[DataFrame, float] | None:
-    """(entry, word, value): log ratios of words, and of expressions by (before, word); and that of other words."""
-    pairs = written(counts(rows), "toxic_pairs")
+    """The `ratios` of labelled rows."""
+    return ratios(written(counts(rows), "toxic_pairs"))
+
+
+def ratios(pairs: DataFrame) -> tuple[DataFrame, float] | None:
+    """(before, word, value): log ratios of words, and of expressions by (before, word); and that of other words."""
     words = written(pairs.groupBy("word").agg(
         F.count("*").alias("n"), F.sum((F.col("toxic") > 0).cast("int")).alias("t"), F.sum((F.col("ordinary") > 0).cast("int")).alias("o"),
     ), "toxic_words")
@@ -230,28 +249,33 @@ def with_summaries(rows: DataFrame, kept: list[str], parts: list, other: float,
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", divisor: int = 4, held: int = 2, sample: int = SAMPLE_ROWS, keep: list[str] | None = None) -> DataFrame:
     """`docs` (or only its columns `keep`) with `held_out`, `score` and `predicted`.
 
-    Labels are learned from ids whose crc32 modulo `divisor` is not `held`: a third of them
-    (by another hash) for the score, the rest for the counts.
+    Labels are learned from ids whose crc32 modulo `divisor` is not `held`. All are counted; a
+    third of them (by another hash) is for the weights, under a model without that third.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("held_out", "score", "predicted")]
     body = F.col(f"`{text}`").alias("_toxic_text")
     known_ = known(labels, id, label).where(remainder(F.col("_label_id"), divisor) != held)
-    fold = F.pmod(F.xxhash64(F.lit("fold"), "_label_id"), F.lit(3))
+    apart = F.pmod(F.xxhash64(F.lit("fold"), "_label_id"), F.lit(3)) == 0
     rows = docs.select(F.col(f"`{id}`").alias("_label_id"), body)
-    counted = written(known_.where(fold != 0), "toxic_counted")
-    made = model(labelled(rows, counted))
+    counted = written(known_.withColumn("_apart", apart), "toxic_counted")
+    pairs = written(counts(labelled(rows, counted)), "toxic_pairs")
+    made = ratios(without_apart(pairs))
     weights = mean = scale = None
     parts, other = [], 0.0
     if made:
         table, other = made
         parts = shards(docs.sparkSession, table)
-        picked = sampled(known_.where(fold == 0), sample)
+        picked = sampled(known_.where(apart), sample)
         found = with_summaries(labelled(rows, picked).select("_label", "_toxic_text"), ["_label"], parts, other).toArrow()
+        for part in parts:
+            part.destroy()
         y = found.column("_label").to_numpy().astype(np.float64)
         if len(np.unique(y)) == 2:
             x = np.stack([np.frombuffer(b) for b in found.column("_toxic_summary").to_pylist()])
             mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
             weights = logistic(np.c_[(x - mean) / scale, np.ones(len(x))], y, ridge=RIDGE, constant=True)
+            table, other = ratios(pairs)
+            parts = shards(docs.sparkSession, table)
     chosen = docs.select(*[F.col(f"`{c}`") for c in kept], (remainder(F.col(f"`{id}`"), divisor) == held).alias("held_out"), *([] if text in kept else [body]))
     names = [*kept, "held_out"]
     if weights is None:

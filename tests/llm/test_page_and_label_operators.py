@@ -182,6 +182,28 @@ def test_kneser_ney_counts_and_ratios_against_a_plain_model(spark):
     assert wanted and np.allclose(sorted(r["value"] for r in table.where("before IS NOT NULL").collect()), sorted(wanted), atol=1e-4)
 
 
+def test_toxic_words_of_every_training_row_count(spark):
+    """A word that only the rows for the weights hold is known to the model that scores."""
+    from pyspark.sql import functions as F
+
+    rows, labels, truth = labelled_rows(4, 600)
+    fold = {r.id: r.fold for r in spark.range(600).select("id", F.expr("pmod(xxhash64('fold', id), 3) AS fold")).collect()}
+    marked = {i for i, _, t in labels if t and fold[i] == 0}
+    rows = [(i, f"{t} w1 zork w2 zork w3 zork w4 zork" if i in marked else t, *x) for i, t, *x in rows]
+    clean = "w1 w2 w3 w4 w5 w1 w2 w1"
+    rows += [(1000, clean, "en", "s", 0), (1001, clean.replace("w5", "zork"), "en", "s", 0), (1002, clean.replace("w5", "unseen"), "en", "s", 0)]
+    got = {r.doc_id: r.score for r in toxicity_scores(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS), keep=["doc_id"]).collect()}
+    assert len(marked) > 10 and got[1001] > got[1002] + 0.1 and got[1001] > got[1000]
+
+
+def test_counts_without_a_part_are_those_of_the_rest(spark):
+    rows, _, truth = labelled_rows(5, 200)
+    labelled = spark.createDataFrame([(truth[r[0]][2], r[0] % 3 == 0, r[1]) for r in rows if r[0] in truth], "_label int, _apart boolean, _toxic_text string")
+    columns = ["before", "word", "toxic", "ordinary"]
+    got = toxicity.without_apart(toxicity.counts(labelled)).select(columns).collect()
+    assert Counter(got) == Counter(toxicity.counts(labelled.where("NOT _apart")).select(columns).collect())
+
+
 def toxicity_words(text):
     import re
 
