@@ -7,11 +7,12 @@ neighbours, which copies of a text do not raise:
     P_c(w)   = max(N_c(.w) - D, 0) / N_c(..) + g_c P(w)           N: distinct words before w
     P(w)     = (N(.w) + 1) / (N(..) + words + 1)                  both classes: the shared backoff
     P_c(w|v) = (1 - g(v)) max(C_c(vw) - D, 0) / C_c(v.) + g(v) P_c(w)     for expressions vw that
-                                                                  toxic texts hold often
+                                                                  texts of either class hold often
 
 g_c and g(v) hand on what the discounts take; g(v) is of both classes together, so for all
-other pairs the two models differ by P_c(w) alone. Rare words are left to the shared backoff,
-where both classes agree.
+other pairs the two models differ by P_c(w) alone. Words of few neighbours have no entry of
+their own and are left to the shared backoff, where both classes agree; an expression has its
+entry however few neighbours its words have.
 
 A text's log-likelihoods are compared per word, over the whole text and over its best windows
 of WINDOWS words: insults are few words of a long text. A logistic model of these
@@ -44,9 +45,9 @@ from millrace.llm.words import MARKS, hashed, mix, utf8
 from millrace.session import written
 
 DISCOUNT = 2.0
-#: Pairs of words that so many places of toxic texts hold have an entry of their own.
+#: Pairs of words that so many places of the texts of one class hold have an entry of their own.
 EXPRESSION = 4
-#: Words with so few distinct neighbours in both classes are left to the backoff.
+#: Words with fewer distinct neighbours in both classes are left to the backoff, unless they are in an expression.
 RARE = 3
 WINDOWS = (1, 2, 4, 8, 32)
 SAMPLE_ROWS = 20_000
@@ -123,16 +124,29 @@ def _discounted(count, total: float, rest: float, base):
     return F.greatest(count - DISCOUNT, F.lit(0.0)) / F.lit(total) + F.lit(rest) * base
 
 
-def model(rows: DataFrame) -> tuple[DataFrame, float] | None:
+def model(rows: DataFrame, pruned: bool = True) -> tuple[DataFrame, float] | None:
     """The `ratios` of labelled rows."""
-    return ratios(written(counts(rows), "toxic_pairs"))
+    pairs = written(counts(rows), "toxic_pairs")
+    return ratios(pairs, neighbours(pairs), "all", pruned)
 
 
-def ratios(pairs: DataFrame) -> tuple[DataFrame, float] | None:
-    """(before, word, value): log ratios of words, and of expressions by (before, word); and that of other words."""
-    words = written(pairs.groupBy("word").agg(
-        F.count("*").alias("n"), F.sum((F.col("toxic") > 0).cast("int")).alias("t"), F.sum((F.col("ordinary") > 0).cast("int")).alias("o"),
-    ), "toxic_words")
+def neighbours(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Sums by word and by the word before, of all rows (`_all`) and of those without `_apart` (`_rest`)."""
+    words, contexts = [], []
+    for kind, (t, o) in {"all": (F.col("toxic"), F.col("ordinary")), "rest": (F.expr("toxic - toxic_apart"), F.expr("ordinary - ordinary_apart"))}.items():
+        words += [F.sum((c > 0).cast("int")).alias(f"{name}_{kind}") for name, c in (("n", t + o), ("t", t), ("o", o))]
+        contexts += [F.sum(c).alias(f"{name}_{kind}") for name, c in (("ct", t), ("co", o), ("taken", F.least(t + o, F.lit(DISCOUNT))))]
+    return written(pairs.groupBy("word").agg(*words), "toxic_words"), written(pairs.groupBy("before").agg(*contexts), "toxic_contexts")
+
+
+def ratios(pairs: DataFrame, near: tuple[DataFrame, DataFrame], kind: str, pruned: bool = False) -> tuple[DataFrame, float] | None:
+    """(before, word, value): log ratios of words, and of expressions by (before, word); and that of other words.
+
+    `pruned` leaves only expressions that are often in toxic texts, of words that have an entry.
+    """
+    pairs = without_apart(pairs) if kind == "rest" else pairs
+    words, contexts = (t.select(t.columns[0], *[F.col(c).alias(c.removesuffix(f"_{kind}")) for c in t.columns if c.endswith(f"_{kind}")]) for t in near)
+    words = words.where("n > 0")
     taken = lambda c: F.sum(F.least(F.col(c), F.lit(DISCOUNT)))
     total = words.agg(
         F.count("*").alias("words"), F.sum("n").alias("n"), F.sum("t").alias("t"), F.sum("o").alias("o"), taken("t").alias("dt"), taken("o").alias("do"),
@@ -144,16 +158,14 @@ def ratios(pairs: DataFrame) -> tuple[DataFrame, float] | None:
     p_t = _discounted(F.col("t"), float(total["t"]), rest_t, base)
     p_o = _discounted(F.col("o"), float(total["o"]), rest_o, base)
     other = float(np.log(rest_t / rest_o))
-    singles = words.where((F.col("t") >= RARE) | (F.col("o") >= RARE)).select("word", p_t.alias("p_t"), p_o.alias("p_o"))
-    contexts = pairs.groupBy("before").agg(
-        F.sum("toxic").alias("ct"), F.sum("ordinary").alias("co"), F.sum(F.least(F.col("toxic") + F.col("ordinary"), F.lit(DISCOUNT))).alias("taken")
-    )
-    often = written(pairs.where((F.col("toxic") >= EXPRESSION) & (F.col("before") != 0)), "toxic_expressions")
-    contexts = written(contexts.join(often.select("before").distinct(), "before", "left_semi"), "toxic_contexts")
-    singles = written(singles, "toxic_singles")
+    known_word = (F.col("t") >= RARE) | (F.col("o") >= RARE)
+    each = words.select("word", p_t.alias("p_t"), p_o.alias("p_o"), known_word.alias("known"))
+    singles = each.where("known")
+    frequent = (F.col("toxic") >= EXPRESSION) | (F.lit(not pruned) & (F.col("ordinary") >= EXPRESSION))
+    often = written(pairs.where(frequent & (F.col("before") != 0)), "toxic_expressions")
     g = F.col("taken") / (F.col("ct") + F.col("co"))
     pair = lambda c, n, p: (1 - g) * F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.greatest(F.col(n), F.lit(1)) + g * F.col(p)
-    expressions = often.join(contexts, "before").join(singles, "word")
+    expressions = often.join(contexts, "before").join(singles if pruned else each, "word")
     expressions = expressions.select("before", "word", F.log(pair("toxic", "ct", "p_t") / pair("ordinary", "co", "p_o")).alias("value"))
     table = singles.select(F.lit(None).cast("bigint").alias("before"), "word", F.log(F.col("p_t") / F.col("p_o")).alias("value")).union(expressions)
     return written(table.withColumn("value", F.col("value").cast("float")), "toxic_model"), other
@@ -259,7 +271,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
     rows = docs.select(F.col(f"`{id}`").alias("_label_id"), body)
     counted = written(known_.withColumn("_apart", apart), "toxic_counted")
     pairs = written(counts(labelled(rows, counted)), "toxic_pairs")
-    made = ratios(without_apart(pairs))
+    near = neighbours(pairs)
+    made = ratios(pairs, near, "rest")
     weights = mean = scale = None
     parts, other = [], 0.0
     if made:
@@ -274,7 +287,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text
             x = np.stack([np.frombuffer(b) for b in found.column("_toxic_summary").to_pylist()])
             mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
             weights = logistic(np.c_[(x - mean) / scale, np.ones(len(x))], y, ridge=RIDGE, constant=True)
-            table, other = ratios(pairs)
+            table, other = ratios(pairs, near, "all")
             parts = shards(docs.sparkSession, table)
     chosen = docs.select(*[F.col(f"`{c}`") for c in kept], (remainder(F.col(f"`{id}`"), divisor) == held).alias("held_out"), *([] if text in kept else [body]))
     names = [*kept, "held_out"]

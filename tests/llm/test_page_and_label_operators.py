@@ -196,6 +196,15 @@ def test_toxic_words_of_every_training_row_count(spark):
     assert len(marked) > 10 and got[1001] > got[1002] + 0.1 and got[1001] > got[1000]
 
 
+def test_frequent_expressions_of_words_with_one_neighbour_count(spark):
+    rows = [(1, f"a{i} absolute xyz b{i % 3}") for i in range(9)] + [(0, f"a{i} plain vwx b{i % 4}") for i in range(9)]
+    table, other = toxicity.model(spark.createDataFrame(rows, "_label int, _toxic_text string"), pruned=False)
+    key = {w: int(h[0].view(np.int64)) for w in ("absolute", "xyz", "plain", "vwx") for _, (h,) in toxicity.hashed([w.encode()], toxicity.MARKS)}
+    value = {(r.before, r.word): r.value for r in table.collect()}
+    assert (None, key["xyz"]) not in value
+    assert value[key["absolute"], key["xyz"]] > 2 + other and value[key["plain"], key["vwx"]] < other - 2
+
+
 def test_counts_without_a_part_are_those_of_the_rest(spark):
     rows, _, truth = labelled_rows(5, 200)
     labelled = spark.createDataFrame([(truth[r[0]][2], r[0] % 3 == 0, r[1]) for r in rows if r[0] in truth], "_label int, _apart boolean, _toxic_text string")
