@@ -69,15 +69,18 @@ class CoverTree:
             far = distances(own, points[middle], squares[middle]).max()
             centre.append(middle), radius.append(far)
             if b - a > leaf and far > 0:
-                reach, place, rest = far / SCALE, a, own
-                # Children cover the node: each takes what is near the first point not yet covered.
+                # Children cover the node: the first takes what is near the centre, each other what is near
+                # the first point not yet covered. The farthest point is never near the centre, so
+                # every child is smaller than its node.
+                reach, place, rest, pivot = far / SCALE, a, own, middle
                 while len(rest):
-                    near = distances(rest, points[rest[0]], squares[rest[0]]) <= reach
-                    near[0] = True
+                    near = (distances(rest, points[pivot], squares[pivot]) <= reach) | (rest == pivot)
                     part = rest[near]
                     order[place : place + len(part)] = part
                     queue.append((place, place + len(part)))
                     place, rest = place + len(part), rest[~near]
+                    pivot = rest[0] if len(rest) else pivot
+                assert len(queue) - first[-1] > 1
             last.append(len(queue))
         self.order = order
         self.centre, self.low, self.high = np.array(centre), np.array(low), np.array(high)
