@@ -19,6 +19,7 @@ from millrace.llm.simhash import simhash_components
 from millrace.llm.substrings import substring_dedup
 from millrace.llm.toxicity import toxicity_scores
 from millrace.llm.vectors import vector_components
+from millrace.llm.whitening import whitened
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -197,3 +198,13 @@ def op8_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality, learned from the labels of four fifths of the ids."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_scores(docs, labels, divisor=5, held=0, keep=["doc_id"])
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first 32 components of all vectors, each with variance 1."""
+    found = whitened(table(spark, sf_dir, "embeddings"), components=32, scale=64.0, offset=1_000_000)
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "on")
+    return found.select("vec_id", "n", "deviation", "identity_error", each).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "on.whitened", "on.explained", "identity_error"
+    )
