@@ -15,6 +15,7 @@ from millrace.llm.html import extract
 from millrace.llm.mixing import mix
 from millrace.llm.packing import pack, pieces
 from millrace.llm.quality import quality_scores
+from millrace.llm.runs import periodic_runs
 from millrace.llm.simhash import simhash_components
 from millrace.llm.substrings import substring_dedup
 from millrace.llm.toxicity import toxicity_scores
@@ -208,3 +209,32 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "n", "deviation", "identity_error", each).select(
         "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "on.whitened", "on.explained", "identity_error"
     )
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): the words of a tenth of the documents repeat with a period from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    chosen = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    n = F.expr("nullif(greatest(size(words), 0), 0)")
+    a = (F.col("g") % n).cast("int")
+    p = (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    chosen = chosen.withColumn("n", n).withColumn("a", a).withColumn("p", p)
+    block = F.slice("words", F.col("a") + 1, F.col("p"))
+    again = F.flatten(F.array_repeat(block, F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")))
+    changed = F.slice(F.concat(F.slice("words", F.lit(1), F.col("a")), again), F.lit(1), F.col("n"))
+    return chosen.select("doc_id", F.when(F.col("n") > 0, F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of 4 periods and 6 words or more of every document, and its words without their repeats."""
+    found = periodic_runs(_planted(table(spark, sf_dir, "documents")), least=6, repeats=4, keep=["doc_id"])
+    best = F.array_max(F.transform("_run_found", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("_run_found", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    found = found.withColumn("best", best)
+    return found.select(
+        "doc_id", F.size("_run_found").cast("bigint").alias("n_runs"), (-F.col("best.start")).alias("start"), "best.length",
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("_run_kept", 256).alias("collapsed_sha256"),
+    )

@@ -13,8 +13,9 @@ import numpy as np
 #: What a task holds of texts at once, in bytes; one longer document is cut at white space.
 SLICE_BYTES = 1 << 20
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes that part words.
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
 #: Bytes that part words of letters and digits: all other ASCII characters.
@@ -83,7 +84,7 @@ def _hash_block(block: bytes, between: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return start, _BYTES.of(sums, start, end)
 
 
-def hashed(texts: list[bytes], between: np.ndarray = _SPACE) -> Iterator[tuple[int, list[np.ndarray]]]:
+def hashed(texts: list[bytes], between: np.ndarray = SPACE) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(index of the first text, word hashes per text) for runs of texts of some SLICE_BYTES.
 
     `between`: which bytes part words; the line feed is one of them.
