@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from millrace.llm import arrow_files, prepared
+from millrace.llm.bpe import decoded, encoded
 from millrace.llm.covertree import top_products
 from millrace.llm.html import extract
 from millrace.llm.mixing import mix
@@ -238,3 +239,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("_run_kept", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op13_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, and the text that they decode to."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    ids = encoded(table(spark, sf_dir, "documents"), path, keep=["doc_id"])
+    found = decoded(ids, path)
+    size = (F.octet_length("_bpe_ids") / 4).cast("bigint")
+    return found.select("doc_id", size.alias("n_tokens"), F.sha2("_bpe_ids", 256).alias("ids_sha256"), F.sha2("_bpe_decoded", 256).alias("decoded_sha256"))

@@ -164,10 +164,14 @@ class Words:
         #: Number of words before each text, and of all.
         self.first = np.r_[0, np.searchsorted(np.flatnonzero(after), ends)]
 
+    def encoded(self) -> pa.DictionaryArray:
+        """The words, each with its blank."""
+        parts = [None, pa.py_buffer(self.offset.astype(np.int64)), pa.py_buffer(self.flat)]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.offset) - 1, parts).dictionary_encode()
+
     def codes(self) -> np.ndarray:
         """Numbers that are equal if words are."""
-        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.offset) - 1, [None, pa.py_buffer(self.offset.astype(np.int64)), pa.py_buffer(self.flat)])
-        return words.dictionary_encode().indices.to_numpy().astype(np.int64)
+        return self.encoded().indices.to_numpy().astype(np.int64)
 
     def kept(self, keep: np.ndarray) -> list[bytes]:
         """Each text's words of `keep`, joined by a blank."""
@@ -180,7 +184,7 @@ class Words:
         return out
 
 
-def _slices(texts: list[bytes]) -> Iterator[list[bytes]]:
+def slices(texts: list[bytes]) -> Iterator[list[bytes]]:
     at = 0
     while at < len(texts):
         size, end = len(texts[at]), at + 1
@@ -219,7 +223,7 @@ def periodic_runs(docs: DataFrame, text: str = "text", least: int = 6, repeats:
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, at = utf8(batch.column("_run_text")), 0
-            for part in _slices(texts):
+            for part in slices(texts):
                 columns, count, left = _found(part, least, repeats)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.r_[0, np.cumsum(count)], pa.int32()),

@@ -1,0 +1,115 @@
+"""The backtracking encoder and the decoder against the tokenizers library and against plain merging."""
+
+import random
+from hashlib import sha256
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from millrace.llm import bpe as module
+from millrace.llm import runs
+from millrace.llm.bpe import Bpe, Merges, decoded, encoded
+from millrace.llm.queries import QUERIES
+
+WORDS, BYTES = (public_tokenizers.path(n) for n in ("word_bpe_49k.json", "byte_bpe_50k.json"))
+LETTERS = "abcdefghijklmnopqrstuvwxyz" * 3 + "ABC \u00e4\u00f6\u00fc\u00df\u00c9'\u2019.,!?0123 \n\t\u65e5\u672c\u8a9e\U0001f389e\u0301\u0130\u03a3\u03c2\u00a0\u2003 <|>"
+ODD = [
+    "", " ", "\n\n", "<|endoftext|>", "a<|startoftext|>B <|EndOfText|>x<|endoftext", "I'LL don't we've 'S 's's", "e\u0301 \u0301 \u1100\u1161", "\u0130\u03a3 \u03a3\u0391\u03a3",
+    "a\x00b\x1fc", "a\u2000b\u2003c\u3000d\u0085e", "x" * 5000, "ab" * 3000, "".join(chr(97 + i * i % 26) for i in range(4000)), "1234567890", "\ufffd\ufeff\u200d", "lower.UPPER,Mixed. a,b.c",
+]
+
+
+def texts(vocabulary, seed, count):
+    rnd = random.Random(seed)
+    kinds = [
+        lambda: "".join(rnd.choice(LETTERS) for _ in range(rnd.randrange(60))),
+        lambda: "".join(rnd.choice(vocabulary).replace("</w>", "") for _ in range(rnd.randrange(12))),
+        lambda: rnd.choice("aeinst") * rnd.randrange(200),
+        lambda: "".join(rnd.choice("abin the") for _ in range(rnd.randrange(80))),
+        lambda: "".join(chr(rnd.choice([rnd.randrange(32, 0x2FF), rnd.randrange(0x20, 0xD7FF), rnd.randrange(0xE000, 0x1FFFF)])) for _ in range(rnd.randrange(30))),
+        lambda: " ".join(rnd.choice(ODD[:10]) for _ in range(5)),
+    ]
+    return ODD + [kinds[i % len(kinds)]() for i in range(count)]
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+@pytest.mark.parametrize("slice_bytes", [1 << 20, 300])
+def test_ids_and_texts_are_the_librarys(monkeypatch, path, slice_bytes):
+    monkeypatch.setattr(runs, "SLICE_BYTES", slice_bytes)
+    library, own = Tokenizer.from_file(path), Bpe(path)
+    monkeypatch.setattr(module, "REMEMBERED_BYTES", 20_000)
+    data = texts(list(library.get_vocab()), slice_bytes, 1500)
+    got = [ids for at in range(0, len(data), 100) for ids in own.encode([t.encode() for t in data[at : at + 100]])]
+    want = [library.encode(t, add_special_tokens=False).ids for t in data]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+    assert [t.decode() for t in own.decode(got)] == [library.decode(ids, skip_special_tokens=False) for ids in want]
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_any_ids_are_decoded(path):
+    library, own = Tokenizer.from_file(path), Bpe(path)
+    rng = np.random.default_rng(0)
+    ids = [rng.integers(0, 52_000, size=n).astype("<u4") for n in (0, 1, 2, 50, 400)]
+    assert [t.decode() for t in own.decode([i.tobytes() for i in ids])] == [library.decode(i.tolist(), skip_special_tokens=False) for i in ids]
+
+
+def plain_merges(piece, symbols, merges):
+    """Merge the pair of the lowest rank, the leftmost first, until there is none."""
+    rank = {m: k for k, m in enumerate(merges)}
+    parts = list(piece)
+    while True:
+        found = [(rank[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in rank]
+        if not found:
+            return parts
+        _, i = min(found)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_any_merges_of_few_letters(seed):
+    """Random vocabularies of two or three letters, whose tokens overlap in all ways."""
+    rnd = random.Random(seed)
+    symbols = list("abc"[: rnd.choice([1, 2, 3])])
+    names, merges = list(symbols), []
+    for _ in range(rnd.randrange(1, 25)):
+        pair = rnd.choice(names), rnd.choice(names)
+        if "".join(pair) not in names:
+            names.append("".join(pair)), merges.append(pair)
+    own = Merges(symbols, merges)
+    name = {k: s for s, k in own.number.items()}
+    pieces = ["".join(rnd.choice(symbols) for _ in range(rnd.randrange(1, 40))) for _ in range(200)]
+    assert [[name[k] for k in found] for found in own.encode(pieces)] == [plain_merges(p, symbols, merges) for p in pieces]
+
+
+def test_vocabularies_beyond_the_method():
+    with pytest.raises(ValueError, match="two merges"):
+        Merges(list("ab"), [("a", "b"), ("ab", "a"), ("b", "a"), ("a", "ba")])
+
+
+def test_frames(spark):
+    data = [(i, t, 1, "x") for i, t in enumerate(texts(["the", "ing</w>"], 3, 100))] + [(None, None, 2, None), (3, "again", 1, "x"), (3, "again", 1, "x")]
+    frame = spark.createDataFrame(data, "doc_id int, text string, ids int, decoded string").repartition(3)
+    library = Tokenizer.from_file(WORDS)
+    found = decoded(encoded(frame, WORDS), WORDS)
+    assert found.columns == ["doc_id", "text", "ids", "decoded", "_bpe_ids", "_bpe_decoded"]
+    got = [(r.doc_id, r.text, np.frombuffer(r._bpe_ids, "<u4").tolist(), r._bpe_decoded) for r in found.collect()]
+    want = [(r[0], r[1], ids := library.encode(r[1] or "", add_special_tokens=False).ids, library.decode(ids, skip_special_tokens=False)) for r in data]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert decoded(encoded(frame.limit(0), WORDS), WORDS).collect() == []
+    none = spark.createDataFrame([(1, None)], "doc_id int, _bpe_ids binary")
+    assert [r._bpe_decoded for r in decoded(none, WORDS).collect()] == [""]
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    library = Tokenizer.from_file(WORDS)
+    found = QUERIES["op13_bpe_encoding"](spark, folder)
+    assert found.dtypes == [("doc_id", "bigint"), ("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
+    want = []
+    for r in spark.read.parquet(f"{folder}/documents.parquet").collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        hashes = np.array(ids, "<u4").tobytes(), library.decode(ids, skip_special_tokens=False).encode()
+        want.append((r.doc_id, len(ids), *(sha256(x).hexdigest() for x in hashes)))
+    assert sorted(map(tuple, found.collect())) == sorted(want)

@@ -27,7 +27,7 @@ def test_operators_and_the_pipeline_are_registered():
     import __spark_entry__
 
     names = list(__spark_entry__.queries())
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
 
 
 def test_pipeline_stages(spark, monkeypatch):
