@@ -39,7 +39,6 @@ def prepare(spark: SparkSession) -> None:
 
 # What one shuffle partition should hold at most, uncompressed.
 PARTITION_MB = 128
-MAX_PARTITIONS = 100_000
 
 
 def size_shuffles(spark: SparkSession, megabytes: float) -> int:
@@ -50,7 +49,7 @@ def size_shuffles(spark: SparkSession, megabytes: float) -> int:
     """
     start = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    needed = min(MAX_PARTITIONS, math.ceil(megabytes / PARTITION_MB))
+    needed = math.ceil(megabytes / PARTITION_MB)
     now = spark.conf.get(start, None)
     if now is not None and now != _own_sizes.get(spark.sparkContext.applicationId):
         return int(now)
