@@ -16,13 +16,16 @@ entry however few neighbours its words have.
 
 A text's log-likelihoods are compared per word, over the whole text and over its best windows
 of WINDOWS words: insults are few words of a long text. A logistic model of these
-length-normalised differences makes the score. It is fitted on the driver from at most
-`sample` labelled rows of each label of a third of the training part, whose differences are by
-a model of the other two thirds: the third's own counts are subtracted. All documents are then
-scored by the model of all labelled rows.
+length-normalised differences makes the score. It is cross-fitted: the labelled rows are dealt
+into FOLDS parts, counted side by side in one pass, and each part's differences are by a model
+without its own counts. The weights are fitted on the driver from at most `sample` labelled
+rows of each label, of all parts. All documents are then scored by the model of all labelled
+rows. If a part is needed for one label to be known at all, its rows say nothing about the
+weights; if too few are left, the score follows the mean difference alone.
 
 The model is one table of (hash, log ratio), written and read in shards of SHARD_ROWS rows.
-Each shard is sent to all tasks, one shard per step, so no broadcast grows with the corpus.
+Each shard is sent to all tasks, one shard per step, so no broadcast is larger than that; their
+number grows with the corpus.
 
 Null texts are empty; texts without words are scored as such. Null ids are in no label table.
 Without labels of both kinds the score is 0 for every document. Repeated rows are scored
@@ -52,7 +55,13 @@ RARE = 3
 WINDOWS = (1, 2, 4, 8, 32)
 SAMPLE_ROWS = 20_000
 #: What the weights of the score are held back by, in rows: a few labels prove little.
-RIDGE = 2.0
+RIDGE = 20.0
+#: What a mean log ratio of 1 adds to the log odds where no weights can be fitted.
+ALONE = 10.0
+#: Parts that the labelled rows are dealt into; models are of all rows, and of those without a part.
+FOLDS = 3
+KINDS = ("all", *map(str, range(FOLDS)))
+CELLS = [f"{c}{k}" for c in "to" for k in range(FOLDS)]
 SHARD_ROWS = 1 << 22
 #: Rows of an Arrow batch that a task works on at once.
 SLICE_ROWS = 512
@@ -84,115 +93,113 @@ def _pair_key(before: np.ndarray, now: np.ndarray) -> np.ndarray:
 
 
 def counts(rows: DataFrame) -> DataFrame:
-    """(before, word, toxic, ordinary, toxic_apart, ordinary_apart): how often each pair of words is in texts of either label.
+    """(before, word, t0, t1, ..., o0, o1, ...): how often each pair of words is in toxic and ordinary texts of each fold.
 
-    The last two are of the rows with `_apart` only, if there is such a column.
+    Rows have `_label`, `_fold` and `_toxic_text`.
     """
-    schema = "before bigint, word bigint, toxic int, ordinary int, toxic_apart int, ordinary_apart int"
-    names = [field.split()[0] for field in schema.split(", ")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            texts, label = _texts(batch.column(2)), batch.column(0).to_numpy()
-            part = batch.column(1).to_numpy(zero_copy_only=False)
-            for at, words in hashed(texts, MARKS):
+            cells = batch.column(1).to_numpy() + FOLDS * (1 - batch.column(0).to_numpy())
+            for at, words in hashed(_texts(batch.column(2)), MARKS):
                 before, now = _pairs(words)
                 if not len(now):
                     continue
-                lengths = list(map(len, words))
-                toxic = np.repeat(label[at : at + len(words)], lengths)
-                apart = np.repeat(part[at : at + len(words)], lengths)
-                order = np.lexsort((before, now))
-                before, now, toxic, apart = before[order], now[order], toxic[order].astype(np.int64), apart[order].astype(np.int64)
-                new = np.flatnonzero(np.r_[True, (now[1:] != now[:-1]) | (before[1:] != before[:-1])])
-                n, t, m, u = (np.add.reduceat(x, new) for x in (np.ones_like(toxic), toxic, apart, toxic * apart))
-                found = [before[new].view(np.int64), now[new].view(np.int64), *(x.astype(np.int32) for x in (t, n - t, u, m - u))]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=names)
+                cell = np.repeat(cells[at : at + len(words)], list(map(len, words))).astype(np.int32)
+                order = np.argsort((_pair_key(before, now) & ~np.uint64(7)) | cell.astype(np.uint64))
+                before, now, cell = before[order], now[order], cell[order]
+                new = np.flatnonzero(np.r_[True, (now[1:] != now[:-1]) | (before[1:] != before[:-1]) | (cell[1:] != cell[:-1])])
+                n = np.diff(np.r_[new, len(now)]).astype(np.int32)
+                found = [before[new].view(np.int64), now[new].view(np.int64), cell[new], n]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["before", "word", "cell", "n"])
 
-    apart = F.col("_apart") if "_apart" in rows.columns else F.lit(False).alias("_apart")
-    found = rows.select("_label", apart, "_toxic_text").mapInArrow(count, schema)
-    return found.groupBy("before", "word").agg(*[F.sum(c).alias(c) for c in names[2:]])
+    found = rows.select("_label", F.col("_fold").cast("int"), "_toxic_text").mapInArrow(count, "before bigint, word bigint, cell int, n int")
+    # A task has combined its texts already, and most pairs are rare: they are dealt out as they are.
+    sums = [F.sum(F.when(F.col("cell") == k, F.col("n")).otherwise(0)).alias(c) for k, c in enumerate(CELLS)]
+    return found.repartition("before", "word").groupBy("before", "word").agg(*sums)
 
 
-def without_apart(pairs: DataFrame) -> DataFrame:
-    """The counts of the rows without `_apart`."""
-    left = [(F.col(c) - F.col(f"{c}_apart")).alias(c) for c in ("toxic", "ordinary")]
-    return pairs.select("before", "word", *left).where("toxic + ordinary > 0")
-
-
-def _discounted(count, total: float, rest: float, base):
-    return F.greatest(count - DISCOUNT, F.lit(0.0)) / F.lit(total) + F.lit(rest) * base
-
-
-def model(rows: DataFrame, pruned: bool = True) -> tuple[DataFrame, float] | None:
-    """The `ratios` of labelled rows."""
-    pairs = written(counts(rows), "toxic_pairs")
-    return ratios(pairs, neighbours(pairs), "all", pruned)
+def _of(label: str, kind: str):
+    """The count of a label in the rows of a kind of model."""
+    return sum((F.col(f"{label}{k}") for k in range(FOLDS) if str(k) != kind), F.lit(0))
 
 
 def neighbours(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sums by word and by the word before, of all rows (`_all`) and of those without `_apart` (`_rest`)."""
+    """Sums by word, and by the word before, for every kind of model."""
     words, contexts = [], []
-    for kind, (t, o) in {"all": (F.col("toxic"), F.col("ordinary")), "rest": (F.expr("toxic - toxic_apart"), F.expr("ordinary - ordinary_apart"))}.items():
+    for kind in KINDS:
+        t, o = _of("t", kind), _of("o", kind)
         words += [F.sum((c > 0).cast("int")).alias(f"{name}_{kind}") for name, c in (("n", t + o), ("t", t), ("o", o))]
         contexts += [F.sum(c).alias(f"{name}_{kind}") for name, c in (("ct", t), ("co", o), ("taken", F.least(t + o, F.lit(DISCOUNT))))]
     return written(pairs.groupBy("word").agg(*words), "toxic_words"), written(pairs.groupBy("before").agg(*contexts), "toxic_contexts")
 
 
-def ratios(pairs: DataFrame, near: tuple[DataFrame, DataFrame], kind: str, pruned: bool = False) -> tuple[DataFrame, float] | None:
-    """(before, word, value): log ratios of words, and of expressions by (before, word); and that of other words.
+def _discounted(count, total: float, rest: float, base):
+    return F.greatest(count - DISCOUNT, F.lit(0.0)) / F.lit(total) + F.lit(rest) * base
+
+
+def model(rows: DataFrame) -> tuple[DataFrame, dict[str, float]]:
+    """(before, word, value_<kind>...): log ratios of words, and of expressions by (before, word), and those of other words by kind.
 
-    `pruned` leaves only expressions that are often in toxic texts, of words that have an entry.
+    Kinds of model without rows of both labels are left out, and their values are null.
     """
-    pairs = without_apart(pairs) if kind == "rest" else pairs
-    words, contexts = (t.select(t.columns[0], *[F.col(c).alias(c.removesuffix(f"_{kind}")) for c in t.columns if c.endswith(f"_{kind}")]) for t in near)
-    words = words.where("n > 0")
-    taken = lambda c: F.sum(F.least(F.col(c), F.lit(DISCOUNT)))
-    total = words.agg(
-        F.count("*").alias("words"), F.sum("n").alias("n"), F.sum("t").alias("t"), F.sum("o").alias("o"), taken("t").alias("dt"), taken("o").alias("do"),
-    ).first()
-    if not total["t"] or not total["o"]:
-        return None
-    base = (F.col("n") + 1) / F.lit(float(total["n"] + total["words"] + 1))
-    rest_t, rest_o = total["dt"] / total["t"], total["do"] / total["o"]
-    p_t = _discounted(F.col("t"), float(total["t"]), rest_t, base)
-    p_o = _discounted(F.col("o"), float(total["o"]), rest_o, base)
-    other = float(np.log(rest_t / rest_o))
-    known_word = (F.col("t") >= RARE) | (F.col("o") >= RARE)
-    each = words.select("word", p_t.alias("p_t"), p_o.alias("p_o"), known_word.alias("known"))
-    singles = each.where("known")
-    frequent = (F.col("toxic") >= EXPRESSION) | (F.lit(not pruned) & (F.col("ordinary") >= EXPRESSION))
-    often = written(pairs.where(frequent & (F.col("before") != 0)), "toxic_expressions")
-    g = F.col("taken") / (F.col("ct") + F.col("co"))
-    pair = lambda c, n, p: (1 - g) * F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.greatest(F.col(n), F.lit(1)) + g * F.col(p)
-    expressions = often.join(contexts, "before").join(singles if pruned else each, "word")
-    expressions = expressions.select("before", "word", F.log(pair("toxic", "ct", "p_t") / pair("ordinary", "co", "p_o")).alias("value"))
-    table = singles.select(F.lit(None).cast("bigint").alias("before"), "word", F.log(F.col("p_t") / F.col("p_o")).alias("value")).union(expressions)
-    return written(table.withColumn("value", F.col("value").cast("float")), "toxic_model"), other
-
-
-def shards(spark, table: DataFrame) -> list:
-    """The model as broadcasts of sorted (keys, values) of words and of pairs, SHARD_ROWS rows each."""
+    pairs = written(counts(rows), "toxic_pairs")
+    words, contexts = neighbours(pairs)
+    sums = []
+    for k in KINDS:
+        taken = [F.sum(F.least(F.col(f"{c}_{k}"), F.lit(DISCOUNT))).alias(f"d{c}_{k}") for c in "to"]
+        sums += [F.count_if(F.col(f"n_{k}") > 0).alias(f"words_{k}"), *[F.sum(f"{c}_{k}").alias(f"{c}_{k}") for c in "nto"], *taken]
+    total = words.agg(*sums).first()
+    kinds = [k for k in KINDS if total[f"t_{k}"] and total[f"o_{k}"]]
+    often = lambda k: (_of("t", k) >= EXPRESSION) | (_of("o", k) >= EXPRESSION)
+    each, singles, expressions, others = [], [], [], {}
+    for k in KINDS:
+        if k not in kinds:
+            singles.append(F.lit(None).cast("float").alias(f"value_{k}"))
+            expressions.append(singles[-1])
+            continue
+        n, t, o = (float(total[f"{c}_{k}"]) for c in "nto")
+        rest_t, rest_o = total[f"dt_{k}"] / t, total[f"do_{k}"] / o
+        base = (F.col(f"n_{k}") + 1) / F.lit(n + total[f"words_{k}"] + 1)
+        each += [_discounted(F.col(f"t_{k}"), t, rest_t, base).alias(f"pt_{k}"), _discounted(F.col(f"o_{k}"), o, rest_o, base).alias(f"po_{k}")]
+        others[k] = float(np.log(rest_t / rest_o))
+        known_word = (F.col(f"t_{k}") >= RARE) | (F.col(f"o_{k}") >= RARE)
+        singles.append(F.when(known_word, F.log(F.col(f"pt_{k}") / F.col(f"po_{k}"))).cast("float").alias(f"value_{k}"))
+        g = F.col(f"taken_{k}") / (F.col(f"ct_{k}") + F.col(f"co_{k}"))
+        pair = lambda c, p, k=k, g=g: (1 - g) * F.greatest(_of(c, k) - DISCOUNT, F.lit(0.0)) / F.greatest(F.col(f"c{c}_{k}"), F.lit(1)) + g * F.col(f"{p}_{k}")
+        expressions.append(F.when(often(k), F.log(pair("t", "pt") / pair("o", "po"))).cast("float").alias(f"value_{k}"))
+    each = words.select("*", *each)
+    frequent = written(pairs.where(often("all") & (F.col("before") != 0)), "toxic_expressions")
+    found = frequent.join(contexts, "before").join(each.drop(*[f"{c}_{k}" for c in "nto" for k in KINDS]), "word").select("before", "word", *expressions)
+    table = each.select(F.lit(None).cast("bigint").alias("before"), "word", *singles).union(found)
+    return written(table.where(F.coalesce(*[F.col(f"value_{k}") for k in KINDS]).isNotNull()), "toxic_model"), others
+
+
+def shards(table: DataFrame, kinds: list[str]) -> list:
+    """The model as broadcasts of sorted (keys, values of each kind) of words and of pairs, SHARD_ROWS rows each."""
+    table = table.select("before", "word", *[F.col(f"value_{k}") for k in kinds]).where(F.coalesce(*[F.col(f"value_{k}") for k in kinds]).isNotNull())
     parts = max(1, -(-table.count() // SHARD_ROWS))
     out = []
     for part in range(parts):
         rows = table.where(F.pmod(F.xxhash64("word"), F.lit(parts)) == part).toArrow()
         before, word = rows.column("before"), rows.column("word").to_numpy().view(np.uint64)
-        value, single = rows.column("value").to_numpy(), np.asarray(before.is_null())
+        value = np.stack([rows.column(f"value_{k}").fill_null(float("nan")).to_numpy().astype(np.float32) for k in kinds])
+        single = np.asarray(before.is_null())
         pair = _pair_key(before.fill_null(0).to_numpy().view(np.uint64)[~single], word[~single])
         tables = []
-        for keys, values in ((word[single], value[single]), (pair, value[~single])):
+        for keys, values in ((word[single], value[:, single]), (pair, value[:, ~single])):
             order = np.argsort(keys)
-            tables.append((keys[order], values[order].astype(np.float32)))
-        out.append(spark.sparkContext.broadcast(tables))
+            tables.append((keys[order], values[:, order]))
+        out.append(table.sparkSession.sparkContext.broadcast(tables))
     return out
 
 
-def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, into: np.ndarray) -> None:
+def _look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, kind: np.ndarray | int, into: np.ndarray) -> None:
     if len(keys):
         at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        hit = keys[at] == wanted
-        into[hit] = values[at[hit]]
+        found = values[kind, at]
+        hit = (keys[at] == wanted) & ~np.isnan(found)
+        into[hit] = found[hit]
 
 
 def _summary(ratio: np.ndarray, lengths: list[int]) -> np.ndarray:
@@ -214,15 +221,17 @@ def _summary(ratio: np.ndarray, lengths: list[int]) -> np.ndarray:
     return out
 
 
-def with_summaries(rows: DataFrame, kept: list[str], parts: list, other: float, scores=None, text: str = "_toxic_text") -> DataFrame:
+def with_summaries(rows: DataFrame, kept: list[str], parts: list, others: list[float], scores=None, text: str = "_toxic_text", kind: str | None = None) -> DataFrame:
     """`kept` columns and `_toxic_summary`, the numbers that the score is made of (as doubles, in binary).
 
-    With `scores`, a function of these numbers, `score` and `predicted` instead. One step per
-    shard of the model; between steps a text's ratios so far travel with it.
+    With `scores`, a function of these numbers, `score` and `predicted` instead. A row is looked
+    up in the kind of model that its column `kind` numbers, or in the first. One step per shard
+    of the model; between steps a text's ratios so far travel with it.
     """
+    other = np.array(others, dtype=np.float32)
     for number, shard in enumerate(parts):
         first, last = number == 0, number == len(parts) - 1
-        names = [*kept, *([] if last else [text])]
+        names = [*kept, *([] if last else [text, kind])]
         fields = [f for f in rows.schema.fields if f.name in names]
         schema = StructType(list(fields))
         if not last:
@@ -236,16 +245,18 @@ def with_summaries(rows: DataFrame, kept: list[str], parts: list, other: float,
             singles, pairs = shard.value
             for batch in _slices(batches):
                 out = []
+                kinds = None if kind is None else batch.column(kind).to_numpy()
                 so_far = None if first else batch.column("_toxic_ratio").to_pylist()
                 for at, words in hashed(_texts(batch.column(text)), MARKS):
                     before, now = _pairs(words)
+                    lengths = list(map(len, words))
+                    own = np.zeros(len(now), np.int64) if kinds is None else np.repeat(kinds[at : at + len(words)], lengths)
                     if first:
-                        ratio = np.full(len(now), other, dtype=np.float32)
+                        ratio = other[own]
                     else:
                         ratio = np.concatenate([np.frombuffer(x, np.float32) for x in so_far[at : at + len(words)]]).copy()
-                    _look_up(*singles, now, ratio)
-                    _look_up(*pairs, _pair_key(before, now), ratio)
-                    lengths = list(map(len, words))
+                    _look_up(*singles, now, own, ratio)
+                    _look_up(*pairs, _pair_key(before, now), own, ratio)
                     out.extend(_summary(ratio, lengths) if last else (x.tobytes() for x in np.split(ratio, np.cumsum(lengths)[:-1])))
                 if last and scores is not None:
                     score = scores(np.stack(out))
@@ -258,40 +269,45 @@ def with_summaries(rows: DataFrame, kept: list[str], parts: list, other: float,
     return rows
 
 
+def _fitted(rows: DataFrame, known_: DataFrame, table: DataFrame, others: dict[str, float], sample: int):
+    """The score as a function of the numbers that it is made of."""
+    kinds = [k for k in KINDS[1:] if k in others]
+    x = np.zeros((0, len(WINDOWS) + 3))
+    if kinds:
+        parts = shards(table, kinds)
+        place = F.array_position(F.lit(kinds), F.col("_fold").cast("string")).cast("int") - 1
+        picked = sampled(known_.where(F.col("_fold").cast("string").isin(kinds)), sample)
+        picked = labelled(rows, picked).select("_label", place.alias("_toxic_kind"), "_toxic_text")
+        found = with_summaries(picked, ["_label"], parts, [others[k] for k in kinds], kind="_toxic_kind").toArrow()
+        for part in parts:
+            part.destroy()
+        y = found.column("_label").to_numpy().astype(np.float64)
+        x = np.array([np.frombuffer(b) for b in found.column("_toxic_summary").to_pylist()]).reshape(len(y), -1)
+    if not len(x) or len(np.unique(y)) < 2:
+        even = np.log(PREDICTED / (1 - PREDICTED))
+        return lambda x: sigmoid(even + ALONE * x[:, 0])
+    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    weights = logistic(np.c_[(x - mean) / scale, np.ones(len(x))], y, ridge=RIDGE, constant=True)
+    return lambda x: sigmoid(((x - mean) / scale) @ weights[:-1] + weights[-1])
+
+
 def toxicity_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "toxic", divisor: int = 4, held: int = 2, sample: int = SAMPLE_ROWS, keep: list[str] | None = None) -> DataFrame:
     """`docs` (or only its columns `keep`) with `held_out`, `score` and `predicted`.
 
-    Labels are learned from ids whose crc32 modulo `divisor` is not `held`. All are counted; a
-    third of them (by another hash) is for the weights, under a model without that third.
+    Labels are learned from ids whose crc32 modulo `divisor` is not `held`. All are counted; at
+    most `sample` of each label are for the weights.
     """
     kept = [c for c in (docs.columns if keep is None else keep) if c not in ("held_out", "score", "predicted")]
     body = F.col(f"`{text}`").alias("_toxic_text")
     known_ = known(labels, id, label).where(remainder(F.col("_label_id"), divisor) != held)
-    apart = F.pmod(F.xxhash64(F.lit("fold"), "_label_id"), F.lit(3)) == 0
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "_label_id"), F.lit(FOLDS)).cast("int")
+    known_ = written(known_.withColumn("_fold", fold), "toxic_counted")
     rows = docs.select(F.col(f"`{id}`").alias("_label_id"), body)
-    counted = written(known_.withColumn("_apart", apart), "toxic_counted")
-    pairs = written(counts(labelled(rows, counted)), "toxic_pairs")
-    near = neighbours(pairs)
-    made = ratios(pairs, near, "rest")
-    weights = mean = scale = None
-    parts, other = [], 0.0
-    if made:
-        table, other = made
-        parts = shards(docs.sparkSession, table)
-        picked = sampled(known_.where(apart), sample)
-        found = with_summaries(labelled(rows, picked).select("_label", "_toxic_text"), ["_label"], parts, other).toArrow()
-        for part in parts:
-            part.destroy()
-        y = found.column("_label").to_numpy().astype(np.float64)
-        if len(np.unique(y)) == 2:
-            x = np.stack([np.frombuffer(b) for b in found.column("_toxic_summary").to_pylist()])
-            mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-            weights = logistic(np.c_[(x - mean) / scale, np.ones(len(x))], y, ridge=RIDGE, constant=True)
-            table, other = ratios(pairs, near, "all")
-            parts = shards(docs.sparkSession, table)
+    table, others = model(labelled(rows, known_))
     chosen = docs.select(*[F.col(f"`{c}`") for c in kept], (remainder(F.col(f"`{id}`"), divisor) == held).alias("held_out"), *([] if text in kept else [body]))
     names = [*kept, "held_out"]
-    if weights is None:
+    if "all" not in others:
         return chosen.drop("_toxic_text").withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0))
+    scores = _fitted(rows, known_, table, others, sample)
     own = text if text in kept else "_toxic_text"
-    return with_summaries(chosen, names, parts, other, lambda x: sigmoid(((x - mean) / scale) @ weights[:-1] + weights[-1]), own)
+    return with_summaries(chosen, names, shards(table, ["all"]), [others["all"]], scores, own)

@@ -151,39 +151,102 @@ def test_model_shards_give_the_same_scores(spark, monkeypatch):
     assert len(got) == 400 and all(abs(want[r.doc_id] - r.score) < 1e-6 for r in got)
 
 
-def test_kneser_ney_counts_and_ratios_against_a_plain_model(spark):
-    rows, labels, truth = labelled_rows(3, 300)
-    text = {r[0]: toxicity_words(r[1]) for r in rows}
+def plain_ratios(rows):
+    """{(before or None, word): log ratio} of (label, words) by the formulas, and that of other words."""
     pairs = {0: Counter(), 1: Counter()}
-    for i, _, t in labels:
-        pairs[t].update(zip(["", *text[i]], text[i]))
-    every = set(pairs[0]) | set(pairs[1])
+    for t, words in rows:
+        pairs[t].update(zip(["", *words], words))
+    pooled = pairs[0] + pairs[1]
     neighbours = lambda c: Counter(w for _, w in c)
-    n, n0, n1 = neighbours(every), neighbours(pairs[0]), neighbours(pairs[1])
+    n, n0, n1 = neighbours(pooled), neighbours(pairs[0]), neighbours(pairs[1])
     d = toxicity.DISCOUNT
+    if not n0 or not n1:
+        return {}, None
     rest = {c: sum(min(x, d) for x in m.values()) / sum(m.values()) for c, m in ((0, n0), (1, n1))}
     base = {w: (n[w] + 1) / (sum(n.values()) + len(n) + 1) for w in n}
     p = {c: {w: max(m[w] - d, 0) / sum(m.values()) + rest[c] * base[w] for w in n} for c, m in ((0, n0), (1, n1))}
-    want = sorted(np.log(p[1][w] / p[0][w]) for w in n if n0[w] >= toxicity.RARE or n1[w] >= toxicity.RARE)
-    frame = spark.createDataFrame([(truth[r[0]][2], r[1]) for r in rows if r[0] in truth], "_label int, _toxic_text string")
-    table, other = toxicity.model(frame)
-    got = sorted(r["value"] for r in table.where("before IS NULL").collect())
-    assert np.allclose(got, want, atol=1e-4) and abs(other - np.log(rest[1] / rest[0])) < 1e-9
-    follow = lambda c, v: sum(x for (a, _), x in c.items() if a == v)
-    pooled = Counter()
-    for c in pairs.values():
-        pooled.update(c)
-    wanted = []
-    for (v, w), x in pairs[1].items():
-        if v and x >= toxicity.EXPRESSION and (n0[w] >= toxicity.RARE or n1[w] >= toxicity.RARE):
-            g = sum(min(y, d) for (a, _), y in pooled.items() if a == v) / follow(pooled, v)
-            q = [(1 - g) * max(pairs[c][v, w] - d, 0) / max(follow(pairs[c], v), 1) + g * p[c][w] for c in (0, 1)]
-            wanted.append(np.log(q[1] / q[0]))
-    assert wanted and np.allclose(sorted(r["value"] for r in table.where("before IS NOT NULL").collect()), sorted(wanted), atol=1e-4)
+    out = {(None, w): np.log(p[1][w] / p[0][w]) for w in n if n0[w] >= toxicity.RARE or n1[w] >= toxicity.RARE}
+    follow = {c: Counter() for c in (0, 1)}
+    taken = Counter()
+    for c in (0, 1):
+        for (v, _), x in pairs[c].items():
+            follow[c][v] += x
+    for (v, _), x in pooled.items():
+        taken[v] += min(x, d)
+    for (v, w), x in pooled.items():
+        if v and max(pairs[0][v, w], pairs[1][v, w]) >= toxicity.EXPRESSION:
+            g = taken[v] / (follow[0][v] + follow[1][v])
+            q = [(1 - g) * max(pairs[c][v, w] - d, 0) / max(follow[c][v], 1) + g * p[c][w] for c in (0, 1)]
+            out[v, w] = np.log(q[1] / q[0])
+    return out, np.log(rest[1] / rest[0])
+
+
+def word_hashes(words):
+    return {int(h[0].view(np.int64)): w for w in words for _, (h,) in toxicity.hashed([w.encode()], toxicity.MARKS)}
+
+
+@pytest.mark.parametrize("folds", [lambda i: i % 3, lambda i: 0])
+def test_kneser_ney_models_against_plain_ones(spark, folds):
+    """The models of all rows, and of the rows without each fold."""
+    rows, _, truth = labelled_rows(3, 300)
+    data = [(truth[r[0]][2], folds(r[0]), r[1]) for r in rows if r[0] in truth]
+    table, others = toxicity.model(spark.createDataFrame(data, "_label int, _fold int, _toxic_text string").repartition(3))
+    name = word_hashes({w for *_, t in data for w in toxicity_words(t)}) | {None: None}
+    found = table.collect()
+    for kind in toxicity.KINDS:
+        want, other = plain_ratios([(t, toxicity_words(x)) for t, k, x in data if str(k) != kind])
+        got = {(name[r.before], name[r.word]): r[f"value_{kind}"] for r in found if r[f"value_{kind}"] is not None}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-4 for k in want)
+        assert (kind in others) == (other is not None) and (other is None or abs(others[kind] - other) < 1e-9)
+        assert kind != "all" or any(v for v, _ in want)
+
+
+def test_scores_by_cross_fitting_against_a_plain_version(spark):
+    """The whole path of the query: folds, models, summaries, weights, scores."""
+    from pyspark.sql import functions as F
+
+    from millrace.llm.labelled import logistic, sigmoid
+
+    rows, labels, truth = labelled_rows(6, 240)
+    learned = {i: t for i, _, t in labels if not held(i, 4, 2)}
+    fold = {r.id: r.fold for r in spark.range(240).select("id", F.expr("pmod(xxhash64('fold', id), 3) AS fold")).collect()}
+    words = {r[0]: toxicity_words(r[1]) for r in rows}
+
+    def summary(ratio):
+        n = len(ratio)
+        best = [max(sum(ratio[i : i + min(width, n)]) / width for i in range(n - min(width, n) + 1)) for width in toxicity.WINDOWS]
+        high = sum(x > 3 for x in ratio)
+        return [sum(ratio) / n, *best, np.log1p(high), high / n] if n else [0.0] * (len(toxicity.WINDOWS) + 3)
+
+    def summaries(ids, model):
+        values, other = model
+        return [summary([values.get((v, w), values.get((None, w), other)) for v, w in zip(["", *words[i]], words[i])]) for i in ids]
+
+    x, y = [], []
+    for k in range(3):
+        own = [i for i in learned if fold[i] == k]
+        x += summaries(own, plain_ratios([(t, words[i]) for i, t in learned.items() if fold[i] != k]))
+        y += [learned[i] for i in own]
+    x, y = np.array(x), np.array(y, dtype=float)
+    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    weights = logistic(np.c_[(x - mean) / scale, np.ones(len(x))], y, ridge=toxicity.RIDGE, constant=True)
+    every = np.array(summaries(words, plain_ratios([(t, words[i]) for i, t in learned.items()])))
+    want = dict(zip(words, sigmoid(((every - mean) / scale) @ weights[:-1] + weights[-1])))
+    got = toxicity_scores(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS), keep=["doc_id"]).collect()
+    assert len(got) == 240 and all(abs(r.score - want[r.doc_id]) < 1e-3 for r in got)
+
+
+def test_scores_without_weights(spark):
+    """One toxic row: no model without its fold is of both labels, and the rest are of one label only."""
+    rows = [(i, f"plain words of number {i} and more", "en", "s", 0) for i in range(60)] + [(100, "and zork more zork plain zork words zork of zork number zork", "en", "s", 0), (101, "vex zork zork", "en", "s", 0)]
+    labels = [(i, 0, 0) for i in range(60)] + [(100, 0, 1)]
+    got = {r.doc_id: r.score for r in toxicity_scores(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS), divisor=1, held=1, keep=["doc_id"]).collect()}
+    assert got[100] > max(got[i] for i in range(60)) and got[101] > max(got[i] for i in range(60))
+    assert all(0 <= s <= 1 for s in got.values())
 
 
 def test_toxic_words_of_every_training_row_count(spark):
-    """A word that only the rows for the weights hold is known to the model that scores."""
+    """A word that only the rows of one fold hold is known to the model that scores."""
     from pyspark.sql import functions as F
 
     rows, labels, truth = labelled_rows(4, 600)
@@ -197,22 +260,14 @@ def test_toxic_words_of_every_training_row_count(spark):
 
 
 def test_frequent_expressions_of_words_with_one_neighbour_count(spark):
-    rows = [(1, f"a{i} absolute xyz b{i % 3}") for i in range(9)] + [(0, f"a{i} plain vwx b{i % 4}") for i in range(9)]
-    table, other = toxicity.model(spark.createDataFrame(rows, "_label int, _toxic_text string"), pruned=False)
-    key = {w: int(h[0].view(np.int64)) for w in ("absolute", "xyz", "plain", "vwx") for _, (h,) in toxicity.hashed([w.encode()], toxicity.MARKS)}
-    value = {(r.before, r.word): r.value for r in table.collect()}
+    rows = [(1, i % 3, f"a{i} absolute xyz b{i % 3}") for i in range(9)] + [(0, i % 3, f"a{i} plain vwx b{i % 4}") for i in range(9)]
+    table, others = toxicity.model(spark.createDataFrame(rows, "_label int, _fold int, _toxic_text string"))
+    key, other = {w: k for k, w in word_hashes(["absolute", "xyz", "plain", "vwx"]).items()}, others["all"]
+    value = {(r.before, r.word): r.value_all for r in table.where("value_all IS NOT NULL").collect()}
     assert (None, key["xyz"]) not in value
     assert value[key["absolute"], key["xyz"]] > 2 + other and value[key["plain"], key["vwx"]] < other - 2
 
 
-def test_counts_without_a_part_are_those_of_the_rest(spark):
-    rows, _, truth = labelled_rows(5, 200)
-    labelled = spark.createDataFrame([(truth[r[0]][2], r[0] % 3 == 0, r[1]) for r in rows if r[0] in truth], "_label int, _apart boolean, _toxic_text string")
-    columns = ["before", "word", "toxic", "ordinary"]
-    got = toxicity.without_apart(toxicity.counts(labelled)).select(columns).collect()
-    assert Counter(got) == Counter(toxicity.counts(labelled.where("NOT _apart")).select(columns).collect())
-
-
 def toxicity_words(text):
     import re
 
