@@ -62,6 +62,8 @@ ALONE = 10.0
 FOLDS = 3
 KINDS = ("all", *map(str, range(FOLDS)))
 CELLS = [f"{c}{k}" for c in "to" for k in range(FOLDS)]
+#: Words whose pairs a task counts together before it sends them.
+COMBINED_WORDS = 1 << 21
 SHARD_ROWS = 1 << 22
 #: Rows of an Arrow batch that a task works on at once.
 SLICE_ROWS = 512
@@ -98,20 +100,30 @@ def counts(rows: DataFrame) -> DataFrame:
     Rows have `_label`, `_fold` and `_toxic_text`.
     """
 
+    def combined(parts: list) -> pa.RecordBatch:
+        before, now, cell = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort((_pair_key(before, now) & ~np.uint64(7)) | cell.astype(np.uint64))
+        before, now, cell = before[order], now[order], cell[order]
+        new = np.flatnonzero(np.r_[True, (now[1:] != now[:-1]) | (before[1:] != before[:-1]) | (cell[1:] != cell[:-1])])
+        n = np.diff(np.r_[new, len(now)]).astype(np.int32)
+        found = [before[new].view(np.int64), now[new].view(np.int64), cell[new], n]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["before", "word", "cell", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in _slices(batches):
             cells = batch.column(1).to_numpy() + FOLDS * (1 - batch.column(0).to_numpy())
             for at, words in hashed(_texts(batch.column(2)), MARKS):
                 before, now = _pairs(words)
                 if not len(now):
                     continue
-                cell = np.repeat(cells[at : at + len(words)], list(map(len, words))).astype(np.int32)
-                order = np.argsort((_pair_key(before, now) & ~np.uint64(7)) | cell.astype(np.uint64))
-                before, now, cell = before[order], now[order], cell[order]
-                new = np.flatnonzero(np.r_[True, (now[1:] != now[:-1]) | (before[1:] != before[:-1]) | (cell[1:] != cell[:-1])])
-                n = np.diff(np.r_[new, len(now)]).astype(np.int32)
-                found = [before[new].view(np.int64), now[new].view(np.int64), cell[new], n]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=["before", "word", "cell", "n"])
+                parts.append((before, now, np.repeat(cells[at : at + len(words)], list(map(len, words))).astype(np.int32)))
+                held += len(now)
+                if held > COMBINED_WORDS:
+                    yield combined(parts)
+                    parts, held = [], 0
+        if held:
+            yield combined(parts)
 
     found = rows.select("_label", F.col("_fold").cast("int"), "_toxic_text").mapInArrow(count, "before bigint, word bigint, cell int, n int")
     # A task has combined its texts already, and most pairs are rare: they are dealt out as they are.
