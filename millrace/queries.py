@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions import names as N
 from millrace.functions.keys import with_key
 from millrace.functions.values import NULL_TOKENS, nullify
-from millrace.operators import coerce, fills, merge, profile, reports, rows
+from millrace.operators import coerce, describe, fills, merge, profile, reports, rows
 from millrace.plans.clean import Batch, CleanOptions, clean_files, clean_table
 from millrace.plans.master import Master, build_master
 from millrace.session import run_dir
@@ -243,6 +243,69 @@ def mode_per_source(spark: SparkSession, folder: str) -> DataFrame:
     return fills.exact_modes(lines, {"supplier": F.col("supplier")}, ["l_returnflag"])
 
 
+# --- data profiles -----------------------------------------------------------------------------
+
+PROFILED = ("quantity", "price", "supplier")
+PROFILE_ORDER = [
+    "l_returnflag", "column", "rows", "nulls", "distinct", "least", "most", "least_text", "most_text",
+    "q1", "median", "q3", "low_fence", "high_fence", "outliers", "top_value", "top_times",
+]
+
+
+def profile_sql(c: str, number: bool) -> str:
+    """The profile of one column of `t`, per l_returnflag."""
+    text = f"CAST({c} AS VARCHAR)"
+    cuts = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    quartiles = [f"quantile_cont(CAST({c} AS DOUBLE), {x}) AS {n}" if number else f"CAST(NULL AS DOUBLE) AS {n}" for n, x in cuts.items()]
+    ends = [
+        f"{f}(CAST({c} AS DOUBLE)) AS {n}, CAST(NULL AS VARCHAR) AS {n}_text" if number else f"CAST(NULL AS DOUBLE) AS {n}, {f}({text}) AS {n}_text"
+        for f, n in (("min", "least"), ("max", "most"))
+    ]
+    far = "count(*) FILTER (CAST(t.{c} AS DOUBLE) < f.low_fence OR CAST(t.{c} AS DOUBLE) > f.high_fence)".format(c=c)
+    return f"""
+  SELECT f.*, o.outliers, top_value, top_times FROM (
+    SELECT *, q1 - 1.5::DOUBLE * (q3 - q1) AS low_fence, q3 + 1.5::DOUBLE * (q3 - q1) AS high_fence FROM (
+      SELECT l_returnflag, '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS "distinct",
+        {", ".join(ends + quartiles)} FROM t GROUP BY l_returnflag)) f
+  JOIN (SELECT t.l_returnflag, {far if number else "CAST(NULL AS BIGINT)"} AS outliers FROM t JOIN (
+      SELECT l_returnflag, q1 - 1.5::DOUBLE * (q3 - q1) AS low_fence, q3 + 1.5::DOUBLE * (q3 - q1) AS high_fence FROM (
+        SELECT l_returnflag, {", ".join(quartiles)} FROM t GROUP BY l_returnflag)) f USING (l_returnflag) GROUP BY t.l_returnflag) o USING (l_returnflag)
+  JOIN (SELECT l_returnflag, {text} AS top_value, count(*) AS top_times FROM t WHERE {c} IS NOT NULL GROUP BY l_returnflag, {text}
+    QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY count(*) DESC, {text}) = 1) USING (l_returnflag)"""
+
+
+@query(f"""
+WITH t AS ({LINES_SQL})
+SELECT {", ".join(f'"{c}"' for c in PROFILE_ORDER)} FROM ({" UNION ALL BY NAME ".join(profile_sql(c, c != "supplier") for c in PROFILED)})""")
+def data_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, distinct values, extremes, quartiles, values beyond the fences, per source and column."""
+    lines = messy(spark, folder, "lineitem", LINES_SPARK)
+    return describe.describe(lines, PROFILED, ["l_returnflag"])
+
+
+@query(f"""
+WITH t AS ({LINES_SQL})
+SELECT l_returnflag, 'quantity' AS "column", count(*) AS rows, count(*) - count(quantity) AS nulls, min(quantity)::DOUBLE AS least, max(quantity)::DOUBLE AS most,
+  CAST(NULL AS VARCHAR) AS least_text, CAST(NULL AS VARCHAR) AS most_text, true AS distinct_near, true AS quartiles_near FROM t GROUP BY l_returnflag
+UNION ALL SELECT l_returnflag, 'price', count(*), count(*) - count(price), min(price), max(price), NULL, NULL, true, true FROM t GROUP BY l_returnflag
+UNION ALL SELECT l_returnflag, 'supplier', count(*), count(*) - count(supplier), NULL, NULL, min(supplier), max(supplier), true, true FROM t GROUP BY l_returnflag""")
+def data_profile_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketches of seven batches merged; their estimates against the exact profile of all rows."""
+    lines = messy(spark, folder, "lineitem", LINES_SPARK).withColumn("batch", F.pmod("l_orderkey", F.lit(7)))
+    kept = describe.sketches(lines, PROFILED, ["l_returnflag", "batch"])
+    whole = describe.merged(kept, ["l_returnflag"])
+    keys = ["l_returnflag", "column"]
+    exact = describe.describe(lines, PROFILED, ["l_returnflag"], whole).select(
+        *keys, *[F.col(c).alias(f"exact_{c}") for c in ("distinct", "q1", "median", "q3", "least", "most")])
+    found = describe.estimates(whole).join(exact, keys)
+    # A share of the rows either way is a share of the range here: the values are spread evenly.
+    near = F.lit(True)
+    for c in ("q1", "median", "q3"):
+        near = near & F.coalesce(F.abs(F.col(c) - F.col(f"exact_{c}")) <= 0.05 * (F.col("exact_most") - F.col("exact_least")), F.lit(True))
+    distinct = F.abs(F.col("distinct") - F.col("exact_distinct")) <= 0.08 * F.col("exact_distinct")
+    return found.select(*keys, "rows", "nulls", "least", "most", "least_text", "most_text", distinct.alias("distinct_near"), near.alias("quartiles_near"))
+
+
 # --- types ----------------------------------------------------------------------------------
 
 PART_TEXT = {
