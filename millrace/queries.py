@@ -20,7 +20,7 @@ from millrace.plans.clean import Batch, CleanOptions, clean_files, clean_table
 from millrace.plans.master import Master, build_master
 from millrace.session import run_dir
 from millrace.sinks.table import TableTarget, load_table
-from millrace.sources import schema
+from millrace.sources import drift, schema
 from millrace.sources.assess import assess_files, assess_lines
 from millrace.sources.csv_files import stage_csv
 
@@ -985,6 +985,43 @@ def schema_compatibility(spark: SparkSession, folder: str) -> DataFrame:
     return verdict.select("files", "common_columns", "compatible", F.element_at("issues", 1).alias("issue"))
 
 
+DRIFT_OLD = {
+    "o_orderstatus": "o_orderstatus", "key": "o_orderkey", "customer": "o_custkey", "total": "CAST(o_totalprice AS STRING)",
+    "priority": "o_orderpriority", "note": "concat('n', CAST(o_orderkey AS STRING))", "placed": "CAST(o_orderdate AS DATE)", "blank": "CAST(NULL AS STRING)",
+}
+DRIFT_NEW = {
+    "o_orderstatus": "o_orderstatus", "total": "CASE WHEN o_orderkey % 9 = 0 THEN 'unknown' ELSE CAST(o_totalprice AS STRING) END",
+    "key": "o_orderkey", "client": "o_custkey", "priority": "CAST(length(o_orderpriority) AS STRING)",
+    "extra": "concat('x', CAST(o_orderkey AS STRING))", "placed": "o_orderkey % 2 = 0", "blank": "CASE WHEN o_orderkey % 9 = 0 THEN 'true' END",
+}
+DRIFT_ROWS = [
+    ("key", "kept", "key", "whole", "whole"), ("client", "renamed", "customer", "whole", "whole"),
+    ("total", "CASE WHEN nines > 0 THEN 'widened' ELSE 'kept' END", "total", "number", "CASE WHEN nines > 0 THEN 'text' ELSE 'number' END"),
+    ("priority", "narrowed", "priority", "text", "whole"), ("note", "removed", "note", "text", None), ("extra", "added", None, None, "text"),
+    ("placed", "changed", "placed", "date", "boolean"),
+    ("blank", "CASE WHEN nines > 0 THEN 'widened' ELSE 'kept' END", "blank", "empty", "CASE WHEN nines > 0 THEN 'boolean' ELSE 'empty' END"),
+]
+
+
+def drift_sql() -> str:
+    text = lambda x: "CAST(NULL AS VARCHAR)" if x is None else x if x.startswith("CASE") else f"'{x}'"
+    names = ("column", "change", "old_column", "old_type", "new_type")
+    return " UNION ALL ".join(
+        "SELECT o_orderstatus, " + ", ".join(f'{text(x)} AS "{n}"' for n, x in zip(names, row)) + " FROM g" for row in DRIFT_ROWS)
+
+
+@query(f"""
+WITH g AS (SELECT o_orderstatus, count(*) FILTER (o_orderkey % 9 = 0) AS nines FROM orders GROUP BY o_orderstatus)
+SELECT *, CASE WHEN change = 'renamed' THEN 1.0::DOUBLE END AS similarity FROM ({drift_sql()})""")
+def schema_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """What became of the columns of each source since the kept snapshot: all kinds of change."""
+    by, kept = ["o_orderstatus"], scratch(spark, "snapshots")
+    drift.save_snapshot(drift.snapshot(messy(spark, folder, "orders", DRIFT_OLD), by), kept)
+    now = drift.snapshot(messy(spark, folder, "orders", DRIFT_NEW), by)
+    found = drift.drift(drift.load_snapshot(spark, kept), now, by)
+    return found.select(*by, "column", "change", "old_column", "old_type", "new_type", "similarity")
+
+
 @query("SELECT * FROM orders")
 def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     target = TableTarget("local-project", f"load_{uuid.uuid4().hex}", "orders",
