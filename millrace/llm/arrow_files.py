@@ -36,10 +36,17 @@ from millrace.session import run_dir, written
 BATCH_SEQUENCES = 256
 
 
+def qualified(spark, folder: str) -> str:
+    """The folder as Spark's file systems name it: a path without a scheme is in the default one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def _system(uri: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
 class _Shard:
@@ -171,4 +178,4 @@ def read_documents(manifest: DataFrame, folder: str, id_kind) -> DataFrame:
 
 
 def new_folder(spark) -> str:
-    return f"{run_dir(spark)}/arrow-{uuid.uuid4().hex}"
+    return qualified(spark, f"{run_dir(spark)}/arrow-{uuid.uuid4().hex}")

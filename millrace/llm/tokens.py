@@ -3,7 +3,8 @@
 Pre-tokenizers never join what is before a single blank with what is after it, so a text is
 encoded piece by piece, and the ids of a piece are remembered: each word is tokenized once per
 worker, as long as it is remembered. Blanks next to other white space or at the ends of a
-text stay inside their piece. Plain words, of Latin letters and perhaps a full stop or comma,
+text stay inside their piece. The strings of special tokens, which hold no blank, are cut out and
+encoded as these, as the library does. Plain words, of Latin letters and perhaps a full stop or comma,
 need no normalizer and no pre-tokenizer but a split at blanks, which is faster.
 """
 
@@ -39,9 +40,7 @@ def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    loaded = Tokenizer.from_file(path)
-    loaded.encode_special_tokens = True  # the strings of special tokens are ordinary text
-    return loaded
+    return Tokenizer.from_file(path)
 
 
 def id_type(path: str) -> np.dtype:

@@ -290,6 +290,28 @@ def test_arrow_files_round_trip(spark, docs, tmp_path):
         assert sum(reader.get_batch(i).column(1).flatten().true_count for i in range(reader.num_record_batches)) == r.tokens
 
 
+def test_arrow_files_carry_no_other_columns(spark, docs, tmp_path):
+    """Columns named like those of the files do not matter."""
+    folder = str(tmp_path / "clashing")
+    wide = docs.selectExpr("*", "1 AS id", "'x' AS start", "2 AS tokens", "3 AS shard", "4 AS tie")
+    manifest = arrow_files.write_arrow(wide, public_tokenizers.path("byte_bpe_50k.json"), folder, length=64)
+    got = arrow_files.read_documents(manifest, folder, docs.schema["doc_id"].dataType).collect()
+    assert in_order((r.id, r.tokens) for r in got) == in_order((p[0], p[3]) for p in plain_pieces(corpus(), 10**9, "byte_bpe_50k.json"))
+
+
+def test_folders_are_those_of_the_session(spark, tmp_path):
+    assert arrow_files.qualified(spark, str(tmp_path)) == f"file://{tmp_path}" == arrow_files.qualified(spark, f"file:{tmp_path}")
+    before = spark.conf.get("spark.hadoop.fs.defaultFS", None)
+    conf = spark._jsc.hadoopConfiguration()
+    kept = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://cluster/")
+    conf.set("fs.viewfs.mounttable.cluster.link./shared", f"file://{tmp_path}")
+    try:
+        assert arrow_files.qualified(spark, "/shared/x") == "viewfs://cluster/shared/x" and before is None
+    finally:
+        conf.set("fs.defaultFS", kept)
+
+
 def test_arrow_files_of_nothing(spark, tmp_path):
     manifest = arrow_files.write_arrow(empty(spark), public_tokenizers.path("byte_bpe_50k.json"), str(tmp_path))
     assert arrow_files.read_documents(manifest, str(tmp_path), "long").collect() == []
@@ -302,7 +324,7 @@ def test_long_texts_are_encoded_in_parts_alike(monkeypatch):
     text = " ".join(rng.choice(["word", "été", "x1", "don't", "\n\n", "  ", "a-b", "!!", "<|endoftext|>", "日本"], 4000))
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         path = public_tokenizers.path(name)
-        want = tokens.tokenizer(path).encode(text, add_special_tokens=False).ids
+        want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
         monkeypatch.setattr(tokens, "RUN_BYTES", 300)
         assert len(tokens._parts(text)) > 10
         assert next(tokens.encoded(pa.array([text]), path)).tolist() == want
@@ -315,10 +337,12 @@ def test_pieces_are_encoded_like_whole_texts(monkeypatch):
     odd = ["", " ", "a", " a", "a ", "a  b", "a\n b", "a \nb", "é\u00a0ü", "a \u2003b", "a\u2003b c", "don't 's x", "<|endoftext|> a", "  lead"]
     odd += ["x\x1c y", "İ İa Σ ΑΣ ſ ŉ", "e \u0301x", "Été, ÉTÉ. a.b a,, .a , .", "ﬁn ǅ ß.", None, "word. Word, WORD"]
     rng = np.random.default_rng(0)
+    odd += ["".join(rng.choice(["a", " ", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|end", "of", "é", ".", "\n"], 12)) for _ in range(300)]
     odd += ["".join(rng.choice(list("ab é'.,1 \n\t\u0301ΣİS s<|>日"), 60)) for _ in range(400)]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         path = public_tokenizers.path(name)
-        want = [tokens.tokenizer(path).encode(t or "", add_special_tokens=False).ids for t in odd]
+        library = Tokenizer.from_file(path)
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in odd]
         assert [ids.tolist() for ids in tokens.encoded(pa.array(odd), path)] == want
         monkeypatch.setattr(tokens, "RUN_BYTES", 50)
         monkeypatch.setattr(tokens, "REMEMBERED", 100)
