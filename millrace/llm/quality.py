@@ -4,7 +4,7 @@ The labels give preferences: a document of label 1 is preferred to one of label
 chance that i is preferred to j is the logistic function of s(i) - s(j), where s is linear in
 a document's features, so the weights come from a logistic regression on differences of
 features of preferred and other documents (each paired with several of the other label).
-The threshold is a quantile of the scores: as many of the labelled rows are below it as have
+The threshold is a quantile of the scores of all labelled rows: as many are below it as have
 label 0. Scores are mapped to 0..1 so that the threshold becomes PREDICTED.
 
 Features are numbers that any text has: lengths, shares of kinds of characters, repeated
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,8 @@ from millrace.llm.words import utf8
 SAMPLE_ROWS = 20_000
 #: Pairs per document of the rarer label.
 PAIRS = 8
+#: Of the approximate quantile of the labelled rows' scores: its rank is off by one in so many rows at most.
+ACCURACY = 100_000
 
 _MARKS = [b for b in range(33, 127) if not chr(b).isalnum()]
 _UPPER, _LOWER, _DIGIT = (np.array([f(chr(b)) and b < 128 for b in range(256)]) for f in (str.isupper, str.islower, str.isdigit))
@@ -93,22 +95,33 @@ class Ranking:
         return sigmoid(self.slope * (self.raw(x) - self.threshold) + np.log(PREDICTED / (1 - PREDICTED)))
 
 
-def fit(x: np.ndarray, label: np.ndarray, share: float, seed: int = 0) -> Ranking:
-    """`share`: of all labelled rows, those of label 0."""
+def fit(x: np.ndarray, label: np.ndarray, seed: int = 0) -> Ranking:
+    """Weights from PAIRS preference pairs for every row of the commoner label; the threshold is still 0."""
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     z = np.clip((x - mean) / scale, -8, 8)
     good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
     rng = np.random.default_rng(seed)
-    n = PAIRS * max(len(good), len(bad)) if min(len(good), len(bad)) < 1000 else PAIRS * min(len(good), len(bad))
+    n = PAIRS * max(len(good), len(bad))
     i, j = rng.permutation(np.resize(good, n)), np.resize(bad, n)
     sign = np.where(np.arange(n) % 2, 1.0, -1.0).astype(np.float32)
     weights = logistic((z[i] - z[j]) * sign[:, None], (sign > 0).astype(np.float64), ridge=1.0 + n * 1e-4)
     raw = z @ weights
-    weight = np.where(label == 0, share / len(bad), (1 - share) / len(good))
-    order = np.argsort(raw)
-    threshold = raw[order][min(len(raw) - 1, np.searchsorted(np.cumsum(weight[order]), share))]
     slope = abs(logistic(np.stack([raw, np.ones_like(raw)], axis=1), label.astype(np.float64), ridge=1e-3, constant=True)[0])
-    return Ranking(mean, scale, weights, float(threshold), float(np.clip(slope, 0.05, 20)))
+    return Ranking(mean, scale, weights, 0.0, float(np.clip(slope, 0.05, 20)))
+
+
+def quantile(rows: DataFrame, ranking: Ranking, share: float) -> float:
+    """The score that `share` of the labelled rows are below, over all of them."""
+    sent = rows.sparkSession.sparkContext.broadcast(ranking)
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = utf8(batch.column(0))
+            raw = sent.value.raw(np.stack([features(t) for t in texts])) if texts else np.empty(0)
+            yield pa.RecordBatch.from_arrays([pa.array(raw, pa.float64())], names=["raw"])
+
+    scores = rows.select("_quality_text").mapInArrow(compute, "raw double")
+    return scores.agg(F.percentile_approx("raw", F.lit(float(share)), F.lit(ACCURACY))).first()[0]
 
 
 def _with_features(rows: DataFrame) -> DataFrame:
@@ -135,7 +148,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
         y = table.column("_label").to_numpy()
         if len(np.unique(y)) == 2:
             x = np.stack([np.frombuffer(b, np.float32) for b in table.column("x").to_pylist()])
-            ranking = fit(x, y, counts[0] / (counts[0] + counts[1]))
+            ranking = fit(x, y)
+            ranking = replace(ranking, threshold=quantile(labelled(rows, known_), ranking, counts[0] / (counts[0] + counts[1])))
     sent = docs.sparkSession.sparkContext.broadcast(ranking)
     body = text if text in kept else "_quality_text"
     chosen = docs.select(

@@ -274,6 +274,33 @@ def toxicity_words(text):
     return re.findall("[^\\W_]+", text.lower())
 
 
+@pytest.mark.parametrize("good, bad", [(40, 25), (60, 1500), (1500, 60)])
+def test_ranking_against_all_preference_pairs(good, bad):
+    """Weights as from every pair of rows of unlike label, at any number of labels: no row is left out."""
+    rng = np.random.default_rng(good)
+    true = np.array([1.5, -1.0, 0.3, 0.0])
+    label = np.r_[np.ones(good, int), np.zeros(bad, int)]
+    x = (rng.normal(size=(len(label), 4)) + 0.8 * np.outer(label, true)).astype(np.float32)
+    found = quality.fit(x, label)
+    z = (x - x.mean(axis=0)) / (x.std(axis=0) + 1e-6)
+    d = (z[label == 1][:, None, :] - z[label == 0][None, :, :]).reshape(-1, 4)
+    w = np.zeros(4)
+    for _ in range(50):  # plain Newton steps on the logistic loss of all differences
+        p = 1 / (1 + np.exp(-d @ w))
+        w += np.linalg.solve((d * (p * (1 - p))[:, None]).T @ d + 1e-4 * len(d) * np.eye(4), d.T @ (1 - p) - 1e-4 * len(d) * w)
+    assert found.weights @ w / np.linalg.norm(found.weights) / np.linalg.norm(w) > 0.97
+    assert np.corrcoef(found.raw(x), z @ w)[0, 1] > 0.97
+
+
+def test_threshold_is_the_quantile_of_all_labelled_rows(spark):
+    """With a sample of a few rows, the threshold still parts all rows as their labels do."""
+    rows, labels, truth = labelled_rows(8, 500)
+    got = quality_scores(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS), sample=30, keep=["doc_id"]).collect()
+    learned = [r for r in got if r.doc_id in truth and not r.held_out]
+    low = sum(truth[r.doc_id][1] == 0 for r in learned)
+    assert abs(sum(r.score < 0.3 for r in learned) - low) <= 1
+
+
 def test_features_see_junk():
     x = {k: quality.features(t.encode()) for k, t in {"prose": "A plain sentence, with words. " * 3, "loud": "BUY!! NOW!! " * 9, "same": "go " * 40, "none": ""}.items()}
     assert len({v.shape for v in x.values()}) == 1 and all(np.isfinite(v).all() for v in x.values())
