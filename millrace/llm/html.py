@@ -11,8 +11,9 @@ tenth of the host's differing pages, at least TEMPLATE_PAGES of them (of fewer t
 times as many, a third); inside an article half of them, at least INSIDE_PAGES. A host of
 fewer than TEMPLATE_PAGES differing pages has no templates.
 
-Copies are grouped by (host, digest) before subtrees are counted, and both counts are partial
-sums before the shuffle, so neither a hot host nor a group of copies is a hot task. A host's
+Copies are grouped by (host, digest) before subtrees are counted, and a class's by (host, class,
+hash); all counts are partial sums before the shuffle, so neither a hot host nor a group of
+copies is a hot task. A host's
 recurring subtrees are few, since each needs its share of the host's pages; they are joined
 to the pages from a written table.
 
@@ -45,6 +46,9 @@ TEMPLATE_PAGES = 5
 #: and on this share of its differing pages: outside an article, and inside one.
 OUTSIDE_SHARE, INSIDE_SHARE, INSIDE_PAGES = 0.1, 0.5, 20
 
+#: Characters of the blocks by which pages are near copies.
+LONG = 200
+
 # Elements of HTML by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
@@ -66,9 +70,11 @@ CLOSES = {
     "tfoot": ("thead", "tbody", "tfoot", "tr", "td", "th"), "option": ("option",), "optgroup": ("option", "optgroup"),
 }
 SCOPES = frozenset("ul ol dl table body html article main section div aside nav select".split())
-# Words of a class, id or role that name what is not main text; those that may
-# also name a part of an article, if another word says so; and those that name comments and
-# adverts that are articles by their element.
+# Words of a class, id or role that name what is not main text, alone or in a
+# compound of words of these lists; those that may also name a part of an article, if another
+# word says so; those that name comments and adverts that are articles by their element; and
+# those that only say where something is or what it looks like. Any other word in a compound
+# means that the name is the page's own.
 NAMED = frozenset(
     "ad ads advert adverts advertisement advertisements advertising adsense adbox adslot sponsor sponsored promo promotion "
     "promoted nav navbar navigation menu submenu breadcrumb breadcrumbs masthead footer sidebar aside widget widgets "
@@ -76,8 +82,14 @@ NAMED = frozenset(
     "comment comments commentlist respond disqus reply replies related recommended pagination pager toolbar complementary contentinfo".split()
 )
 NAMED_UNLESS = frozenset("header banner notice notices notification alert discussion skip search form".split())
-CONTENT = frozenset("article post entry content story text title body main".split())
+CONTENT = frozenset("article articles post posts entry entries content story stories text title titles body main".split())
 NAMED_ARTICLE = frozenset("comment comments reply ad ads advert promo promoted sponsored related teaser".split())
+PLACED = frozenset(
+    "site page web global top bottom left right middle center upper lower inner outer first last primary secondary tertiary "
+    "sub mini small big large mobile desktop sticky fixed floating box bar block area section row col column panel pane list item items link links button "
+    "buttons icon icons image img wrapper wrap container holder group inline slot unit zone space region element component module "
+    "tag label heading head foot count counter author avatar meta toggle tabs tab drawer dropdown dialog close open active js".split()
+)
 LAYOUT = ("has-", "has_", "with-", "no-", "is-", "layout-")
 #: What elements deeper than this hold is read as part of the one around them; what is dropped is dropped at any depth.
 DEPTH = 256
@@ -110,7 +122,7 @@ def _named(tag: str, attributes: str) -> bool:
             if tag in ARTICLE:
                 if parts & NAMED_ARTICLE:
                     return True
-            elif not token.lower().startswith(LAYOUT):
+            elif not token.lower().startswith(LAYOUT) and parts <= NAMED | NAMED_UNLESS | CONTENT | PLACED:
                 if parts & NAMED or parts & NAMED_UNLESS and not parts & CONTENT:
                     return True
     return False
@@ -258,6 +270,18 @@ def _hashed(element: Element, inside: bool, out: list[tuple[int, Element, bool]]
     return value
 
 
+def _blocks(element: Element) -> Iterator[str]:
+    for part in element.parts:
+        if isinstance(part, str):
+            yield part
+        else:
+            yield from _blocks(part)
+
+
+def _size(element: Element) -> int:
+    return sum(map(len, _blocks(element)))
+
+
 def _trees(page: str) -> tuple[list[Element], list[tuple[int, Element, bool]], bool, bytes]:
     """What structure leaves of a page, its subtrees, whether it is of articles, and a digest of it all."""
     import xxhash
@@ -276,6 +300,21 @@ def _trees(page: str) -> tuple[list[Element], list[tuple[int, Element, bool]], b
     return articles or [root], found, bool(articles), digest.digest()
 
 
+def _alike(tops: list[Element], digest: bytes) -> bytes:
+    """The same for near copies: a digest of the longest blocks that are most of the text, if they are long."""
+    import xxhash
+
+    blocks = [b for top in tops for b in _blocks(top)]
+    most, taken = sum(map(len, blocks)) / 2, 0
+    out = xxhash.xxh3_128()
+    for block in sorted(blocks, key=lambda b: (-len(b), b)):
+        out.update(block.encode("utf-8", "surrogatepass") + b"\x01")
+        taken += len(block)
+        if taken > most:
+            break
+    return out.digest() if taken >= LONG else digest
+
+
 def subtrees(page: str) -> set[tuple[int, bool]]:
     """(hash, inside an article) of every subtree that main text may hold."""
     return {(value, inside) for value, _, inside in _trees(page)[1]}
@@ -284,7 +323,8 @@ def subtrees(page: str) -> set[tuple[int, bool]]:
 def main_text(page: str, template: set[int]) -> str:
     """The blocks of the article, or of the page if it has none, without the template's subtrees."""
     tops, found, _, _ = _trees(page)
-    gone = {id(element) for value, element, _ in found if value in template} if template else set()
+    whole = sum(map(_size, tops)) if template else 0
+    gone = {id(element) for value, element, inside in found if value in template and not (inside and 2 * _size(element) > whole)} if template else set()
     blocks: list[str] = []
 
     def walk(element: Element) -> None:
@@ -302,21 +342,24 @@ def main_text(page: str, template: set[int]) -> str:
 def templates(pages: DataFrame) -> DataFrame:
     """(_html_host, _html_template): per host the hashes of subtrees that recur across its pages."""
     fields = pages.select("_html_host").schema.fields
-    schema = StructType(fields).add("inside", "boolean").add("digest", "binary").add("hashes", ArrayType(LongType()))
+    schema = StructType(fields).add("inside", "boolean").add("digest", "binary").add("alike", "binary").add("hashes", ArrayType(LongType()))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            inside, digests, hashes = [], [], []
+            inside, digests, alike, hashes = [], [], [], []
             for page in utf8(batch.column(1)):
-                _, subtrees_, within, digest = _trees(page.decode())
-                inside.append(within), digests.append(digest), hashes.append(sorted({value for value, _, _ in subtrees_}))
-            columns = [batch.column(0), pa.array(inside, pa.bool_()), pa.array(digests, pa.binary()), pa.array(hashes, pa.list_(pa.int64()))]
+                tops, subtrees_, within, digest = _trees(page.decode())
+                inside.append(within), digests.append(digest), alike.append(_alike(tops, digest))
+                hashes.append(sorted({value for value, _, _ in subtrees_}))
+            columns = [batch.column(0), pa.array(inside, pa.bool_()), *(pa.array(x, pa.binary()) for x in (digests, alike)), pa.array(hashes, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     differing = pages.select("_html_host", "_html").mapInArrow(found, schema).groupBy("_html_host", "inside", "digest")
-    differing = written(differing.agg(F.count("*").alias("copies"), F.first("hashes").alias("hashes")), "html_pages")
-    hosts = written(differing.groupBy("_html_host").agg(F.count("*").alias("pages")), "html_hosts")
-    counted = differing.select("_html_host", "inside", "copies", F.explode("hashes").alias("hash"))
+    differing = written(differing.agg(F.count("*").alias("copies"), F.first("alike").alias("alike"), F.first("hashes").alias("hashes")), "html_pages")
+    classes = differing.select("_html_host", "inside", "alike").distinct()
+    hosts = written(classes.groupBy("_html_host").agg(F.count("*").alias("pages")), "html_hosts")
+    counted = differing.select("_html_host", "inside", "alike", "copies", F.explode("hashes").alias("hash"))
+    counted = counted.groupBy("_html_host", "hash", "inside", "alike").agg(F.sum("copies").alias("copies"))
     counted = counted.groupBy("_html_host", "hash", "inside").agg(F.count("*").alias("around"), F.sum("copies").alias("rows"))
     counted = written(counted.where((F.col("around") > 1) & (F.col("rows") >= TEMPLATE_PAGES)), "html_subtrees")
     few = F.least(F.lit(TEMPLATE_PAGES), F.col("pages") / 3)

@@ -69,6 +69,83 @@ def test_copies_of_a_page_are_no_template(spark, article):
     assert got == {i: "T\n\nsame\n\ncopy" if i < 30 else f"page {i}" + ("\n\ncopy" if i == 35 else "") for i in range(40)}
 
 
+LONG_TEXT = "A long paragraph that many pages of this site have in common, " * 6
+
+
+@pytest.mark.parametrize("article, near, others", [(True, 40, 0), (True, 40, 40), (False, 6, 44), (False, 30, 10)])
+def test_near_copies_keep_their_text(spark, article, near, others):
+    """Pages that differ by one line are no template, whatever their number; a box around them is."""
+    tag = "article" if article else "div"
+    box = "" if article else "<div><p>Call us now</p></div>"
+
+    def page(i, body):
+        return i, f"https://a.com/{i}", f"<body>{box}<{tag}>{body}</{tag}></body>", 0
+
+    rows = [page(i, f"<h1>Heading</h1><p>{LONG_TEXT}</p><p>Own number {i}</p>") for i in range(near)]
+    rows += [page(i, f"<p>Another text, {i}, of its own: {i * 7919}.</p>") for i in range(near, near + others)]
+    frame = spark.createDataFrame(rows, "page_id int, url string, html string, n_chars int")
+    got = {r.page_id: r.text for r in extract(frame).collect()}
+    want = {i: f"Heading\n\n{LONG_TEXT.strip()}\n\nOwn number {i}" for i in range(near)}
+    assert got == want | {i: f"Another text, {i}, of its own: {i * 7919}." for i in range(near, near + others)}
+
+
+@pytest.mark.parametrize("long", [False, True])
+def test_boxes_inside_articles_go(spark, long):
+    """A box in most articles of a host goes, but never what is most of an article's text."""
+    box = f"<div><p>{LONG_TEXT if long else 'Read more of this in our shop'}</p></div>"
+    rows = [(i, "https://a.com/", f"<article><p>{f'Own words of number {i} of the pages. ' * 20}</p>{box}</article>", 0) for i in range(40)]
+    rows += [(99, "https://a.com/", f"<article>{box}<p>Short.</p></article>", 0)]
+    frame = spark.createDataFrame(rows, "page_id int, url string, html string, n_chars int")
+    got = {r.page_id: r.text for r in extract(frame).collect()}
+    assert all(got[i] == (f"Own words of number {i} of the pages. " * 20).strip() for i in range(40))
+    assert got[99] == (f"{LONG_TEXT.strip()}\n\nShort." if long else "Read more of this in our shop\n\nShort.")
+
+
+@pytest.mark.parametrize("name, kept", [
+    ("form-factor", True), ("modal-verbs", True), ("social-history", True), ("share-prices", True), ("cookie-recipes", True), ("header-files", True),
+    ("ad", False), ("ad-slot", False), ("adSlot", False), ("site-footer", False), ("cookie-notice", False), ("social-share-buttons", False),
+    ("comment-list", False), ("comment-body", False), ("main-menu", False), ("related-articles", False), ("search-form", False),
+    ("article-header", True), ("post-header", True), ("has-sidebar", True), ("newsletter_signup", False), ("ad-300x250", True),
+])
+def test_names_are_matched_whole(name, kept):
+    inner = f"<div class='x {name}'><p>inner</p></div>"
+    for page in (f"<p>outer</p>{inner}", f"<article><p>outer</p>{inner}</article>"):
+        assert main_text(page, set()) == ("outer\n\ninner" if kept else "outer")
+
+
+def plain_templates(pages):
+    """The hashes that recur by the rules of the module, of pages of one host, counted one by one."""
+    classes = {}
+    for _, _, page in pages:
+        tops, found, inside, digest = html._trees(page)
+        classes.setdefault((inside, html._alike(tops, digest)), []).append({v for v, _, _ in found})
+    around, rows = Counter(), Counter()
+    for (inside, _), members in classes.items():
+        for value in set().union(*members):
+            around[value, inside] += 1
+            rows[value, inside] += sum(value in m for m in members)
+    n = len(classes)
+    least = {True: max(html.INSIDE_PAGES, html.INSIDE_SHARE * n), False: max(min(html.TEMPLATE_PAGES, n / 3), html.OUTSIDE_SHARE * n)}
+    return {v for (v, inside), k in around.items() if n >= html.TEMPLATE_PAGES and k > 1 and rows[v, inside] >= html.TEMPLATE_PAGES and k >= least[inside]}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_templates_against_a_plain_count(spark, seed):
+    """Boxes inside and outside of articles, copies and near copies, of a host."""
+    rng = np.random.default_rng(seed)
+    pages = []
+    for i in range(90):
+        parts = [f"<div><p>box {k}</p></div>" for k in range(5) if rng.random() < (0.15, 0.3, 0.55, 0.7, 0.95)[k]]
+        own = f"<p>{LONG_TEXT if rng.random() < 0.2 else f'own {i} ' * int(rng.integers(1, 60))}</p>"
+        tag = "article" if rng.random() < 0.6 else "section"
+        pages.append((i, "http://h/x", f"{parts[0] if parts else ''}<{tag}>{''.join(parts[1:])}{own}</{tag}>"))
+    pages += [pages[5]] * 12
+    frame = spark.createDataFrame(pages, "i int, _html_host string, _html string").select("_html_host", "_html")
+    found = html.templates(frame).collect()
+    want = plain_templates(pages)
+    assert want and set(found[0]["_html_template"]) == want
+
+
 def test_subtrees_are_counted_like_a_plain_count(spark):
     pages = [(i, "http://h/x", f"<div><p>{i % 3}</p><p>x</p></div><div><p>{i % 2}</p></div>") for i in range(40)]
     frame = spark.createDataFrame(pages, "i int, _html_host string, _html string").select("_html_host", "_html")
