@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from millrace.functions.names import KEY
 
+DIGITS = r"(\p{Nd}+)"
+
 
 def first_digits(text: Column) -> Column:
     """First run of (Unicode) digits as bigint; null if none or beyond 64 bits."""
-    return F.nullif(F.regexp_extract(text, r"(\p{Nd}+)", 1), F.lit("")).try_cast("bigint")
+    return F.nullif(F.regexp_extract(text, DIGITS, 1), F.lit("")).try_cast("bigint")
 
 
 def first_digits_of_number(value: Column) -> Column:

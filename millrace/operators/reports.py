@@ -88,9 +88,16 @@ def batch_summary(status: DataFrame) -> DataFrame:
     )
 
 
-def file_table(status: DataFrame) -> DataFrame:
-    """One display row per file: name, status text, columns text, size text."""
+def file_table(status: DataFrame, samples: DataFrame | None = None) -> DataFrame:
+    """One display row per file: name, status text, columns text, size text.
+
+    With `samples` (of `schema_samples`), a file whose sample failed is shown as an error too.
+    """
     issues = F.size("issues_found")
+    if samples is not None:
+        failed = samples.filter("error IS NOT NULL").select(F.col("source_file").alias("_sampled"), F.col("error").alias("_sample_error"))
+        status = status.join(failed, status["file_name"] == failed["_sampled"], "left")
+        status = status.withColumn("error", F.coalesce("error", "_sample_error")).drop("_sampled", "_sample_error")
     return status.select(
         "file_name",
         F.when(F.col("error").isNotNull(), F.concat(F.lit("Error: "), F.col("error")))

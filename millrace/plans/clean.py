@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import values as V
 from millrace.functions.dates import date_format, parse_dates
-from millrace.functions.keys import first_digits_of_number
+from millrace.functions.keys import DIGITS, first_digits_of_number
 from millrace.functions.names import KEY, SOURCE
 from millrace.operators.attach import attach
 from millrace.operators.fills import exact_medians, exact_modes
@@ -62,6 +62,8 @@ class Batch:
     status: DataFrame
     decisions: DataFrame
     rejects: DataFrame | None = None
+    # (source_file, row, column, value, reason): texts that cleaning made null.
+    rejected_values: DataFrame | None = None
 
 
 def clean_files(
@@ -114,7 +116,7 @@ def clean_staged(staged: Staged, options: CleanOptions = CleanOptions()) -> Batc
         data = written(data.sortWithinPartitions(SOURCE), "cleaned")
     return Batch(
         data, report(decisions, staged), status(data, decisions, staged), decisions,
-        staged.extras.get("rejects"),
+        staged.extras.get("rejects"), rejected_values(kept, decisions, staged, usage, facts),
     )
 
 
@@ -469,6 +471,63 @@ def _cell(c: str, staged: Staged, use: Usage, planned: bool, formats: Sequence[s
     return value if use.always_kept else F.when(plan["keep"], value)
 
 
+# Why a value was made null.
+NOT_A_NUMBER, NOT_A_DATE, NOT_A_KEY = "not a number", "not a date in the column's format", "key beyond 64 bits"
+
+
+def rejected_values(
+    kept: DataFrame, decisions: DataFrame, staged: Staged, usage: dict[str, Usage], facts: dict[str, Facts]
+) -> DataFrame:
+    """Rows (source_file, row, column, value, reason): every text that coercion or the key made null.
+
+    `row` is the row's place in its file. Together with the cells that were kept or filled, these
+    are all of the input: a value is null in the result if it was missing and not filled, if its
+    column was dropped, or if it is here. Only columns that some file coerces are read.
+    """
+    coerced = [c for c, u in usage.items() if staged.types[c] == "string" and u.outs != ["string"] and u.outs]
+    urls = [c for c, h in _url_columns(staged).items() if staged.types[c] == "string"]
+    named = dict(zip(staged.columns, staged.names))
+    schema = "source_file string, row bigint, column string, value string, reason string"
+    if not coerced and not urls:
+        return kept.sparkSession.createDataFrame([], schema)
+    entry = F.struct("column", F.struct("out", (F.col("fate") == "keep").alias("keep"), "is_url", "format").alias("plan"))
+    plans = decisions.filter(F.col("column").isin(sorted({*coerced, *urls}))).groupBy("_source").agg(
+        F.map_from_entries(F.collect_list(entry)).alias("_all"))
+    columns = sorted({*coerced, *urls})
+    plans = plans.select("_source", F.struct(*[F.col("_all")[c].alias(c) for c in columns]).alias("_plan"))
+    size = sum(facts[c].plan_bytes if c in facts else usage[c].source_bytes for c in columns if c in usage)
+    rows = attach(kept.select("_source", "_row", "_key", *columns), plans, ["_source"], how="left", size=size)
+    cells = []
+    for c in coerced:
+        plan, cell = F.col("_plan")[c], F.col(c)
+        out, live = plan["out"], F.col("_plan")[c]["keep"] & cell.isNotNull()
+        formats = facts[c].formats if c in facts else [None]
+        bad_number = F.when(out == "double", V.number(cell).isNull()).when(out == "bigint", V.integer(cell).isNull())
+        bad_date = F.when(out == "timestamp_ntz", parse_dates(cell, plan["format"], formats or [None]).isNull())
+        reason = F.when(live & bad_number, NOT_A_NUMBER).when(live & bad_date, NOT_A_DATE)
+        cells.append(F.struct(F.lit(named[c]).alias("column"), cell.alias("value"), reason.alias("reason")))
+    for c in urls:
+        lost = F.col("_plan")[c]["is_url"] & F.col("_key").isNull() & F.col(c).rlike(DIGITS)
+        cells.append(F.struct(F.lit(named[c]).alias("column"), F.col(c).alias("value"), F.when(lost, NOT_A_KEY).alias("reason")))
+    found = F.filter(F.array(*cells), lambda x: x["reason"].isNotNull())
+    return rows.select(F.col("_source").alias("source_file"), F.col("_row").alias("row"), F.inline(found))
+
+
+def _url_columns(staged: Staged) -> dict[str, str]:
+    """The columns that some header takes its key from."""
+    place = dict(zip(staged.names, staged.columns))
+    return {place[h.url]: h.url for h in staged.headers if h.url}
+
+
+def fill_counts(batch: Batch) -> DataFrame:
+    """Rows (source_file, column, fill, filled, value): how many gaps of each column were filled, and with what."""
+    filled = batch.decisions.filter("fill IS NOT NULL AND fate = 'keep'")
+    value = F.coalesce("text", V.float_text(F.col("number")))
+    return filled.select(
+        F.col("_source").alias("source_file"), F.col("cleaned_column").alias("column"), "fill",
+        F.col("missing").alias("filled"), value.alias("value"))
+
+
 def report(decisions: DataFrame, staged: Staged) -> DataFrame:
     """Rows (source_file, position, original_column, missing_percent_before, cleaned_column,
     action, details), one per original column of every file, and one for the key."""

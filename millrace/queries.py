@@ -16,7 +16,7 @@ from millrace.functions import names as N
 from millrace.functions.keys import with_key
 from millrace.functions.values import NULL_TOKENS, nullify
 from millrace.operators import coerce, describe, fills, merge, profile, reports, rows
-from millrace.plans.clean import Batch, CleanOptions, clean_files, clean_table
+from millrace.plans.clean import Batch, CleanOptions, clean_files, clean_staged, clean_table, fill_counts
 from millrace.plans.master import Master, build_master
 from millrace.session import run_dir
 from millrace.sinks.table import TableTarget, load_table
@@ -713,6 +713,31 @@ def quality_report(spark: SparkSession, folder: str) -> DataFrame:
     return cleaned_exports(spark, folder, write_result=False).report
 
 
+@query(f"""
+WITH {EXPORT_SQL}
+SELECT * FROM (
+  SELECT file AS source_file, 'total_price' AS "column", 'median' AS fill, count(*) FILTER (price IS NULL) AS filled, CAST(max(price_fill) AS VARCHAR) AS value
+  FROM kept JOIN medians USING (file) GROUP BY file
+  UNION ALL SELECT file, 'ship_code', 'mode', count(*) FILTER (code IS NULL), max(code_fill) FROM kept JOIN codes USING (file) GROUP BY file
+  UNION ALL SELECT file, 'order_date', 'mode', count(*) FILTER (day IS NULL), max(day_fill) FROM kept JOIN days USING (file) GROUP BY file)
+WHERE filled > 0""")
+def nulls_filled(spark: SparkSession, folder: str) -> DataFrame:
+    """How many gaps of each column of each file were filled, and with what."""
+    return fill_counts(cleaned_exports(spark, folder, write_result=False))
+
+
+@query(f"""
+WITH {EXPORT_SQL}
+SELECT file AS source_file, "row", 'ship_code' AS "column", code AS value, 'not a number' AS reason FROM kept
+WHERE code IS NOT NULL AND NOT regexp_matches(code, '^[0-9]+$')
+UNION ALL
+SELECT file, "row", 'order_date', day, 'not a date in the column''s format' FROM kept JOIN firsts USING (file)
+WHERE day IS NOT NULL AND CASE WHEN first_day LIKE '%/%' THEN try_strptime(day, '%m/%d/%Y') ELSE try_strptime(day, '%Y-%m-%d') END IS NULL""")
+def values_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text that coercion made null, with its place in its file."""
+    return cleaned_exports(spark, folder, write_result=False).rejected_values
+
+
 STATUS_SQL = """
 statuses AS (
   SELECT file AS file_name, r.raw_rows, r.raw_rows - k.kept_rows AS summary_rows,
@@ -956,6 +981,32 @@ def file_table(spark: SparkSession, folder: str) -> DataFrame:
     return shown.groupBy("status", "columns").agg(F.count(F.lit(1)).alias("files"))
 
 
+SAMPLED_SQL = """
+lines AS (
+  SELECT 'customer' AS file, c_custkey AS place, format('{},{},https://x/{}', c_custkey, c_name, c_custkey) AS line, false AS long FROM customer
+  UNION ALL SELECT 'orders', o_orderkey, format('{},cafe {},https://x/{}', o_orderkey, o_orderstatus, o_orderkey) || CASE WHEN o_orderkey % 10 = 5 THEN ',more' ELSE '' END,
+    o_orderkey % 10 = 5 FROM orders),
+placed AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY place) AS n FROM lines),
+sizes AS (SELECT file, sum(length(line) + 1) + CASE file WHEN 'customer' THEN 14 ELSE 15 END AS size,
+  count(*) FILTER (long AND n <= 5) AS failed, count(*) FILTER (long AND n <= 10) AS issues FROM placed GROUP BY file)"""
+
+
+@query(f"""
+WITH {SAMPLED_SQL}
+SELECT file, CASE WHEN failed > 0 THEN 'Error: a row has more fields than the header' WHEN issues > 0 THEN '1 issues' ELSE 'Valid' END AS status,
+  CASE WHEN failed > 0 THEN 'N/A' ELSE '3 columns' END AS "columns",
+  CASE WHEN failed > 0 THEN 'N/A' ELSE printf('%.2f MB', size / 1048576) END AS size FROM sizes
+UNION ALL SELECT 'supplier', 'Error: Failed to process file', 'N/A', 'N/A' FROM (SELECT count(*) FROM supplier)""")
+def file_table_of_samples(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per file with its name and size; a file whose first rows cannot be sampled is an error."""
+    path = several_files(spark, folder)
+    staged = stage_csv(spark, path)
+    status = clean_staged(staged, CleanOptions()).status
+    names = status.select(F.col("file_name").alias("name"), F.element_at(F.split("file_path", "/"), -2).alias("file"))
+    shown = reports.file_table(status, schema.schema_samples(staged))
+    return shown.join(names, shown["file_name"] == names["name"]).select("file", "status", "columns", "size")
+
+
 @query("""
 SELECT DISTINCT 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS "columns",
   'bigint,string,bigint,double,string' AS types, 5 AS row_count_sample FROM customer""")

@@ -1,11 +1,17 @@
-"""Loading a table: validate the target, create its database, overwrite, report."""
+"""Loading a table: validate the target, create its database, overwrite, report.
+
+Tables of files are written aside and then take the target's name, so that a load that fails,
+however far it came, leaves the rows that were there. In a catalog of its own, and in other
+formats, replacing a table is the catalog's or the connector's work.
+"""
 
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Name rules and messages of a load target.
@@ -17,6 +23,10 @@ NO_DATASET = "Failed to create dataset %s: %s"
 GAVE_UP = "Upload failed after %d attempts: %s"
 
 
+# Formats whose tables are folders of files, which a catalog can rename.
+FILES = ("parquet", "orc", "csv", "json", "avro")
+
+
 @dataclass(frozen=True)
 class TableTarget:
     """Where to load: `table_id` is project.dataset.table.
@@ -87,8 +97,11 @@ def load_table(df: DataFrame, target: TableTarget | None, retries: int = 3) -> d
         observed = Observation()
         try:
             counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
-            counted.write.format(target.format).mode("overwrite").saveAsTable(
-                f"{target.database}.{quoted(target.table)}")
+            if target.catalog or target.format not in FILES:
+                counted.write.format(target.format).mode("overwrite").saveAsTable(
+                    f"{target.database}.{quoted(target.table)}")
+            else:
+                replace_table(counted, target.database, target.table, target.format)
         except Exception as error:
             problem = error
             continue
@@ -99,3 +112,34 @@ def load_table(df: DataFrame, target: TableTarget | None, retries: int = 3) -> d
             "columns_uploaded": len(df.columns),
         }
     return {"success": False, "error": GAVE_UP % (retries, problem)}
+
+
+def replace_table(df: DataFrame, database: str, table: str, format: str) -> None:
+    """Write `df` to a table aside, then swap names; the old table goes last, or comes back."""
+    spark = df.sparkSession
+    name = lambda kind: f"{database}.{quoted(f'{table}__{kind}_{mark}')}"
+    mark = uuid.uuid4().hex[:12]
+    target, aside, old = f"{database}.{quoted(table)}", name("new"), name("old")
+    try:
+        df.write.format(format).mode("errorifexists").saveAsTable(aside)
+        _swap(spark, target, aside, old)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        # A write that failed leaves its folder, though there is no such table.
+        home = spark.catalog.getDatabase(database).locationUri
+        path = spark._jvm.org.apache.hadoop.fs.Path(home, f"{table}__new_{mark}".lower())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+
+def _swap(spark: SparkSession, target: str, aside: str, old: str) -> None:
+    there = spark.catalog.tableExists(target)
+    if there:
+        spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {target}")
+    except Exception:
+        if there:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {target}")
+        raise

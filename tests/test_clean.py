@@ -216,3 +216,32 @@ def test_share_option_keeps_mostly_text_columns(spark, folder):
     strict = clean_files(spark, path, options=CleanOptions(numeric_min_share=0.5))
     assert dict(strict.data.dtypes)["a"] == "string"
     assert dict(clean_files(spark, path).data.dtypes)["a"] == "double"
+
+
+def test_rejected_values_and_the_rest_are_all_cells(spark, folder):
+    """What is null in the result was missing, or is a rejected value with its place."""
+    from millrace.plans.clean import fill_counts
+
+    text = "Link,amount,Start Date,plain\nx/1,5,2024-01-02,a\nx/2,oops,2024-13-02,b\nx/99999999999999999999,7.5,,c\nnone,True,2024-01-05,d\nx/5,,nope,e\n"
+    other = "Link,amount,Start Date,plain\nx/7,words,01/02/2024,a\nx/8,more,01/03/2024,b\n"
+    batch = clean_files(spark, folder({"a.csv": text, "b.csv": other}))
+    found = batch.rejected_values.collect()
+    got = {(r.source_file, r["column"], r.value, r.reason) for r in found}
+    assert got == {
+        ("a.csv", "amount", "oops", "not a number"), ("a.csv", "amount", "True", "not a number"),
+        ("a.csv", "start_date", "2024-13-02", "not a date in the column's format"), ("a.csv", "start_date", "nope", "not a date in the column's format"),
+        ("a.csv", "link", "x/99999999999999999999", "key beyond 64 bits"),
+    }
+    places = {(r.source_file, r["column"], r.value): r.row for r in found}
+    order = [places["a.csv", "amount", "oops"], places["a.csv", "link", "x/99999999999999999999"], places["a.csv", "amount", "True"], places["a.csv", "start_date", "nope"]]
+    assert order == sorted(order) and len(set(order)) == 4
+    lost = batch.data.filter("source_file = 'a.csv'").selectExpr("count_if(amount IS NULL) AS a", "count_if(start_date IS NULL) AS d", "count_if(job_id IS NULL) AS k").first()
+    assert (lost.a, lost.d, lost.k) == (2, 2, 2)
+    filled = {(r.source_file, r["column"], r.fill, r.filled, r.value) for r in fill_counts(batch).collect()}
+    assert filled == {("a.csv", "amount", "mode", 1, "5"), ("a.csv", "start_date", "mode", 1, "2024-01-02")}
+
+
+def test_no_rejected_values(spark, folder):
+    batch = clean_files(spark, folder({"a.csv": "a,b\n1,x\n2,y\n"}))
+    assert batch.rejected_values.collect() == [] and batch.rejected_values.columns == ["source_file", "row", "column", "value", "reason"]
+    assert clean_files(spark, folder({"bad.csv": 'a,b\n1,"x\n'}, "only")).rejected_values is None

@@ -104,6 +104,35 @@ def test_a_load_is_tried_again(spark, tmp_path, monkeypatch):
     assert load_table(spark.createDataFrame([(1,)], "a int"), target)["success"] and len(calls) == 3
 
 
+def test_a_load_that_fails_midway_leaves_the_old_rows(spark, tmp_path):
+    target = TableTarget("p", "millrace_kept", "t", location=str(tmp_path / "db"))
+    assert load_table(spark.createDataFrame([(i, "old") for i in range(50)], "a int, b string"), target)["success"]
+    broken = spark.range(1000, numPartitions=8).selectExpr("id", "CASE WHEN id = 777 THEN raise_error('lost') ELSE 'new' END AS c")
+    outcome = load_table(broken, target, retries=2)
+    assert not outcome["success"] and "after 2 attempts" in outcome["error"]
+    kept = spark.table("millrace_kept.t")
+    assert kept.columns == ["a", "b"] and kept.count() == 50
+    assert [t.name for t in spark.catalog.listTables("millrace_kept")] == ["t"] and [p.name for p in (tmp_path / "db").iterdir()] == ["t"]
+
+
+def test_a_swap_that_fails_brings_the_old_table_back(spark, tmp_path, monkeypatch):
+    target = TableTarget("p", "millrace_swap", "t", location=str(tmp_path / "db"))
+    assert load_table(spark.createDataFrame([(1,)], "a int"), target)["success"]
+    real, kind = type(spark).sql, type(spark)
+
+    def failing(self, text, *more, **options):
+        if "__new_" in text and "RENAME" in text:
+            raise RuntimeError("no rename")
+        return real(self, text, *more, **options)
+
+    monkeypatch.setattr(kind, "sql", failing)
+    assert "no rename" in load_table(spark.createDataFrame([(2,), (3,)], "a int"), target, retries=1)["error"]
+    monkeypatch.undo()
+    assert rows(spark.table("millrace_swap.t")) == [(1,)] and [t.name for t in spark.catalog.listTables("millrace_swap")] == ["t"]
+    assert load_table(spark.createDataFrame([(2,), (3,)], "a int"), target)["rows_uploaded"] == 2
+    assert spark.table("millrace_swap.t").count() == 2
+
+
 def test_load_failures(spark, tmp_path):
     frame = spark.createDataFrame([(1,)], "a int")
     refused = load_table(frame, TableTarget(project="test"))
