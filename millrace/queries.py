@@ -23,6 +23,7 @@ from millrace.sinks.table import TableTarget, load_table
 from millrace.sources import drift, schema
 from millrace.sources.assess import assess_files, assess_lines
 from millrace.sources.csv_files import stage_csv
+from millrace.streaming.incremental import clean_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1073,6 +1074,27 @@ def schema_drift(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(*by, "column", "change", "old_column", "old_type", "new_type", "similarity")
 
 
+@query("""
+SELECT CAST(c_custkey AS BIGINT) AS key, c_name AS name, CAST(c_custkey AS BIGINT) AS job_id FROM customer""")
+def cleaned_by_content(spark: SparkSession, folder: str) -> DataFrame:
+    """Exports that come in two runs of a stream; one comes again under another name and is not cleaned twice."""
+    path, output, state = scratch(spark, "arrivals"), scratch(spark, "stream"), scratch(spark, "state")
+    customer = table(spark, folder, "customer")
+
+    def export(part: int, name: str) -> None:
+        rows = customer.filter(F.col("c_custkey") % 4 == part).select(
+            F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.format_string("https://x/%d", "c_custkey").alias("link"))
+        rows.write.option("header", "true").csv(f"{path}/{name}")
+
+    for part in range(3):
+        export(part, f"day1-{part}")
+    clean_stream(spark, path, output, state)
+    export(0, "moved")
+    export(3, "day2")
+    clean_stream(spark, path, output, state)
+    return spark.read.parquet(f"{output}/data").select(F.col("key").cast("bigint").alias("key"), "name", "job_id")
+
+
 @query("SELECT * FROM orders")
 def sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     target = TableTarget("local-project", f"load_{uuid.uuid4().hex}", "orders",
