@@ -1,16 +1,21 @@
 """Exact top-k inner products by a dual-tree search over cover trees.
 
-Rows are dealt into blocks by hash, and so are the queries; each pair of a query block and
-a row block is a task of bounded size. A task indexes both in cover trees and traverses
-them together. A node covers its points by a centre and a radius, so for queries q within r
-of a and points x within s of b
+The top level of the tree over all rows is made by pivots, rows of a bounded sample: a row is of
+its nearest pivot, and a pivot covers its rows by their largest distance. A query is sent to
+the rows of a pivot only if the bound below allows one of them among its k best. That is
+done in two rounds: first every query goes to the pivot of the highest product, which lifts its
+worst k-th score; then to all others that may still beat that score. A pivot's rows and the
+queries that come to it are dealt into blocks by hash; each pair of them is a task of bounded
+size, which indexes both in cover trees and traverses them together. A node covers its points
+by a centre and a radius, so for queries q within r of a and points x within s of b
 
     q.x <= a.b + r |b| + s |a| + r s
 
-and a pair of nodes is dropped if that is below the worst k-th score of the query node's
-queries. These scores start from a bounded sample of rows, sent to all tasks, that every
-query is compared with: only rows that can be among a query's k best leave the task, and
-a ranking per query, limited to k rows before the shuffle, merges them.
+and a pair of nodes is dropped if that is below the worst k-th score of the node's queries.
+These scores start from the sample, sent to all tasks, that every query is compared with: only
+rows that can be among a query's k best leave a task, and a ranking per query, limited to k
+rows before the shuffle, merges them. Where vectors have no structure, no bound drops anything,
+and every query meets every row.
 
 Components are integers, so scores are exact: in double precision while sums stay below
 2**53, beyond that in unbounded integers (compared one by one; scores outside the range of a
@@ -31,12 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.joins import join_keyed
 from millrace.llm.vectors import usable
 from millrace.session import written
 
 BLOCK_ROWS, BLOCK_QUERIES = 2048, 2048
-#: Rows that every query is compared with first.
+#: Rows that every query is compared with first; the pivots are some of them, one for BLOCK_ROWS rows.
 SEED_ROWS = 1024
+#: Of the lengths of vectors, bounds are widened by so much for what rounding may take.
+SLACK = 1e-9
 #: A child's radius is its parent's divided by this; nodes of so few queries are leaves.
 SCALE, LEAF_QUERIES = 1.5, 16
 _EXACT = 2.0**53
@@ -186,40 +194,109 @@ def top_products(rows: DataFrame, queries: DataFrame, k: int = 5, id: str = "vec
     ).where("size > 0")
     points = written(ready(rows), "product_points")
     asked = written(ready(queries).withColumn("row", F.monotonically_increasing_id()), "product_queries")
-    blocks = max(1, -(-points.count() // BLOCK_ROWS))
-    query_blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
+    counts = {r["size"]: r["count"] for r in points.groupBy("size").count().collect()}
     seeds = points.orderBy(F.xxhash64("id"), "id", "v").limit(SEED_ROWS).toPandas()
-    by_size = {int(s): (np.stack(g["v"].to_numpy()), g["id"].to_numpy()) for s, g in seeds.groupby("size")}
+    by_size = {}
+    for size, group in seeds.groupby("size"):
+        vectors = np.stack(group["v"].to_numpy())
+        pivots = vectors[np.sort(np.unique(vectors, axis=0, return_index=True)[1])][: -(-counts[size] // BLOCK_ROWS)]
+        by_size[int(size)] = vectors, group["id"].to_numpy(), pivots
     sent = rows.sparkSession.sparkContext.broadcast(by_size)
+    kind = dict(points.dtypes)["v"]
+    near = points.mapInArrow(_assigned(sent), f"id bigint, v {kind}, size int, pivot int, away double")
+    covers = written(near.groupBy("size", "pivot").agg(F.max("away").alias("away"), F.count("*").alias("rows")), "product_pivots")
+    # At most a sample's rows for each length of vectors.
+    radius = {(r["size"], r["pivot"]): r["away"] for r in covers.select("size", "pivot", "away").collect()}
+    cover = rows.sparkSession.sparkContext.broadcast(radius)
+    schema = f"id bigint, v {kind}, size int, row bigint, floor double, pivots array<int>"
+    first = asked.mapInArrow(_visits(sent, cover, k, first=True), schema)
+    best = written(_searched(first, near, covers, k, kind), "product_first")
+    # A query's floor is its worst k-th score so far.
+    scores = written(best.groupBy("row").agg(F.when(F.count("*") >= k, F.min("score").cast("double")).alias("floor")), "product_floors")
+    rest = join_keyed(asked, scores, ["row"]).select("id", "v", "size", "row", "floor")
+    rest = rest.mapInArrow(_visits(sent, cover, k, first=False), schema)
+    found = best.union(_searched(rest, near, covers, k, kind))
+    return _ranked(found, k).select("query_id", "rank", "vec_id", "score")
+
+
+def _ranked(found: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _sized(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, places, vectors) of a batch's rows of each length."""
+    sizes = batch.column("size").to_numpy()
+    for size in np.unique(sizes):
+        here = np.flatnonzero(sizes == size)
+        yield int(size), here, _matrix(batch.column("v").take(pa.array(here)))
 
-    def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _assigned(sent):
+    """Rows with their nearest pivot and the distance from it; without a pivot of that length, infinitely far from number 0."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.full(batch.num_rows, -np.inf)
-            sizes, ids = batch.column("size").to_numpy(), batch.column("id").to_numpy()
-            for size in np.unique(sizes):
-                here = np.flatnonzero(sizes == size)
-                if int(size) not in sent.value:
-                    continue
-                mine = _matrix(batch.column("v").take(pa.array(here)))
-                points, names = sent.value[int(size)]
-                if _wide(mine, points):
-                    continue
-                for at in range(0, len(here), 256):
-                    scores = mine[at : at + 256] @ points.T
-                    scores[ids[here[at : at + 256], None] == names[None, :]] = -np.inf
-                    if scores.shape[1] >= k:
-                        out[here[at : at + 256]] = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=["id", "v", "size", "row", "floor"])
-
-    kind = dict(asked.dtypes)["v"]
-    asked = asked.mapInArrow(floors, f"id bigint, v {kind}, size int, row bigint, floor double")
-    along = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
-    mine = asked.select(
-        "size", F.pmod(F.xxhash64("row"), F.lit(query_blocks)).alias("qb"), along(blocks).alias("pb"),
-        "row", "id", "floor", "v",
+            pivot, away = np.zeros(batch.num_rows, dtype=np.int32), np.full(batch.num_rows, np.inf)
+            for size, here, mine in _sized(batch):
+                if size in sent.value:
+                    centres = sent.value[size][2]
+                    square = (centres * centres).sum(axis=1)
+                    pivot[here] = np.argmin(square[None, :] - 2 * (mine @ centres.T), axis=1)
+                    away[here] = np.sqrt(((mine - centres[pivot[here]]) ** 2).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(pivot), pa.array(away)], names=["id", "v", "size", "pivot", "away"])
+
+    return step
+
+
+def _visits(sent, cover, k: int, first: bool):
+    """Queries with their floor and the pivots whose rows may beat it: at `first`, the one of the highest product, later all others."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            floor = np.full(batch.num_rows, -np.inf)
+            if not first:
+                floor = batch.column("floor").fill_null(-np.inf).to_numpy(zero_copy_only=False).copy()
+            ids, pivots = batch.column("id").to_numpy(), [None] * batch.num_rows
+            for size, here, mine in _sized(batch):
+                points, names, centres = sent.value.get(size, (np.empty((0, size)), np.empty(0), np.zeros((1, size))))
+                away = np.array([cover.value.get((size, p), -np.inf) for p in range(len(centres))])
+                if len(points) >= k and not _wide(mine, points):
+                    for at in range(0, len(here), 256):
+                        scores = mine[at : at + 256] @ points.T
+                        scores[ids[here[at : at + 256], None] == names[None, :]] = -np.inf
+                        own = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+                        floor[here[at : at + 256]] = np.maximum(floor[here[at : at + 256]], own)
+                product, length = mine @ centres.T, np.linalg.norm(mine, axis=1)
+                there = np.isfinite(away) | (away > 0)
+                product[:, ~there] = -np.inf
+                best = np.argmax(product, axis=1)
+                with np.errstate(invalid="ignore"):
+                    bound = product + (1 + SLACK) * length[:, None] * away + SLACK * length[:, None] * np.linalg.norm(centres, axis=1)
+                # Lengths of 0 and infinite distances: such pairs are compared.
+                open_ = there & ~(bound < floor[here][:, None])
+                open_[np.arange(len(here)), best] = False
+                for i, row in enumerate(here):
+                    pivots[row] = ([best[i]] if there[best[i]] else []) if first else np.flatnonzero(open_[i])
+            lists = pa.array([np.asarray(p, dtype=np.int32) for p in pivots], pa.list_(pa.int32()))
+            columns = [*(batch.column(c) for c in ("id", "v", "size", "row")), pa.array(floor), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "v", "size", "row", "floor", "pivots"])
+
+    return step
+
+
+def _searched(asked: DataFrame, near: DataFrame, covers: DataFrame, k: int, kind: str) -> DataFrame:
+    """(row, query_id, vec_id, score): each query's k best rows of the pivots that it visits."""
+    asked = written(asked, "product_visits")
+    visits = asked.select("size", F.explode("pivots").alias("pivot")).groupBy("size", "pivot").agg(F.count("*").alias("queries"))
+    plan = join_keyed(covers, written(visits, "product_loads"), ["size", "pivot"], "inner")
+    plan = written(plan.select("size", "pivot", F.ceil(F.col("rows") / BLOCK_ROWS).alias("blocks"), F.ceil(F.col("queries") / BLOCK_QUERIES).alias("query_blocks")), "product_plan")
+    along = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    mine = join_keyed(asked.withColumn("pivot", F.explode("pivots")), plan, ["size", "pivot"], "inner").select(
+        "size", "pivot", F.pmod(F.xxhash64("row"), F.col("query_blocks")).alias("qb"), along("blocks").alias("pb"), "row", "id", "floor", "v",
     )
-    theirs = points.select(
-        "size", along(query_blocks).alias("qb"), F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).alias("pb"),
+    theirs = join_keyed(near, plan, ["size", "pivot"], "inner").select(
+        "size", "pivot", along("query_blocks").alias("qb"), F.pmod(F.xxhash64("id", "v"), F.col("blocks")).alias("pb"),
         F.lit(None).cast("bigint").alias("row"), "id", F.lit(None).cast("double").alias("floor"), "v",
     )
 
@@ -241,6 +318,5 @@ def top_products(rows: DataFrame, queries: DataFrame, k: int = 5, id: str = "vec
             "vec_id": np.concatenate(best.found).astype(np.int64), "score": pa.array(scores, pa.int64()),
         })
 
-    found = mine.union(theirs).groupBy("size", "qb", "pb").applyInArrow(search, "row bigint, query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = mine.union(theirs).groupBy("size", "pivot", "qb", "pb").applyInArrow(search, "row bigint, query_id bigint, vec_id bigint, score bigint")
+    return _ranked(found, k).drop("rank")

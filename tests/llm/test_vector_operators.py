@@ -138,3 +138,24 @@ def test_top_products_of_few_dimensions(spark, rows):
     frame = spark.createDataFrame(rows, SCHEMA)
     got = covertree.top_products(frame, frame, k=3).collect()
     assert sorted(map(tuple, got)) == plain_top(rows, 3, 1)
+
+
+def test_queries_visit_few_pivots_of_clustered_rows(spark, monkeypatch):
+    """Rows around far apart centres: a query's vector is copied to few groups of rows, and nothing is lost."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(40, 10)) * 20
+    rows = [(i, [float(x) for x in np.float32(centres[i % 40] + rng.normal(size=10) * 0.3)], 0) for i in range(2400)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    monkeypatch.setattr(covertree, "BLOCK_ROWS", 50)
+    visits, real = [], covertree._searched
+
+    def counted(asked, near, covers, k, kind):
+        visits.append((asked.selectExpr("sum(size(pivots))").first()[0], covers.count()))
+        return real(asked, near, covers, k, kind)
+
+    monkeypatch.setattr(covertree, "_searched", counted)
+    queries = frame.where("vec_id % 10 = 0")
+    got = covertree.top_products(frame, queries, k=5).collect()
+    assert sorted(map(tuple, got)) == plain_top(rows, 5, 10)
+    assert visits[0] == (240, visits[0][1]) and visits[0][1] > 30
+    assert visits[0][0] + visits[1][0] < 0.15 * 240 * visits[0][1]
