@@ -16,6 +16,8 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -70,6 +72,8 @@ class Encoder:
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in own]
         self.letters = {b: 256 + i for i, b in enumerate(others)}
+        self.spelled = np.arange(256, dtype="<u4")  # but a blank stays one
+        self.spelled[[b for b in others if b != 32]] = [self.letters[b] for b in others if b != 32]
         names = self.tokenizer.get_vocab()
         self.sizes = np.zeros(max(names.values()) + 1, dtype=np.int64)
         for name, id in names.items():
@@ -94,12 +98,12 @@ class Encoder:
         text = text.lower() if self.lowers else text
         sizes = [len(p.encode()) + (not self.lowers) for p in text.split(" ")]
         # In the letters of the vocabulary; the blank before a word is its first letter, if there is one.
-        letters = text.encode().decode("latin-1").translate({k: v for k, v in self.letters.items() if k != 32})
-        letters = letters.replace(".", " .").replace(",", " ,").split(" ")
-        blank = chr(self.letters[32])
+        letters = self.spelled[np.frombuffer(text.encode(), dtype=np.uint8)].tobytes().decode("utf-32-le")
+        letters = letters.replace(".", " .").replace(",", " ,")
         if not self.lowers:
-            letters = [x if x in (".", ",") else blank + x for x in letters]
-        found = self.plain.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids
+            blank = chr(self.letters[32])
+            letters = " ".join([x if x in (".", ",") else blank + x for x in letters.split(" ")])
+        found = self.plain.encode_batch_fast([letters], add_special_tokens=False)[0].ids
         return self._cut(found, sizes) or self.each([" " + p for p in pieces])
 
     def _other_pieces(self, pieces: list[str]) -> list[bytes]:
@@ -115,9 +119,9 @@ class Encoder:
 
     def _after_blank(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece, from encoding many of them as one text."""
-        plain = list(map(_PLAIN, pieces))
-        chosen = [p for p, x in zip(pieces, plain) if x]
-        others = [p for p, x in zip(pieces, plain) if not x]
+        plain = list(map(bool, map(_PLAIN, pieces)))
+        chosen = list(compress(pieces, plain))
+        others = list(compress(pieces, map(not_, plain)))
         found = iter(self._plain_pieces(chosen) if chosen else ())
         rest = iter(self._other_pieces(others) if others else ())
         return [next(found) if x else next(rest) for x in plain]
