@@ -57,7 +57,7 @@ def null_profile(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ())
     ).drop("rows")
 
 
-def is_sparse(missing: Column, rows: Column, threshold_percent: int = 90) -> Column:
+def is_sparse(missing: Column, rows: Column, threshold_percent: int | Column = 90) -> Column:
     """Strictly more than the threshold missing, in whole numbers."""
     return missing * 100 > rows * threshold_percent
 

@@ -30,6 +30,7 @@ from millrace.operators.attach import attach
 from millrace.operators.fills import exact_medians, exact_modes
 from millrace.operators.merge import aligned_type
 from millrace.operators.profile import is_sparse
+from millrace.plans.rules import by_file, renamed, with_summaries
 from millrace.session import written
 from millrace.sources.csv_files import stage_csv
 from millrace.sources.staging import (
@@ -40,6 +41,7 @@ from millrace.sources.staging import (
 KEPT, FILLED, DROPPED = "Kept", "Filled", "Dropped"
 DROPPED_SPARSE = "Dropped (>90% missing)"
 DROPPED_KEY = "Dropped after job_id extraction"
+DROPPED_RULE = "Dropped by rule"
 
 
 @dataclass(frozen=True)
@@ -51,6 +53,8 @@ class CleanOptions:
     numeric_min_share: float | None = None
     # Write the cleaned rows to the shared folder, so that later steps do not recompute them.
     write_result: bool = True
+    # Rules for all or for some files, as rows (file, kind, column, value); see `plans.rules`.
+    rules: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -99,7 +103,11 @@ def clean_table(
 def clean_staged(staged: Staged, options: CleanOptions = CleanOptions()) -> Batch:
     if not staged.columns:
         return _nothing(staged)
-    decisions = written(decide(staged, options), "decisions")
+    rules = None
+    if options.rules is not None:
+        rules = by_file(options.rules, staged)
+        staged = with_summaries(staged, rules)
+    decisions = written(decide(staged, options, rules), "decisions")
     usage = column_usage(decisions)
     kept = staged.data.filter(~F.col("_summary")).drop("_summary")
     fills = fill_values(kept, staged, usage)
@@ -110,12 +118,17 @@ def clean_staged(staged: Staged, options: CleanOptions = CleanOptions()) -> Batc
         decisions = completed(decisions, None, None)
     facts = column_facts(decisions) if usage else {}
     data = apply_decisions(kept, decisions, staged, usage, facts)
+    shown = decisions
+    if rules is not None:
+        data = renamed(data, rules)
+        names = F.coalesce(F.col("renames")[F.col("cleaned_column")], F.col("cleaned_column"))
+        shown = attach(decisions, rules.select("_source", "renames"), ["_source"], how="left").withColumn("cleaned_column", names).drop("renames")
     if options.write_result:
         # A merge reads each owning file from this table: rows of a file lie together, so the
         # statistics of row groups and pages leave out the rest.
         data = written(data.sortWithinPartitions(SOURCE), "cleaned")
     return Batch(
-        data, report(decisions, staged), status(data, decisions, staged), decisions,
+        data, report(shown, staged), status(data, decisions, staged), decisions,
         staged.extras.get("rejects"), rejected_values(kept, decisions, staged, usage, facts),
     )
 
@@ -132,7 +145,7 @@ def _nothing(staged: Staged) -> Batch:
     return Batch(data, empty, status(data, decisions, staged), decisions, staged.extras.get("rejects"))
 
 
-def decide(staged: Staged, options: CleanOptions) -> DataFrame:
+def decide(staged: Staged, options: CleanOptions, rules: DataFrame | None = None) -> DataFrame:
     """One row per (file, column): what it is, what becomes of it, how gaps are filled."""
     by = ["_source", "_header"]
     if not staged.columns:
@@ -169,7 +182,11 @@ def decide(staged: Staged, options: CleanOptions) -> DataFrame:
     else:
         cells = staged.cells(staged.files).join(
             profile.drop("_header"), ["_source", "column"], "left")
-    return _judge(cells.fillna(0, list(counters)), options)
+    cells = cells.fillna(0, list(counters))
+    if rules is None:
+        return _judge(cells, options)
+    own = rules.drop("words", "renames")
+    return _judge(attach(cells, own, ["_source"], how="left"), options, True).drop(*own.drop("_source").columns)
 
 
 def _own_cells(staged: Staged) -> Column:
@@ -201,8 +218,14 @@ def _value_and_class(c: str, staged: Staged) -> tuple[Column, Column]:
     return F.lit(None).cast("string").alias("value"), known.alias("known")
 
 
-def _judge(cells: DataFrame, options: CleanOptions) -> DataFrame:
+def _judge(cells: DataFrame, options: CleanOptions, ruled: bool = False) -> DataFrame:
+    """What becomes of each column; `ruled` cells have the rules of their file beside them."""
     c = F.col
+    sparse, share, dropped = F.lit(options.sparse_percent), F.lit(options.numeric_min_share).cast("double"), F.lit(False)
+    if ruled:
+        sparse = F.coalesce(c("column_sparse")[c("cleaned_column")].cast("double"), c("sparse"), sparse)
+        share = F.coalesce(c("share"), share)
+        dropped = F.coalesce(F.array_contains("dropped", c("cleaned_column")), dropped)
     raw_missing = c("raw_rows") - c("raw_present")
     missing = c("rows") - c("present")
     # Typing happens on the rows as read, before summary rows leave.
@@ -218,7 +241,8 @@ def _judge(cells: DataFrame, options: CleanOptions) -> DataFrame:
     fate = (
         F.when(c("role") == KEY_SOURCE, "key source")
         .when(c("role") == OVERWRITTEN, "key")
-        .when(is_sparse(missing, c("rows"), options.sparse_percent), "sparse")
+        .when(dropped, "rule")
+        .when(is_sparse(missing, c("rows"), sparse), "sparse")
         .otherwise("keep")
     )
     judged = cells.withColumns({"raw_missing": raw_missing, "missing": missing}).withColumns(
@@ -229,8 +253,8 @@ def _judge(cells: DataFrame, options: CleanOptions) -> DataFrame:
         F.when(c("kind").isin("whole", "double"), "median").otherwise("mode"),
     )
     enough = c("numeric") > 0
-    if options.numeric_min_share is not None:
-        enough = enough & (c("numeric") >= options.numeric_min_share * c("present"))
+    if ruled or options.numeric_min_share is not None:
+        enough = enough & (share.isNull() | (c("numeric") >= share * c("present")))
     # Booleans with gaps only in summary rows are an object column without gaps, which
     # counts as numeric.
     late_boolean = (c("kind") == "boolean") & (c("raw_missing") > 0) & (c("missing") == 0)
@@ -538,11 +562,12 @@ def report(decisions: DataFrame, staged: Staged) -> DataFrame:
     change = F.concat(F.lit("Type changed to "), c("change"))
     details = (
         F.when(c("fate") == "sparse", DROPPED_SPARSE)
+        .when(c("fate") == "rule", DROPPED_RULE)
         .when(c("fate") == "key source", DROPPED_KEY)
         .otherwise(F.concat_ws(" | ", fill, change))
     )
     action = (
-        F.when(c("fate").isin("sparse", "key source"), DROPPED)
+        F.when(c("fate").isin("sparse", "key source", "rule"), DROPPED)
         .when(c("fill").isNotNull(), FILLED)
         .otherwise(KEPT)
     )
