@@ -68,6 +68,8 @@ class Batch:
     rejects: DataFrame | None = None
     # (source_file, row, column, value, reason): texts that cleaning made null.
     rejected_values: DataFrame | None = None
+    # The cleaned rows before duplicates are dropped, with their place `_row` in their file.
+    origins: DataFrame | None = None
 
 
 def clean_files(
@@ -117,10 +119,11 @@ def clean_staged(staged: Staged, options: CleanOptions = CleanOptions()) -> Batc
     else:
         decisions = completed(decisions, None, None)
     facts = column_facts(decisions) if usage else {}
-    data = apply_decisions(kept, decisions, staged, usage, facts)
+    origins = apply_decisions(kept, decisions, staged, usage, facts)
+    data = origins.drop("_row").dropDuplicates()
     shown = decisions
     if rules is not None:
-        data = renamed(data, rules)
+        data, origins = renamed(data, rules), renamed(origins, rules)
         names = F.coalesce(F.col("renames")[F.col("cleaned_column")], F.col("cleaned_column"))
         shown = attach(decisions, rules.select("_source", "renames"), ["_source"], how="left").withColumn("cleaned_column", names).drop("renames")
     if options.write_result:
@@ -129,7 +132,7 @@ def clean_staged(staged: Staged, options: CleanOptions = CleanOptions()) -> Batc
         data = written(data.sortWithinPartitions(SOURCE), "cleaned")
     return Batch(
         data, report(shown, staged), status(data, decisions, staged), decisions,
-        staged.extras.get("rejects"), rejected_values(kept, decisions, staged, usage, facts),
+        staged.extras.get("rejects"), rejected_values(kept, decisions, staged, usage, facts), origins,
     )
 
 
@@ -408,7 +411,7 @@ def apply_decisions(
     usage: dict[str, Usage],
     facts: dict[str, Facts],
 ) -> DataFrame:
-    """Fill, coerce, drop and name the columns, drop duplicate rows, tag the source."""
+    """Fill, coerce, drop and name the columns, tag the source; `_row` is a row's place in its file."""
     live = [c for c in staged.columns if c in usage and usage[c].outs]
 
     def own_plan(c: str) -> bool:
@@ -437,9 +440,8 @@ def apply_decisions(
     if KEY not in names:
         names.append(KEY)
     rows, cells[KEY] = _with_numeric_urls(rows, decisions, staged, usage)
-    out = rows.select("_source", *[cells[n].alias(n) for n in names])
-    out = out.dropDuplicates()
-    return out.select(*[F.col(f"`{n}`") for n in names if n != SOURCE], F.col("_source").alias(SOURCE))
+    named = [cells[n].alias(n) for n in names if n != SOURCE]
+    return rows.select(*named, F.col("_source").alias(SOURCE), "_row")
 
 
 def _with_numeric_urls(

@@ -58,12 +58,7 @@ def merge_batch(
 
     Only the owner of each column is collected, one row per column.
     """
-    columns = batch.decisions.filter("rows > 0 AND fate = 'keep'").groupBy("cleaned_column")
-    owners = dict(columns.agg(F.min("_source")).collect()) | {SOURCE: first}
-    owned: dict[str, list[str]] = {first: []}
-    for name in batch.data.columns:
-        if name != KEY and name in owners and not name.endswith("_dup"):
-            owned.setdefault(owners[name], []).append(name)
+    owned = owned_columns(batch, first)
     order = sorted(owned)
     source = F.col(SOURCE)
     frames = [
@@ -76,3 +71,14 @@ def merge_batch(
     if rest:
         counted = batch.data.filter(~source.isin(order)).select(KEY, source.alias("_file"))
     return fold(frames, counted, rest, how, KEY, skew, null_keys)
+
+
+def owned_columns(batch: Batch, first: str) -> dict[str, list[str]]:
+    """The columns that each owning file gives to a merge; the first file is always one."""
+    columns = batch.decisions.filter("rows > 0 AND fate = 'keep'").groupBy("cleaned_column")
+    owners = dict(columns.agg(F.min("_source")).collect()) | {SOURCE: first}
+    owned: dict[str, list[str]] = {first: []}
+    for name in batch.data.columns:
+        if name != KEY and name in owners and not name.endswith("_dup"):
+            owned.setdefault(owners[name], []).append(name)
+    return owned

@@ -16,6 +16,7 @@ from millrace.functions import names as N
 from millrace.functions.keys import with_key
 from millrace.functions.values import NULL_TOKENS, nullify
 from millrace.operators import coerce, describe, fills, merge, profile, reports, rows
+from millrace.plans import lineage
 from millrace.plans.clean import Batch, CleanOptions, clean_files, clean_staged, clean_table, fill_counts
 from millrace.plans.master import Master, build_master
 from millrace.plans.rules import RULES
@@ -814,6 +815,29 @@ def master_outer(spark: SparkSession, folder: str) -> DataFrame:
     return master_of(spark, folder, "outer").data
 
 
+CONVERTED_SQL = EXPORT_SQL.split("cleaned AS (")[1].replace("SELECT DISTINCT", 'SELECT "row",', 1).rstrip().removesuffix(")")
+MASTER_VALUES = ("total_price", "clerk_note", "ship_code", "order_date", "job_id", "source_file")
+
+
+@query(f"""
+WITH {EXPORT_SQL}, {fold_sql('FULL')}, masters AS (SELECT DISTINCT {", ".join(MASTER_VALUES)} FROM third), converted AS ({CONVERTED_SQL}),
+edges AS (
+  SELECT m.*, c.source_file AS file, c."row" FROM masters m JOIN converted c ON c.source_file = 'F.csv'
+    AND {" AND ".join(f"m.{c} IS NOT DISTINCT FROM c.{c}" for c in MASTER_VALUES)}
+  UNION ALL
+  SELECT m.*, c.source_file, c."row" FROM masters m JOIN converted c ON c.source_file <> 'F.csv' AND m.job_id IS NOT DISTINCT FROM c.job_id)
+SELECT {", ".join(MASTER_VALUES)}, count(DISTINCT file) AS files, count(*) AS input_rows, min("row") AS first_row, max("row") AS last_row
+FROM edges GROUP BY ALL""")
+def master_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of the master dataset with how many files and input rows it comes from."""
+    batch = cleaned_exports(spark, folder)
+    master = build_master(batch, "outer")
+    edges = lineage.lineage(batch, master).groupBy("master_id").agg(
+        F.count_distinct("source_file").alias("files"), F.count(F.lit(1)).alias("input_rows"), F.min("row").alias("first_row"), F.max("row").alias("last_row"))
+    rows = lineage.with_row_ids(master.data, "master_id").distinct()
+    return rows.join(edges, "master_id", "left").drop("master_id")
+
+
 @query(f"WITH {EXPORT_SQL}, {fold_sql('INNER')} SELECT * FROM third")
 def master_inner(spark: SparkSession, folder: str) -> DataFrame:
     return master_of(spark, folder, "inner").data
