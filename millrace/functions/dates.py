@@ -11,7 +11,7 @@ column is parsed once per value, whatever the number of formats.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -78,12 +78,23 @@ def _found(table: dict[str, str], shape: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), shape)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once, however often the body names it.
+
+    The body is evaluated as it is and not compiled into the stage, whose code stays small; what it
+    does here is matching patterns and parsing, which is no faster in generated code.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _by_shape(text: Column, dates: dict[str, str]) -> Column:
-    shape = _shape(text)
-    day = F.regexp_extract(shape, r"^(.*?)([ T]9:9.*)?$", 1)
-    time = F.regexp_extract(shape, r"^(.*?)([ T]9:9.*)?$", 2)
-    form = F.concat(_found(dates, day), _found(TIMES, time))
-    return F.when(time == "", _found(dates | MONTH, day)).otherwise(form)
+    def form(shape: Column) -> Column:
+        parts = r"^(.*?)([ T]9:9.*)?$"
+        return _let(F.regexp_extract(shape, parts, 2), lambda time: _let(
+            F.regexp_extract(shape, parts, 1),
+            lambda day: F.when(time == "", _found(dates | MONTH, day)).otherwise(F.concat(_found(dates, day), _found(TIMES, time)))))
+
+    return _let(_shape(text), form)
 
 
 def _plain(text: Column, form: Column) -> tuple[Column, Column]:
@@ -125,15 +136,22 @@ def _parse(c: Column, fmt: str) -> Column:
 
 def _free(c: Column) -> Column:
     """Each value in its own format."""
-    body, form = _plain(c, _by_shape(c, DATES | _FREE))
-    instant = F.try_to_timestamp(body, form)
-    parsed = (
-        F.when(form.contains("X"), F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz"))
-        .when(form.contains(":"), instant.cast("timestamp_ntz"))
-        .otherwise(F.call_function("try_to_date", body, form).cast("timestamp_ntz"))
-    )
-    late = form.rlike("(?<!y)yy(?!y)") & (F.year(parsed) >= F.year(F.current_date()) + YEARS_AHEAD)
-    return F.when(late, parsed - F.expr("INTERVAL 100 YEARS")).otherwise(parsed)
+
+    def parsed(body: Column, form: Column) -> Column:
+        return _let(F.try_to_timestamp(body, form), lambda instant: (
+            F.when(form.contains("X"), F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz"))
+            .when(form.contains(":"), instant.cast("timestamp_ntz"))
+            .otherwise(F.call_function("try_to_date", body, form).cast("timestamp_ntz"))))
+
+    def recent(value: Column, form: Column) -> Column:
+        late = form.rlike("(?<!y)yy(?!y)") & (F.year(value) >= F.year(F.current_date()) + YEARS_AHEAD)
+        return F.when(late, value - F.expr("INTERVAL 100 YEARS")).otherwise(value)
+
+    def in_form(text: Column, form: Column) -> Column:
+        body, core = _plain(text, form)
+        return _let(core, lambda core: _let(_let(body, lambda body: parsed(body, core)), lambda value: recent(value, core)))
+
+    return _let(c, lambda text: _let(_by_shape(text, DATES | _FREE), lambda form: in_form(text, form)))
 
 
 def parse_dates(c: Column, fmt: Column, known: Sequence[str | None]) -> Column:

@@ -100,3 +100,16 @@ def test_an_owner_reads_its_own_rows_of_the_cleaned_table(spark):
     changes = batch.data.selectExpr("_metadata.file_path AS p", "_metadata.row_index AS i", "source_file AS s").selectExpr(
         "p", "s", "lag(s) OVER (PARTITION BY p ORDER BY i) AS before").filter("before IS NOT NULL AND s <> before").groupBy("p").count()
     assert all(r[1] <= 7 for r in rows(changes))
+
+
+def test_date_columns_have_small_code(spark, capsys):
+    """Free spellings of several columns are parsed in one stage whose code stays far below 64 KB."""
+    from millrace.functions.dates import parse_dates
+
+    text = F.format_string("%d/%d/24", (F.col("id") % 12 + 1).cast("int"), (F.col("id") % 28 + 1).cast("int"))
+    cells = spark.range(100).select(*[text.alias(f"c{i}") for i in range(7)], F.lit(None).cast("string").alias("f"))
+    parsed = cells.select(*[parse_dates(F.col(f"c{i}"), F.col("f"), ["yyyy-M-d", None]).alias(f"d{i}") for i in range(7)])
+    parsed.explain("codegen")
+    shown = capsys.readouterr().out
+    assert len(shown) < 65_536 and all(int(n) < 8_000 for n in re.findall(r"maxMethodCodeSize:(\d+)", shown))
+    assert str(parsed.first()[6]) == "2024-01-01 00:00:00"
