@@ -32,6 +32,8 @@ from pyspark.sql.types import StructType
 from millrace.llm.tokens import encoded, id_type
 from millrace.session import run_dir, written
 
+#: Texts of a shard, about, in bytes.
+SHARD_BYTES = 32 << 20
 #: Sequences per record batch.
 BATCH_SEQUENCES = 256
 
@@ -103,7 +105,8 @@ class _Shard:
 def write_arrow(docs: DataFrame, tokenizer: str, folder: str, length: int = 2048, end_id: int = 0, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Write the documents' ids below `folder`; the manifest: shard, file, documents, tokens, sequences."""
     chosen = docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).withColumn("tie", F.xxhash64("text"))
-    shards = max(1, chosen.rdd.getNumPartitions())
+    size = chosen.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    shards = max(1, chosen.rdd.getNumPartitions(), -(-size // SHARD_BYTES))
     dealt = chosen.repartitionByRange(shards, "id", "tie").sortWithinPartitions("id", "tie").drop("tie")
     end = np.array([end_id], dtype=np.uint32)
 
