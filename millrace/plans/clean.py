@@ -15,7 +15,7 @@ sparse columns out, gaps filled, types coerced, duplicates out, source tagged.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -29,7 +29,7 @@ from millrace.functions.names import KEY, SOURCE
 from millrace.operators.attach import attach
 from millrace.operators.fills import exact_medians, exact_modes
 from millrace.operators.merge import aligned_type
-from millrace.operators.profile import is_sparse
+from millrace.operators.profile import is_sparse, long_aggregate
 from millrace.plans.rules import by_file, renamed, with_summaries
 from millrace.session import written
 from millrace.sources.csv_files import stage_csv
@@ -153,31 +153,7 @@ def decide(staged: Staged, options: CleanOptions, rules: DataFrame | None = None
     by = ["_source", "_header"]
     if not staged.columns:
         raise ValueError("no readable file with a usable header")
-    # Long form: the generated code stays small however many columns there are, and the
-    # counts per (file, column, class) combine before the shuffle.
-    cells = staged.data.select(*by, "_summary", "_row", F.inline(_own_cells(staged)))
-    level = F.coalesce(F.col("known"), V.cell_class(F.col("value")))
-    counts = cells.groupBy(*by, "_summary", "column", level.alias("level")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_row").alias("first"))
-    kept, n = ~F.col("_summary"), F.col("n")
-
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
-
-    level = F.col("level")
-    counters = {
-        "raw_rows": F.sum(n),
-        "rows": total(kept),
-        "first_row": F.min(F.when(kept, F.col("first"))),
-        "raw_present": total(level >= V.TEXT),
-        "raw_boolean": total(level == V.BOOLEAN),
-        "raw_numeric": total(level >= V.NUMBER),
-        "raw_whole": total(level == V.WHOLE),
-        "present": total(kept & (level >= V.TEXT)),
-        "numeric": total(kept & (level >= V.NUMBER)),
-        "whole": total(kept & (level == V.WHOLE)),
-    }
-    profile = counts.groupBy(*by, "column").agg(*[m.alias(name) for name, m in counters.items()])
+    profile = _side_by_side(staged, by) if len(staged.headers) == 1 else _by_cell(staged, by)
     if staged.files is None:  # one header
         layout = staged.data.sparkSession.createDataFrame(staged.layout(), LAYOUT)
         layout = layout.select("_header", F.inline("cells"))
@@ -185,13 +161,65 @@ def decide(staged: Staged, options: CleanOptions, rules: DataFrame | None = None
     else:
         cells = staged.cells(staged.files).join(
             profile.drop("_header"), ["_source", "column"], "left")
-    cells = cells.fillna(0, list(counters))
+    cells = cells.fillna(0, list(COUNTERS))
     if rules is None:
         return _judge(cells, options)
     own = rules.drop("words", "renames")
     return _judge(attach(cells, own, ["_source"], how="left"), options, True).drop(*own.drop("_source").columns)
 
 
+# Counters of a column of a file: by all of its rows, and by those that are no summary rows.
+RAW = {"raw_present": V.TEXT, "raw_boolean": None, "raw_numeric": V.NUMBER, "raw_whole": V.WHOLE}
+KEPT_ROWS = {"present": V.TEXT, "numeric": V.NUMBER, "whole": V.WHOLE}
+COUNTERS = ("raw_rows", "rows", "first_row", *RAW, *KEPT_ROWS)
+
+
+def _side_by_side(staged: Staged, by: Sequence[str]) -> DataFrame:
+    """The counters of one header's columns, all in one buffer per file; rows are never multiplied."""
+    def level(c: str) -> Column:
+        value, known = _value_and_class(c, staged)
+        return (known if staged.readings[c] not in (INFERRED, TEXT) else V.cell_class(value)).cast("tinyint").alias(c)
+
+    cells = staged.data.select(*by, "_summary", *[level(c) for c in staged.columns])
+    kept = ~F.col("_summary")
+
+    def counter(least: int | None, only: Column | None = None) -> Callable[[str], Column]:
+        def measure(c: str) -> Column:
+            hit = F.col(c) == V.BOOLEAN if least is None else F.col(c) >= least
+            return F.count_if(hit if only is None else hit & only)
+        return measure
+
+    measures = {name: counter(least) for name, least in RAW.items()}
+    measures |= {name: counter(least, kept) for name, least in KEPT_ROWS.items()}
+    profile = long_aggregate(cells, by, staged.columns, measures)
+    counts = staged.data.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("raw_rows"), F.count_if(kept).alias("rows"), F.min(F.when(kept, F.col("_row"))).alias("first_row"))
+    return profile.join(counts, list(by))
+
+
+def _by_cell(staged: Staged, by: Sequence[str]) -> DataFrame:
+    """The same for many headers: a row's own cells become rows, and only counts are shuffled.
+
+    However many columns all headers have together, a file is counted by its own.
+    """
+    cells = staged.data.select(*by, "_summary", "_row", F.inline(_own_cells(staged)))
+    level = F.coalesce(F.col("known"), V.cell_class(F.col("value")))
+    counts = cells.groupBy(*by, "_summary", "column", level.alias("level")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_row").alias("first"))
+    kept, n, level = ~F.col("_summary"), F.col("n"), F.col("level")
+
+    def total(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
+
+    def counter(least: int | None) -> Column:
+        return level == V.BOOLEAN if least is None else level >= least
+
+    return counts.groupBy(*by, "column").agg(
+        F.sum(n).alias("raw_rows"), total(kept).alias("rows"), F.min(F.when(kept, F.col("first"))).alias("first_row"),
+        *[total(counter(least)).alias(name) for name, least in RAW.items()],
+        *[total(kept & counter(least)).alias(name) for name, least in KEPT_ROWS.items()])
+
+
 def _own_cells(staged: Staged) -> Column:
     """The cells of a row's own header, as an array; columns of other headers are not in it."""
 

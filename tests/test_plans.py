@@ -113,3 +113,17 @@ def test_date_columns_have_small_code(spark, capsys):
     shown = capsys.readouterr().out
     assert len(shown) < 65_536 and all(int(n) < 8_000 for n in re.findall(r"maxMethodCodeSize:(\d+)", shown))
     assert str(parsed.first()[6]) == "2024-01-01 00:00:00"
+
+
+def test_counters_of_one_header_are_side_by_side(spark):
+    """Profiling multiplies no rows before they are aggregated."""
+    from millrace.plans.clean import CleanOptions, decide
+    from millrace.queries import exports
+    from millrace.sources.staging import stage_frame
+
+    staged = stage_frame(exports(spark, SF), "file", "row")
+    lines = plan(decide(staged, CleanOptions())).splitlines()
+    # Of the listing of a header's columns, or of what has been aggregated.
+    for at, line in enumerate(lines):
+        if "Generate" in line and "inline(cells" not in line:
+            assert "Exchange" in "\n".join(lines[at:]).split("Scan", 1)[0]
