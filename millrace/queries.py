@@ -956,15 +956,19 @@ def breaks(n: str, r: str) -> dict[str, str]:
 
 @query(select("documents", breaks("\n", "\r")))
 def csv_quoted_breaks(spark: SparkSession, folder: str) -> DataFrame:
-    """Texts with line breaks and quotes, under a header with one, in a file with CRLF line ends."""
+    """Texts with line breaks and quotes, under a header with one, in files with CRLF line ends."""
     documents = messy(spark, folder, "documents", breaks("\\n", "\\r"))
     field = lambda c: F.concat(F.lit('"'), F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit('"'))
     line = F.concat_ws(",", field("doc_id"), field("text"), field("lang"))
     path = scratch(spark, "breaks")
-    header = spark.createDataFrame([('"doc\r\nid",text,lang', -1)], "line string, place bigint")
-    whole = header.unionAll(documents.select(line.alias("line"), F.col("doc_id").cast("bigint").alias("place")))
-    one = whole.repartition(1).sortWithinPartitions("place").select("line")
-    one.write.option("lineSep", "\r\n").text(path)
+    # Files of some 16 MB of texts, each with the header as its first record.
+    size = documents.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    files = 2 + size // (16 << 20)
+    file = F.pmod(F.xxhash64("doc_id"), F.lit(files)).alias("file")
+    header = spark.range(files).select(F.lit('"doc\r\nid",text,lang').alias("line"), F.lit(-1).cast("bigint").alias("place"), F.col("id").alias("file"))
+    whole = header.unionAll(documents.select(line.alias("line"), F.col("doc_id").cast("bigint").alias("place"), file))
+    ordered = whole.repartition("file").sortWithinPartitions("file", "place").drop("place")
+    ordered.write.partitionBy("file").option("lineSep", "\r\n").text(path)
     staged = stage_csv(spark, path, glob="*.txt")
     return staged.data.select(F.col("c0").cast("bigint").alias("doc_id"), F.col("c1").alias("text"), F.col("c2").alias("lang"))
 
