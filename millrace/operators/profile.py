@@ -17,17 +17,20 @@ COLUMNS_PER_AGGREGATE = 64
 
 
 def long_aggregate(
-    df: DataFrame, by: Sequence[str], columns: Sequence[str], measures: dict[str, Callable[[str], Column]]
+    df: DataFrame, by: Sequence[str], columns: Sequence[str], measures: dict[str, Callable[[str], Column]],
+    shared: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Aggregate every column with every measure, as rows (by..., column, measures...).
+    """Aggregate every column with every measure, as rows (by..., shared..., column, measures...).
 
-    A measure maps a column name to an aggregate. Rows are never multiplied: the
-    counters sit side by side in one buffer and are turned to rows afterwards.
+    A measure maps a column name to an aggregate; `shared` ones are the group's. Rows are never
+    multiplied: the counters sit side by side in one buffer and are turned to rows afterwards.
     """
+    shared = shared or {}
     parts = []
     for start in range(0, len(columns), COLUMNS_PER_AGGREGATE):
         chunk = columns[start : start + COLUMNS_PER_AGGREGATE]
         wide = df.groupBy(*by).agg(
+            *[measure.alias(m) for m, measure in shared.items()],
             *[measure(c).alias(f"_{i}_{m}") for i, c in enumerate(chunk)
               for m, measure in measures.items()]
         )
@@ -35,7 +38,7 @@ def long_aggregate(
             F.struct(F.lit(c).alias("column"), *[F.col(f"_{i}_{m}").alias(m) for m in measures])
             for i, c in enumerate(chunk)
         ])
-        parts.append(wide.select(*by, F.inline(rows)))
+        parts.append(wide.select(*by, *shared, F.inline(rows)))
     return reduce(DataFrame.unionByName, parts)
 
 

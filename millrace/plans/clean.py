@@ -180,7 +180,7 @@ def _side_by_side(staged: Staged, by: Sequence[str]) -> DataFrame:
         value, known = _value_and_class(c, staged)
         return (known if staged.readings[c] not in (INFERRED, TEXT) else V.cell_class(value)).cast("tinyint").alias(c)
 
-    cells = staged.data.select(*by, "_summary", *[level(c) for c in staged.columns])
+    cells = staged.data.select(*by, "_summary", "_row", *[level(c) for c in staged.columns])
     kept = ~F.col("_summary")
 
     def counter(least: int | None, only: Column | None = None) -> Callable[[str], Column]:
@@ -191,10 +191,8 @@ def _side_by_side(staged: Staged, by: Sequence[str]) -> DataFrame:
 
     measures = {name: counter(least) for name, least in RAW.items()}
     measures |= {name: counter(least, kept) for name, least in KEPT_ROWS.items()}
-    profile = long_aggregate(cells, by, staged.columns, measures)
-    counts = staged.data.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("raw_rows"), F.count_if(kept).alias("rows"), F.min(F.when(kept, F.col("_row"))).alias("first_row"))
-    return profile.join(counts, list(by))
+    return long_aggregate(cells, by, staged.columns, measures, {
+        "raw_rows": F.count(F.lit(1)), "rows": F.count_if(kept), "first_row": F.min(F.when(kept, F.col("_row")))})
 
 
 def _by_cell(staged: Staged, by: Sequence[str]) -> DataFrame:
