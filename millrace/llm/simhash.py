@@ -272,13 +272,21 @@ def simhash_dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", words
     """One row of each component of near-duplicates: that of the smallest id; `docs`' columns.
 
     Null ids come last. Rows that repeat the smallest id: the smallest hash of the whole row
-    stays. The choice is made on narrow rows; texts are only joined to it.
+    stays, and one of rows that are equal throughout. The choice is made on narrow rows, of the
+    id and 128 bits of hashes of the whole row, and these find the rows in `docs` again: no
+    table of texts is written, and `docs` has to give the same rows whenever it is read.
     """
-    printed = with_fingerprints(docs, text, words).withColumn("_sim_row", F.monotonically_increasing_id())
-    printed = written(printed, "simhash_prints")
+    whole, hashes = [F.col(f"`{c}`") for c in docs.columns], ["_sim_hash", "_sim_check"]
+    # A hash passes over nulls, so the second one begins with where they are.
+    check = F.xxhash64(*[c.isNull() for c in whole], *whole)
+    rows = docs.select(*whole, F.xxhash64(*whole).alias("_sim_hash"), check.alias("_sim_check"))
+    printed = written(with_fingerprints(rows, text, words, [id, *hashes]), "simhash_prints")
     key = F.col(f"`{id}`")
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    narrow = printed.select("_sim_print", F.struct(key.isNull().alias("n"), key.alias("i"), whole.alias("h"), F.col("_sim_row").alias("r")).alias("rank"))
-    ranked = narrow.join(_classes(printed, id, max_bits), "_sim_print").groupBy("_sim_root").agg(F.min("rank").alias("first"))
-    first = written(ranked.select(F.col("first.r").alias("_sim_row")), "simhash_first")
-    return join_keyed(printed, first, ["_sim_row"], "inner").select(*[F.col(f"`{c}`") for c in docs.columns])
+    narrow = printed.select("_sim_print", F.struct(key.isNull().alias("n"), key.alias("i"), *hashes).alias("rank"))
+    ranked = narrow.join(_classes(printed, id, max_bits), "_sim_print").groupBy("_sim_root", "rank").agg(F.count("*").alias("copies"))
+    ranked = ranked.groupBy("_sim_root").agg(F.min(F.struct("rank", "copies")).alias("first"))
+    first = written(ranked.select(*[f"first.rank.{c}" for c in hashes], (F.col("first.copies") > 1).alias("_sim_equal")), "simhash_first")
+    found = join_keyed(rows, first, hashes, "inner")
+    if not first.where("_sim_equal").isEmpty():
+        found = found.where("NOT _sim_equal").union(found.where("_sim_equal").dropDuplicates(hashes))
+    return found.select(*whole)

@@ -3,6 +3,7 @@
 import hashlib
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -14,8 +15,10 @@ from tokenizers import Tokenizer
 
 from millrace.llm import arrow_files, packing, simhash, substrings
 from millrace.llm.graph import components
+from millrace.llm.joins import BROADCAST_BYTES, join_keyed
 from millrace.llm.mixing import mix, mixed, targets
 from millrace.llm.words import SLICE_BYTES, hashed
+from millrace.session import run_dir
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Names that operators use or make themselves.
@@ -123,6 +126,31 @@ def test_simhash_dedup_keeps_one_row_of_each_component(spark):
     assert simhash.simhash_dedup(empty(spark)).collect() == []
 
 
+def test_simhash_dedup_writes_no_texts(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.bytes(4000).hex(), "en", "s", 8000) for i in range(60)]
+    folder = Path(run_dir(spark))
+    files = lambda: {f: f.stat().st_size for f in folder.rglob("*.parquet") if f.is_file()}
+    before = files()
+    got = simhash.simhash_dedup(spark.createDataFrame(rows, COLUMNS)).collect()
+    assert in_order(got) == in_order(rows)
+    texts = sum(len(r[1]) // 2 for r in rows)
+    assert sum(size for f, size in files().items() if f not in before) < texts / 2
+
+
+@pytest.mark.parametrize("limit", [BROADCAST_BYTES, 0])
+def test_simhash_dedup_of_equal_rows(spark, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "join_keyed", lambda *a: join_keyed(*a, limit=limit))
+    rng = np.random.default_rng(9)
+    first, second, third, fourth = (sentence(rng, 60, 10**6) for _ in range(4))
+    rows = [(1, first, "en", "s", 1), (1, first, "de", "s", 1), (2, first, "en", "s", 1), (None, second, None, None, None), (None, third, "en", None, 3)]
+    rows += [(None, fourth, None, "s", 4), (None, None, fourth, "s", 4)]
+    docs = spark.createDataFrame([*rows, *rows, *rows[3:]], COLUMNS).repartition(5)
+    got = simhash.simhash_dedup(docs).collect()
+    assert len(got) == 5 and set(map(tuple, got)) <= set(rows)
+    assert {(r.doc_id, r.text) for r in got} == {(1, first), (None, second), (None, third), (None, fourth), (None, None)}
+
+
 @pytest.mark.parametrize("group_rows, bits", [(1 << 11, 4), (8, 4), (8, 2), (2, 6)])
 def test_trie_join_finds_all_links(spark, monkeypatch, group_rows, bits):
     monkeypatch.setattr(simhash, "GROUP_ROWS", group_rows)
