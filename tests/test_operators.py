@@ -106,6 +106,29 @@ def test_a_bracket_that_misses_is_redone(spark, monkeypatch):
     assert rows(fills.bracketed_medians(frame, values, ["g"], 600), "g") == want
 
 
+@pytest.mark.parametrize("distinct", [None, 3])
+@pytest.mark.parametrize("ordered", [8, 1_000_000])
+def test_bracketed_medians_without_groups(spark, monkeypatch, distinct, ordered):
+    frame = groups(spark, 4, distinct=distinct)
+    values = {"a": F.col("a"), "b": F.col("b")}
+    want = rows(fills.exact_medians(frame, values, (), 1), "column")
+    monkeypatch.setattr(fills, "ORDERED_VALUES", ordered)
+    assert rows(fills.bracketed_medians(frame, values, (), 4000), "column") == want
+    right = fills._brackets
+    monkeypatch.setattr(fills, "_brackets", lambda *args: right(*args).withColumn("_cut_0", F.expr("array(-2e9D, -1e9D)")))
+    assert rows(fills.bracketed_medians(frame, values, (), 4000), "column") == want
+
+
+def test_a_table_too_large_for_the_builtin_median_is_filled_without_groups(spark):
+    n = fills.BUILTIN_MEDIAN_CELLS + 10
+    frame = spark.range(n).select("id", F.when(F.col("id") >= 10, F.col("id") * 2.0).alias("v"), F.lit(None).cast("double").alias("none"))
+    filled = fills.fill_missing(frame, ["v", "none"])
+    assert filled.dtypes == [("id", "bigint"), ("v", "double"), ("none", "double")]
+    # Of the values 20, 22, ... the two middle ones are n + 8 and n + 10.
+    assert rows(filled.filter("id < 10").select("v").distinct()) == [(n + 9.0,)]
+    assert filled.filter("id >= 10 AND v = id * 2 AND none IS NULL").count() == n - 10
+
+
 def test_attach_with_and_without_broadcast(spark):
     from millrace.session import written
 
@@ -118,6 +141,18 @@ def test_attach_with_and_without_broadcast(spark):
     assert attaching.text_bytes(table) > 0
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("limit", [None, 0])
+def test_attach_without_groups(spark, how, limit):
+    from millrace.session import written
+
+    frame = groups(spark, 3, 500)
+    table = written(frame.agg(F.max("b").alias("top")), "top")
+    every = attaching.attach(frame, table, [], how, broadcast_bytes=limit)
+    assert every.columns == [*frame.columns, "top"]
+    assert every.filter(F.col("top") == table.first()["top"]).count() == every.count() == frame.count()
+
+
 def test_any_number_makes_a_column_numeric(spark):
     frame = spark.createDataFrame(
         [("ID", "x", "1"), ("84043", "y", "2"), ("UT", None, "3")], "a string, b string, c string")
