@@ -129,6 +129,18 @@ def test_a_table_too_large_for_the_builtin_median_is_filled_without_groups(spark
     assert filled.filter("id >= 10 AND v = id * 2 AND none IS NULL").count() == n - 10
 
 
+def test_nan_has_no_part_in_the_median_of_a_large_table(spark):
+    n = fills.BUILTIN_MEDIAN_CELLS + 10
+    nan = F.lit(float("nan"))
+    value = F.when(F.col("id") % 5 == 0, nan).when(F.col("id") % 5 == 1, None).otherwise(F.col("id") % 5)
+    frame = spark.range(n).select("id", value.alias("d"), nan.alias("nothing"))
+    assert rows(profile.null_profile(frame, ["d"])) == [("d", n * 2 // 5, 40.0)]
+    filled = fills.fill_missing(frame, ["d", "nothing"])
+    want = {2.0: n // 5, 3.0: n // 5 * 3, 4.0: n // 5}
+    assert {r["d"]: r["count"] for r in filled.groupBy("d").count().collect()} == want
+    assert filled.filter("nothing IS NOT NULL").isEmpty()
+
+
 def test_attach_with_and_without_broadcast(spark):
     from millrace.session import written
 
