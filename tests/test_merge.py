@@ -127,6 +127,69 @@ def test_hot_keys_are_counted_against_rows_made(spark):
     assert merge.count_keys([many, other.limit(10)]).hot == [None]
 
 
+@pytest.mark.parametrize("key", [7])
+def test_copies_of_hot_rows_grow_as_the_rows_read(spark, key):
+    def side(n, name):
+        hot = spark.range(n).select(F.lit(key).cast("bigint").alias("job_id"), F.col("id").alias(name))
+        return hot.union(spark.range(100, 120).select("id", F.col("id") + n))
+
+    copies = []
+    for n in (400, 800, 1600):
+        found = merge.count_keys([side(n, "v"), side(n, "w")], skew=merge.Skew(task_rows=1))
+        grid = found.hot[0].filter(F.col("job_id").eqNullSafe(F.lit(key))).first()
+        assert 900 <= grid._rows * grid._columns <= 2 * merge.CELLS
+        copies.append(n * grid._columns + n * grid._rows)
+    assert copies[2] <= 2.2 * copies[1] <= 2.2 * 2.2 * copies[0]
+    for how in ("outer", "inner"):
+        out = merge.merge_frames([side(1600, "v"), side(1500, "w")], how, skew=merge.Skew(task_rows=1))
+        hot = out.filter(F.col("job_id").eqNullSafe(F.lit(key)))
+        pair = F.col("v") * 1500 + F.col("w")
+        assert hot.agg(F.count(pair), F.countDistinct(pair), F.max(pair)).first()[:] == (2_400_000, 2_400_000, 2_399_999)
+        assert out.count() == 2_400_020
+
+
+def test_more_tasks_get_more_cells_of_a_hot_key(spark):
+    side = spark.range(1000).select(F.lit(7).alias("job_id"), F.col("id").alias("v"))
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1000")
+    try:
+        grid = merge.count_keys([side, side], skew=merge.Skew(task_rows=1)).hot[0].first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert grid._rows * grid._columns >= 1000 * merge.CELLS_PER_TASK
+
+
+def test_no_cell_has_too_many_rows_of_a_side(spark, monkeypatch):
+    monkeypatch.setattr(merge, "SIDE_ROWS", 100)
+    sides = {1: (1000, 2), 2: (600, 600), 3: (0, 250), 4: (300, 1)}
+    left = spark.createDataFrame([(k, i) for k, (n, _) in sides.items() for i in range(n)], "job_id bigint, v int")
+    right = spark.createDataFrame([(k, i) for k, (_, n) in sides.items() for i in range(n)], "job_id bigint, w int")
+    skew = merge.Skew(task_rows=200)
+    grids = {r.job_id: r for r in merge.count_keys([left, right], skew=skew).hot[0].collect()}
+    assert set(grids) == set(sides)
+    for key, (n, m) in sides.items():
+        assert -(-n // grids[key]._rows) <= 100 and -(-m // grids[key]._columns) <= 100
+    got = merge.merge_frames([left, right], skew=skew).groupBy("job_id").agg(F.count(F.lit(1)), F.countDistinct("v"), F.countDistinct("w"))
+    assert {r[0]: r[1:] for r in got.collect()} == {1: (2000, 1000, 2), 2: (360000, 600, 600), 3: (250, 0, 250), 4: (300, 300, 1)}
+
+
+def test_rows_of_a_hot_key_are_given_out_one_by_one(spark):
+    fused = "spark.sql.codegen.join.fullOuterSortMergeJoin.enabled"
+    side = spark.range(300).select(F.lit(7).alias("job_id"), F.col("id").alias("v"))
+    spark.conf.unset(fused)
+    try:
+        merge.merge_frames([side, side], "inner", skew=merge.Skew(task_rows=1))
+        merge.merge_frames([side, side])
+        assert spark.conf.get(fused, None) is None
+        merge.merge_frames([side, side], skew=merge.Skew(task_rows=1))
+        assert spark.conf.get(fused) == "false"
+        spark.conf.set(fused, "true")
+        merge.merge_frames([side, side], skew=merge.Skew(task_rows=1))
+        assert spark.conf.get(fused) == "true"
+    finally:
+        spark.conf.unset(fused)
+
+
 def test_stack_aligns_types(spark):
     one = spark.createDataFrame([(1, "x")], "a int, b string")
     two = spark.createDataFrame([(2, 1.5)], "b bigint, c double")
