@@ -127,7 +127,7 @@ def test_hot_keys_are_counted_against_rows_made(spark):
     assert merge.count_keys([many, other.limit(10)]).hot == [None]
 
 
-@pytest.mark.parametrize("key", [7])
+@pytest.mark.parametrize("key", [7, None])
 def test_copies_of_hot_rows_grow_as_the_rows_read(spark, key):
     def side(n, name):
         hot = spark.range(n).select(F.lit(key).cast("bigint").alias("job_id"), F.col("id").alias(name))
